@@ -1,10 +1,12 @@
 """Queries over nested documents: paths, unnesting, filters on lists, exports."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    auto_id, descendants, distinct_items, dynamic_field, each, each_present, field, index_at,
+    auto_id, cell_text, descendants, distinct_items, dynamic_field, each, each_present, field, index_at,
     index_range, is_empty, is_truthy, items_where, join_items, length_of, unwrap_single,
     variant_field, variant_list, variant_missing, words, xml_text,
 )
@@ -114,7 +116,6 @@ SELECT doc_id AS id, string_agg(CAST(length(line) AS VARCHAR), ',' ORDER BY pos)
        coalesce(string_agg(CASE WHEN length(line) > 60 THEN substring(line, 1, 8) END, ',' ORDER BY pos), '---') AS notes
 FROM lines GROUP BY doc_id""")
 def _(spark, d):
-    from ..functions import cell_text
     lines = field("form", "lines")
     return documents(spark, d).select(
         "id", join_items(each(lines, "size")).alias("sizes"),
@@ -125,8 +126,8 @@ def _(spark, d):
 @query("descendants", f"""
 WITH {LINES}
 SELECT doc_id AS id,
-       count(*) + count(*) FILTER (length(line) > 100) AS n,
-       sum(length(line)) + coalesce(sum(length(line)) FILTER (length(line) > 100), 0) AS total
+       CAST(count(*) + count(*) FILTER (length(line) > 100) AS INTEGER) AS n,
+       CAST(sum(length(line)) + coalesce(sum(length(line)) FILTER (length(line) > 100), 0) AS BIGINT) AS total
 FROM lines GROUP BY doc_id""")
 def _(spark, d):
     docs = documents(spark, d)
@@ -137,7 +138,7 @@ def _(spark, d):
 
 @query("child_rows", f"""
 WITH {LINES}
-SELECT doc_id AS parent_id, source AS domain, line AS text, length(line) AS size FROM lines""")
+SELECT doc_id AS parent_id, source AS domain, line AS text, CAST(length(line) AS INTEGER) AS size FROM lines""")
 def _(spark, d):
     rows = child_rows(documents(spark, d), field("form", "lines"), "line")
     return rows.select(F.col("id").alias("parent_id"), "domain", "line.text", "line.size")
@@ -145,7 +146,7 @@ def _(spark, d):
 
 @query("child_rows_pos_id", f"""
 WITH {LINES}
-SELECT doc_id || '.form.lines.[' || pos || ']' AS id, pos, length(line) AS size FROM lines""")
+SELECT doc_id || '.form.lines.[' || pos || ']' AS id, pos, CAST(length(line) AS INTEGER) AS size FROM lines""")
 def _(spark, d):
     rows = child_rows_at(documents(spark, d), field("form", "lines"), "line")
     return rows.select(
@@ -156,7 +157,7 @@ def _(spark, d):
 
 @query("value_or_root", f"""
 WITH {LINES}, long AS (SELECT * FROM lines WHERE length(line) > 100)
-SELECT d.doc_id AS doc, d.source AS domain, length(l.line) AS size, l.doc_id IS NULL AS is_root
+SELECT d.doc_id AS doc, d.source AS domain, CAST(length(l.line) AS INTEGER) AS size, l.doc_id IS NULL AS is_root
 FROM documents d LEFT JOIN long l ON l.doc_id = d.doc_id""")
 def _(spark, d):
     rows = child_or_root_rows(documents(spark, d), F.col("remarks"), "remark")
@@ -245,7 +246,7 @@ def _(spark, d):
 
 @query("list_measures", f"""
 WITH {LINES}
-SELECT doc_id AS id, count(*) AS n_lines, any_value(length(lang)) AS lang_length,
+SELECT doc_id AS id, count(*) AS n_lines, CAST(any_value(length(lang)) AS INTEGER) AS lang_length,
        CASE WHEN count(*) = 1 THEN any_value(line) END AS only_line
 FROM lines GROUP BY doc_id""")
 def _(spark, d):
@@ -290,7 +291,6 @@ SELECT CAST(d.doc_id AS VARCHAR) AS id, lang AS language, CAST(d.doc_id AS VARCH
 FROM documents d JOIN notes n ON n.doc_id = d.doc_id
 WHERE d.source IN ('src0', 'src1') AND notes IS NOT NULL""")
 def _(spark, d):
-    from dataclasses import replace
     spec = replace(with_actor(FORMS), filters=(("domain", "src0"), ("domain", "src1")))
     out = export(forms(spark, d), spec)
     return out.where(F.regexp_replace("notes", ",", "") != "")
@@ -303,9 +303,7 @@ SELECT d.doc_id || CASE WHEN l.doc_id IS NULL THEN '' ELSE '.remarks.[' || i ||
        d.doc_id AS parent, CAST(length(l.line) AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS domain
 FROM documents d LEFT JOIN long l ON l.doc_id = d.doc_id""")
 def _(spark, d):
-    from dataclasses import replace
-    spec = replace(REMARKS, root=("remarks",))
-    return export(forms(spark, d), spec)
+    return export(forms(spark, d), REMARKS)
 
 
 @query("emit_many", f"""

@@ -137,12 +137,19 @@ def event_texts(spark, d):
 @query("infer_types", """
 SELECT event_id, ts, value, event_type, value > 0 AS positive FROM events""")
 def _(spark, d):
-    return without_empty_columns(infer_columns(event_texts(spark, d)))
+    return infer_columns(event_texts(spark, d), drop_empty=True)
+
+
+@query("empty_columns", "SELECT event_id, event_type FROM events")
+def _(spark, d):
+    events = load(spark, d, "events").select(
+        "event_id", F.lit(None).cast("double").alias("nothing"), "event_type")
+    return without_empty_columns(events)
 
 
 @query("type_evidence", """
 SELECT count(*) AS n, count(TRY_CAST(props AS BIGINT)) AS whole,
-       count_if(regexp_matches(event_type, '^[0-9]+$')) AS digits FROM events""")
+       count(*) FILTER (regexp_matches(event_type, '^[0-9]+$')) AS digits FROM events""")
 def _(spark, d):
     seen = type_evidence(load(spark, d, "events"), ["props", "event_type"])
     return seen.select(F.col("`props|n`").alias("n"), F.col("`props|bigint`").alias("whole"),
@@ -160,7 +167,8 @@ def _(spark, d):
 
 
 @query("contract_report", """
-SELECT sum(c) AS n_rows, 0 AS null_keys, count_if(c > 1) AS repeated_keys, 15 AS longest_name
+SELECT CAST(sum(c) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS null_keys,
+       count(*) FILTER (c > 1) AS repeated_keys, CAST(15 AS BIGINT) AS longest_name
 FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey)""")
 def _(spark, d):
     report = contract_report(load(spark, d, "lineitem"), "l_orderkey")
@@ -168,8 +176,9 @@ def _(spark, d):
 
 
 @query("width_profile", """
-SELECT max(length(CAST(c_custkey AS VARCHAR))) AS c_custkey, max(length(c_name)) AS c_name,
-       max(length(c_mktsegment)) AS c_mktsegment FROM customer""")
+SELECT CAST(max(length(CAST(c_custkey AS VARCHAR))) AS INTEGER) AS c_custkey,
+       CAST(max(length(c_name)) AS INTEGER) AS c_name,
+       CAST(max(length(c_mktsegment)) AS INTEGER) AS c_mktsegment FROM customer""")
 def _(spark, d):
     return width_profile(load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"))
 

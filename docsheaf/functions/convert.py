@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A zone suffix on a time of day: Z, +02, +0230 or +02:30.
-ZONE_SUFFIX = r"[0-9](?::[0-9]{2}){1,2}(?:\.[0-9]+)?\s*([+-])([0-9]{2}):?([0-9]{2})?$"
+# A time of day that ends in a zone, and the fraction of a second in a time.
+HAS_ZONE = r":[0-9]{2}.*(Z|z|UTC|GMT|[+-][0-9]{2}(:?[0-9]{2})?)$"
+FRACTION = r"\.[0-9]+$"
 # The five groups of a UUID and the hyphenated form.
 UUID_GROUPS = "^(.{8})(.{4})(.{4})(.{4})(.{12})$"
 UUID_LAYOUT = "$1-$2-$3-$4-$5"
@@ -27,32 +28,23 @@ def to_datetime(value: Column, *formats: str) -> Column:
     """Time without zone, whole seconds; a stated zone is turned into UTC.
 
     ISO texts are read first, then each of ``formats``. Text that fits none
-    is null. Nothing here depends on the session time zone.
+    is null. A zone is stated in every parse that needs one, so nothing here
+    depends on the session time zone.
     """
     text = F.trim(value.cast("string"))
-    parsed = text.try_cast("timestamp_ntz")
-    for pattern in formats:
-        attempt = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{pattern} Z"))
-        parsed = F.coalesce(parsed, _utc_clock(attempt))
-    sign = F.when(F.regexp_extract(text, ZONE_SUFFIX, 1) == "-", -1).otherwise(1)
-    hours = F.coalesce(F.regexp_extract(text, ZONE_SUFFIX, 2).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.regexp_extract(text, ZONE_SUFFIX, 3).try_cast("int"), F.lit(0))
-    shift = F.make_dt_interval(F.lit(0), sign * hours, sign * minutes, F.lit(0))
-    return whole_seconds(parsed - shift)
+    local = F.regexp_replace(text, FRACTION, "").try_cast("timestamp_ntz")
+    parsed = F.when(text.rlike(HAS_ZONE), _utc_clock(text.try_cast("timestamp"))).otherwise(local)
+    attempts = [
+        _utc_clock(F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{pattern} Z")))
+        for pattern in formats
+    ]
+    return F.coalesce(parsed, *attempts)
 
 
 def _utc_clock(instant: Column) -> Column:
     """The UTC reading of an instant as a zone-free time, in whole seconds."""
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    zero = F.lit(0)
-    return epoch + F.make_dt_interval(zero, zero, zero, F.unix_seconds(instant))
-
-
-def whole_seconds(value: Column) -> Column:
-    """Drop the fraction of a second without leaving timestamp_ntz."""
-    seconds = F.extract(F.lit("SECOND"), value)
-    fraction = seconds - F.floor(seconds)
-    return value - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
+    return F.timestamp_add("SECOND", F.unix_seconds(instant), epoch)
 
 
 def to_json_text(value: Column, dtype: T.DataType | None = None) -> Column:

@@ -11,7 +11,7 @@ def distinct_items(value: Column, dtype: T.DataType | None = None) -> Column:
     """Distinct elements in ascending order; a scalar passes through."""
     if dtype is not None and not isinstance(dtype, T.ArrayType):
         return value
-    return F.array_sort(F.array_distinct(value))
+    return F.sort_array(F.array_distinct(value))
 
 
 def length_of(value: Column, dtype: T.DataType) -> Column:

@@ -14,13 +14,14 @@ TEMPLATE_CALL_ERROR = "Error: template function requires the format template: {c
 SUBSTR_CALL_ERROR = "Error: both substr arguments must be non-negative integers: {call}"
 PARSE_ERROR = "Error: Unable to parse: {call}"
 
-# Any Unicode white space, and the four separator control characters.
+# Any Unicode white space, and the four separator control characters. The
+# property class is the fastest of the equivalent patterns measured.
 SPACES = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 
 
 def words(value: Column) -> Column:
     """Words between white space; blank text has none."""
-    return F.filter(F.split(value.cast("string"), SPACES), lambda w: w != "")
+    return F.array_remove(F.split(value.cast("string"), SPACES), "")
 
 
 def _held(value: Column) -> Column:

@@ -134,55 +134,79 @@ def declared_columns(df: DataFrame, declared: dict[str, str | None], lenient: bo
     return df.select(*out)
 
 
-# Candidates from narrow to wide, each with the form its text must have. The
-# form keeps '1' from counting as true and a time from counting as a date.
-CANDIDATES = (
-    ("boolean", r"(?i)^(true|false)$"),
-    ("timestamp_ntz", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"),
-    ("date", r"^\d{4}-\d{2}-\d{2}$"),
-    ("bigint", r"^[+-]?\d+$"),
-    ("double", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"),
+# Kinds of text, each with its form. A value counts as the first kind whose
+# form it has and that it can be cast to, so '1' is not true and a time of day
+# is not a date.
+FORMS = (
+    ("bigint", r"^[+-]?[0-9]+$"),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}"),
+    ("boolean", r"^(?i:true|false)$"),
 )
 
 
+def text_kind(value: Column) -> Column:
+    """The narrowest type a text can be read as; null for a null."""
+    kind = F.when(value.isNull(), F.lit(None))
+    for dtype, form in FORMS:
+        kind = kind.when(value.rlike(form) & value.try_cast(dtype).isNotNull(), dtype)
+    return kind.otherwise("string")
+
+
 def type_evidence(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row: per text column the number of values and of those each type can hold.
+    """One row: per text column the number of values, and of those of each kind.
 
     Every row is looked at, in one pass and one aggregate row per task.
     """
+    columns = columns or df.columns
+    kinds = df.select(*[text_kind(F.trim(F.col(f"`{c}`").cast("string"))).alias(c) for c in columns])
     aggs = []
-    for name in columns or df.columns:
-        value = F.trim(F.col(f"`{name}`").cast("string"))
-        aggs.append(F.count(value).alias(f"{name}|n"))
-        for dtype, form in CANDIDATES:
-            held = value.rlike(form) & value.try_cast(dtype).isNotNull()
-            aggs.append(F.count_if(held).alias(f"{name}|{dtype}"))
-    return df.agg(*aggs)
+    for name in columns:
+        at = F.col(f"`{name}`")
+        aggs.append(F.count(at).alias(f"{name}|n"))
+        aggs += [F.count_if(at == t).alias(f"{name}|{t}") for t, _ in FORMS]
+    return kinds.agg(*aggs)
 
 
-def choose_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """Narrowest type that holds every value; an all-null column is text."""
+def choose_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str | None]:
+    """Narrowest type that holds every value; None for a column without values.
+
+    Whole numbers also fit a column of fractions; other mixtures are text.
+    """
     columns = columns or df.columns
     seen = type_evidence(df, columns).first()
-    chosen = {}
-    for name in columns:
-        n = seen[f"{name}|n"]
-        match = [t for t, _ in CANDIDATES if n and seen[f"{name}|{t}"] == n]
-        chosen[name] = match[0] if match else "string"
-    return chosen
+    return {c: _narrowest(seen[f"{c}|n"], {t: seen[f"{c}|{t}"] for t, _ in FORMS}) for c in columns}
 
 
-def infer_columns(df: DataFrame) -> DataFrame:
-    """Text columns in the narrowest type all their values have."""
-    texts = [n for n, t in _types(df) if isinstance(t, T.StringType)]
+def _narrowest(n: int, counts: dict[str, int]) -> str | None:
+    if n == 0:
+        return None
+    if counts["bigint"] < n:
+        counts["double"] += counts["bigint"]
+    full = [t for t, c in counts.items() if c == n]
+    return full[0] if full else "string"
+
+
+def infer_columns(df: DataFrame, drop_empty: bool = False, keep: list[str] = ()) -> DataFrame:
+    """Text columns in the narrowest type all their values have.
+
+    With ``drop_empty`` a text column without any value is left out, unless it
+    is in ``keep`` because its type was declared.
+    """
+    texts = [n for n, t in _types(df) if isinstance(t, T.StringType) and n not in keep]
     if not texts:
         return df
     chosen = choose_types(df, texts)
-    return df.select(*[
-        F.trim(F.col(f"`{n}`")).cast(chosen[n]).alias(n) if chosen.get(n, "string") != "string"
-        else F.col(f"`{n}`")
-        for n in df.columns
-    ])
+    out = []
+    for name in df.columns:
+        goal = chosen.get(name, "string")
+        if goal is None and drop_empty:
+            continue
+        value = F.col(f"`{name}`")
+        typed = goal not in (None, "string")
+        out.append(F.trim(value).cast(goal).alias(name) if typed else value)
+    return df.select(*out)
 
 
 def without_empty_columns(df: DataFrame, keep: list[str] = ()) -> DataFrame:

@@ -25,23 +25,18 @@ def _step_up(frontier: DataFrame, parents: DataFrame, up: str, climbed: str) ->
 def level_depths(types: DataFrame, key: str = "resource_uri", parent: str = "parent") -> DataFrame:
     """Each type with its depth below the top; a top level has depth 0.
 
-    Types are few (each becomes a column), so the loop runs over a table of a
-    checked size. A cycle fails instead of running forever.
+    Types are few, as each becomes a column, so a recursive query holds them.
+    A type that no top level leads to, be it in a cycle or below an unknown
+    parent, has a null depth, so the query always ends.
     """
-    parents = small_side(types.select(F.col(key).alias("__at"), F.col(parent).alias("__up")))
-    frontier = types.withColumn("__next", F.col(parent)).withColumn("depth", F.lit(0))
-    done = None
-    for _ in range(MAX_DEPTH):
-        top = frontier.where(F.col("__next").isNull()).drop("__next")
-        done = top if done is None else done.unionByName(top)
-        climbing = frontier.where(F.col("__next").isNotNull())
-        frontier = durable(
-            _step_up(climbing, parents, "__next", "depth").drop("__at", "__next")
-            .withColumnRenamed("__up", "__next")
+    return types.sparkSession.sql(f"""
+        WITH RECURSIVE levels(uri, depth) AS (
+            SELECT `{key}`, 0 FROM {{types}} WHERE `{parent}` IS NULL
+            UNION ALL
+            SELECT t.`{key}`, l.depth + 1 FROM levels l JOIN {{types}} t ON t.`{parent}` = l.uri
         )
-        if frontier.isEmpty():
-            return done
-    raise ValueError(f"levels are nested deeper than {MAX_DEPTH} or form a cycle")
+        SELECT t.*, l.depth FROM {{types}} t LEFT JOIN levels l ON t.`{key}` = l.uri
+    """, types=types)
 
 
 def ordered_codes(types: DataFrame, code: str = "code") -> list[str]:
@@ -49,6 +44,9 @@ def ordered_codes(types: DataFrame, code: str = "code") -> list[str]:
     rows = level_depths(types).select(code, "depth").limit(MAX_LEVELS + 1).collect()
     if len(rows) > MAX_LEVELS:
         raise ValueError(f"more than {MAX_LEVELS} levels")
+    lost = [r[0] for r in rows if r["depth"] is None]
+    if lost:
+        raise ValueError(f"levels in a cycle or below an unknown one: {', '.join(map(str, lost))}")
     return [r[0] for r in sorted(rows, key=lambda r: (-r["depth"], r[0]))]
 
 
@@ -75,13 +73,13 @@ def ancestors(places: DataFrame, types: DataFrame) -> DataFrame:
     found = [frontier]
     for _ in range(MAX_DEPTH):
         climbing = frontier.select("uri", "distance", "__next").where(F.col("__next").isNotNull())
+        if climbing.isEmpty():
+            break
         frontier = durable(
             _step_up(climbing, side, "__next", "distance").select(
                 "uri", "code", "ancestor_id", "distance", F.col("__up").alias("__next")
             )
         )
-        if frontier.isEmpty():
-            break
         found.append(frontier)
     else:
         raise ValueError(f"places are nested deeper than {MAX_DEPTH} or form a cycle")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import field_or_null, to_datetime, to_json_text
+from ..session import durable
 from .hierarchy import ancestor_columns, ancestors, ordered_codes
 from .lookup import look_up
 
@@ -46,6 +47,7 @@ def users_table(users: DataFrame, prefix: str = "") -> DataFrame:
 
 def locations_table(places: DataFrame, types: DataFrame) -> DataFrame:
     """Location documents with their type's details and one column per level."""
+    types = durable(types)  # few rows, used three times
     schema = places.schema
     columns = []
     for name in LOCATION_COLUMNS:

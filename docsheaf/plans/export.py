@@ -114,13 +114,22 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
     return at, dtype
 
 
-def _items(doc: DocTable):
-    """The list a table's rows come from; an object there counts as a list of one."""
+def _items(doc: DocTable) -> Column:
+    """The list a table's rows come from.
+
+    An object there counts as a list of one, and as an empty list if it has no
+    members.
+    """
     found = walk(None, doc.df.schema, doc.root)
     if found is None:
         raise ValueError(f"no such path: {'.'.join(doc.root)}")
     value, dtype = found
-    return value if isinstance(dtype, T.ArrayType) else F.when(value.isNotNull(), F.array(value))
+    if isinstance(dtype, T.ArrayType):
+        return value
+    filled = value.isNotNull()
+    if isinstance(dtype, T.StructType):
+        filled = F.coalesce(*[F.when(value.getField(n).isNotNull(), True) for n in dtype.fieldNames()])
+    return F.when(filled, F.array(value))
 
 
 def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
@@ -178,7 +187,7 @@ def export(doc: DocTable, spec: ExportSpec, mappings: DataFrame | None = None) -
     """
     if doc.resource != spec.resource:
         raise ValueError(f"spec {spec.table} reads {spec.resource}, not {doc.resource}")
-    doc = DocTable(match_filters(doc.df, spec.filters), doc.resource, spec.root or doc.root, doc.id_field)
+    doc = replace(doc.rooted(*(spec.root or doc.root)), df=match_filters(doc.df, spec.filters))
     rows = doc.df
     if doc.root:
         unnest = child_or_root_rows if spec.value_or_root else child_rows_at
@@ -231,20 +240,23 @@ def columns_read(specs: list[ExportSpec], doc: DocTable) -> list[str]:
 
 def export_many(
     doc: DocTable, specs: list[ExportSpec], write: Callable[[str, DataFrame], None],
-    mappings: DataFrame | None = None, target: str | None = None,
+    mappings: DataFrame | None = None, target: str | None = None, keep: bool = True,
 ) -> None:
     """Write several tables from one source.
 
     The columns they need are scanned once and kept, on disk where memory is
-    short; all names are checked before anything is written.
+    short; all names are checked before anything is written. ``keep=False``
+    scans once per table instead, which costs less where the source is
+    columnar and each table needs few of its fields.
     """
     for spec in specs:
         check_names(spec.table, [c.name for c in spec.columns], target)
+    keep = keep and len(specs) > 1
     df = doc.df.select(*[F.col(f"`{c}`") for c in columns_read(specs, doc)])
-    shared = df.persist(StorageLevel.MEMORY_AND_DISK) if len(specs) > 1 else df
+    shared = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
     try:
         for spec in specs:
             write(spec.table, export(replace(doc, df=shared), spec, mappings))
     finally:
-        if len(specs) > 1:
+        if keep:
             shared.unpersist()

@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,7 +113,17 @@ class StoredTable:
         if schema is None:
             self._commit(batch, 1, list(range(self.parts)))
             return
-        touched = sorted(r[0] for r in batch.select(self._part_of().alias(PART)).distinct().collect())
+        # The batch is read twice: for the parts it touches and for the merge.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._merge(batch, version, schema, folders, strict, time)
+        finally:
+            batch.unpersist()
+
+    def _merge(self, batch: DataFrame, version: int, schema: T.StructType, folders: dict,
+               strict: bool, time: str | None) -> None:
+        parts = batch.select(self._part_of().alias(PART)).distinct().collect()
+        touched = sorted(r[0] for r in parts)
         if not touched:
             return
         held, _ = align(self._scan(schema, []), self._scan(batch.schema, []), strict)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_side
+
 ITEMS_PER_PART = 1_000
 
 
@@ -51,10 +53,10 @@ def inline_children(
     )
     spread = F.pmod(F.xxhash64(*child_id), F.coalesce("__parts", F.lit(1).cast("bigint")))
     item = F.struct(*[F.col(c) for c in children.columns]).alias("__item")
-    placed = children.join(large, F.col(child_key) == F.col("__key"), "left").select(
+    placed = children.join(small_side(large), F.col(child_key) == F.col("__key"), "left").select(
         F.col(child_key).alias("__parent"), spread.alias("part"), item
     )
-    parts = placed.groupBy("__parent", "part").agg(F.array_sort(F.collect_list("__item")).alias(name))
+    parts = placed.groupBy("__parent", "part").agg(F.sort_array(F.collect_list("__item")).alias(name))
     empty = F.array().cast(parts.schema[name].dataType)
     # Inner join and anti join instead of a left join, as in related_rows: the
     # parts of one large parent may then be split.

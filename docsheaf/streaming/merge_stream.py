@@ -19,7 +19,10 @@ def one_per_version(stream: DataFrame, key: str, time: str, delay: str) -> DataF
     come later than ``delay`` are dropped as well: choose it so that none do,
     or leave the repeats to the merge, which needs no state.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key, time])
+    # A watermark wants an instant; the zone-free time itself stays as it is.
+    timed = stream.withColumn("__instant", F.col(time).cast("timestamp"))
+    unique = timed.withWatermark("__instant", delay).dropDuplicatesWithinWatermark([key, time])
+    return unique.drop("__instant")
 
 
 def merge_stream(

@@ -45,6 +45,13 @@ def bag(rows, names):
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr), [names[i] for i in order]
 
 
+# Spark type → DuckDB type; both sides should agree, not only in value.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def compare(spark, con, folder: str, name: str) -> str | None:
     """None if equal, else what differs."""
     df = queries()[name](spark, folder)
@@ -52,6 +59,10 @@ def compare(spark, con, folder: str, name: str) -> str | None:
     sql = oracle_sql().get(name)
     if sql is None:
         return None if got else "no rows"
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    mine = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    if mine != theirs:
+        return f"types {mine} != {theirs}"
     cursor = con.execute(sql)
     want_names = [c[0] for c in cursor.description]
     want, want_names = bag(cursor.fetchall(), want_names)
