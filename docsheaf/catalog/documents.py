@@ -365,3 +365,18 @@ def _(spark, d):
         ColumnSpec("user_text", ("user_id",), data_type="text"),
     ))
     return export(DocTable(docs, "form"), spec)
+
+
+@query("export_variant", """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type, json_extract_string(props, '$.k') AS k, 'none' AS absent,
+       CAST(value AS DOUBLE) AS value FROM events""")
+def _(spark, d):
+    """The same kind of spec on documents without a schema."""
+    docs = load(spark, d, "events").select(F.to_variant_object(F.struct(
+        F.col("event_id").alias("id"), "event_type", "value", F.from_json("props", "k int").alias("props"))).alias("doc"))
+    spec = ExportSpec("t", "ucr", (
+        ColumnSpec("id", ("id",)), ColumnSpec("event_type", ("event_type",)), ColumnSpec("k", ("props", "k")),
+        ColumnSpec("absent", ("nowhere", "at", "all")), ColumnSpec("value", ("value",)),
+    ), missing_value="none")
+    out = export(DocTable(docs, "ucr", variant="doc"), spec)
+    return out.withColumn("value", F.col("value").cast("double"))

@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from ..plans import ColumnSpec, ExportSpec, Ledger, run_export
 from ..plans import ledger as L
-from ..sources.tables import load
+from ..session import fresh_dir
+from ..sinks import StoredTable
+from ..sources.tables import DocTable, load
 from .base import query
 
 RUN = L.Run("forms", "m1", ("click", "purchase"), "form", project="p1", server="s1")
@@ -120,3 +123,20 @@ def _(spark, d):
 WITH {LEDGER_SQL} SELECT id, spec_md5 <> 'm1' AS changed FROM ledger""")
 def _(spark, d):
     return rows(spark, d).select("id", L.spec_changed(None, RUN).alias("changed"))
+
+
+@query("incremental_export", """
+SELECT CAST(event_id AS VARCHAR) AS id, ts, event_type, 'u' || user_id AS actor FROM events""")
+def _(spark, d):
+    """Two runs: what had arrived by the middle of the month, then everything new."""
+    docs = load(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("id"), "ts", "event_type", F.concat(F.lit("u"), "user_id").alias("user"))
+    spec = ExportSpec("events", "form", (
+        ColumnSpec("id", ("id",)), ColumnSpec("ts", ("ts",), data_type="datetime"), ColumnSpec("event_type", ("event_type",)),
+        ColumnSpec("actor", ("user",))))
+    run = L.Run("events", spec.fingerprint(), ("events",), "form")
+    folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
+    early = docs.where(F.col("ts") <= F.lit("2024-01-15").cast("timestamp_ntz"))
+    for source in (early, docs):
+        run_export(DocTable(source, "form"), [spec], folder, run, ["ts"], ledger)
+    return StoredTable(spark, f"{folder}/events").read()

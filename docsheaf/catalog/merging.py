@@ -209,9 +209,8 @@ def _(spark, d):
     """Two overlapping landings of all events, merged as a stream into a stored table."""
     folder, state = fresh_dir(spark, "landing"), fresh_dir(spark, "stream")
     events = load(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    pages = [F.floor(F.col("event_id") / PAGE)]
-    write_pages(events, f"{folder}/a", pages)
-    write_pages(events, f"{folder}/b", pages)
+    write_pages(events, f"{folder}/a", PAGE)
+    write_pages(events, f"{folder}/b", PAGE)
     table = StoredTable(spark, fresh_dir(spark, "table"), "event_id", parts=2)
     stream = stream_pages(spark, f"{folder}/*", EVENT_DOC, files_per_batch=1000)
     running = merge_stream(stream, table, "ts", state)

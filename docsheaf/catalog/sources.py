@@ -23,7 +23,7 @@ def landed(spark, d):
     """Events as JSON pages of a bounded size under the shared folder."""
     folder = fresh_dir(spark, "pages")
     events = load(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    write_pages(events, folder, [F.floor(F.col("event_id") / PAGE)])
+    write_pages(events, folder, PAGE)
     return folder
 
 

@@ -5,7 +5,7 @@ from .convert import (
     format_uuid, sha1_text, to_datetime, to_integer, to_json_text, to_number,
 )
 from .lists import (
-    cell_text, distinct_items, items_where, join_items, length_of, unwrap_single, xml_text,
+    cell_text, distinct_items, items_where, join_items, length_of, unwrap_single, variant_cell, xml_text,
 )
 from .logic import (
     bool_to_int, default_value, first_present, is_empty, is_truthy, to_bool,

@@ -72,18 +72,7 @@ def xml_text(value: Column, dtype: T.DataType) -> Column:
     looked at row by row, for a struct once from its type.
     """
     if isinstance(dtype, T.VariantType):
-        members = F.from_json(F.to_json(value), "map<string,string>")
-        is_object = F.schema_of_variant(value).startswith("OBJECT")
-        plain = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
-        bare = F.size(F.filter(
-            F.map_keys(members), lambda k: ~((k == "id") | k.startswith("@"))
-        )) == 0
-        return (
-            F.when(~is_object, plain)
-            .when(F.map_contains_key(members, "#text"), F.element_at(members, F.lit("#text")))
-            .when(bare, F.lit(""))
-            .otherwise(F.to_json(value))
-        )
+        return _variant_text(value)
     if not isinstance(dtype, T.StructType):
         return value
     names = dtype.fieldNames()
@@ -95,3 +84,32 @@ def xml_text(value: Column, dtype: T.DataType) -> Column:
     if all(n == "id" or n.startswith("@") for n in names):
         return F.when(value.isNotNull(), F.lit(""))
     return F.to_json(value)
+
+
+def _variant_text(value: Column) -> Column:
+    kind = F.schema_of_variant(value)
+    members = F.from_json(F.to_json(value), "map<string,string>")
+    bare = F.size(F.filter(F.map_keys(members), lambda k: ~((k == "id") | k.startswith("@")))) == 0
+    plain = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+    return (
+        F.when(F.is_variant_null(value), F.lit(None))
+        .when(~kind.startswith("OBJECT"), plain)
+        .when(F.map_contains_key(members, "#text"), F.element_at(members, F.lit("#text")))
+        .when(bare, F.lit(""))
+        .otherwise(F.to_json(value))
+    )
+
+
+def variant_cell(value: Column, missing: str | None = None) -> Column:
+    """A variant as a cell of text.
+
+    What is missing, or an empty list, gives ``missing``; a stored null stays
+    null. A list gives its elements joined with commas.
+    """
+    items = F.try_variant_get(value, "$", "array<variant>")
+    return (
+        F.when(value.isNull(), F.lit(missing))
+        .when(~F.schema_of_variant(value).startswith("ARRAY"), _variant_text(value))
+        .when(F.size(items) == 0, F.lit(missing))
+        .otherwise(F.array_join(F.transform(items, _variant_text), ","))
+    )

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from .columntypes import align
 
 
+def key_of(df: DataFrame, key: str) -> Column:
+    """The key column; a row without a key fails the job instead of being lost."""
+    value = F.col(f"`{key}`")
+    failure = F.raise_error(F.lit(f"row without a key in {key}")).cast(df.schema[key].dataType)
+    return F.coalesce(value, failure).alias(key)
+
+
 def collapse(batch: DataFrame, key: str, order: Column) -> DataFrame:
     """One row per key: in each column the last value that is not null.
 
@@ -19,7 +26,10 @@ def collapse(batch: DataFrame, key: str, order: Column) -> DataFrame:
         pair = F.struct(order.alias("o"), value.alias("v"))
         return F.max(F.when(value.isNotNull(), pair)).getField("v").alias(name)
 
-    return batch.groupBy(key).agg(*[last(c) for c in batch.columns if c != key]).select(*batch.columns)
+    others = [last(c) for c in batch.columns if c != key]
+    if not others:
+        return batch.select(key_of(batch, key)).distinct()
+    return batch.groupBy(key_of(batch, key)).agg(*others).select(*batch.columns)
 
 
 def upsert(
@@ -33,6 +43,7 @@ def upsert(
     nulls, so batches may arrive in any order.
     """
     held, new = align(target, batch, strict)
+    new = new.withColumn(key, key_of(new, key))
     t, b = held.alias("t"), new.alias("b")
     on = F.col(f"t.`{key}`") == F.col(f"b.`{key}`")
     stale = F.lit(False)

@@ -2,3 +2,4 @@
 
 from .export import ColumnSpec, ExportSpec, export, export_many, with_actor
 from .ledger import Ledger, Run
+from .run import Progress, run_export

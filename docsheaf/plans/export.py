@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import auto_id, cell_text, first_present, via, xml_text
+from ..functions import (
+    auto_id, cell_text, first_present, variant_cell, variant_field, variant_list, via, xml_text,
+)
 from ..functions import field as struct_field
 from ..operators.contract import check_names
 from ..operators.columntypes import as_text, spark_type
@@ -24,6 +26,7 @@ from ..sources.tables import DocTable
 ROOT = "$"
 THIS = "`this`"
 CHILD, POS = "__child", "__pos"
+VARIANTS = T.ArrayType(T.VariantType())
 
 # Where a document names the user who made it.
 ACTOR_PATHS = {"form": (ROOT, "metadata", "userID"), "case": (ROOT, "user_id")}
@@ -98,7 +101,9 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
 
     A step into a list goes to every element; lists of lists are flattened.
     """
-    for step in steps:
+    for n, step in enumerate(steps):
+        if isinstance(dtype, T.VariantType) or dtype == VARIANTS:
+            return _walk_variant(at, dtype, steps[n:])
         if step == "[*]":
             continue
         wrapped = isinstance(dtype, T.ArrayType)
@@ -114,18 +119,52 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
     return at, dtype
 
 
+def _walk_variant(at: Column, dtype: T.DataType, steps: tuple[str, ...]):
+    """The same in documents without a schema; a lone value is a list of one."""
+    for step in steps:
+        many = dtype == VARIANTS
+        if step == "[*]":
+            at = F.flatten(F.transform(at, variant_list)) if many else variant_list(at)
+            dtype = VARIANTS
+        elif many:
+            at = F.filter(F.transform(at, _member(step)), lambda x: x.isNotNull())
+        else:
+            at = variant_field(at, step, as_type="variant")
+    return at, dtype
+
+
+def _member(step: str):
+    return lambda x: variant_field(x, step, as_type="variant")
+
+
+def _start(doc: DocTable):
+    """Where paths from the document start, and of what type that is."""
+    if doc.variant:
+        return F.col(f"`{doc.variant}`"), T.VariantType()
+    return None, doc.df.schema
+
+
+def _id_of(doc: DocTable) -> Column:
+    if doc.variant:
+        return variant_field(F.col(f"`{doc.variant}`"), doc.id_field)
+    return F.col(f"`{doc.id_field}`")
+
+
 def _items(doc: DocTable) -> Column:
     """The list a table's rows come from.
 
     An object there counts as a list of one, and as an empty list if it has no
     members.
     """
-    found = walk(None, doc.df.schema, doc.root)
+    found = walk(*_start(doc), doc.root)
     if found is None:
         raise ValueError(f"no such path: {'.'.join(doc.root)}")
     value, dtype = found
     if isinstance(dtype, T.ArrayType):
         return value
+    if isinstance(dtype, T.VariantType):
+        nothing = F.is_variant_null(value) | (F.to_json(value) == "{}")
+        return F.when(nothing, F.lit(None)).otherwise(variant_list(value))
     filled = value.isNotNull()
     if isinstance(dtype, T.StructType):
         filled = F.coalesce(*[F.when(value.getField(n).isNotNull(), True) for n in dtype.fieldNames()])
@@ -133,23 +172,25 @@ def _items(doc: DocTable) -> Column:
 
 
 def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
-    schema = doc.df.schema
+    start = _start(doc)
 
     def resolve(path: tuple[str, ...]):
         if path[:1] == (ROOT,):
-            return walk(None, schema, path[1:])
+            return walk(*start, path[1:])
         if not doc.root:
             if path == (THIS,):
-                return F.struct(*[F.col(f"`{c}`") for c in schema.names]), schema
-            return walk(None, schema, path)
+                whole = F.struct(*[F.col(f"`{c}`") for c in doc.df.columns])
+                return start if doc.variant else (whole, doc.df.schema)
+            return walk(*start, path)
         item = rows.schema[CHILD].dataType
         if path == (THIS,):
             return F.col(CHILD), item
         if path == ("id",):
             own = walk(F.col(CHILD), item, path)
-            root_id = F.col(f"`{doc.id_field}`")
-            named = auto_id(root_id, ".".join(doc.root), F.col(POS), own and own[0])
-            return F.when(F.col(POS).isNull(), root_id.cast("string")).otherwise(named), T.StringType()
+            if own and isinstance(own[1], T.VariantType):
+                own = F.try_variant_get(own[0], "$", "string"), T.StringType()
+            named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0])
+            return F.when(F.col(POS).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
         return walk(F.col(CHILD), item, path)
 
     return resolve
@@ -160,6 +201,8 @@ def _value(spec: ColumnSpec, resolve: Callable):
     found = [f for f in (resolve(p) for p in (spec.path, *spec.alternates)) if f is not None]
     if not found:
         value, dtype = F.lit(None).cast("string"), T.StringType()
+    elif any(_untyped(f[1]) for f in found) and (len(found) > 1 or spec.map_via or spec.format_via):
+        value, dtype = F.coalesce(*[_untyped_text(v, t) for v, t in found]), T.StringType()
     elif len({f[1].simpleString() for f in found}) == 1:
         dtype = found[0][1]
         value = first_present(*[f[0] for f in found], dtype=dtype)
@@ -175,6 +218,18 @@ def _value(spec: ColumnSpec, resolve: Callable):
     return value, dtype
 
 
+def _untyped(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.VariantType) or dtype == VARIANTS
+
+
+def _untyped_text(value: Column, dtype: T.DataType) -> Column:
+    if dtype == VARIANTS:
+        return cell_text(F.transform(value, lambda x: variant_cell(x)), T.ArrayType(T.StringType()))
+    if isinstance(dtype, T.VariantType):
+        return variant_cell(value)
+    return cell_text(xml_text(value, dtype), _after_xml(dtype)).cast("string")
+
+
 def _after_xml(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, (T.StructType, T.VariantType)) else dtype
 
@@ -211,6 +266,13 @@ def _cell(column: ColumnSpec, dtype: T.DataType, missing: str | None) -> Column:
     if goal == "variant":
         text = isinstance(dtype, T.StringType)
         return (F.try_parse_json(value) if text else value.cast("variant")).alias(column.name)
+    if _untyped(dtype):
+        kept = missing if goal in (None, "string") else None
+        if dtype == VARIANTS:
+            value = F.coalesce(_untyped_text(value, dtype), F.lit(kept))
+        else:
+            value = variant_cell(value, kept)
+        return (value.try_cast(goal) if goal else value).alias(column.name)
     value = xml_text(value, dtype)
     dtype = _after_xml(dtype)
     if goal and goal != "string":
@@ -222,6 +284,8 @@ def _cell(column: ColumnSpec, dtype: T.DataType, missing: str | None) -> Column:
 
 def columns_read(specs: list[ExportSpec], doc: DocTable) -> list[str]:
     """Top-level source columns that any of the specs touches."""
+    if doc.variant:
+        return doc.df.columns
     wanted = {doc.id_field, *doc.root[:1]}
     for spec in specs:
         wanted.update(spec.root[:1])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,15 +58,19 @@ def one_per_id(df: DataFrame, id_columns: list[str], order: Column | None = None
     return df.groupBy(*id_columns).agg(F.max(rank).alias("r")).select(*id_columns, "r.c.*").select(*df.columns)
 
 
-def write_pages(df: DataFrame, folder: str, page_of: list[Column]) -> None:
-    """Land documents as pages; test input for the readers above.
+def write_pages(df: DataFrame, folder: str, rows_per_page: int = 1000) -> None:
+    """Land documents as pages of a bounded size; test input for the readers above.
 
-    ``page_of`` names the page of a document; it must be a bounded slice, as
-    the documents of one page share one line.
+    Each task makes pages of its own rows as they come, so nothing is shuffled
+    and no group is gathered.
     """
-    names = [f"p{i}" for i in range(len(page_of))]
-    keyed = df.select(*[c.alias(n) for c, n in zip(page_of, names)], F.struct("*").alias("doc"))
-    pages = keyed.groupBy(*names).agg(F.collect_list("doc").alias("objects"))
-    size = F.size("objects").cast("bigint")
-    meta = F.struct(size.alias("limit"), F.lit(0).cast("bigint").alias("offset"))
-    pages.select(meta.alias("meta"), "objects").write.options(**JSON_TIMES).json(folder)
+    def to_pages(batches):
+        for batch in batches:
+            docs = batch["doc"]
+            for at in range(0, len(docs), rows_per_page):
+                page = docs.iloc[at:at + rows_per_page]
+                meta = f'{{"limit":{rows_per_page},"offset":{at}}}'
+                yield pd.DataFrame({"value": [f'{{"meta":{meta},"objects":[{",".join(page)}]}}']})
+
+    docs = df.select(F.to_json(F.struct("*"), JSON_TIMES).alias("doc"))
+    docs.mapInPandas(to_pages, "value string").write.text(folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field as dc_field
+from dataclasses import dataclass, field as dc_field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,12 +19,15 @@ class DocTable:
 
     ``root`` names the steps to the list whose elements become rows; without
     it every document is one row. ``id_field`` identifies a document.
+    ``variant`` names the column that holds the whole document as a variant,
+    for documents without a declared schema.
     """
 
     df: DataFrame
     resource: str
     root: tuple[str, ...] = dc_field(default_factory=tuple)
     id_field: str = "id"
+    variant: str | None = None
 
     def __post_init__(self) -> None:
         if self.resource not in RESOURCES:
@@ -32,7 +35,7 @@ class DocTable:
 
     def rooted(self, *steps: str) -> "DocTable":
         """The same documents read from a list inside them."""
-        return DocTable(self.df, self.resource, tuple(s for s in steps if s != "[*]"), self.id_field)
+        return replace(self, root=tuple(s for s in steps if s != "[*]"))
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -106,6 +106,15 @@ def test_an_older_version_only_fills_nulls(spark):
     assert by_id(upsert(held, late, "id", time="seq")) == {1: (9, "new", 7)}
 
 
+def test_rows_without_a_key_are_refused(spark):
+    held = spark.createDataFrame([(1, 1, "a", 1)], SCHEMA)
+    bad = spark.createDataFrame([(None, 1, "a", 1), (None, 2, "b", 1)], SCHEMA)
+    with pytest.raises(Exception, match="without a key"):
+        collapse(bad, "id", F.col("seq")).collect()
+    with pytest.raises(Exception, match="without a key"):
+        upsert(held, bad, "id").collect()
+
+
 def test_append_needs_the_same_columns(spark):
     a = spark.createDataFrame([(1,)], "x int")
     assert append([a, a]).count() == 2
@@ -191,8 +200,8 @@ def test_stream_equals_batch_in_any_order(spark, files):
     rows = [(i % 5, v, f"s{v}", v) for i in range(5) for v in range(4)]
     landing = fresh_dir(spark, "landing")
     df = frame(spark, rows)
-    write_pages(df, f"{landing}/1", [-F.col("seq")])
-    write_pages(df.where("seq < 3"), f"{landing}/2", [F.col("seq")])
+    write_pages(df.repartition(3, "seq").sortWithinPartitions(F.desc("seq")), f"{landing}/1", 4)
+    write_pages(df.where("seq < 3"), f"{landing}/2", 5)
     table = StoredTable(spark, fresh_dir(spark, "t"), "id", parts=2)
     seen = []
     stream = stream_pages(spark, f"{landing}/*", DOC, files_per_batch=files)
@@ -210,8 +219,8 @@ def test_stream_with_bounded_state(spark):
     base = dt.datetime(2024, 1, 1)
     schema = "id int, ts timestamp_ntz, v string"
     rows = spark.createDataFrame([(i, base + dt.timedelta(minutes=i), "x") for i in range(6)], schema)
-    write_pages(rows, f"{landing}/1", [F.col("id")])
-    write_pages(rows, f"{landing}/2", [F.col("id")])
+    write_pages(rows, f"{landing}/1", 2)
+    write_pages(rows, f"{landing}/2", 3)
     table = StoredTable(spark, fresh_dir(spark, "t"), "id")
     stream = stream_pages(spark, f"{landing}/*", "struct<id:int,ts:timestamp_ntz,v:string>")
     merge_stream(stream, table, "ts", fresh_dir(spark, "cp"), delay="1 hour").awaitTermination()
