@@ -131,13 +131,10 @@ def _(spark, d):
 @query("include_children", """
 SELECT o_orderkey, count(l_orderkey) AS n_lines, coalesce(sum(l_quantity), 0) AS quantity,
        min(l_linenumber) AS first_line, max(l_linenumber) AS last_line
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+FROM orders LEFT JOIN (SELECT DISTINCT * FROM lineitem) ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def _(spark, d):
-    lines = load(spark, d, "lineitem")
-    docs = inline_children(
-        load(spark, d, "orders").select("o_orderkey"), lines, "o_orderkey", "l_orderkey",
-        lines.columns, "lines",
-    )
+    orders = load(spark, d, "orders").select("o_orderkey")
+    docs = inline_children(orders, load(spark, d, "lineitem"), "o_orderkey", "l_orderkey", "lines")
     quantity = F.aggregate(F.col("lines.l_quantity"), F.lit(0.0), lambda a, x: a + x)
     per_part = docs.select(
         "o_orderkey", F.size("lines").alias("n"), quantity.alias("q"),

@@ -35,28 +35,29 @@ def inline_children(
     children: DataFrame,
     parent_key: str,
     child_key: str,
-    child_id: list[str],
     name: str,
     items_per_part: int = ITEMS_PER_PART,
 ) -> DataFrame:
     """Each parent with its related documents in the sorted list ``name``.
 
+    A related document is inlined once, however many copies of it have landed;
+    copies are reduced inside the tasks, before the shuffle.
+
     A list is built in one task, so its length must have a bound. A parent
     with more than ``items_per_part`` children comes in several rows, numbered
-    in ``part``, which together hold every child once; parents with fewer, the
+    in ``part``, which together hold every child; parents with fewer, the
     usual case, have the single part 0 and those with none an empty list.
-    ``child_id`` names columns that tell the children of a parent apart.
     """
     counts = children.groupBy(F.col(child_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
     large = counts.where(F.col("__n") > items_per_part).select(
         "__key", F.ceil(F.col("__n") / items_per_part).cast("bigint").alias("__parts")
     )
-    spread = F.pmod(F.xxhash64(*child_id), F.coalesce("__parts", F.lit(1).cast("bigint")))
-    item = F.struct(*[F.col(c) for c in children.columns]).alias("__item")
+    columns = [F.col(f"`{c}`") for c in children.columns]
+    spread = F.pmod(F.xxhash64(*columns), F.coalesce("__parts", F.lit(1).cast("bigint")))
     placed = children.join(small_side(large), F.col(child_key) == F.col("__key"), "left").select(
-        F.col(child_key).alias("__parent"), spread.alias("part"), item
+        F.col(child_key).alias("__parent"), spread.alias("part"), F.struct(*columns).alias("__item")
     )
-    parts = placed.groupBy("__parent", "part").agg(F.sort_array(F.collect_list("__item")).alias(name))
+    parts = placed.groupBy("__parent", "part").agg(F.sort_array(F.collect_set("__item")).alias(name))
     empty = F.array().cast(parts.schema[name].dataType)
     # Inner join and anti join instead of a left join, as in related_rows: the
     # parts of one large parent may then be split.

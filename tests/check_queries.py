@@ -79,13 +79,14 @@ def compare(spark, con, folder: str, name: str) -> str | None:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--dir", help="a folder of tables, instead of --sf")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     from docsheaf import build_session
     spark = build_session("check", "local[8]", **{
         "spark.sql.shuffle.partitions": 8, "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    folder = f"/root/testdata/sf{args.sf}"
+    folder = args.dir or f"/root/testdata/sf{args.sf}"
     con = connect(folder)
     bad = 0
     for name in args.names or queries():

@@ -89,7 +89,7 @@ def families(spark):
 @pytest.mark.parametrize("size", [1, 7, 1000])
 def test_children_inside_parents(spark, size):
     parents, children, rows = families(spark)
-    docs = inline_children(parents, children, "id", "parent", ["child"], "kids", items_per_part=size)
+    docs = inline_children(parents, children.union(children), "id", "parent", "kids", items_per_part=size)
     got = docs.collect()
     assert sorted((r["id"], k["child"]) for r in got for k in r["kids"]) == sorted(rows)
     assert {r["id"] for r in got} == set(range(8))
