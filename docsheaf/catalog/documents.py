@@ -15,6 +15,7 @@ from ..operators import (
 )
 from ..plans import ColumnSpec, ExportSpec, export, export_many, with_actor
 from ..session import fresh_dir
+from ..sources import inline_children
 from ..sources.tables import DocTable, load
 from .base import LINES, documents, forms, query
 
@@ -380,3 +381,31 @@ def _(spark, d):
     ), missing_value="none")
     out = export(DocTable(docs, "ucr", variant="doc"), spec)
     return out.withColumn("value", F.col("value").cast("double"))
+
+
+@query("export_urls", f"""
+WITH {LINES}
+SELECT 'https://h/a/' || source || '/reports/form_data/' || doc_id || '/' AS form,
+       'https://h/a/' || source || '/api/form/attachment/' || doc_id || '/' || substring(line, 1, 8) AS photo,
+       lang || ':' || source AS both
+FROM lines WHERE length(line) > 60""")
+def _(spark, d):
+    spec = ExportSpec("t", "form", (
+        ColumnSpec("form", ("$", "id"), format_via=("form_url",)),
+        ColumnSpec("photo", ("note",), map_via=("attachment_url",)),
+        ColumnSpec("both", ("text",), map_via=("template", "{}:{}", ("$", "form", "name"), ("$", "domain"))),
+    ), root=("form", "lines"), base_url="https://h")
+    return export(forms(spark, d), spec).where(F.col("photo").isNotNull())
+
+
+@query("inlined_export", """
+SELECT o_orderkey AS parent, l_linenumber AS line, l_quantity AS quantity
+FROM orders LEFT JOIN (SELECT DISTINCT * FROM lineitem) ON l_orderkey = o_orderkey""")
+def _(spark, d):
+    """Related documents inlined, then exported as rows of their own, childless parents included."""
+    orders = load(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    docs = inline_children(orders, load(spark, d, "lineitem"), "id", "l_orderkey", "lines")
+    spec = ExportSpec("lines", "case", (
+        ColumnSpec("parent", ("$", "id")), ColumnSpec("line", ("l_linenumber",)),
+        ColumnSpec("quantity", ("l_quantity",))), root=("lines",), value_or_root=True)
+    return export(DocTable(docs, "case", part="part"), spec)

@@ -15,8 +15,9 @@ UUID_LAYOUT = "$1-$2-$3-$4-$5"
 
 
 def to_number(value: Column) -> Column:
-    """Number in double precision, or null."""
-    return F.trim(value.cast("string")).try_cast("double")
+    """Number in double precision, or null; a type letter as in ``1d`` is no number."""
+    text = F.trim(value.cast("string"))
+    return F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
 
 
 def to_integer(value: Column) -> Column:

@@ -141,8 +141,15 @@ def variant_list(value: Column) -> Column:
     return F.when(is_list, as_list).otherwise(lone)
 
 
-def auto_id(root_id: Column, path: str, position: Column, own_id: Column | None = None) -> Column:
-    """Stable id of a child: root, path, then its own id or its place."""
+def auto_id(
+    root_id: Column, path: str, position: Column, own_id: Column | None = None, part: Column | None = None
+) -> Column:
+    """Stable id of a child: root, path, then its own id or its place.
+
+    ``part`` tells the rows of a document apart that comes in several.
+    """
     place = F.concat(F.lit("["), position.cast("string"), F.lit("]"))
+    if part is not None:
+        place = F.concat(F.when(part > 0, F.concat(F.lit("part"), part, F.lit("."))).otherwise(""), place)
     tail = place if own_id is None else F.coalesce(own_id.cast("string"), place)
     return F.concat_ws(".", root_id.cast("string"), F.lit(path), tail)

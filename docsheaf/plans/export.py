@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    auto_id, cell_text, first_present, variant_cell, variant_field, variant_list, via, xml_text,
+    attachment_url, attachment_urls, auto_id, cell_text, doc_url, first_present, variant_cell, variant_field, variant_list, via, xml_text,
 )
 from ..functions import field as struct_field
 from ..operators.contract import check_names
@@ -31,6 +31,8 @@ VARIANTS = T.ArrayType(T.VariantType())
 # Where a document names the user who made it.
 ACTOR_PATHS = {"form": (ROOT, "metadata", "userID"), "case": (ROOT, "user_id")}
 ACTOR_COLUMN = "actor_id"
+# Names of the address functions, and the kind of page of each.
+URL_STEPS = {"form_url": "form", "case_url": "case", "attachment_url": "attachment"}
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,9 @@ class ColumnSpec:
     its first step is ``$``; ``(THIS,)`` is the row itself. ``alternates`` are
     further paths tried where the ones before are empty. ``map_via`` and
     ``format_via`` are (function name, arguments…) and apply in that order,
-    then ``mapping`` replaces values by a named value mapping.
+    then ``mapping`` replaces values by a named value mapping. An argument of
+    ``template`` that is a tuple is a path of its own. The address functions
+    take no arguments: they use the document's domain and id.
     """
 
     name: str
@@ -64,6 +68,7 @@ class ExportSpec:
     filters: tuple[tuple[str, str], ...] = ()
     missing_value: str | None = None
     value_or_root: bool = False
+    base_url: str = ""
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
@@ -189,33 +194,58 @@ def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
             own = walk(F.col(CHILD), item, path)
             if own and isinstance(own[1], T.VariantType):
                 own = F.try_variant_get(own[0], "$", "string"), T.StringType()
-            named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0])
+            part = F.col(f"`{doc.part}`") if doc.part else None
+            named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0], part)
             return F.when(F.col(POS).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
         return walk(F.col(CHILD), item, path)
 
     return resolve
 
 
-def _value(spec: ColumnSpec, resolve: Callable):
+def _value(spec: ColumnSpec, resolve: Callable, base_url: str):
     """(value, type) before cell coercion; null text where no path exists."""
-    found = [f for f in (resolve(p) for p in (spec.path, *spec.alternates)) if f is not None]
+    value, dtype = _meet([f for f in (resolve(p) for p in (spec.path, *spec.alternates)) if f is not None])
+    for step in (spec.map_via, spec.format_via):
+        if step:
+            if _untyped(dtype):
+                value, dtype = _untyped_text(value, dtype), T.StringType()
+            value = _step(step, dtype, resolve, base_url)(value)
+    return value
+
+
+def _meet(found: list):
+    """First value present among paths; paths of different types meet as text."""
     if not found:
-        value, dtype = F.lit(None).cast("string"), T.StringType()
-    elif any(_untyped(f[1]) for f in found) and (len(found) > 1 or spec.map_via or spec.format_via):
-        value, dtype = F.coalesce(*[_untyped_text(v, t) for v, t in found]), T.StringType()
-    elif len({f[1].simpleString() for f in found}) == 1:
-        dtype = found[0][1]
-        value = first_present(*[f[0] for f in found], dtype=dtype)
-    else:
-        # Paths of different types meet as text, as they would in one cell.
-        texts = [cell_text(xml_text(v, t), _after_xml(t)).cast("string") for v, t in found]
-        value, dtype = F.coalesce(*texts), T.StringType()
-    if spec.map_via or spec.format_via:
-        for step in (spec.map_via, spec.format_via):
-            if step:
-                value = via(*step)(value)
-        dtype = None
-    return value, dtype
+        return F.lit(None).cast("string"), T.StringType()
+    if len(found) == 1:
+        return found[0]
+    if len({t.simpleString() for _, t in found}) == 1 and not _untyped(found[0][1]):
+        return first_present(*[v for v, _ in found], dtype=found[0][1]), found[0][1]
+    return F.coalesce(*[_untyped_text(v, t) for v, t in found]), T.StringType()
+
+
+def _step(step: tuple, dtype: T.DataType, resolve: Callable, base_url: str) -> Callable[[Column], Column]:
+    """One formatting step, with paths among its arguments looked up."""
+    name, args = step[0], step[1:]
+
+    def text(path: tuple[str, ...]) -> Column:
+        return _untyped_text(*_meet([f for f in [resolve(path)] if f is not None]))
+
+    if name in URL_STEPS:
+        domain, key = text((ROOT, "domain")), text((ROOT, "id"))
+        if name == "attachment_url":
+            build = attachment_urls if isinstance(dtype, T.ArrayType) else attachment_url
+            return lambda value: build(base_url, domain, key, value)
+        return lambda value: doc_url(URL_STEPS[name], base_url, domain, key)
+    return via(name, *[text(a) if isinstance(a, tuple) else a for a in args])
+
+
+def _step_paths(column: ColumnSpec):
+    """Paths a column's formatting steps read."""
+    for step in (column.map_via, column.format_via):
+        if step and step[0] in URL_STEPS:
+            yield from ((ROOT, "domain"), (ROOT, "id"))
+        yield from (a for a in (step or ())[1:] if isinstance(a, tuple))
 
 
 def _untyped(dtype: T.DataType) -> bool:
@@ -248,8 +278,7 @@ def export(doc: DocTable, spec: ExportSpec, mappings: DataFrame | None = None) -
         unnest = child_or_root_rows if spec.value_or_root else child_rows_at
         rows = unnest(doc.df, _items(doc), CHILD, POS)
     resolve = _resolver(doc, rows)
-    built = [_value(c, resolve) for c in spec.columns]
-    out = rows.select(*[v.alias(c.name) for c, (v, _) in zip(spec.columns, built)])
+    out = rows.select(*[_value(c, resolve, spec.base_url).alias(c.name) for c in spec.columns])
     for column in spec.columns:
         if column.mapping:
             if mappings is None:
@@ -286,13 +315,13 @@ def columns_read(specs: list[ExportSpec], doc: DocTable) -> list[str]:
     """Top-level source columns that any of the specs touches."""
     if doc.variant:
         return doc.df.columns
-    wanted = {doc.id_field, *doc.root[:1]}
+    wanted = {doc.id_field, doc.part, *doc.root[:1]}
     for spec in specs:
         wanted.update(spec.root[:1])
         wanted.update(name for name, _ in spec.filters)
         rooted = bool(spec.root or doc.root)
         for column in spec.columns:
-            for path in (column.path, *column.alternates):
+            for path in (column.path, *column.alternates, *_step_paths(column)):
                 if path == (THIS,) and not rooted:
                     return doc.df.columns
                 if path[:1] == (ROOT,):

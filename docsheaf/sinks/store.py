@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..operators.columntypes import align, kind_of
-from ..operators.merge import upsert
+from ..operators.merge import key_of, upsert
 
-LOG_SCHEMA = "version bigint, part int, folder string, schema string"
+LOG_SCHEMA = "version bigint, part int, folder string, schema string, parts int"
 PART = "part"
 MAX_PARTS = 100_000
 
@@ -49,11 +49,13 @@ class StoredTable:
         if log is None:
             return 0, None, {}
         rows = log.groupBy("part").agg(
-            F.max(F.struct("version", "folder", "schema")).alias("m")
+            F.max(F.struct("version", "folder", "schema", "parts")).alias("m")
         ).select("part", "m.*").collect()
         if not rows:
             return 0, None, {}
         last = max(rows, key=lambda r: r["version"])
+        if last["parts"] != self.parts:
+            raise ValueError(f"{self.path} has {last['parts']} parts, not {self.parts}")
         schema = T.StructType.fromJson(json.loads(last["schema"]))
         return last["version"], schema, {r["part"]: r["folder"] for r in rows}
 
@@ -66,42 +68,39 @@ class StoredTable:
         return self.spark.read.schema(schema).parquet(*sorted(folders))
 
     def exists(self) -> bool:
-        return bool(self._newest()[2])
+        return self._newest()[1] is not None
 
     def read(self) -> DataFrame:
         """All current rows, in one scan."""
         _, schema, folders = self._newest()
         if schema is None:
             raise FileNotFoundError(self.path)
-        return self._scan(schema, list(folders.values()))
+        return self._scan(schema, [f for f in folders.values() if f])
 
-    def _commit(self, rows: DataFrame, version: int, touched: list[int]) -> None:
-        """Write rows, then record where the touched parts now are."""
+    def _write(self, rows: DataFrame, version: int) -> str:
+        """Write rows to a folder of their own, one subfolder per part."""
         folder = f"{self.path}/data/{version:012d}-{uuid.uuid4().hex}"
-        placed = rows.withColumn(PART, self._part_of())
         # Adaptive execution sizes the files: big parts are split over tasks,
         # small ones share a task.
-        placed.hint("rebalance", PART).write.partitionBy(PART).parquet(folder)
-        schema = rows.schema.json()
-        done = self.spark.read.schema(placed.schema).parquet(folder)
-        written = {r[0] for r in done.select(PART).distinct().collect()}
-        # A part of which nothing is left points to an empty folder.
-        entries = [
-            (version, p, f"{folder}/{PART}={p}" if p in written else self._nothing(folder, rows), schema)
-            for p in touched
-        ]
+        placed = rows.withColumn(PART, self._part_of()).hint("rebalance", PART)
+        placed.write.partitionBy(PART).parquet(folder)
+        return folder
+
+    def _commit(self, version: int, schema: T.StructType, folder: str, filled, emptied=()) -> None:
+        """Record where the parts now are; an emptied part has no folder."""
+        where = [(p, f"{folder}/{PART}={p}") for p in filled] + [(p, "") for p in emptied]
+        entries = [(version, p, at, schema.json(), self.parts) for p, at in where]
         log = self.spark.createDataFrame(entries, LOG_SCHEMA)
         log.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
-    def _nothing(self, folder: str, rows: DataFrame) -> str:
-        empty = f"{folder}-empty"
-        self.spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(empty)
-        return empty
-
     def replace(self, rows: DataFrame) -> None:
         """Make ``rows`` the whole content."""
-        version, _, _ = self._newest()
-        self._commit(rows, version + 1, list(range(self.parts)))
+        version, _, folders = self._newest()
+        folder = self._write(rows, version + 1)
+        stored = T.StructType(rows.schema.fields + [T.StructField(PART, T.IntegerType())])
+        filled = _numbers(self.spark.read.schema(stored).parquet(folder).select(PART))
+        emptied = sorted(set(folders or range(self.parts)) - set(filled))
+        self._commit(version + 1, rows.schema, folder, filled, emptied)
 
     def merge(self, batch: DataFrame, strict: bool = False, time: str | None = None) -> None:
         """Merge a batch that holds one row per key; ``time`` is as for ``upsert``.
@@ -110,24 +109,25 @@ class StoredTable:
         column changes its type: that concerns every row of the table.
         """
         version, schema, folders = self._newest()
-        if schema is None:
-            self._commit(batch, 1, list(range(self.parts)))
-            return
         # The batch is read twice: for the parts it touches and for the merge.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.withColumn(self.key, key_of(batch, self.key)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._merge(batch, version, schema, folders, strict, time)
+            touched = _numbers(batch.select(self._part_of().alias(PART)))
+            rows = batch
+            if schema is not None:
+                held, _ = align(self._scan(schema, []), self._scan(batch.schema, []), strict)
+                if any(kind_of(held.schema[f.name].dataType) != kind_of(f.dataType) for f in schema.fields):
+                    touched = sorted({*touched, *[p for p, f in folders.items() if f]})
+                target = self._scan(schema, [folders[p] for p in touched if folders.get(p)])
+                rows = upsert(target, batch, self.key, strict, time)
+            if touched or schema is None:
+                folder = self._write(rows, version + 1)
+                # Every touched part has a row: merging never deletes.
+                emptied = [] if touched else [0]
+                self._commit(version + 1, rows.schema, folder, touched, emptied)
         finally:
             batch.unpersist()
 
-    def _merge(self, batch: DataFrame, version: int, schema: T.StructType, folders: dict,
-               strict: bool, time: str | None) -> None:
-        parts = batch.select(self._part_of().alias(PART)).distinct().collect()
-        touched = sorted(r[0] for r in parts)
-        if not touched:
-            return
-        held, _ = align(self._scan(schema, []), self._scan(batch.schema, []), strict)
-        if any(kind_of(held.schema[f.name].dataType) != kind_of(f.dataType) for f in schema.fields):
-            touched = list(range(self.parts))
-        target = self._scan(schema, [folders[p] for p in touched if p in folders])
-        self._commit(upsert(target, batch, self.key, strict, time), version + 1, touched)
+
+def _numbers(parts: DataFrame) -> list[int]:
+    return sorted(r[0] for r in parts.distinct().collect())

@@ -20,7 +20,9 @@ class DocTable:
     ``root`` names the steps to the list whose elements become rows; without
     it every document is one row. ``id_field`` identifies a document.
     ``variant`` names the column that holds the whole document as a variant,
-    for documents without a declared schema.
+    for documents without a declared schema. ``part`` names the column that
+    numbers the rows of one document, if it can come in several, as from
+    ``inline_children``.
     """
 
     df: DataFrame
@@ -28,6 +30,7 @@ class DocTable:
     root: tuple[str, ...] = dc_field(default_factory=tuple)
     id_field: str = "id"
     variant: str | None = None
+    part: str | None = None
 
     def __post_init__(self) -> None:
         if self.resource not in RESOURCES:

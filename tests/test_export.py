@@ -55,6 +55,30 @@ def test_value_pipeline_order(spark):
         export(table(df), spec)
 
 
+def test_addresses_and_templates_with_paths(spark):
+    df = docs(spark, "id int, domain string, repeat array<struct<photo:string>>, q string",
+              {"id": 123, "domain": "d1", "repeat": [{"photo": "a.jpg"}, {"photo": "b.jpg"}], "q": "Ann"})
+    spec = ExportSpec("t", "form", (
+        ColumnSpec("form", ("id",), format_via=("form_url",)), ColumnSpec("case", ("id",), map_via=("case_url",)),
+        ColumnSpec("photos", ("repeat", "[*]", "photo"), map_via=("attachment_url",)),
+        ColumnSpec("name", ("q",), map_via=("template", "my name is {}")),
+        ColumnSpec("both", ("q",), map_via=("template", "{}/{}", ("$", "domain"), ("q",)))), base_url="https://h")
+    doc = table(df)
+    assert tuple(export(doc, spec).first()) == (
+        "https://h/a/d1/reports/form_data/123/", "https://h/a/d1/reports/case_data/123/",
+        "https://h/a/d1/api/form/attachment/123/a.jpg,https://h/a/d1/api/form/attachment/123/b.jpg",
+        "my name is Ann", "d1/Ann")
+    per_photo = ExportSpec("t", "form", (ColumnSpec("url", ("photo",), map_via=("attachment_url",)),),
+                           root=("repeat", "[*]"), base_url="h")
+    assert [r[0] for r in export(doc, per_photo).collect()] == [
+        "h/a/d1/api/form/attachment/123/a.jpg", "h/a/d1/api/form/attachment/123/b.jpg"]
+    got = {}
+    export_many(doc, [replace(spec, table="a", columns=spec.columns[:1] + (ColumnSpec("id", ("id",)),)),
+                      replace(per_photo, table="b", columns=per_photo.columns + (ColumnSpec("id", ("id",)),))],
+                lambda name, out: got.update({name: out.count()}))
+    assert got == {"a": 1, "b": 2}
+
+
 def test_declared_types(spark):
     df = docs(spark, "id int, d string, n string, j string, u int", {"id": 1, "d": "2020-01-02", "n": "x", "j": '{"a":1}', "u": 5})
     spec = ExportSpec("t", "form", (

@@ -48,6 +48,8 @@ def cases():
         (fn.to_number(lit(" 10.56 ")), 10.56),
         (fn.to_number(lit("")), None),
         (fn.to_number(lit("abc")), None),
+        (fn.to_number(lit("1d")), None),
+        (fn.to_number(lit("-inf")), float("-inf")),
         (fn.to_integer(lit("10")), 10),
         (fn.to_integer(lit("10.9")), None),
         (fn.to_datetime(lit("2015-01-01")), dt.datetime(2015, 1, 1)),

@@ -163,6 +163,12 @@ def test_stored_table(spark):
     assert len(rows) == 21 and rows["7"] == ("7", None) and rows["99"] == ("text", None)
     table.replace(spark.createDataFrame([("only", "1")], "id string, n string"))
     assert by_id(table.read()) == {"only": ("1",)}
+    table.replace(table.read().where("false"))
+    assert table.exists() and table.read().count() == 0
+    table.merge(spark.createDataFrame([("x", "1")], "id string, n string"))
+    assert by_id(table.read()) == {"x": ("1",)}
+    with pytest.raises(ValueError, match="parts"):
+        StoredTable(spark, table.path, "id", parts=5).read()
 
 
 def test_a_merge_that_dies_leaves_the_table_alone(spark):

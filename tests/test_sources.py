@@ -65,6 +65,20 @@ def test_fallback_date(spark):
     assert since_until_fallback(df, [F.col("modified")]).count() == 4
 
 
+def test_ranges_reach_the_files(spark):
+    folder = fresh_dir(spark, "dates")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 5), None)], "id int, m timestamp_ntz, r timestamp_ntz").write.parquet(folder)
+    df = spark.read.parquet(folder)
+    def pushed(kept):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PushedFilters: [")[1].split("], ReadSchema")[0]
+    day = dt.datetime(2024, 1, 1)
+    assert "GreaterThanOrEqual(m," in pushed(since_until(df, "m", day))
+    either = pushed(since_until_fallback(df, [F.col("m"), F.col("r")], day, None))
+    assert "Or(" in either and "GreaterThanOrEqual(r," in either
+    assert "In(id, [1,2])" in pushed(match_filters(df, [("id", 1), ("id", 2)]))
+
+
 def test_cursor_walks_through_everything(spark):
     df = spark.createDataFrame([(i,) for i in random.sample(range(100), 25)], "k int")
     seen, cursor = [], None
@@ -108,3 +122,14 @@ def test_children_next_to_parents(spark):
     assert sorted((r["id"], r["kid"]["child"]) for r in got if r["kid"]) == sorted(rows)
     assert [r["id"] for r in got if not r["kid"]] == [7]
     assert related_rows(parents, children, "id", "parent", "kid", keep_childless=False).count() == len(rows)
+
+
+def test_ids_of_children_in_several_parts_stay_apart(spark):
+    from docsheaf.plans import ColumnSpec, ExportSpec, export
+    from docsheaf.sources import DocTable
+    parents, children, rows = families(spark)
+    docs = inline_children(parents, children, "id", "parent", "kids", items_per_part=7)
+    spec = ExportSpec("t", "case", (ColumnSpec("id", ("id",)), ColumnSpec("child", ("child",))), root=("kids",))
+    got = export(DocTable(docs, "case", part="part"), spec).collect()
+    assert len({r["id"] for r in got}) == len(got) == len(rows)
+    assert "1.kids.[0]" in {r["id"] for r in got}
