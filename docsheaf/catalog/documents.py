@@ -15,7 +15,7 @@ from ..operators import (
 )
 from ..plans import ColumnSpec, ExportSpec, export, export_many, with_actor
 from ..session import fresh_dir
-from ..sources import inline_children
+from ..sources import inline_children, typed_documents
 from ..sources.tables import DocTable, load
 from .base import LINES, documents, forms, query
 
@@ -137,6 +137,16 @@ def _(spark, d):
     return sizes.select("id", F.size("sizes").alias("n"), total.alias("total"))
 
 
+@query("descendants_untyped", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) || ',' || user_id AS ks FROM events""")
+def _(spark, d):
+    """Documents without a schema: their type is found first, then walked."""
+    texts = F.format_string('{"id":%d,"k":%d,"form":{"parts":[{"props":%s}]}}', "event_id", "user_id", "props")
+    typed = typed_documents(load(spark, d, "events").select(F.parse_json(texts).alias("doc")))
+    return typed.select(
+        F.col("id").cast("bigint").alias("event_id"), F.array_join(descendants(typed.schema, "k"), ",").alias("ks"))
+
+
 @query("child_rows", f"""
 WITH {LINES}
 SELECT doc_id AS parent_id, source AS domain, line AS text, CAST(length(line) AS INTEGER) AS size FROM lines""")

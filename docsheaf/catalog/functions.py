@@ -7,7 +7,7 @@ from ..functions import (
     FUNCTIONS, add, attachment_url, attachment_urls, bool_to_int, call, count_selected, default_value,
     divide, doc_url, first_present, floor_divide, format_uuid, join_text, multiply, register,
     register_row_function, selected, selected_at, sha1_text, substr_range, subtract, template,
-    to_bool, to_datetime, to_integer, to_json_text, to_number, via, words,
+    to_bool, to_datetime, to_integer, to_json_text, to_number, via,
 )
 from ..sources.tables import load
 from .base import query

@@ -34,14 +34,23 @@ def check_names(table: str, columns: list[str], target: str | None = None, requi
             )
 
 
-def contract_report(df: DataFrame, key: str = "id") -> DataFrame:
-    """One row: rows, null keys, keys used more than once, longest column name."""
-    per_key = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
+def contract_report(df: DataFrame, key: str = "id", table: str = "", target: str = "postgres") -> DataFrame:
+    """One row with what a sink may object to.
+
+    Rows, null keys, keys used more than once, names that are too long for the
+    target, and whether the table's name is reserved. Keys are counted inside
+    tasks first.
+    """
+    per_key = df.groupBy(F.col(f"`{key}`").alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    zero = F.lit(0).cast("bigint")
+    long = [c for c in df.columns if len(c) > NAME_LIMITS[target]]
     return per_key.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("c"))), F.lit(0)).alias("null_keys"),
+        F.coalesce(F.sum("c"), zero).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("c"))), zero).alias("null_keys"),
         F.count_if(F.col("k").isNotNull() & (F.col("c") > 1)).alias("repeated_keys"),
-    ).withColumn("longest_name", F.lit(max(len(c) for c in df.columns)))
+    ).withColumns({
+        "long_names": F.lit(len(long)).cast("bigint"), "reserved": F.lit(table in RESERVED_TABLES),
+    })
 
 
 def width_profile(df: DataFrame) -> DataFrame:

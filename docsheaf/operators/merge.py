@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .columntypes import align
 
@@ -15,6 +16,23 @@ def key_of(df: DataFrame, key: str) -> Column:
     return F.coalesce(value, failure).alias(key)
 
 
+def orderable(dtype: T.DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(dtype, T.ArrayType):
+        return orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(orderable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def last_value(value: Column, dtype: T.DataType, order: Column) -> Column:
+    """Aggregate: the non-null value of the greatest order, ties by value."""
+    if orderable(dtype):
+        pair = F.struct(order.alias("o"), value.alias("v"))
+        return F.max(F.when(value.isNotNull(), pair)).getField("v")
+    return F.max_by(value, F.when(value.isNotNull(), F.struct(order, F.to_json(value))))
+
+
 def collapse(batch: DataFrame, key: str, order: Column) -> DataFrame:
     """One row per key: in each column the last value that is not null.
 
@@ -22,9 +40,7 @@ def collapse(batch: DataFrame, key: str, order: Column) -> DataFrame:
     whichever way the rows are split. Tasks reduce their own rows first.
     """
     def last(name: str) -> Column:
-        value = F.col(f"`{name}`")
-        pair = F.struct(order.alias("o"), value.alias("v"))
-        return F.max(F.when(value.isNotNull(), pair)).getField("v").alias(name)
+        return last_value(F.col(f"`{name}`"), batch.schema[name].dataType, order).alias(name)
 
     others = [last(c) for c in batch.columns if c != key]
     if not others:

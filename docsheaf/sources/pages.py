@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.merge import last_value
+
 # Times without a zone, with or without microseconds. Read times that carry a
 # zone as text and turn them with to_datetime.
 JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
@@ -34,6 +36,23 @@ def read_pages_untyped(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select(F.explode("objects").alias("doc"))
 
 
+def variant_schema(df: DataFrame, column: str = "doc") -> str:
+    """The type all documents of a variant column share, seen from every row.
+
+    A member whose values are of different kinds stays a variant, one that is
+    always null is text. Members become fields, so this is for documents whose
+    names are a vocabulary, not data.
+    """
+    found = df.agg(F.schema_of_variant_agg(column)).first()[0]
+    return found.replace("OBJECT<", "STRUCT<").replace(": VOID", ": STRING")
+
+
+def typed_documents(df: DataFrame, column: str = "doc", schema: str | None = None) -> DataFrame:
+    """Schema-free documents with their members as columns."""
+    schema = schema or variant_schema(df, column)
+    return df.select(F.try_variant_get(column, "$", schema).alias("d")).select("d.*")
+
+
 def stream_pages(
     spark: SparkSession, folder: str, document: T.StructType | str, files_per_batch: int = 1000
 ) -> DataFrame:
@@ -53,9 +72,10 @@ def one_per_id(df: DataFrame, id_columns: list[str], order: Column | None = None
     others = [c for c in df.columns if c not in id_columns]
     if not others:
         return df.distinct()
-    content = F.struct(*others)
-    rank = F.struct(order.alias("o"), content.alias("c")) if order is not None else F.struct(content.alias("c"))
-    return df.groupBy(*id_columns).agg(F.max(rank).alias("r")).select(*id_columns, "r.c.*").select(*df.columns)
+    content = F.struct(*[F.col(f"`{c}`") for c in others])
+    dtype = T.StructType([df.schema[c] for c in others])
+    kept = last_value(content, dtype, F.lit(0) if order is None else order)
+    return df.groupBy(*id_columns).agg(kept.alias("r")).select(*id_columns, "r.*").select(*df.columns)
 
 
 def write_pages(df: DataFrame, folder: str, rows_per_page: int = 1000) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -24,14 +25,21 @@ def match_filters(df: DataFrame, filters: Iterable[tuple[str, object]]) -> DataF
     return df
 
 
+def bound(value) -> Column:
+    """A literal to compare with; a time without zone stays one."""
+    if isinstance(value, datetime.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def in_range(
     df: DataFrame, at: Column, since=None, until=None, until_inclusive: bool = True
 ) -> DataFrame:
     """Rows from ``since`` (inclusive) to ``until``; an open side is None."""
     if since is not None:
-        df = df.where(at >= F.lit(since))
+        df = df.where(at >= bound(since))
     if until is not None:
-        df = df.where(at <= F.lit(until) if until_inclusive else at < F.lit(until))
+        df = df.where(at <= bound(until) if until_inclusive else at < bound(until))
     return df
 
 
@@ -53,9 +61,9 @@ def since_until_fallback(df: DataFrame, fields: list[Column], since=None, until=
     for at in fields:
         here = F.lit(True)
         if since is not None:
-            here = here & (at >= F.lit(since))
+            here = here & (at >= bound(since))
         if until is not None:
-            here = here & (at <= F.lit(until))
+            here = here & (at <= bound(until))
         test = test | (absent & here)
         absent = absent & at.isNull()
     return df.where(test)
@@ -69,7 +77,7 @@ def progress_date(fields: list[Column]) -> Column:
 def keyset_page(df: DataFrame, key: str, after=None, rows: int = CURSOR_PAGE_ROWS) -> DataFrame:
     """The next page by key. The limit is the page size the caller asks for."""
     if after is not None:
-        df = df.where(F.col(key) > F.lit(after))
+        df = df.where(F.col(key) > bound(after))
     return df.orderBy(key).limit(rows)
 
 

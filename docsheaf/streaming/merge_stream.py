@@ -38,11 +38,14 @@ def merge_stream(
     merge of a batch is committed, which is the time to record progress.
     """
     def one_batch(batch: DataFrame, number: int) -> None:
-        rows = collapse(batch, table.key, F.col(time)).persist()
+        rows = collapse(batch, table.key, F.col(time))
+        if after is None:
+            table.merge(rows, strict, time)
+            return
+        rows.persist()
         try:
             table.merge(rows, strict, time)
-            if after is not None:
-                after(rows, number)
+            after(rows, number)
         finally:
             rows.unpersist()
 

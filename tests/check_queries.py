@@ -80,11 +80,13 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
     parser.add_argument("--dir", help="a folder of tables, instead of --sf")
+    parser.add_argument("--zone", default="UTC", help="session time zone")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     from docsheaf import build_session
     spark = build_session("check", "local[8]", **{
-        "spark.sql.shuffle.partitions": 8, "spark.driver.memory": "8g"})
+        "spark.sql.shuffle.partitions": 8, "spark.driver.memory": "8g",
+        "spark.sql.session.timeZone": args.zone})
     spark.sparkContext.setLogLevel("ERROR")
     folder = args.dir or f"/root/testdata/sf{args.sf}"
     con = connect(folder)

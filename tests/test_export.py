@@ -44,7 +44,7 @@ def test_the_whole_row(spark):
     assert export(table(df), whole).first()[0] == '{"id":1,"xs":["a","b"]}'
 
 
-def test_value_pipeline_order(spark):
+def test_order_of_the_steps(spark):
     """Alternates, then map via, then format via, then the mapping."""
     df = docs(spark, "id int, a string, b string", {"id": 1, "b": "x y z"}, {"id": 2, "a": "p q"}, {"id": 3, "a": ""})
     mapping = inline_rows(spark, [("names", "<y>", "mapped"), ("names", "<q>", "")], "name string, source string, destination string")
@@ -161,5 +161,11 @@ def test_names():
 
 def test_contract_and_widths(spark):
     df = spark.createDataFrame([("a", "xx"), ("a", "日本語"), (None, None), ("b", "")], "id string, text string")
-    assert contract_report(df).first().asDict() == {"n_rows": 4, "null_keys": 1, "repeated_keys": 1, "longest_name": 4}
+    seen = {"n_rows": 4, "null_keys": 1, "repeated_keys": 1, "long_names": 0, "reserved": False}
+    assert contract_report(df).first().asDict() == seen
+    wide = df.withColumnRenamed("text", "x" * 64)
+    assert contract_report(wide, table="org_users").first()["long_names"] == 1
+    assert contract_report(wide, target="mysql", table="org_users").first()["long_names"] == 0
+    assert contract_report(df.where("false"), table="org_users").first().asDict() == {
+        "n_rows": 0, "null_keys": 0, "repeated_keys": 0, "long_names": 0, "reserved": True}
     assert width_profile(df).first().asDict() == {"id": 1, "text": 3}

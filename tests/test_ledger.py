@@ -1,8 +1,6 @@
 """The progress ledger."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from docsheaf.plans import Ledger, Run
 from docsheaf.plans import ledger as L
 from docsheaf.session import fresh_dir

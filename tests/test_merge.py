@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsheaf.operators import (
-    align, append, choose_types, collapse, declared_columns, fits, infer_columns, rejects, upsert,
+    append, choose_types, collapse, declared_columns, fits, infer_columns, rejects, upsert,
     without_empty_columns,
 )
 from docsheaf.session import fresh_dir

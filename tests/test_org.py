@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docsheaf import session
 from docsheaf.operators import (
-    ancestor_columns, ancestors, last_per_source, level_depths, locations_table, look_up, map_values,
+    ancestor_columns, ancestors, last_per_source, level_depths, locations_table, map_values,
     ordered_codes, roll_up, unknown_references, users_table,
 )
 from test_paths import docs

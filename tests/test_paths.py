@@ -117,3 +117,15 @@ def test_row_counts_of_unnesting(spark, sf):
     outer = child_or_root_rows(df, F.col("remarks"))
     assert outer.count() == sizes["n"] + sizes["z"]
     assert outer.where(is_root_row()).count() == sizes["z"]
+
+
+def test_typed_documents(spark):
+    from docsheaf.sources import typed_documents, variant_schema
+    rows = ['{"@id":"x","n":1,"xs":[{"y":1}],"mixed":1,"none":null}', '{"@id":"y","xs":[{"z":"t"}],"mixed":"a","o":{"#text":"q"}}']
+    df = spark.createDataFrame([(r,) for r in rows], "j string").select(F.parse_json("j").alias("doc"))
+    typed = typed_documents(df)
+    assert dict(typed.dtypes)["xs"] == "array<struct<y:bigint,z:string>>"
+    assert dict(typed.dtypes)["mixed"] == "variant" and dict(typed.dtypes)["none"] == "string"
+    got = typed.select("`@id`", "n", "o.`#text`", fn.descendants(typed.schema, "z").alias("z")).collect()
+    assert [tuple(r) for r in got] == [("x", 1, None, []), ("y", None, "q", ["t"])]
+    assert typed_documents(df, schema=variant_schema(df)).schema == typed.schema

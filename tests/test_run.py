@@ -115,3 +115,15 @@ def test_jdbc_needs_a_driver(spark):
     """No database is started here; only the hand-over to Spark's writer is checked."""
     with pytest.raises(Exception, match="(?i)driver"):
         write_jdbc(spark.range(1), "jdbc:none:x", "t")
+
+
+def test_json_columns_are_merged(spark):
+    folder = fresh_dir(spark, "run")
+    spec = ExportSpec("docs", "form", (ColumnSpec("id", ("id",)), ColumnSpec("body", ("body",), data_type="json")))
+    run = Run("q", spec.fingerprint(), ("docs",), "form")
+    def go(*rows):
+        run_export(source(spark, rows, "id string, indexed_on string, body string"), [spec], folder, run, ["indexed_on"])
+    go(("a", day(1), '{"k":1}'), ("a", day(2), '{"k":2}'), ("b", day(2), None))
+    go(("b", day(3), '{"k":3}'), ("a", day(3), None))
+    rows = StoredTable(spark, f"{folder}/docs").read().select("id", F.try_variant_get("body", "$.k", "int").alias("k"))
+    assert sorted(tuple(r) for r in rows.collect()) == [("a", 2), ("b", 3)]
