@@ -298,13 +298,12 @@ WITH {LINES}, notes AS (
   SELECT doc_id, string_agg(CASE WHEN length(line) > 60 THEN substring(line, 1, 8) END, ',' ORDER BY pos) AS notes
   FROM lines GROUP BY doc_id)
 SELECT CAST(d.doc_id AS VARCHAR) AS id, lang AS language, CAST(d.doc_id AS VARCHAR) AS "case",
-       notes, '---' AS nothing, '[' || source || ']' AS case_cell, 'u' || n_chars AS actor_id
+       coalesce(notes, '---') AS notes, '---' AS nothing, '[' || source || ']' AS case_cell, 'u' || n_chars AS actor_id
 FROM documents d JOIN notes n ON n.doc_id = d.doc_id
-WHERE d.source IN ('src0', 'src1') AND notes IS NOT NULL""")
+WHERE d.source IN ('src0', 'src1')""")
 def _(spark, d):
     spec = replace(with_actor(FORMS), filters=(("domain", "src0"), ("domain", "src1")))
-    out = export(forms(spark, d), spec)
-    return out.where(F.regexp_replace("notes", ",", "") != "")
+    return export(forms(spark, d), spec)
 
 
 @query("export_value_or_root", f"""

@@ -18,10 +18,13 @@ DECLARED = {
     "json": "variant",
 }
 
+INTEGERS = ("byte", "short", "integer", "long")
+
 # Kinds of column a value of a kind fits into without widening.
+# Fractions are an addition; whole numbers fit a column of them.
 FITS = {
     "text": ("text",),
-    "integer": ("integer", "text"),
+    "integer": ("integer", "text", "double"),
     "boolean": ("boolean", "text", "integer"),
     "datetime": ("datetime", "text", "date"),
     "date": ("date", "text"),
@@ -62,7 +65,17 @@ def fits(value: T.DataType, column: T.DataType) -> bool:
 
 
 def common_type(value: T.DataType, column: T.DataType) -> T.DataType:
-    """The column's type if the value fits, else text."""
+    """The column's type if the value fits, else text.
+
+    Of two integer types the wider holds both; different fractions meet as
+    double.
+    """
+    if value == column:
+        return column
+    if isinstance(value, T.IntegralType) and isinstance(column, T.IntegralType):
+        return max(value, column, key=lambda t: INTEGERS.index(t.typeName()))
+    if kind_of(value) == kind_of(column) == "double":
+        return T.DoubleType()
     return column if fits(value, column) else T.StringType()
 
 

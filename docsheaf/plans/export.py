@@ -104,7 +104,8 @@ def with_actor(spec: ExportSpec) -> ExportSpec:
 def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
     """(value, type) at the steps, or None if the type has no such path.
 
-    A step into a list goes to every element; lists of lists are flattened.
+    A step into a list goes to every element; elements without the field are
+    left out and lists of lists are flattened.
     """
     for n, step in enumerate(steps):
         if isinstance(dtype, T.VariantType) or dtype == VARIANTS:
@@ -117,6 +118,9 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
             return None
         found = inner[step].dataType
         at = struct_field(step) if at is None else at.getField(step)
+        if wrapped:
+            # One null among lists would make the whole flattened list null.
+            at = F.array_compact(at)
         if wrapped and isinstance(found, T.ArrayType):
             at, dtype = F.flatten(at), found
         else:

@@ -1,7 +1,8 @@
 """A keyed Parquet table that is merged into and never overwritten in place.
 
-Layout: ``data/<commit>/part=<n>/`` holds rows, ``commits/`` is an append-only
-log with one row per rewritten part. A commit adds one file to the log, after
+Layout: ``data/<commit>/table_part=<n>/`` holds rows, ``commits/`` is an append-only
+log with one row per rewritten part and one for the commit, which holds the
+schema. A commit adds one file to the log, after
 its data is complete; a reader takes the newest folder of each part. So a job
 that dies half-way leaves the table as it was, and a merge of few ids rewrites
 only the parts those ids fall in. There must be one writer at a time. With a
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from ..operators.columntypes import align, kind_of
+from ..operators.columntypes import align
 from ..operators.merge import key_of, upsert
 
 LOG_SCHEMA = "version bigint, part int, folder string, schema string, parts int"
-PART = "part"
+PART = "table_part"
+COMMIT = -1  # stands for a part in the row of the commit itself
 MAX_PARTS = 100_000
 
 
@@ -51,13 +53,13 @@ class StoredTable:
         rows = log.groupBy("part").agg(
             F.max(F.struct("version", "folder", "schema", "parts")).alias("m")
         ).select("part", "m.*").collect()
-        if not rows:
+        commit = next((r for r in rows if r["part"] == COMMIT), None)
+        if commit is None:
             return 0, None, {}
-        last = max(rows, key=lambda r: r["version"])
-        if last["parts"] != self.parts:
-            raise ValueError(f"{self.path} has {last['parts']} parts, not {self.parts}")
-        schema = T.StructType.fromJson(json.loads(last["schema"]))
-        return last["version"], schema, {r["part"]: r["folder"] for r in rows}
+        if commit["parts"] != self.parts:
+            raise ValueError(f"{self.path} has {commit['parts']} parts, not {self.parts}")
+        schema = T.StructType.fromJson(json.loads(commit["schema"]))
+        return commit["version"], schema, {r["part"]: r["folder"] for r in rows if r["part"] != COMMIT}
 
     def _part_of(self) -> Column:
         return F.pmod(F.xxhash64(F.col(f"`{self.key}`").cast("string")), F.lit(self.parts)).cast("int")
@@ -89,7 +91,8 @@ class StoredTable:
     def _commit(self, version: int, schema: T.StructType, folder: str, filled, emptied=()) -> None:
         """Record where the parts now are; an emptied part has no folder."""
         where = [(p, f"{folder}/{PART}={p}") for p in filled] + [(p, "") for p in emptied]
-        entries = [(version, p, at, schema.json(), self.parts) for p, at in where]
+        entries = [(version, COMMIT, folder, schema.json(), self.parts)]
+        entries += [(version, p, at, None, None) for p, at in where]
         log = self.spark.createDataFrame(entries, LOG_SCHEMA)
         log.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
@@ -99,7 +102,7 @@ class StoredTable:
         folder = self._write(rows, version + 1)
         stored = T.StructType(rows.schema.fields + [T.StructField(PART, T.IntegerType())])
         filled = _numbers(self.spark.read.schema(stored).parquet(folder).select(PART))
-        emptied = sorted(set(folders or range(self.parts)) - set(filled))
+        emptied = sorted(set(folders) - set(filled))
         self._commit(version + 1, rows.schema, folder, filled, emptied)
 
     def merge(self, batch: DataFrame, strict: bool = False, time: str | None = None) -> None:
@@ -116,18 +119,22 @@ class StoredTable:
             rows = batch
             if schema is not None:
                 held, _ = align(self._scan(schema, []), self._scan(batch.schema, []), strict)
-                if any(kind_of(held.schema[f.name].dataType) != kind_of(f.dataType) for f in schema.fields):
+                if any(_rewritten(f.dataType, held.schema[f.name].dataType) for f in schema.fields):
                     touched = sorted({*touched, *[p for p, f in folders.items() if f]})
                 target = self._scan(schema, [folders[p] for p in touched if folders.get(p)])
                 rows = upsert(target, batch, self.key, strict, time)
             if touched or schema is None:
                 folder = self._write(rows, version + 1)
                 # Every touched part has a row: merging never deletes.
-                emptied = [] if touched else [0]
-                self._commit(version + 1, rows.schema, folder, touched, emptied)
+                self._commit(version + 1, rows.schema, folder, touched)
         finally:
             batch.unpersist()
 
 
+def _rewritten(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files of the old type must be rewritten; a wider integer reads them."""
+    return old != new and not (isinstance(old, T.IntegralType) and isinstance(new, T.IntegralType))
+
+
 def _numbers(parts: DataFrame) -> list[int]:
     return sorted(r[0] for r in parts.distinct().collect())

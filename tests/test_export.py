@@ -34,6 +34,14 @@ def test_nested_lists_are_flattened_along_a_path(spark):
     df = docs(spark, "xs array<struct<ys:array<struct<z:int>>>>", {"xs": [{"ys": [{"z": 1}, {"z": 2}]}, {"ys": [{"z": 3}]}]})
     spec = ExportSpec("t", "form", (ColumnSpec("zs", ("xs", "ys", "z")),))
     assert export(table(df), spec).first()[0] == "1,2,3"
+    gaps = docs(spark, "xs array<struct<ys:array<struct<z:int>>>>",
+                {"xs": [{"ys": [{"z": 1}, {}, None]}, {}, None, {"ys": [{"z": 3}]}]}, {"xs": [{}, {"ys": [{}]}]}, {})
+    filled = replace(spec, missing_value="-")
+    assert [r[0] for r in export(table(gaps), filled).collect()] == ["1,3", "-", "-"]
+    rows = ExportSpec("t", "form", (ColumnSpec("z", ("z",)),), root=("xs", "[*]", "ys"))
+    assert [r[0] for r in export(table(gaps), rows).collect() if r[0]] == [1, 3]
+    fallback = ExportSpec("t", "form", (ColumnSpec("z", ("xs", "ys", "z"), alternates=(("xs", "ys", "z"),)),), missing_value="-")
+    assert [r[0] for r in export(table(gaps), fallback).collect()] == ["1,3", "-", "-"]
 
 
 def test_the_whole_row(spark):

@@ -28,6 +28,7 @@ def test_lattice():
     text, whole, flag = T.StringType(), T.LongType(), T.BooleanType()
     time, day, doc = T.TimestampNTZType(), T.DateType(), T.VariantType()
     assert fits(whole, text) and fits(flag, whole) and fits(time, day) and fits(day, text) and fits(doc, doc)
+    assert fits(whole, T.DoubleType()) and not fits(T.DoubleType(), whole)
     assert not fits(text, whole) and not fits(whole, flag) and not fits(day, time) and not fits(doc, text)
 
 
@@ -157,7 +158,7 @@ def test_stored_table(spark):
     rows = by_id(table.read())
     assert len(rows) == 20 and rows["3"] == (3, "x") and rows["4"] == (4, None)
     folders = table._newest()[2]
-    assert len({f.rsplit("/part=", 1)[0] for f in folders.values()}) == 2, "only the touched part is rewritten"
+    assert len({f.rsplit("/table_part=", 1)[0] for f in folders.values()}) == 2, "only the touched part is rewritten"
     table.merge(spark.createDataFrame([("99", "text")], "id string, n string"))
     rows = by_id(table.read())
     assert len(rows) == 21 and rows["7"] == ("7", None) and rows["99"] == ("text", None)
@@ -171,6 +172,15 @@ def test_stored_table(spark):
         StoredTable(spark, table.path, "id", parts=5).read()
 
 
+def test_wider_numbers(spark):
+    table = StoredTable(spark, fresh_dir(spark, "t"), "id", parts=4)
+    table.merge(spark.createDataFrame([(str(i), i, 0.5, i) for i in range(8)], "id string, n int, f float, part int"))
+    table.merge(spark.createDataFrame([("3", 2**40, 0.25, 9)], "id string, n bigint, f double, part short"))
+    out = table.read()
+    assert out.dtypes == [("id", "string"), ("n", "bigint"), ("f", "double"), ("part", "int")]
+    assert by_id(out)["3"] == (2**40, 0.25, 9) and by_id(out)["7"] == (7, 0.5, 7) and out.count() == 8
+
+
 def test_a_merge_that_dies_leaves_the_table_alone(spark):
     table = StoredTable(spark, fresh_dir(spark, "t"), "id")
     table.merge(spark.createDataFrame([("a", 1)], "id string, n int"))
