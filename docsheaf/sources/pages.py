@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import last_value
+from ..operators.merge import key_of, last_value
 
 # Times without a zone, with or without microseconds. Read times that carry a
 # zone as text and turn them with to_datetime.
@@ -67,8 +67,10 @@ def one_per_id(df: DataFrame, id_columns: list[str], order: Column | None = None
     With ``order`` the greatest is kept, otherwise the greatest by content, so
     the outcome does not depend on which task sees which copy. Each task
     reduces its own copies first, so a much repeated id costs one row per task
-    in the shuffle.
+    in the shuffle. A document without an id fails the job; it cannot be told
+    apart from others.
     """
+    df = df.withColumns({c: key_of(df, c) for c in id_columns})
     others = [c for c in df.columns if c not in id_columns]
     if not others:
         return df.distinct()

@@ -39,6 +39,8 @@ def test_one_per_id_is_the_same_however_the_rows_are_split(spark):
         df = spark.createDataFrame(rows, "id int, t double, v string").repartition(parts)
         assert {r["id"]: (r["t"], r["v"]) for r in one_per_id(df, ["id"], F.col("t")).collect()} == want
     assert one_per_id(spark.createDataFrame([(1,), (1,)], "id int"), ["id"]).count() == 1
+    with pytest.raises(Exception, match="without a key"):
+        one_per_id(spark.createDataFrame([(None, "x"), (None, "y")], "id int, v string"), ["id"]).collect()
     maps = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2})], "id int, m map<string,int>")
     assert one_per_id(maps, ["id"]).first()["m"] == {"a": 2}
 
