@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_queries import compare, connect
+from docsheaf.catalog import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +13,13 @@ def con(sf):
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
     assert compare(spark, con, sf, name) is None
