@@ -32,3 +32,9 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.size(words(text)), F.lit(0)).cast("long")
+
+
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Hand texts to Python in batches of at most ``rows``, so that long texts fit a worker."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

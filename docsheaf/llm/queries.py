@@ -1,9 +1,10 @@
 """The registered queries of this subpackage, and their SQL where SQL can state them."""
 
-from . import op1_mixing
+from . import op1_mixing, op9_licenses
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
+    "op9_licenses": op9_licenses.op9_licenses,
 }
 SQL = {
     "op1_mixing": op1_mixing.SQL,
