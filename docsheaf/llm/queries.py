@@ -1,11 +1,13 @@
 """The registered queries of this subpackage, and their SQL where SQL can state them."""
 
-from . import op1_mixing, op9_licenses
+from . import op1_mixing, op7_quality, op9_licenses
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
+    "op7_quality": op7_quality.op7_quality,
     "op9_licenses": op9_licenses.op9_licenses,
 }
 SQL = {
     "op1_mixing": op1_mixing.SQL,
+    "op7_quality": op7_quality.SQL,
 }
