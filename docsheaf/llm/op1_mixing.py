@@ -93,6 +93,8 @@ def mix_plan(sized: DataFrame, weigh=cycled_weights, share: float = SHARE, epoch
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.first("whole").alias("whole"), F.first("need").alias("need"),
         F.max(F.when(F.col("before") <= F.col("need"), F.struct("bin", "before"))).alias("edge"))
+    # One row per source: written down, so that joins with the documents see its size.
+    edge = staged(edge, "mix-edge")
     edges = edge.select(F.col("source").alias("s"), "need", F.col("edge.bin").alias("edge_bin"), F.col("edge.before").alias("edge_before"))
     inside = sized.join(edges, F.col("source").eqNullSafe(F.col("s")) & (F.floor(F.col("place") / span) == F.col("edge_bin")))
     # Rows of one place are taken together: the frame counts peers as one.
@@ -103,7 +105,7 @@ def mix_plan(sized: DataFrame, weigh=cycled_weights, share: float = SHARE, epoch
         F.col("source").alias("c")).agg(F.max("place").alias("last"))
     plan = edge.join(cuts, F.col("source").eqNullSafe(F.col("c")), "left")
     cut = F.coalesce(F.col("last"), F.col("edge.bin") * span - 1)
-    return plan.select("source", "source_size", "target", "whole", F.when(F.col("need") > 0, cut).alias("cut"))
+    return staged(plan.select("source", "source_size", "target", "whole", F.when(F.col("need") > 0, cut).alias("cut")), "mix-plan")
 
 
 def sized_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
