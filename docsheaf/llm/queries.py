@@ -1,9 +1,11 @@
 """The registered queries of this subpackage, and their SQL where SQL can state them."""
 
-from . import op1_mixing, op7_quality, op8_html, op9_licenses
+from . import op1_mixing, op4_classifier, op6_language, op7_quality, op8_html, op9_licenses
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
+    "op4_classifier": op4_classifier.op4_classifier,
+    "op6_language": op6_language.op6_language,
     "op7_quality": op7_quality.op7_quality,
     "op8_html": op8_html.op8_html,
     "op9_licenses": op9_licenses.op9_licenses,
