@@ -1,10 +1,12 @@
 """Quality classifier by importance resampling.
 
 Two generative models of hashed token n-grams are counted: one of the target
-(texts labelled good) and one of the raw corpus. A document's log importance is
-the sum over its n-grams of log p_target - log p_raw. Adding seeded Gumbel
-noise and keeping the k largest draws k documents without replacement in
-proportion to their importance.
+(texts labelled good) and one of the raw corpus, towards which the target model
+is smoothed. A document's log importance is the mean over its n-grams of
+log p_target - log p_raw, as for a text of ``LENGTH`` such n-grams: the plain sum
+would weigh the length of a text, and the chance drift of rare words in long
+ones, above what it is like. Adding seeded Gumbel noise and keeping the k
+largest draws k documents without replacement in proportion to their importance.
 
 k is set by the labels: the log importance that best parts good from bad
 labelled texts is found, and k is the number of documents at or above it.
@@ -38,6 +40,9 @@ from .tokens import TokenHashes, tokens
 
 BUCKETS = 10_000
 MAX_LABELS = 20_000
+LENGTH = 200
+# How much of the target model is the raw one, as a share of the target's n-grams.
+PRIOR = 0.1
 SEED = "gumbel-1"
 # What the k-th largest is picked from once it is known to be among so few.
 FEW = 10_000
@@ -76,12 +81,13 @@ def log_ratios(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> np
     flagged = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id"), "left")
     rows = flagged.select("text", F.coalesce("good", F.lit(False)).alias("good")).mapInPandas(count, "bucket bigint, raw bigint, good bigint")
     sums = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()
-    raw, good = np.ones(buckets), np.ones(buckets)
+    raw, good = np.ones(buckets), np.zeros(buckets)
     raw[sums["bucket"]] += sums["raw"]
     good[sums["bucket"]] += sums["good"]
-    if not len(sums) or not sums["good"].any():
+    if not good.any():
         return None
-    return np.log(good / good.sum()) - np.log(raw / raw.sum())
+    raw /= raw.sum()
+    return np.log((good / good.sum() + PRIOR * raw) / (1 + PRIOR)) - np.log(raw)
 
 
 def importance(spark: SparkSession, ratios: np.ndarray) -> "callable":
@@ -92,7 +98,8 @@ def importance(spark: SparkSession, ratios: np.ndarray) -> "callable":
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hashes, known = TokenHashes(), shared.value
         for batch in batches:
-            yield pd.Series([float(known[buckets_of(t, hashes, len(known))].sum()) for t in batch], dtype="float64")
+            found = [buckets_of(t, hashes, len(known)) for t in batch]
+            yield pd.Series([float(known[b].mean()) * LENGTH if len(b) else 0.0 for b in found], dtype="float64")
 
     return score
 
