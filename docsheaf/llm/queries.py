@@ -1,10 +1,11 @@
 """The registered queries of this subpackage, and their SQL where SQL can state them."""
 
-from . import op1_mixing, op4_classifier, op6_language, op7_quality, op8_html, op9_licenses
+from . import op1_mixing, op4_classifier, op5_jaccard, op6_language, op7_quality, op8_html, op9_licenses
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
     "op4_classifier": op4_classifier.op4_classifier,
+    "op5_jaccard": op5_jaccard.op5_jaccard,
     "op6_language": op6_language.op6_language,
     "op7_quality": op7_quality.op7_quality,
     "op8_html": op8_html.op8_html,
@@ -12,5 +13,6 @@ QUERIES = {
 }
 SQL = {
     "op1_mixing": op1_mixing.SQL,
+    "op5_jaccard": op5_jaccard.SQL,
     "op7_quality": op7_quality.SQL,
 }
