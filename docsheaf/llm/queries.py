@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can state them."""
 
-from . import op1_mixing, op4_classifier, op5_jaccard, op6_language, op7_quality, op8_html, op9_licenses
+from . import op1_mixing, op10_lm, op4_classifier, op5_jaccard, op6_language, op7_quality, op8_html, op9_licenses
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_quality": op7_quality.op7_quality,
     "op8_html": op8_html.op8_html,
     "op9_licenses": op9_licenses.op9_licenses,
+    "op10_lm": op10_lm.op10_lm,
 }
 SQL = {
     "op1_mixing": op1_mixing.SQL,
