@@ -1,9 +1,10 @@
 """The registered queries of this subpackage, and their SQL where SQL can state them."""
 
-from . import op1_mixing, op10_lm, op3_substring, op4_classifier, op5_jaccard, op6_language, op7_quality, op8_html, op9_licenses
+from . import op1_mixing, op10_lm, op2_decontaminate, op3_substring, op4_classifier, op5_jaccard, op6_language, op7_quality, op8_html, op9_licenses
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
+    "op2_decontaminate": op2_decontaminate.op2_decontaminate,
     "op3_substring": op3_substring.op3_substring,
     "op4_classifier": op4_classifier.op4_classifier,
     "op5_jaccard": op5_jaccard.op5_jaccard,
