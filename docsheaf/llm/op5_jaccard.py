@@ -9,15 +9,18 @@ below leave out only pairs that cannot link, or that are already connected.
    two classes link, they share a token among the first n - ceil(t n) + 1 of
    each: its prefix. Tokens held by one row only are dropped with the help of a
    bit field of fixed size and an exact count.
-2. Groups: on every prefix token all classes are compared with the smallest one
-   there. Verified links make groups whose members are connected.
+2. Groups: on every prefix token all classes look at the smallest one there;
+   pairs that share enough are verified. Links make groups whose members are
+   connected. This step may miss links; it only makes the next one small.
 3. Matrix: the union of the prefix tokens of each group, one row per (token,
-   group) with the size range of the members and the most that any member can
-   still share from that token on.
-4. A class looks up its tokens in the matrix. A group other than its own is
-   opened only if sizes allow and the bound on the overlap reaches what t asks.
-   Members of opened groups on that token become candidates, bounded once more
-   pairwise, and are verified on their whole texts.
+   group) with the size range of the members, for tokens of several groups.
+4. A class looks up its tokens in the matrix and counts those it shares with
+   each group other than its own. If two sets share s tokens of their prefixes,
+   they overlap in at most s plus the longer of their remainders: of the one
+   whose prefix ends first, every shared prefix token is in the other's prefix.
+   Only groups that this bound, with the sizes of their members, lets reach
+   what t asks for are opened. The members that share tokens are bounded the
+   same way one by one, and the rest is verified on whole texts.
 
 Groups of copies and of near copies, however large, shrink to one row per token
 before anything is paired; links are counted once per class, not per pair.
@@ -37,16 +40,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, table
+from .common import as_before, as_text, objects, small_batches, staged, table
 from .graph import components
 from .shingles import K, Shingler, overlap, signature
 
 # Similarity as a whole number of hundredths, so that the test is exact.
 THRESHOLD = 75
 # For the order of tokens only: about so many sampled texts, and the count that makes a token frequent.
-SAMPLE, FREQUENT, MAX_FREQUENT = 16_000, 4, 1 << 18
+SAMPLE, FREQUENT, MAX_FREQUENT = 16_000, 4, 1 << 17
 # Bits of the field that tells which tokens may be held twice; its size is fixed.
-FIELD_BITS = 25
+FIELD_BITS = 24
 
 
 def row_key() -> Column:
@@ -65,11 +68,11 @@ def frequent_tokens(docs: DataFrame, k: int = K) -> np.ndarray:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(k)
         for batch in batches:
-            yield pd.DataFrame({"tokens": [shingle(t) for t in batch["text"]]})
+            yield pd.DataFrame({"tokens": objects([shingle(t) for t in batch["text"]])})
 
     chosen = docs.filter(F.pmod(F.xxhash64(F.lit("order"), "text"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
     counts = chosen.mapInPandas(read, "tokens array<bigint>").select(F.explode("tokens").alias("token")).groupBy("token").count()
-    rows = counts.filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toPandas()
+    rows = counts.filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toArrow().to_pandas()
     return rows.sort_values(["count", "token"])["token"].to_numpy(np.int64)
 
 
@@ -95,18 +98,17 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, threshold: int = THRESHOLD,
             sets = [shingle(t) for t in batch["text"]]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "row_key": batch["row_key"], "n": [len(s) for s in sets],
-                "sig": [signature(s) for s in sets], "prefix": [prefix(s) for s in sets]})
+                "sig": [signature(s) for s in sets], "prefix": objects([prefix(s) for s in sets])})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", row_key().alias("row_key"), "text").mapInPandas(
-        read, f"doc_id {kind}, row_key bigint, n bigint, sig bigint, prefix array<bigint>")
+    rows = as_text(docs.select(row_key().alias("row_key"), "doc_id", "text"), "doc_id")
+    return as_before(rows.mapInPandas(read, "doc_id string, row_key bigint, n bigint, sig bigint, prefix array<bigint>"), docs, "doc_id")
 
 
 def bit_field(tokens: DataFrame, bits: int = FIELD_BITS) -> np.ndarray:
     """A field of 2**bits bits in which those of ``tokens`` are set, by their low bits."""
     slot = F.col("token").bitwiseAND(F.lit((1 << bits) - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
-    rows = tokens.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    rows = tokens.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow().to_pandas()
     field = np.zeros(1 << (bits - 6), np.int64)
     field[rows["w"]] = rows["b"]
     return field
@@ -118,7 +120,7 @@ def in_field(field: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def shared_tokens(rows: DataFrame) -> DataFrame:
-    """(token, sig, n, pos) of the prefix tokens that more than one row holds, once per class."""
+    """(token, sig, n) of the prefix tokens that more than one row holds, once per class."""
     counts = rows.select(F.explode("prefix").alias("token")).groupBy("token").count()
     field = rows.sparkSession.sparkContext.broadcast(bit_field(counts.filter(F.col("count") > 1)))
 
@@ -126,18 +128,22 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
         for batch in batches:
             at = [np.flatnonzero(in_field(field.value, np.asarray(p, np.int64))) for p in batch["prefix"]]
             yield pd.DataFrame({
-                "sig": batch["sig"], "n": batch["n"], "pos": [a.astype(np.int32) for a in at],
-                "tokens": [np.asarray(p, np.int64)[a] for p, a in zip(batch["prefix"], at)]})
+                "sig": batch["sig"], "n": batch["n"],
+                "tokens": objects([np.asarray(p, np.int64)[a] for p, a in zip(batch["prefix"], at)])})
 
-    kept = rows.filter(F.col("n") > 0).select("sig", "n", "prefix").mapInPandas(keep, "sig bigint, n bigint, pos array<int>, tokens array<bigint>")
-    each = kept.select("sig", "n", F.explode(F.arrays_zip("tokens", "pos")).alias("x"))
-    return each.select(F.col("x.tokens").alias("token"), "sig", "n", F.col("x.pos").alias("pos")).distinct()
+    kept = rows.filter(F.col("n") > 0).select("sig", "n", "prefix").mapInPandas(keep, "sig bigint, n bigint, tokens array<bigint>")
+    return kept.select(F.explode("tokens").alias("token"), "sig", "n").distinct()
 
 
-def possible(n: Column, rest: Column, m: Column, m_rest: Column, threshold: int = THRESHOLD) -> Column:
-    """Whether sets that share a token, with so many more behind it, can link."""
-    sizes = (100 * F.least(n, m) >= threshold * F.greatest(n, m))
-    return sizes & (1 + F.least(rest, m_rest) >= needed(n, m, threshold))
+def prefix_size(n: Column, threshold: int = THRESHOLD) -> Column:
+    return n - F.ceil(n * threshold / 100 - 1e-9) + 1
+
+
+def possible(n: Column, m: Column, shared: Column, threshold: int = THRESHOLD) -> Column:
+    """Whether sets of sizes n and m that share so many prefix tokens can link."""
+    sizes = 100 * F.least(n, m) >= threshold * F.greatest(n, m)
+    rest = F.greatest(n - prefix_size(n, threshold), m - prefix_size(m, threshold))
+    return sizes & (shared + rest >= needed(n, m, threshold))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
@@ -161,43 +167,53 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD, k:
 
 
 def class_texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(sig, text) for the classes in ``pairs``, from one row of each."""
+    """(sig, text) for the classes in ``pairs``, from one row of each.
+
+    The bit field spares texts that are not asked for the shuffle.
+    """
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    one = rows.groupBy("sig").agg(F.min("row_key").alias("row_key")).join(wanted, "sig")
-    keyed = docs.select(row_key().alias("k"), "text")
+    one = staged(rows.groupBy("sig").agg(F.min("row_key").alias("row_key")).join(wanted, "sig"), "wanted")
+    field = docs.sparkSession.sparkContext.broadcast(bit_field(one.select(F.col("row_key").alias("token"))))
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[in_field(field.value, batch["k"].to_numpy())]
+
+    keyed = docs.select(row_key().alias("k"), "text").mapInPandas(keep, "k bigint, text string")
     return keyed.join(one, F.col("k") == F.col("row_key")).select("sig", "text").dropDuplicates(["sig"])
 
 
 def star_pairs(held: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """On every token, each class with the smallest one there, where they can link."""
-    first = held.groupBy("token").agg(F.min(F.struct("sig", "n", "pos")).alias("c"), F.count("*").alias("of")).filter(F.col("of") > 1)
+    """Classes with the smallest one on a token, where the tokens they so share let them link."""
+    first = held.groupBy("token").agg(F.min(F.struct("sig", "n")).alias("c"), F.count("*").alias("of")).filter(F.col("of") > 1)
     rows = held.join(first.select(F.col("token").alias("t"), "c"), F.col("token") == F.col("t")).filter(F.col("sig") != F.col("c.sig"))
-    can = possible(F.col("n"), F.col("n") - F.col("pos") - 1, F.col("c.n"), F.col("c.n") - F.col("c.pos") - 1, threshold)
-    return rows.filter(can).select(F.col("sig").alias("a"), F.col("c.sig").alias("b")).distinct()
+    pairs = rows.groupBy(F.col("sig").alias("a"), F.col("c.sig").alias("b"), "n", F.col("c.n").alias("m")).agg(F.count("*").alias("shared"))
+    return pairs.filter(possible(F.col("n"), F.col("m"), F.col("shared"), threshold)).select("a", "b")
 
 
 def matrix_pairs(held: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Candidate pairs of classes in different groups, through the token-group matrix."""
     rows = held.join(groups, F.col("sig") == F.col("node"), "left").select(
-        "token", "sig", "n", (F.col("n") - F.col("pos") - 1).alias("rest"), F.coalesce("component", "sig").alias("group"))
-    matrix = rows.groupBy("token", "group").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max"))
+        "token", "sig", "n", F.coalesce("component", "sig").alias("group"))
     # Tokens of one group only hold nothing to look up.
-    many = matrix.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter(F.col("low") < F.col("high"))
+    many = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter(F.col("low") < F.col("high"))
     many = staged(many.select(F.col("token").alias("t")), "many")
     rows = staged(rows.join(many, F.col("token") == F.col("t"), "left_semi"), "queries")
-    matrix = staged(rows.groupBy("token", "group").agg(
-        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max")), "matrix")
-    query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"), F.col("group").alias("g"))
+    matrix = staged(rows.groupBy("token", "group").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max")), "matrix")
+    query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("own"))
     # Each pair of groups is looked up from one side.
-    opened = query.join(matrix, (F.col("t") == F.col("token")) & (F.col("g") > F.col("group")))
-    fits = (100 * F.col("n_max") >= threshold * F.col("n_a")) & (threshold * F.col("n_min") <= 100 * F.col("n_a"))
-    least = F.greatest(F.col("n_min"), F.ceil(F.col("n_a") * threshold / 100 - 1e-9))
-    bound = 1 + F.least(F.col("rest_a"), F.col("rest_max")) >= needed(F.col("n_a"), least, threshold)
-    opened = opened.filter(fits & bound).select("t", "a", "n_a", "rest_a", "group")
-    members = rows.select(F.col("token").alias("mt"), F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("group").alias("mg"))
-    pairs = opened.join(members, (F.col("t") == F.col("mt")) & (F.col("group") == F.col("mg")))
-    can = possible(F.col("n_a"), F.col("rest_a"), F.col("n_b"), F.col("rest_b"), threshold)
-    return pairs.filter(can).select("a", "b").distinct()
+    looked = query.join(matrix, (F.col("t") == F.col("token")) & (F.col("own") > F.col("group")))
+    looked = looked.groupBy("a", "n_a", "group").agg(F.count("*").alias("shared"), F.min("n_min").alias("low"), F.max("n_max").alias("high"))
+    least = F.greatest(F.col("low"), F.ceil(F.col("n_a") * threshold / 100 - 1e-9))
+    most = F.least(F.col("high"), F.floor(F.col("n_a") * 100 / threshold + 1e-9))
+    rest = F.greatest(F.col("n_a") - prefix_size(F.col("n_a"), threshold), most - prefix_size(most, threshold))
+    bound = (least <= most) & (F.col("shared") + rest >= needed(F.col("n_a"), least, threshold))
+    opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og")), "opened")
+    query = query.select("t", "a", "n_a").join(opened, F.col("a") == F.col("oa")).select("t", "a", "n_a", "og")
+    members = rows.select("token", F.col("sig").alias("b"), F.col("n").alias("n_b"), "group")
+    pairs = query.join(members, (F.col("t") == F.col("token")) & (F.col("og") == F.col("group")))
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    return pairs.filter(possible(F.col("n_a"), F.col("n_b"), F.col("shared"), threshold)).select("a", "b")
 
 
 def near_groups(docs: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
