@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     written, and several readers do not repeat the work.
     """
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    # Zstandard reuses its buffers; others hold native memory until the next garbage collection.
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -38,3 +41,21 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Hand texts to Python in batches of at most ``rows``, so that long texts fit a worker."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def objects(values: list) -> pd.Series:
+    """A column of lists or texts that keeps its kind when it is empty."""
+    out = np.empty(len(values), object)
+    for i, value in enumerate(values):
+        out[i] = value
+    return pd.Series(out, dtype=object)
+
+
+def as_text(df: DataFrame, *names: str) -> DataFrame:
+    """Ids as text: with a null among them, pandas would make whole numbers floating ones."""
+    return df.withColumns({c: F.col(c).cast("string") for c in names})
+
+
+def as_before(df: DataFrame, source: DataFrame, *names: str) -> DataFrame:
+    """The types that the columns have in ``source``."""
+    return df.withColumns({c: F.col(c).cast(source.schema[c].dataType) for c in names})
