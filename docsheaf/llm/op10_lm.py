@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, table
+from .common import as_before, as_text, small_batches, staged, table
 from .tokens import tokens
 
 VOCABULARY = 20_000
@@ -157,7 +157,7 @@ def train(docs: DataFrame, corpus: DataFrame, size: int = VOCABULARY, bits: int
         yield pd.DataFrame({"at": at, "target": sums[0, at], "background": sums[1, at]})
 
     rows = docs.filter(F.col("target") | F.col("background")).select("text", "target", "background").mapInPandas(count, "at int, target bigint, background bigint")
-    found = rows.groupBy("at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas()
+    found = rows.groupBy("at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow().to_pandas()
 
     def model(name: str) -> Bigrams:
         counts = np.zeros(2 * width + (1 << bits))
@@ -180,8 +180,8 @@ def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
                 "loss_target": pd.array([f[1] for f in found], "Float64"),
                 "loss_background": pd.array([f[2] for f in found], "Float64")})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", "target", "background").mapInPandas(read, f"doc_id {kind}, n_tokens bigint, loss_target double, loss_background double")
+    rows = as_text(docs.select("doc_id", "text", "target", "background"), "doc_id")
+    rows = as_before(rows.mapInPandas(read, "doc_id string, n_tokens bigint, loss_target double, loss_background double"), docs, "doc_id")
     return rows.withColumn("difference", F.col("loss_target") - F.col("loss_background"))
 
 

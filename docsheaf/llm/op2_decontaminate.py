@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches, staged, table
+from .common import as_before, as_text, objects, small_batches, staged, table
 
 N = 4
 WINDOW = 3
@@ -112,17 +112,16 @@ def item_grams(items: DataFrame, n: int = N) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            yield pd.DataFrame({"item_id": batch["item_id"], "hashes": [ngrams(hashes(t), n) for t in batch["text"]]})
+            yield pd.DataFrame({"item_id": batch["item_id"], "hashes": objects([ngrams(hashes(t), n) for t in batch["text"]])})
 
-    kind = items.schema["item_id"].dataType.simpleString()
-    rows = items.select("item_id", "text").mapInPandas(read, f"item_id {kind}, hashes array<bigint>")
-    return rows.select("item_id", F.posexplode("hashes").alias("at", "hash"))
+    rows = as_text(items.select("item_id", "text"), "item_id").mapInPandas(read, "item_id string, hashes array<bigint>")
+    return as_before(rows, items, "item_id").select("item_id", F.posexplode("hashes").alias("at", "hash"))
 
 
 def bit_field(grams: DataFrame, bits: int = FIELD_BITS) -> np.ndarray:
     slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
-    rows = grams.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    rows = grams.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow().to_pandas()
     field = np.zeros(1 << (bits - 6), np.int64)
     field[rows["w"]] = rows["b"]
     return field
@@ -145,7 +144,7 @@ def hits(docs: DataFrame, field: np.ndarray, n: int = N) -> DataFrame:
                     keys.append(key)
                     found.append(grams[at])
                     places.append(at.astype(np.int32))
-            yield pd.DataFrame({"row_key": keys, "hashes": found, "places": places})
+            yield pd.DataFrame({"row_key": keys, "hashes": objects(found), "places": objects(places)})
 
     return docs.select(row_key().alias("row_key"), "text").mapInPandas(read, "row_key bigint, hashes array<bigint>, places array<int>")
 
@@ -186,9 +185,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
             out = batch[["doc_id", "row_key", "item_id"]].assign(score=scores)
             yield out[out["score"] >= min_score]
 
-    kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    return rows.select("doc_id", "row_key", "item_id", "text", "item_text", "places").mapInPandas(
-        read, f"doc_id {kind}, row_key bigint, item_id {item_kind}, score double")
+    rows = as_text(rows.select("doc_id", "row_key", "item_id", "text", "item_text", "places"), "doc_id", "item_id")
+    scored = rows.mapInPandas(read, "doc_id string, row_key bigint, item_id string, score double")
+    return as_before(as_before(scored, docs, "doc_id"), items, "item_id")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

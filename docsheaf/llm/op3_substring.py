@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, table
+from .common import as_before, as_text, objects, small_batches, staged, table
 
 # Below the 50 words of a passage to catch, as its edges may not be those of sentences.
 MIN_WORDS = 40
@@ -100,13 +100,12 @@ def span_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             found = [spans(t, min_words) if t else [] for t in batch["text"]]
             have = [bool(f) for f in found]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"][have], "row_key": batch["row_key"][have],
-                "hashes": [np.array([h for h, _, _ in f], np.int64) for f in found if f],
-                "ranges": [np.array([a << 32 | b for _, a, b in f], np.int64) for f in found if f]})
+                "doc_id": batch["doc_id"][have].to_numpy(), "row_key": batch["row_key"][have].to_numpy(),
+                "hashes": objects([np.array([h for h, _, _ in f], np.int64) for f in found if f]),
+                "ranges": objects([np.array([a << 32 | b for _, a, b in f], np.int64) for f in found if f])})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", row_key().alias("row_key"), "text").mapInPandas(
-        read, f"doc_id {kind}, row_key bigint, hashes array<bigint>, ranges array<bigint>")
+    rows = as_text(docs.select(row_key().alias("row_key"), "doc_id", "text"), "doc_id")
+    return as_before(rows.mapInPandas(read, "doc_id string, row_key bigint, hashes array<bigint>, ranges array<bigint>"), docs, "doc_id")
 
 
 def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -128,10 +127,10 @@ def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def cut(text: pd.Series, ranges: pd.Series) -> pd.DataFrame:
     texts, counts = [], []
     for t, found in zip(text, ranges):
-        covered = {i for r in found for i in range(r >> 32, (r & 0xFFFFFFFF) + 1)} if t is not None and found is not None else set()
+        covered = {i for r in map(int, found) for i in range(r >> 32, (r & 0xFFFFFFFF) + 1)}
         texts.append(without(t, covered) if covered else t)
         counts.append(len(covered))
-    return pd.DataFrame({"text": texts, "n_removed": counts})
+    return pd.DataFrame({"text": objects(texts), "n_removed": counts})
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -142,7 +141,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = docs.select(F.struct(*names).alias("__row"), "text", row_key().alias("__key"))
     rows = rows.join(found, F.col("__key") == F.col("__found"), "left")
     cutter = F.pandas_udf(cut, "text string, n_removed bigint")
-    rows = rows.withColumn("__new", cutter(F.when(F.col("__ranges").isNotNull(), F.col("text")), "__ranges"))
+    rows = rows.withColumn("__new", cutter(
+        F.when(F.col("__ranges").isNotNull(), F.col("text")), F.coalesce("__ranges", F.array().cast("array<bigint>"))))
     text = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(F.col("__new.text"))
     return rows.select(*[(text if c == "text" else F.col("__row").getField(c)).alias(c) for c in names], F.col("__new.n_removed").alias("n_removed"))
 

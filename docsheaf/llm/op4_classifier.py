@@ -80,7 +80,7 @@ def log_ratios(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> np
     # At most MAX_LABELS rows of two values.
     flagged = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id"), "left")
     rows = flagged.select("text", F.coalesce("good", F.lit(False)).alias("good")).mapInPandas(count, "bucket bigint, raw bigint, good bigint")
-    sums = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()
+    sums = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow().to_pandas()
     raw, good = np.ones(buckets), np.zeros(buckets)
     raw[sums["bucket"]] += sums["raw"]
     good[sums["bucket"]] += sums["good"]
@@ -162,7 +162,7 @@ def selection(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound:
     rows = staged(docs.select("doc_id", score("text").alias("log_ratio")), "importance").withColumn(
         "draw", F.col("log_ratio") + gumbel(F.col("doc_id"), seed))
     labelled = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id")).groupBy("labelled_id").agg(
-        F.first("log_ratio").alias("score"), F.first("good").alias("good")).select("score", "good").toPandas()
+        F.first("log_ratio").alias("score"), F.first("good").alias("good")).select("score", "good").toArrow().to_pandas()
     cut = best_cut(labelled["score"].to_numpy(float), labelled["good"].to_numpy(bool))
     k = rows.filter(F.col("log_ratio") >= cut).count()
     edge = kth_largest(rows, "draw", k)

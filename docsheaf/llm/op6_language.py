@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import as_before, as_text, objects, small_batches, table
 
 BITS = 15
 ORDERS = 3
@@ -163,7 +163,7 @@ def document_frequencies(texts: DataFrame, bits: int = BITS) -> tuple[np.ndarray
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(seen[at], texts)})
 
-    rows = texts.select("text").mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.select("text").mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     out = np.zeros(1 << bits)
     inside = rows["bucket"] >= 0
     out[rows["bucket"][inside]] = rows["n"][inside]
@@ -196,12 +196,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) -
             found = [term_counts(t, bits) for t in batch["text"]]
             keep = [f is not None for f in found]
             yield pd.DataFrame({
-                "place": batch["place"][keep], "lang": batch["lang"][keep],
-                "at": [f[0].astype(np.int32) for f in found if f is not None],
-                "counts": [f[1].astype(np.int32) for f in found if f is not None]})
+                "place": batch["place"][keep].to_numpy(), "lang": batch["lang"][keep].to_numpy(),
+                "at": objects([f[0].astype(np.int32) for f in found if f is not None]),
+                "counts": objects([f[1].astype(np.int32) for f in found if f is not None])})
 
     rows = sampled(labelled, per_language).select(F.xxhash64(F.lit("order"), "doc_id", "text").alias("place"), "text", "lang")
-    rows = rows.mapInPandas(count, "place bigint, lang string, at array<int>, counts array<int>").toPandas().sort_values("place", kind="stable")
+    rows = rows.mapInPandas(count, "place bigint, lang string, at array<int>, counts array<int>").toArrow().to_pandas().sort_values("place", kind="stable")
     languages = sorted(rows["lang"].unique())
     truth = [languages.index(x) for x in rows["lang"]]
     vectors = [(at, weights_of(at, c, idf)) for at, c in zip(rows["at"], rows["counts"])]
@@ -220,7 +220,6 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) -
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row; only the text is looked at."""
     small_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,8 +228,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"],
                                 "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
 
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInPandas(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    rows = as_text(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), "doc_id")
+    return as_before(rows.mapInPandas(predict, "doc_id string, held_out boolean, lang_pred string, score double"), docs, "doc_id")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

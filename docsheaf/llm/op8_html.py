@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, table
+from .common import as_before, as_text, objects, small_batches, staged, table
 from .markup import Page, candidates, main_text
 
 # A subtree is a template's if at least MIN_TEXTS different texts of the host hold it, and this share of all.
@@ -48,7 +48,7 @@ def subtrees(rows: DataFrame) -> DataFrame:
         for batch in batches:
             found = [candidates(Page(html)) for html in batch["html"]]
             yield pd.DataFrame({"page_key": batch["page_key"], "host": batch["host"],
-                                "body": [b for _, b in found], "hashes": [h for h, _ in found]})
+                                "body": [b for _, b in found], "hashes": objects([h for h, _ in found])})
 
     return rows.select("page_key", "host", "html").mapInPandas(read, "page_key bigint, host string, body bigint, hashes array<bigint>")
 
@@ -73,11 +73,12 @@ def extract(pages: DataFrame, min_texts: int = MIN_TEXTS, min_share: float = MIN
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [main_text(Page(html), set() if t is None else set(t)) for html, t in zip(batch["html"], batch["templates"])]
+            texts = [main_text(Page(html), set(t)) for html, t in zip(batch["html"], batch["templates"])]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.select("page_id", "url", "html", "templates").mapInPandas(read, f"page_id {kind}, url string, text string")
+    templates = F.coalesce("templates", F.array().cast("array<bigint>")).alias("templates")
+    rows = as_text(rows.select("page_id", "url", "html", templates), "page_id")
+    return as_before(rows.mapInPandas(read, "page_id string, url string, text string"), pages, "page_id")
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:

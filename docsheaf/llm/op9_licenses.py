@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import as_before, as_text, objects, small_batches, table
 
 # The phrases of the contract and their labels.
 PHRASES = {
@@ -184,10 +184,10 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: Iterable
                 hits += [(label, start, end - 1, False) for label, a in automata for start, end in a.find(words, joined)]
                 counts.append(len(words))
                 found.append([dict(zip(("label", "first", "last", "base"), h)) for h in hits])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": counts, "matches": found})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": counts, "matches": objects(found)})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(scan_texts, f"doc_id {kind}, n_words bigint, matches {MATCHES}")
+    found = as_text(docs.select("doc_id", "text"), "doc_id").mapInPandas(scan_texts, f"doc_id string, n_words bigint, matches {MATCHES}")
+    return as_before(found, docs, "doc_id")
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
