@@ -20,13 +20,15 @@ BASE = "https://data.example.org"
 @query("arith", """
 SELECT l_orderkey, l_linenumber, l_quantity + l_linenumber AS a, l_quantity - l_linenumber AS s,
        l_quantity * l_linenumber AS m, CAST(floor((l_linenumber - 4) / 2.0) AS BIGINT) AS f,
+       9007199254740993 - l_orderkey AS exact,
        l_quantity / l_linenumber AS d, l_returnflag || l_linestatus AS t,
        l_quantity >= 25 AS ge, l_quantity < 25 AS lt FROM lineitem""")
 def _(spark, d):
     q, n = F.col("l_quantity"), F.col("l_linenumber")
     return load(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", add(q, n).alias("a"), subtract(q, n).alias("s"),
-        multiply(q, n).alias("m"), floor_divide(n - 4, F.lit(2)).alias("f"), divide(q, n).alias("d"),
+        multiply(q, n).alias("m"), floor_divide(n - 4, F.lit(2)).alias("f"),
+        floor_divide(9007199254740993 - F.col("l_orderkey"), F.lit(1)).alias("exact"), divide(q, n).alias("d"),
         add(F.col("l_returnflag"), F.col("l_linestatus"), T.StringType()).alias("t"),
         call(">=", q, F.lit(25)).alias("ge"), call("<", q, F.lit(25)).alias("lt"),
     )
@@ -168,10 +170,13 @@ def _(spark, d):
 
 
 @query("template_text", """
-SELECT o_orderkey, o_orderstatus || '/' || o_custkey || '!' AS filled FROM orders""")
+SELECT o_orderkey, o_orderstatus || '/' || o_custkey || '!' AS filled,
+       '{' || lpad(CAST(o_custkey AS VARCHAR), 12, '.') || '}' || rpad(o_orderstatus, 3, ' ') || o_custkey AS padded FROM orders""")
 def _(spark, d):
+    status, customer = F.col("o_orderstatus"), F.col("o_custkey")
     return load(spark, d, "orders").select(
-        "o_orderkey", template("{}/{}!", F.col("o_orderstatus"), F.col("o_custkey")).alias("filled"))
+        "o_orderkey", template("{}/{}!", status, customer).alias("filled"),
+        template("{{{1:.>12}}}{0:3}{1}", status, customer).alias("padded"))
 
 
 @query("default_value", """

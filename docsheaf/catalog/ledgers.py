@@ -126,17 +126,51 @@ def _(spark, d):
 
 
 @query("incremental_export", """
-SELECT CAST(event_id AS VARCHAR) AS id, ts, event_type, 'u' || user_id AS actor FROM events""")
+SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 50 <> 7 THEN ts END AS ts, event_type, 'u' || user_id AS actor FROM events""")
 def _(spark, d):
-    """Two runs: what had arrived by the middle of the month, then everything new."""
+    """Two runs: what had arrived by the middle of the month, undated ones included, then everything new."""
     docs = load(spark, d, "events").select(
-        F.col("event_id").cast("string").alias("id"), "ts", "event_type", F.concat(F.lit("u"), "user_id").alias("user"))
+        F.col("event_id").cast("string").alias("id"), F.when(F.col("event_id") % 50 != 7, F.col("ts")).alias("ts"), "event_type",
+        F.concat(F.lit("u"), "user_id").alias("user"))
     spec = ExportSpec("events", "form", (
         ColumnSpec("id", ("id",)), ColumnSpec("ts", ("ts",), data_type="datetime"), ColumnSpec("event_type", ("event_type",)),
         ColumnSpec("actor", ("user",))))
     run = L.Run("events", spec.fingerprint(), ("events",), "form")
     folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
-    early = docs.where(F.col("ts") <= F.lit("2024-01-15").cast("timestamp_ntz"))
+    early = docs.where(F.col("ts").isNull() | (F.col("ts") <= F.lit("2024-01-15").cast("timestamp_ntz")))
     for source in (early, docs):
         run_export(DocTable(source, "form"), [spec], folder, run, ["ts"], ledger)
     return StoredTable(spark, f"{folder}/events").read()
+
+
+@query("incremental_modes", """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""")
+def _(spark, d):
+    """A ledger from the legacy mode is continued along the fields of that mode, not the caller's default."""
+    docs = load(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("id"), F.col("ts").alias("modified"),
+        (F.col("ts") - F.expr("INTERVAL 1 YEAR")).alias("indexed"), "event_type")
+    spec = ExportSpec("events", "form", (ColumnSpec("id", ("id",)), ColumnSpec("event_type", ("event_type",))), missing_value="-")
+    run = L.Run("events", spec.fingerprint(), ("events",), "form")
+    folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
+    ledger.record(run, "2024-01-15T00:00:00", L.LEGACY_MODE, final=True)
+    run_export(DocTable(docs, "form"), [spec], folder, run, ["indexed"], ledger, mode_fields={L.LEGACY_MODE: ["modified"]})
+    return StoredTable(spark, f"{folder}/events").read()
+
+
+@query("incremental_variant", """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS kind FROM events
+WHERE event_type IN ('click', 'purchase') AND ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""")
+def _(spark, d):
+    """Filters and a date range on documents without a schema, by the names of their members."""
+    events = load(spark, d, "events")
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"), day.alias("at")))
+    docs = events.select(F.parse_json(text).alias("doc"))
+    spec = ExportSpec("events", "form", (ColumnSpec("id", ("id",)), ColumnSpec("kind", ("type",))),
+                      filters=(("type", "click"), ("type", "purchase")))
+    run = L.Run("events", spec.fingerprint(), ("events",), "form")
+    folder = fresh_dir(spark, "run")
+    run_export(DocTable(docs, "form", variant="doc"), [spec], folder, run, ["at"],
+               since="2024-01-10T00:00:00.000000", until="2024-01-20T00:00:00.000000")
+    return StoredTable(spark, f"{folder}/events").read()

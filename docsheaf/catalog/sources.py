@@ -131,18 +131,14 @@ def _(spark, d):
 @query("include_children", """
 SELECT o_orderkey, count(l_orderkey) AS n_lines, coalesce(sum(l_quantity), 0) AS quantity,
        min(l_linenumber) AS first_line, max(l_linenumber) AS last_line
-FROM orders LEFT JOIN (SELECT DISTINCT * FROM lineitem) ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def _(spark, d):
     orders = load(spark, d, "orders").select("o_orderkey")
     docs = inline_children(orders, load(spark, d, "lineitem"), "o_orderkey", "l_orderkey", "lines")
     quantity = F.aggregate(F.col("lines.l_quantity"), F.lit(0.0), lambda a, x: a + x)
-    per_part = docs.select(
-        "o_orderkey", F.size("lines").alias("n"), quantity.alias("q"),
-        F.array_min("lines.l_linenumber").alias("lo"), F.array_max("lines.l_linenumber").alias("hi"),
-    )
-    return per_part.groupBy("o_orderkey").agg(
-        F.sum("n").alias("n_lines"), F.sum("q").alias("quantity"),
-        F.min("lo").alias("first_line"), F.max("hi").alias("last_line"),
+    return docs.select(
+        "o_orderkey", F.size("lines").cast("long").alias("n_lines"), quantity.alias("quantity"),
+        F.array_min("lines.l_linenumber").alias("first_line"), F.array_max("lines.l_linenumber").alias("last_line"),
     )
 
 

@@ -5,7 +5,8 @@ from .convert import (
     format_uuid, sha1_text, to_datetime, to_integer, to_json_text, to_number,
 )
 from .lists import (
-    cell_text, distinct_items, items_where, join_items, length_of, unwrap_single, variant_cell, xml_text,
+    cell_text, distinct_items, items_where, join_items, length_of, unwrap_single, variant_cell, variant_json,
+    xml_text,
 )
 from .logic import (
     bool_to_int, default_value, first_present, is_empty, is_truthy, to_bool,
@@ -14,7 +15,7 @@ from .paths import (
     auto_id, descendants, dynamic_field, each, each_present, field, field_or_null,
     index_at, index_range, variant_field, variant_list, variant_missing,
 )
-from .registry import FUNCTIONS, call, register, register_row_function, via
+from .registry import FUNCTIONS, LIST_FUNCTIONS, call, register, register_row_function, via
 from .text import (
     count_selected, join_text, selected, selected_at, substr_range, template, words,
 )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 def distinct_items(value: Column, dtype: T.DataType | None = None) -> Column:
     """Distinct elements in ascending order; a scalar passes through."""
     if dtype is not None and not isinstance(dtype, T.ArrayType):
-        return value
+        return value.cast(dtype)
     return F.sort_array(F.array_distinct(value))
 
 
@@ -100,6 +100,15 @@ def _variant_text(value: Column) -> Column:
     )
 
 
+def variant_json(value: Column, dtype: T.DataType) -> Column:
+    """JSON text of a variant or a list of them; a text in it stays as it is."""
+    if isinstance(dtype, T.ArrayType):
+        return F.to_json(value)
+    plain = F.schema_of_variant(value) == "STRING"
+    return F.when(F.is_variant_null(value), F.lit(None)).when(
+        plain, F.try_variant_get(value, "$", "string")).otherwise(F.to_json(value))
+
+
 def variant_cell(value: Column, missing: str | None = None) -> Column:
     """A variant as a cell of text.
 

@@ -51,7 +51,14 @@ def first_present(*values: Column, dtype: T.DataType | None = None) -> Column:
 
 
 def default_value(value: Column, fallback, dtype: T.DataType) -> Column:
-    """``fallback`` where the value is nothing in the wide sense."""
+    """``fallback`` where the value is nothing in the wide sense.
+
+    A value that is no text meets a fallback of text as text.
+    """
+    if isinstance(fallback, str) and not isinstance(dtype, T.StringType):
+        nested = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+        text = F.to_json(value) if nested else value.cast("string")
+        return F.when(is_truthy(value, dtype), text).otherwise(F.lit(fallback))
     return F.when(is_truthy(value, dtype), value).otherwise(as_column(fallback))
 
 

@@ -32,7 +32,7 @@ FUNCTIONS: dict[str, Callable[..., Column]] = {
     "bool2int": logic.bool_to_int,
     "str2num": convert.to_number,
     "str2date": convert.to_datetime,
-    "json2str": convert.to_json_text,
+    "json2str": lambda v, dtype=None: convert.to_json_text(v, dtype),
     "format-uuid": convert.format_uuid,
     "sha1": convert.sha1_text,
     "selected": text.selected,
@@ -47,6 +47,11 @@ FUNCTIONS: dict[str, Callable[..., Column]] = {
     "unique": lists.distinct_items,
 }
 
+# Functions that look at lists as such; all others take single values.
+LIST_FUNCTIONS = frozenset(["len", "bool", "json2str", "default", "or", "filter_empty", "unique"])
+# Functions that need to know the type of their first argument.
+TYPED = frozenset(["len", "bool", "json2str", "default", "filter_empty", "unique"])
+
 
 def register(name: str, function: Callable[..., Column]) -> None:
     """Add a Column function under a new name."""
@@ -66,10 +71,11 @@ def call(name: str, *args, **named) -> Column:
     return FUNCTIONS[name](*args, **named)
 
 
-def via(name: str, *args) -> Callable[[Column], Column]:
+def via(name: str, *args, dtype: T.DataType | None = None) -> Callable[[Column], Column]:
     """A formatting step for one column, such as ``via('selected-at', 3)``.
 
     Misuse puts a message in the cell instead of failing the whole export.
+    ``dtype`` is the type of the value, for the functions that ask for it.
     """
     shown = f"{name}({', '.join(_shown(a) for a in args)})"
     if name == "selected-at" and not re.fullmatch(r"[+-]?\d+", str(args[0]).strip()):
@@ -79,7 +85,7 @@ def via(name: str, *args) -> Callable[[Column], Column]:
     elif name == "template" and not (args and args[0]):
         message = text.TEMPLATE_CALL_ERROR.format(call=shown)
     else:
-        return _step(name, args)
+        return _step(name, args, dtype)
     return lambda value: F.lit(message)
 
 
@@ -87,9 +93,10 @@ def _shown(arg) -> str:
     return "" if isinstance(arg, Column) else str(arg)
 
 
-def _step(name: str, args: tuple) -> Callable[[Column], Column]:
+def _step(name: str, args: tuple, dtype: T.DataType | None) -> Callable[[Column], Column]:
     if name == "template":
         return lambda value: text.template(args[0], *(args[1:] or (value,)))
     if name in ("selected-at", "substr"):
         return lambda value: call(name, value, *[int(a) for a in args])
-    return lambda value: call(name, value, *args)
+    named = {"dtype": dtype} if dtype is not None and name in TYPED else {}
+    return lambda value: call(name, value, *args, **named)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,7 +15,6 @@ INDEX_ERROR = "Error: index must be an integer"
 INDEX_CALL_ERROR = "Error: selected-at index must be an integer: {call}"
 TEMPLATE_CALL_ERROR = "Error: template function requires the format template: {call}"
 SUBSTR_CALL_ERROR = "Error: both substr arguments must be non-negative integers: {call}"
-PARSE_ERROR = "Error: Unable to parse: {call}"
 
 # Any Unicode white space, and the four separator control characters. The
 # property class is the fastest of the equivalent patterns measured.
@@ -69,14 +71,35 @@ def join_text(separator: str, *parts: Column) -> Column:
 
 
 def template(layout: str, *parts: Column) -> Column:
-    """Fill each ``{}`` of the layout in turn; null if any part used is null.
+    """Fill the places of the layout; null if any part used is null.
 
-    The layout is split while the plan is built, so rows only concatenate.
+    Places are ``{}`` in turn, or ``{0}`` by number; ``{:>4}`` and the like set
+    a fill character, an alignment (``<`` or ``>``) and a width. ``{{`` and
+    ``}}`` stand for braces. The layout is read while the plan is built, so
+    rows only concatenate; a place that cannot be stated so is refused.
     """
-    pieces = layout.split("{}")
-    if len(pieces) - 1 > len(parts):
-        raise IndexError(f"{len(pieces) - 1} places but {len(parts)} values: {layout}")
-    out = [F.lit(pieces[0])]
-    for part, literal in zip(parts, pieces[1:]):
-        out += [part.cast("string"), F.lit(literal)]
+    out, turn = [F.lit("")], 0
+    for literal, name, form, conversion in string.Formatter().parse(layout):
+        out.append(F.lit(literal))
+        if name is None:
+            continue
+        if conversion or not (name == "" or name.isdigit()):
+            raise ValueError(f"cannot fill {{{name}}}: {layout}")
+        at = turn if name == "" else int(name)
+        turn += name == ""
+        if at >= len(parts):
+            raise IndexError(f"place {at} but {len(parts)} values: {layout}")
+        out.append(_aligned(parts[at].cast("string"), form, layout))
     return F.concat(*out)
+
+
+def _aligned(text: Column, form: str, layout: str) -> Column:
+    """A text padded as a format such as ``*>8`` says; never cut."""
+    if not form:
+        return text
+    parts = re.fullmatch(r"(?:(.)?([<>]))?(\d+)s?", form)
+    if not parts:
+        raise ValueError(f"cannot format as {form!r}: {layout}")
+    fill, side, width = parts[1] or " ", parts[2] or "<", int(parts[3])
+    pad = F.repeat(F.lit(fill), F.greatest(F.lit(width) - F.length(text), F.lit(0)))
+    return F.concat(pad, text) if side == ">" else F.concat(text, pad)

@@ -149,12 +149,13 @@ def declared_columns(df: DataFrame, declared: dict[str, str | None], lenient: bo
 
 # Kinds of text, each with its form. A value counts as the first kind whose
 # form it has and that it can be cast to, so '1' is not true and a time of day
-# is not a date.
+# is not a date. Nothing that would lose by the cast has such a form: leading
+# zeros, signs of telephone numbers, more digits than the type holds, zones.
 FORMS = (
-    ("bigint", r"^[+-]?[0-9]+$"),
-    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("bigint", r"^(0|-?[1-9][0-9]*)$"),
+    ("double", r"^-?(?=([0-9]\.?){1,16}$)(0|[1-9][0-9]*)(\.[0-9]+)?$"),
     ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-    ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}"),
+    ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?$"),
     ("boolean", r"^(?i:true|false)$"),
 )
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable, small_side
+from ..session import durable
 
-MAX_DEPTH = 64
-MAX_LEVELS = 1_000
+# Levels climbed between two checkpoints.
+ROUNDS = 4
 
 
 def clean_name(code: Column) -> Column:
@@ -40,10 +40,8 @@ def level_depths(types: DataFrame, key: str = "resource_uri", parent: str = "par
 
 
 def ordered_codes(types: DataFrame, code: str = "code") -> list[str]:
-    """Level codes, deepest first. The list names columns, so its length is checked."""
-    rows = level_depths(types).select(code, "depth").limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} levels")
+    """Level codes, deepest first. Each names a column, so they are as few as columns are."""
+    rows = level_depths(types).select(code, "depth").collect()
     lost = [r[0] for r in rows if r["depth"] is None]
     if lost:
         raise ValueError(f"levels in a cycle or below an unknown one: {', '.join(map(str, lost))}")
@@ -55,38 +53,42 @@ def ancestors(places: DataFrame, types: DataFrame) -> DataFrame:
 
     A place is its own ancestor at distance 0. The climb ends at a top place,
     at a parent that is not in the table and at a place of unknown type. Each
-    round of the loop moves all places up by one, so there are as many joins
-    as levels, whatever the number of places; the join splits hot parents. A
-    cycle fails instead of running forever.
+    round moves all places up by one, so there are as many joins as the tree
+    is deep, whatever the number of places; the join splits hot parents. Every
+    few rounds the rounds so far are written down, which bounds the plan. A
+    place that meets itself on its way up is in a cycle, and fails.
     """
-    known = small_side(types.select(F.col("resource_uri").alias("__type"), F.col("code")))
-    nodes = places.join(known, F.col("location_type") == F.col("__type")).select(
+    known = types.select(F.col("resource_uri").alias("__type"), F.col("code"))
+    nodes = durable(places.join(known, F.col("location_type") == F.col("__type")).select(
         F.col("resource_uri").alias("__at"), F.col("parent").alias("__up"), "code",
         F.col("location_id").alias("ancestor_id"),
-    )
-    nodes = durable(nodes)
-    side = small_side(nodes)
+    ))
     frontier = nodes.select(
         F.col("__at").alias("uri"), "code", "ancestor_id", F.lit(0).alias("distance"),
         F.col("__up").alias("__next"),
     )
-    found = [frontier]
-    for _ in range(MAX_DEPTH):
-        climbing = frontier.select("uri", "distance", "__next").where(F.col("__next").isNotNull())
-        if climbing.isEmpty():
-            break
-        frontier = durable(
-            _step_up(climbing, side, "__next", "distance").select(
-                "uri", "code", "ancestor_id", "distance", F.col("__up").alias("__next")
-            )
-        )
-        found.append(frontier)
-    else:
-        raise ValueError(f"places are nested deeper than {MAX_DEPTH} or form a cycle")
-    out = found[0]
-    for part in found[1:]:
+    out = frontier
+    while True:
+        rounds = []
+        for _ in range(ROUNDS):
+            climbing = frontier.select("uri", "distance", "__next").where(F.col("__next").isNotNull())
+            frontier = _step_up(climbing, nodes, "__next", "distance").select(
+                "uri", "code", "ancestor_id", "distance", F.col("__up").alias("__next"), F.col("__at").alias("__here"))
+            met = F.col("uri") == F.col("__here")
+            frontier = frontier.withColumn("distance", F.when(
+                met, F.raise_error(F.concat(F.lit("places form a cycle at "), "uri")).cast("int")).otherwise(F.col("distance"))).drop("__here")
+            rounds.append(frontier)
+        part = rounds[0]
+        for other in rounds[1:]:
+            part = part.unionByName(other)
+        part = durable(part)
+        last = part.agg(F.max("distance")).first()[0]
+        if last is None:
+            return out.drop("__next")
         out = out.unionByName(part)
-    return out.drop("__next")
+        frontier = part.where(F.col("distance") == last)
+        if frontier.where(F.col("__next").isNotNull()).isEmpty():
+            return out.drop("__next")
 
 
 def ancestor_columns(closure: DataFrame, codes: list[str]) -> DataFrame:

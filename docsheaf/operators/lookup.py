@@ -4,28 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import small_side
+from ..functions import cell_text, unwrap_single
 
 
 def last_per_source(mapping: DataFrame, order: str) -> DataFrame:
     """A mapping (name, source, destination) with the last entry per source."""
-    last = F.max(F.struct(order, "destination")).getField("destination")
+    last = F.max(F.struct(F.col(order).alias("at"), "destination")).getField("destination")
     return mapping.groupBy("name", "source").agg(last.alias("destination"))
 
 
 def map_values(df: DataFrame, mapping: DataFrame, name: str, column: str, out: str) -> DataFrame:
     """Replace values by a named mapping; what is not mapped stays as it is.
 
-    An empty destination counts as not mapped. ``mapping`` holds one row per
-    (name, source).
+    An empty destination counts as not mapped. Of several entries for one
+    source the last counts: by the column ``position`` if the mapping has one,
+    else the greatest. So a row is never multiplied. A list of one is mapped
+    as its element, a longer one stays the text of its cell.
     """
-    side = mapping.where(F.col("name") == name).select(
+    entries = mapping.where(F.col("name") == name)
+    order = "position" if "position" in mapping.columns else "destination"
+    side = last_per_source(entries, order).select(
         F.col("source").cast("string").alias("__source"), F.nullif("destination", F.lit("")).alias("__to")
     )
-    value = F.col(column).cast("string")
-    joined = df.join(small_side(side), value == F.col("__source"), "left")
-    return joined.select(*df.columns, F.coalesce("__to", value).alias(out))
+    dtype = df.schema[column].dataType
+    value = F.col(f"`{column}`")
+    if isinstance(dtype, T.ArrayType):
+        key, shown = unwrap_single(value).cast("string"), cell_text(value, dtype)
+    else:
+        key = shown = value.cast("string")
+    joined = df.join(side, key == F.col("__source"), "left")
+    return joined.select(*df.columns, F.coalesce("__to", shown).alias(out))
 
 
 def look_up(df: DataFrame, side: DataFrame, key: Column, side_key: str, fields: dict[str, str]) -> DataFrame:
@@ -34,7 +44,7 @@ def look_up(df: DataFrame, side: DataFrame, key: Column, side_key: str, fields:
     ``side`` holds one row per key.
     """
     picked = side.select(F.col(side_key).alias("__key"), *[F.col(c).alias(n) for c, n in fields.items()])
-    joined = df.join(small_side(picked), key == F.col("__key"), "left")
+    joined = df.join(picked, key == F.col("__key"), "left")
     return joined.select(*df.columns, *fields.values())
 
 

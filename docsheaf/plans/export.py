@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    attachment_url, attachment_urls, auto_id, cell_text, doc_url, first_present, variant_cell, variant_field, variant_list, via, xml_text,
+    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, cell_text, doc_url, first_present, variant_cell, variant_field,
+    variant_json, variant_list, via, xml_text,
 )
 from ..functions import field as struct_field
 from ..operators.contract import check_names
@@ -198,25 +199,42 @@ def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
             own = walk(F.col(CHILD), item, path)
             if own and isinstance(own[1], T.VariantType):
                 own = F.try_variant_get(own[0], "$", "string"), T.StringType()
-            part = F.col(f"`{doc.part}`") if doc.part else None
-            named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0], part)
+            named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0])
             return F.when(F.col(POS).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
         return walk(F.col(CHILD), item, path)
 
     return resolve
 
 
-def _value(spec: ColumnSpec, resolve: Callable, base_url: str):
-    """(value, type) before cell coercion; null text where no path exists."""
+def _value(spec: ColumnSpec, resolve: Callable, base_url: str, rows: DataFrame) -> Column:
+    """The value before cell coercion; null text where no path exists.
+
+    Each step works on what the one before it gave, value and type. A step for
+    single values gets a list as the text of its cell, so a list of one is its
+    element, alike in documents with and without a schema.
+    """
     value, dtype = _meet([f for f in (resolve(p) for p in (spec.path, *spec.alternates)) if f is not None])
     for step in (spec.map_via, spec.format_via):
         if step:
-            if _untyped(dtype):
-                value, dtype = _untyped_text(value, dtype), T.StringType()
+            value, dtype = _for_step(step[0], value, dtype)
             value = _step(step, dtype, resolve, base_url)(value)
+            dtype = rows.select(value.alias("v")).schema["v"].dataType
     return value
 
 
+def _for_step(name: str, value: Column, dtype: T.DataType):
+    """(value, type) as the named function takes it."""
+    if _untyped(dtype):
+        if name == "json2str":
+            return variant_json(value, dtype), T.StringType()
+        return _untyped_text(value, dtype), T.StringType()
+    if name in LIST_FUNCTIONS or name == "attachment_url":
+        return value, dtype
+    if isinstance(dtype, (T.ArrayType, T.StructType)):
+        return _untyped_text(value, dtype), T.StringType()
+    return value, dtype
+
+
 def _meet(found: list):
     """First value present among paths; paths of different types meet as text."""
     if not found:
@@ -241,7 +259,7 @@ def _step(step: tuple, dtype: T.DataType, resolve: Callable, base_url: str) -> C
             build = attachment_urls if isinstance(dtype, T.ArrayType) else attachment_url
             return lambda value: build(base_url, domain, key, value)
         return lambda value: doc_url(URL_STEPS[name], base_url, domain, key)
-    return via(name, *[text(a) if isinstance(a, tuple) else a for a in args])
+    return via(name, *[text(a) if isinstance(a, tuple) else a for a in args], dtype=dtype)
 
 
 def _step_paths(column: ColumnSpec):
@@ -268,21 +286,27 @@ def _after_xml(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, (T.StructType, T.VariantType)) else dtype
 
 
-def export(doc: DocTable, spec: ExportSpec, mappings: DataFrame | None = None) -> DataFrame:
+def export(
+    doc: DocTable, spec: ExportSpec, mappings: DataFrame | None = None, carry: dict[str, Column] | None = None,
+) -> DataFrame:
     """The table a spec describes, as a DataFrame.
 
     Paths become plain field access on the source, so the scan reads only the
-    fields the spec names.
+    fields the spec names. ``carry`` adds columns of the source as they are,
+    with no cell coercion.
     """
+    carry = carry or {}
     if doc.resource != spec.resource:
         raise ValueError(f"spec {spec.table} reads {spec.resource}, not {doc.resource}")
-    doc = replace(doc.rooted(*(spec.root or doc.root)), df=match_filters(doc.df, spec.filters))
+    doc = replace(doc.rooted(*(spec.root or doc.root)), df=match_filters(doc.df, spec.filters, doc.member))
     rows = doc.df
     if doc.root:
         unnest = child_or_root_rows if spec.value_or_root else child_rows_at
         rows = unnest(doc.df, _items(doc), CHILD, POS)
     resolve = _resolver(doc, rows)
-    out = rows.select(*[_value(c, resolve, spec.base_url).alias(c.name) for c in spec.columns])
+    out = rows.select(
+        *[_value(c, resolve, spec.base_url, rows).alias(c.name) for c in spec.columns],
+        *[value.alias(name) for name, value in carry.items()])
     for column in spec.columns:
         if column.mapping:
             if mappings is None:
@@ -290,7 +314,7 @@ def export(doc: DocTable, spec: ExportSpec, mappings: DataFrame | None = None) -
             mapped = map_values(out, mappings, column.mapping, column.name, "__mapped")
             out = mapped.withColumn(column.name, F.col("__mapped")).drop("__mapped")
     types = out.schema
-    return out.select(*[_cell(c, types[c.name].dataType, spec.missing_value) for c in spec.columns])
+    return out.select(*[_cell(c, types[c.name].dataType, spec.missing_value) for c in spec.columns], *carry)
 
 
 def _cell(column: ColumnSpec, dtype: T.DataType, missing: str | None) -> Column:
@@ -319,7 +343,7 @@ def columns_read(specs: list[ExportSpec], doc: DocTable) -> list[str]:
     """Top-level source columns that any of the specs touches."""
     if doc.variant:
         return doc.df.columns
-    wanted = {doc.id_field, doc.part, *doc.root[:1]}
+    wanted = {doc.id_field, *doc.root[:1]}
     for spec in specs:
         wanted.update(spec.root[:1])
         wanted.update(name for name, _ in spec.filters)
@@ -337,14 +361,14 @@ def columns_read(specs: list[ExportSpec], doc: DocTable) -> list[str]:
 
 def export_many(
     doc: DocTable, specs: list[ExportSpec], write: Callable[[str, DataFrame], None],
-    mappings: DataFrame | None = None, target: str | None = None, keep: bool = True,
+    mappings: DataFrame | None = None, target: str | None = None, keep: bool = False,
 ) -> None:
     """Write several tables from one source.
 
-    The columns they need are scanned once and kept, on disk where memory is
-    short; all names are checked before anything is written. ``keep=False``
-    scans once per table instead, which costs less where the source is
-    columnar and each table needs few of its fields.
+    All names are checked before anything is written. Each table scans the
+    fields it needs, which suits columnar sources. ``keep=True`` scans the
+    columns of all tables once and keeps them on the executors, on disk where
+    memory is short, for small sources that are costly to read.
     """
     for spec in specs:
         check_names(spec.table, [c.name for c in spec.columns], target)

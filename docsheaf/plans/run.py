@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import to_datetime
 from ..operators.contract import check_names
 from ..operators.merge import collapse
 from ..sinks.store import StoredTable
-from ..sources.ranges import in_range, progress_date, since_until_fallback
+from ..sources.ranges import EXCLUSIVE_UNTIL, in_range, progress_date, since_until_fallback
 from ..sources.tables import DocTable
-from .export import ROOT, ColumnSpec, ExportSpec, export
+from .export import ExportSpec, export
 from .ledger import CURSOR_MODE, Ledger, Run, ledger_used, scan_mode, start_point
 
 ORDER = "__order"
@@ -32,60 +32,66 @@ def run_export(
     doc: DocTable, specs: list[ExportSpec], folder: str, run: Run, date_fields: list[str],
     ledger: Ledger | None = None, since=None, until=None, start_over: bool = False,
     mappings: DataFrame | None = None, parts: int = 1, strict: bool = False,
+    mode_fields: dict[str, list[str]] | None = None,
 ) -> Progress:
     """Export what is new in a source to one stored table per spec.
 
-    The range starts where the ledger says the tables have got, inclusive, and
-    ends at the newest date seen when the run starts. Rows on the boundary are
-    read again next time, which the merge by id makes harmless. Progress is
-    recorded after all merges are committed: a run that dies is simply
-    repeated. ``date_fields`` are tried in order; in cursor mode the first one
-    is the key of the cursor.
+    The range starts where the ledger says the tables have got, inclusive. An
+    upper bound is there only if the caller asks for one, so a first run takes
+    every document, with or without a date. Rows on the boundary are read again
+    next time, which the merge by id makes harmless. How far the run got, the
+    newest date and the id that has it, is observed while the first table is
+    written, and recorded after all merges are committed: a run that dies is
+    simply repeated. Where no document has a date nothing is recorded, and the
+    next run takes everything again.
+
+    ``date_fields`` are tried in order; in cursor mode the first one is the key
+    of the cursor. ``mode_fields`` names other fields for some modes: a resumed
+    run keeps its mode and so goes on along the fields it began with.
     """
     for spec in specs:
         check_names(spec.table, [c.name for c in spec.columns])
     use = ledger is not None and ledger_used(since, until)
     row = ledger.resume(run) if use and not start_over else None
     mode = scan_mode(row, run, start_over, since)
+    fields = (mode_fields or {}).get(mode, date_fields)
     start = start_point(row, run, start_over, since)
-    dates = [F.col(f"`{f}`") for f in date_fields]
-    start = _typed(doc.df, date_fields[0], start)
-    scope = _range(doc.df, dates, start, until)
-    end = until if until is not None else scope.agg(F.max(progress_date(dates)).alias("m")).first()["m"]
-    if end is None:
-        return Progress(start, None, mode)
-    bounded = replace(doc, df=_range(doc.df, dates, start, end))
-    for spec in specs:
-        ordered = replace(spec, columns=spec.columns + (_order_column(date_fields),))
-        rows = export(bounded, ordered, mappings)
+    dates = [doc.member(f) for f in fields]
+    at = progress_date(dates)
+    start = _typed(doc.df, dates[0], start)
+    bounded = replace(doc, df=_range(doc.df, fields, dates, start, until))
+    id_of = doc.member(doc.id_field).cast("string")
+    reached = Observation()
+    seen = bounded.df.observe(reached, F.max(F.struct(at.alias("at"), id_of.alias("id"))).alias("last"))
+    for n, spec in enumerate(specs):
+        source = replace(bounded, df=seen) if n == 0 else bounded
+        rows = export(source, spec, mappings, carry={ORDER: at})
         merged = collapse(rows, "id", F.col(ORDER)).drop(ORDER)
         StoredTable(doc.df.sparkSession, f"{folder}/{spec.table}", "id", parts).merge(merged, strict)
-    if use:
-        cursor = str(end) if mode == CURSOR_MODE else None
-        ledger.record(run, _text(end), mode, final=True, cursor=cursor)
+    last = reached.get["last"] if specs else None
+    newest = last["at"] if last is not None else None
+    end = until if until is not None else newest
+    if use and newest is not None:
+        cursor = str(newest) if mode == CURSOR_MODE else None
+        ledger.record(run, _text(newest), mode, final=True, last_doc_id=last["id"], cursor=cursor)
     return Progress(start, end, mode)
 
 
-def _order_column(date_fields: list[str]) -> ColumnSpec:
-    first, *others = [(ROOT, f) for f in date_fields]
-    return ColumnSpec(ORDER, first, alternates=tuple(others))
-
-
-def _range(df: DataFrame, dates: list[Column], since, until) -> DataFrame:
+def _range(df: DataFrame, fields: list[str], dates: list[Column], since, until) -> DataFrame:
     if len(dates) > 1:
         return since_until_fallback(df, dates, since, until)
-    return in_range(df, dates[0], since, until)
+    return in_range(df, dates[0], since, until, fields[0] != EXCLUSIVE_UNTIL)
 
 
 def _text(value) -> str:
     return value.isoformat() if hasattr(value, "isoformat") else str(value)
 
 
-def _typed(df: DataFrame, name: str, value):
+def _typed(df: DataFrame, column: Column, value):
     """A recorded bound in the type of its column, so that the filter pushes down."""
     if not isinstance(value, str):
         return value
-    dtype = df.schema[name].dataType.simpleString()
+    dtype = df.select(column.alias("v")).schema["v"].dataType.simpleString()
     if dtype == "string":
         return value
     bound = to_datetime(F.lit(value)) if dtype.startswith("timestamp") and value.endswith("Z") else F.lit(value)

@@ -6,12 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest side that is handed to every executor. Both limits are checked on
-# the data itself before a broadcast is asked for.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str = "docsheaf", master: str | None = None, **conf) -> SparkSession:
@@ -57,22 +51,3 @@ def durable(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether the whole of ``df`` is within both limits.
-
-    Only row lengths come to the driver, ``rows`` + 1 of them at most, and
-    ``take`` stops reading partitions as soon as it has that many.
-    """
-    lengths = df.select(F.length(F.to_json(F.struct("*"))).alias("b")).take(rows + 1)
-    return len(lengths) <= rows and sum(r["b"] or 0 for r in lengths) <= size
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast if it is proven small; else leave it to the optimizer.
-
-    Without the mark the join is a shuffled one, whose hot keys adaptive
-    execution splits.
-    """
-    return F.broadcast(df) if is_small(df, rows, size) else df

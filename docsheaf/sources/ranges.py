@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -15,16 +16,26 @@ CURSOR_PAGE_ROWS = 10_000
 PAGE_ROWS = 1_000
 
 
-def match_filters(df: DataFrame, filters: Iterable[tuple[str, object]]) -> DataFrame:
-    """Names must all match; values given for one name are alternatives."""
+def match_filters(df: DataFrame, filters: Iterable[tuple[str, object]], member=None) -> DataFrame:
+    """Names must all match; values given for one name are alternatives.
+
+    ``member`` turns a name into a Column, by default into that of the name.
+    From documents without a schema it gives text, so values are compared as text.
+    """
     wanted: dict[str, list] = {}
     for name, value in filters:
         wanted.setdefault(name, []).append(value)
     for name, values in wanted.items():
-        df = df.where(F.col(name).isin(values))
+        column = member(name) if member else F.col(name)
+        same = [v if isinstance(v, str) else json.dumps(v) for v in values] if member and is_text(df, column) else values
+        df = df.where(column.isin(same))
     return df
 
 
+def is_text(df: DataFrame, column: Column) -> bool:
+    return df.select(column.alias("v")).schema["v"].dataType.simpleString() == "string"
+
+
 def bound(value) -> Column:
     """A literal to compare with; a time without zone stays one."""
     if isinstance(value, datetime.datetime) and value.tzinfo is None:

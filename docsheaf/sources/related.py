@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import small_side
-
-ITEMS_PER_PART = 1_000
-
 
 def related_rows(
     parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, name: str,
@@ -31,38 +27,18 @@ def related_rows(
 
 
 def inline_children(
-    parents: DataFrame,
-    children: DataFrame,
-    parent_key: str,
-    child_key: str,
-    name: str,
-    items_per_part: int = ITEMS_PER_PART,
+    parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, name: str,
 ) -> DataFrame:
-    """Each parent with its related documents in the sorted list ``name``.
-
-    A related document is inlined once, however many copies of it have landed;
-    copies are reduced inside the tasks, before the shuffle.
+    """Each parent, in one row, with its related documents in the sorted list ``name``.
 
-    A list is built in one task, so its length must have a bound. A parent
-    with more than ``items_per_part`` children comes in several rows, numbered
-    in ``part``, which together hold every child; parents with fewer, the
-    usual case, have the single part 0 and those with none an empty list.
+    Every child is in the list, equal ones too; copies of landed documents are
+    for ``one_per_id`` to remove. A list is built in one task: this form is for
+    children whose number per parent has a bound, such as the lines of an
+    order. Where it has none use ``related_rows``, one row per child.
     """
-    counts = children.groupBy(F.col(child_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
-    large = counts.where(F.col("__n") > items_per_part).select(
-        "__key", F.ceil(F.col("__n") / items_per_part).cast("bigint").alias("__parts")
-    )
     columns = [F.col(f"`{c}`") for c in children.columns]
-    spread = F.pmod(F.xxhash64(*columns), F.coalesce("__parts", F.lit(1).cast("bigint")))
-    placed = children.join(small_side(large), F.col(child_key) == F.col("__key"), "left").select(
-        F.col(child_key).alias("__parent"), spread.alias("part"), F.struct(*columns).alias("__item")
-    )
-    parts = placed.groupBy("__parent", "part").agg(F.sort_array(F.collect_set("__item")).alias(name))
-    empty = F.array().cast(parts.schema[name].dataType)
-    # Inner join and anti join instead of a left join, as in related_rows: the
-    # parts of one large parent may then be split.
-    matched = parents.join(parts, parents[parent_key] == F.col("__parent")).drop("__parent")
-    childless = parents.join(counts, parents[parent_key] == F.col("__key"), "left_anti")
-    return matched.unionByName(
-        childless.withColumns({"part": F.lit(0).cast("bigint"), name: empty})
-    )
+    item = F.struct(*columns)
+    lists = children.groupBy(F.col(child_key).alias("__parent")).agg(F.sort_array(F.collect_list(item)).alias("__items"))
+    empty = F.array().cast(lists.schema["__items"].dataType)
+    joined = parents.join(lists, parents[parent_key] == F.col("__parent"), "left").drop("__parent")
+    return joined.withColumn(name, F.coalesce("__items", empty)).drop("__items")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field as dc_field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import variant_field
 
 # The collections a document can come from.
 RESOURCES = (
@@ -20,9 +23,7 @@ class DocTable:
     ``root`` names the steps to the list whose elements become rows; without
     it every document is one row. ``id_field`` identifies a document.
     ``variant`` names the column that holds the whole document as a variant,
-    for documents without a declared schema. ``part`` names the column that
-    numbers the rows of one document, if it can come in several, as from
-    ``inline_children``.
+    for documents without a declared schema.
     """
 
     df: DataFrame
@@ -30,12 +31,17 @@ class DocTable:
     root: tuple[str, ...] = dc_field(default_factory=tuple)
     id_field: str = "id"
     variant: str | None = None
-    part: str | None = None
 
     def __post_init__(self) -> None:
         if self.resource not in RESOURCES:
             raise ValueError(f"unknown resource {self.resource!r}; known: {', '.join(RESOURCES)}")
 
+    def member(self, name: str) -> Column:
+        """A top-level member of the documents: a column, or text from the variant."""
+        if self.variant:
+            return variant_field(F.col(f"`{self.variant}`"), name)
+        return F.col(f"`{name}`")
+
     def rooted(self, *steps: str) -> "DocTable":
         """The same documents read from a list inside them."""
         return replace(self, root=tuple(s for s in steps if s != "[*]"))

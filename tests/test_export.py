@@ -17,11 +17,40 @@ def table(df, resource="form"):
 
 
 def test_missing_value(spark):
-    df = docs(spark, "foo struct<baz:int,bar:boolean,boo:string>", {"foo": {"baz": 3, "bar": True, "boo": None}})
-    spec = ExportSpec("t", "form", (
-        ColumnSpec("a", ("foo", "baz"), data_type="integer"), ColumnSpec("b", ("foo", "bar")),
-        ColumnSpec("c", ("foo", "foo")), ColumnSpec("d", ("foo", "boo"))), missing_value="---")
-    assert tuple(export(table(df), spec).first()) == (3, "true", "---", "---")
+    """Stands for absent members and nulls, in columns of text only."""
+    df = docs(spark, "page struct<size:int,final:boolean,title:string>", {"page": {"size": 12, "final": False}}, {})
+    spec = ExportSpec("pages", "form", (
+        ColumnSpec("size", ("page", "size"), data_type="integer"), ColumnSpec("final", ("page", "final")),
+        ColumnSpec("title", ("page", "title")), ColumnSpec("author", ("page", "author"))), missing_value="n/a")
+    assert [tuple(r) for r in export(table(df), spec).collect()] == [(12, "false", "n/a", "n/a"), (None, "n/a", "n/a", "n/a")]
+
+
+@pytest.mark.parametrize("step,cells", [
+    (("json2str",), ["a b", "7", '["p"]', '["p","q"]', '{"k":"v"}']),
+    (("default", "none"), ["a b", "7", '["p"]', '["p","q"]', '{"k":"v"}']),
+    (("selected-at", 0), ["a", "7", "p", "p,q", '{"k":"v"}']),
+    (("substr", 0, 1), ["a", "7", "p", "p", "{"]),
+    (("template", "<{:>4}>"), ["< a b>", "<   7>", "<   p>", "< p,q>", '<{"k":"v"}>']),
+    (("bool",), [True] * 5),
+    (("len",), [3, 1, 1, 2, None]),
+    (("unique",), ["a b", 7, "p", "p,q", '{"k":"v"}']),
+])
+def test_steps_on_values_of_every_type(spark, step, cells):
+    """Text, number, list of one, longer list, object: a list of one counts as its element for single values."""
+    df = docs(spark, "t string, n int, one array<string>, xs array<string>, o struct<k:string>",
+              {"t": "a b", "n": 7, "one": ["p"], "xs": ["p", "q"], "o": {"k": "v"}})
+    for name, want in zip(("t", "n", "one", "xs", "o"), cells):
+        if want is not None:
+            spec = ExportSpec("t", "form", (ColumnSpec("v", (name,), map_via=step),))
+            assert export(table(df), spec).first()["v"] == want, name
+
+
+def test_mappings_never_multiply_rows(spark):
+    df = docs(spark, "id int, xs array<string>", {"id": 1, "xs": ["a"]}, {"id": 2, "xs": ["a", "b"]}, {"id": 3})
+    mapping = spark.createDataFrame([("m", "a", "first", 1), ("m", "a", "last", 2), ("m", "a", "other", 0)],
+                                    "name string, source string, destination string, position int")
+    spec = ExportSpec("t", "form", (ColumnSpec("v", ("xs",), mapping="m"),))
+    assert [r["v"] for r in export(table(df), spec, mapping).collect()] == ["last", "a,b", None]
 
 
 def test_list_cells_are_joined(spark):

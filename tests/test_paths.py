@@ -70,43 +70,44 @@ def test_dynamic_name(value):
 
 
 def test_auto_id(spark):
-    df = docs(spark, "id int, bar array<struct<baz:string,id:string>>",
-              {"id": 1, "bar": [{"baz": "a1"}, {"baz": "a2", "id": "bazzer"}]})
-    rows = child_rows_at(df, F.col("bar"), "c").select(
-        fn.auto_id(F.col("id"), "bar", F.col("pos"), F.col("c.id")).alias("k"), "c.baz")
-    assert [tuple(r) for r in rows.collect()] == [("1.bar.[0]", "a1"), ("1.bar.bazzer", "a2")]
+    df = docs(spark, "id int, remarks array<struct<note:string,id:string>>",
+              {"id": 40, "remarks": [{"note": "late", "id": "r7"}, {"note": "torn page"}, {"note": "late"}]})
+    rows = child_rows_at(df, F.col("remarks"), "c").select(
+        fn.auto_id(F.col("id"), "remarks", F.col("pos"), F.col("c.id")).alias("k"), "c.note")
+    assert [tuple(r) for r in rows.collect()] == [
+        ("40.remarks.r7", "late"), ("40.remarks.[1]", "torn page"), ("40.remarks.[2]", "late")]
 
 
-SCHEMA = "id int, foo string, bar array<struct<baz:string,foo:string>>"
-SPEC = ExportSpec("t", "form", (
-    ColumnSpec("id", ("id",)), ColumnSpec("baz", ("baz",)), ColumnSpec("root_foo", ("$", "foo")),
-    ColumnSpec("foo", ("foo",))), root=("bar", "[*]"), value_or_root=True)
+LINES = "id int, lang string, lines array<struct<text:string,lang:string>>"
+SPEC = ExportSpec("lines", "form", (
+    ColumnSpec("id", ("id",)), ColumnSpec("text", ("text",)), ColumnSpec("of", ("$", "lang")),
+    ColumnSpec("lang", ("lang",))), root=("lines", "[*]"), value_or_root=True)
 
 
-@pytest.mark.parametrize("document,expected", [
-    ({"id": 1, "bar": [{"baz": "a1"}, {"baz": "a2"}]},
-     [("1.bar.[0]", "a1", None, None), ("1.bar.[1]", "a2", None, None)]),
-    ({"id": 1, "foo": "I am foo", "bar": []}, [("1", None, "I am foo", None)]),
-    ({"id": 1, "foo": "I am foo", "bar": None}, [("1", None, "I am foo", None)]),
-    ({"id": 1, "foo": "I am foo"}, [("1", None, "I am foo", None)]),
-])
-def test_value_or_root(spark, document, expected):
-    df = docs(spark, SCHEMA, document)
-    assert [tuple(r) for r in export(DocTable(df, "form"), SPEC).collect()] == expected
+def exported(spark, schema, *rows, spec=SPEC):
+    return [tuple(r) for r in export(DocTable(docs(spark, schema, *rows), "form"), spec).collect()]
 
 
-def test_an_object_counts_as_a_list_of_one_unless_it_is_empty(spark):
-    df = docs(spark, "id int, foo string, bar struct<baz:string,foo:string>",
-              {"id": 1, "foo": "I am foo", "bar": {}}, {"id": 2, "bar": {"baz": "x"}})
-    assert [tuple(r) for r in export(DocTable(df, "form"), SPEC).collect()] == [
-        ("1", None, "I am foo", None), ("2.bar.[0]", "x", None, None)]
+def test_rows_from_lines_or_else_the_document(spark):
+    """A document without lines is one row; its own members are then reached by ``$`` only."""
+    assert exported(spark, LINES,
+        {"id": 7, "lang": "de", "lines": [{"text": "eins", "lang": "nl"}, {"text": "zwei"}, {}]},
+        {"id": 8, "lang": "fr", "lines": []}, {"id": 9, "lines": None}, {"id": None, "lang": "es"},
+    ) == [("7.lines.[0]", "eins", "de", "nl"), ("7.lines.[1]", "zwei", "de", None), ("7.lines.[2]", None, "de", None),
+          ("8", None, "fr", None), ("9", None, None, None), (None, None, "es", None)]
 
 
-def test_without_value_or_root_empty_documents_give_no_rows(spark):
+def test_one_line_that_is_no_list(spark):
+    schema = LINES.replace("array<struct<text:string,lang:string>>", "struct<text:string,lang:string>")
+    assert exported(spark, schema, {"id": 3, "lang": "it", "lines": {"text": "solo"}}, {"id": 4, "lang": "it", "lines": {}}) == [
+        ("3.lines.[0]", "solo", "it", None), ("4", None, "it", None)]
+
+
+def test_without_value_or_root_documents_without_lines_give_no_rows(spark):
     from dataclasses import replace
-    df = docs(spark, SCHEMA, {"id": 1, "bar": []}, {"id": 2, "bar": [{"baz": "x"}]})
-    rows = export(DocTable(df, "form"), replace(SPEC, value_or_root=False)).collect()
-    assert [r["id"] for r in rows] == ["2.bar.[0]"]
+    rows = exported(spark, LINES, {"id": 5, "lines": []}, {"id": 6, "lines": [{"text": "a"}]}, {"id": 7},
+                    spec=replace(SPEC, value_or_root=False))
+    assert rows == [("6.lines.[0]", "a", None, None)]
 
 
 def test_row_counts_of_unnesting(spark, sf):

@@ -45,6 +45,34 @@ def test_incremental_runs(spark):
     assert run_export(source(spark, rows), [SPEC], folder, RUN, ["indexed_on"], ledger, start_over=True).since is None
 
 
+def test_documents_without_a_date_are_exported(spark):
+    folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
+    rows = [("a", None, "A", 1), ("b", day(2), "B", 2), ("c", None, "C", 3)]
+    done = run_export(source(spark, rows), [SPEC], folder, RUN, ["indexed_on"], ledger)
+    assert done.until == day(2) and StoredTable(spark, f"{folder}/visits").read().count() == 3
+    assert (ledger.resume(RUN)["since_param"], ledger.resume(RUN)["last_doc_id"]) == (day(2), "b")
+    undated = fresh_dir(spark, "run")
+    done = run_export(source(spark, [r for r in rows if r[1] is None]), [SPEC], undated, RUN, ["indexed_on"],
+                      Ledger(spark, fresh_dir(spark, "ledger")))
+    assert done.until is None and StoredTable(spark, f"{undated}/visits").read().count() == 2
+
+
+def test_order_keeps_its_type_beside_a_missing_value(spark):
+    from dataclasses import replace
+    folder = fresh_dir(spark, "run")
+    rows = [("a", 9, "old", 1), ("a", 10, "new", 1)]
+    docs = source(spark, rows, "id string, version int, name string, count int")
+    run_export(docs, [replace(SPEC, missing_value="-")], folder, RUN, ["version"])
+    assert StoredTable(spark, f"{folder}/visits").read().first()["name"] == "new"
+
+
+def test_an_exclusive_upper_bound(spark):
+    folder = fresh_dir(spark, "run")
+    docs = source(spark, [("a", day(1), "A", 1), ("b", day(2), "B", 2)], SCHEMA.replace("indexed_on", "date_last_activity"))
+    run_export(docs, [SPEC], folder, RUN, ["date_last_activity"], until=day(2))
+    assert [r["id"] for r in StoredTable(spark, f"{folder}/visits").read().collect()] == ["a"]
+
+
 def test_types_change_between_runs(spark):
     folder = fresh_dir(spark, "run")
     run_export(source(spark, [("a", day(1), "A", 10)]), [SPEC], folder, RUN, ["indexed_on"])
@@ -87,16 +115,16 @@ def variants(spark, *texts):
 
 
 def test_documents_without_a_schema(spark):
-    doc = variants(spark, '{"id":1,"foo":{"baz":3,"bar":true,"boo":null},"xs":[{"y":1},{"y":2},{"z":9}],"one":{"y":5},"e":[],'
+    doc = variants(spark, '{"id":1,"page":{"size":3,"final":true,"title":null},"xs":[{"y":1},{"y":2},{"z":9}],"one":{"y":5},"e":[],'
                           '"x":{"#text":"t","@a":"b"}}')
     def cell(*path, **more):
         spec = ExportSpec("t", "form", (ColumnSpec("v", path, **more),), missing_value="---")
         return export(doc, spec).first()["v"]
-    assert [cell("foo", "baz"), cell("foo", "bar"), cell("foo", "foo"), cell("foo", "boo")] == ["3", "true", "---", None]
+    assert [cell("page", "size"), cell("page", "final"), cell("page", "author"), cell("page", "title")] == ["3", "true", "---", None]
     assert cell("xs", "[*]", "y") == "1,2" and cell("one", "[*]", "y") == "5" and cell("e") == "---"
-    assert cell("x") == "t" and cell("foo", "baz", data_type="integer") == 3
-    assert cell("nope", alternates=(("foo", "baz"),)) == "3"
-    assert cell("foo", "baz", format_via=("template", "<{}>")) == "<3>"
+    assert cell("x") == "t" and cell("page", "size", data_type="integer") == 3
+    assert cell("nope", alternates=(("page", "size"),)) == "3"
+    assert cell("page", "size", format_via=("template", "<{}>")) == "<3>"
 
 
 def test_rows_from_documents_without_a_schema(spark):

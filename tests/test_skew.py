@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from docsheaf import session
 from docsheaf.operators import collapse, look_up, roll_up, unknown_references
 from docsheaf.sources import one_per_id, related_rows
 
@@ -19,12 +18,11 @@ SETTINGS = {
 
 
 @pytest.fixture
-def hot(spark, monkeypatch):
+def hot(spark):
     """Settings under which small data is skewed data, and no broadcasts."""
     before = {k: spark.conf.get(k, None) for k in SETTINGS}
     for k, v in SETTINGS.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(session.small_side, "__defaults__", (0, 0))
     yield spark.range(ROWS, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.col("id").alias("v"),
         F.sha1(F.col("id").cast("string")).alias("pad"))
