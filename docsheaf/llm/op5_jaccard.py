@@ -4,14 +4,16 @@ Documents with equal shingle sets are one class. Two classes link when their
 sets have a Jaccard similarity of at least t. The result is exact: the steps
 below leave out only pairs that cannot link, or that are already connected.
 
-1. Tokens (shingles) have one global order, by a hash with those frequent in a
-   sample moved to the end; any order is right, this one keeps lists short. If
-   two classes link, they share a token among the first n - ceil(t n) + 1 of
-   each: its prefix. Tokens held by one row only are dropped with the help of a
-   bit field of fixed size and an exact count.
-2. Groups: on every prefix token all classes look at the smallest one there;
-   pairs that share enough are verified. Links make groups whose members are
-   connected. This step may miss links; it only makes the next one small.
+1. Tokens (shingles) have one global order: by hash, but those that many rows
+   hold come later (found by a count over all rows, kept in a bit field of
+   fixed size), and those frequent in a sample last. Any order is right; this
+   one keeps lists short. If two classes link, they share a token among the
+   first n - ceil(t n) + 1 of each: its prefix. Tokens held by one row only are
+   dropped with the help of another bit field and an exact count.
+2. Groups: on every prefix token all classes look at one of them, a seeded
+   choice; pairs that share enough are verified. Links make groups whose
+   members are connected. Some rounds with other choices join what is left
+   apart. This step may miss links; it only makes the next one small.
 3. Matrix: the union of the prefix tokens of each group, one row per (token,
    group) with the size range of the members, for tokens of several groups.
 4. A class looks up its tokens in the matrix and counts those it shares with
@@ -48,6 +50,8 @@ from .shingles import K, Shingler, overlap, signature
 THRESHOLD = 75
 # For the order of tokens only: about so many sampled texts, and the count that makes a token frequent.
 SAMPLE, FREQUENT, MAX_FREQUENT = 16_000, 4, 1 << 17
+# Tokens held by more rows come later in the order; rounds of step 2.
+MANY, ROUNDS = 16, 3
 # Bits of the field that tells which tokens may be held twice; its size is fixed.
 FIELD_BITS = 24
 
@@ -76,23 +80,23 @@ def frequent_tokens(docs: DataFrame, k: int = K) -> np.ndarray:
     return rows.sort_values(["count", "token"])["token"].to_numpy(np.int64)
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
+def prefixes(docs: DataFrame, frequent: np.ndarray, many: np.ndarray, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
     """(doc_id, row_key, n, sig, prefix) per row; the prefix in the global order of tokens."""
     order = np.argsort(frequent, kind="stable")
-    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order, many))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, rank_of = shared.value
+        known, rank_of, field = shared.value
         shingle = Shingler(k)
 
         def prefix(found: np.ndarray) -> np.ndarray:
             size = len(found) + (-threshold * len(found)) // 100 + 1 if len(found) else 0
-            if len(known) and len(found):
+            rank = in_field(field, found).astype(np.int64)
+            if len(known):
                 at = np.searchsorted(known, found)
                 at[at == len(known)] = 0
-                rank = np.where(known[at] == found, rank_of[at] + 1, 0)
-                found = found[np.lexsort((found, rank))]
-            return found[:size]
+                rank = np.where(known[at] == found, rank_of[at] + 2, rank)
+            return found[np.lexsort((found, rank))][:size]
 
         for batch in batches:
             sets = [shingle(t) for t in batch["text"]]
@@ -183,22 +187,25 @@ def class_texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame
     return keyed.join(one, F.col("k") == F.col("row_key")).select("sig", "text").dropDuplicates(["sig"])
 
 
-def star_pairs(held: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Classes with the smallest one on a token, where the tokens they so share let them link."""
-    first = held.groupBy("token").agg(F.min(F.struct("sig", "n")).alias("c"), F.count("*").alias("of")).filter(F.col("of") > 1)
-    rows = held.join(first.select(F.col("token").alias("t"), "c"), F.col("token") == F.col("t")).filter(F.col("sig") != F.col("c.sig"))
+def in_groups(held: DataFrame, groups: DataFrame) -> DataFrame:
+    """``held`` with the group of each class, on tokens that several groups hold."""
+    rows = held.join(groups, F.col("sig") == F.col("node"), "left").select(
+        "token", "sig", "n", F.coalesce("component", "sig").alias("group"))
+    several = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter(F.col("low") < F.col("high"))
+    several = staged(several.select(F.col("token").alias("t")), "several")
+    return staged(rows.join(several, F.col("token") == F.col("t"), "left_semi"), "grouped")
+
+
+def star_pairs(rows: DataFrame, seed: int, threshold: int = THRESHOLD) -> DataFrame:
+    """Classes with a chosen one of another group on a token, where the tokens they so share let them link."""
+    first = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "sig").alias("place"), "sig", "n", "group")).alias("c"))
+    rows = rows.join(first.select(F.col("token").alias("t"), "c"), F.col("token") == F.col("t")).filter(F.col("group") != F.col("c.group"))
     pairs = rows.groupBy(F.col("sig").alias("a"), F.col("c.sig").alias("b"), "n", F.col("c.n").alias("m")).agg(F.count("*").alias("shared"))
     return pairs.filter(possible(F.col("n"), F.col("m"), F.col("shared"), threshold)).select("a", "b")
 
 
-def matrix_pairs(held: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def matrix_pairs(rows: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Candidate pairs of classes in different groups, through the token-group matrix."""
-    rows = held.join(groups, F.col("sig") == F.col("node"), "left").select(
-        "token", "sig", "n", F.coalesce("component", "sig").alias("group"))
-    # Tokens of one group only hold nothing to look up.
-    many = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter(F.col("low") < F.col("high"))
-    many = staged(many.select(F.col("token").alias("t")), "many")
-    rows = staged(rows.join(many, F.col("token") == F.col("t"), "left_semi"), "queries")
     matrix = staged(rows.groupBy("token", "group").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max")), "matrix")
     query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("own"))
     # Each pair of groups is looked up from one side.
@@ -219,12 +226,22 @@ def matrix_pairs(held: DataFrame, groups: DataFrame, threshold: int = THRESHOLD)
 def near_groups(docs: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
     """(doc_id, row_key, n_shingles, component_id) for every row of ``docs``."""
     small_batches(docs.sparkSession)
-    rows = staged(prefixes(docs, frequent_tokens(docs, k), threshold, k), "prefixes")
+    frequent = frequent_tokens(docs, k)
+    first = prefixes(docs, frequent, np.zeros(1, np.int64), threshold, k)
+    many = first.select(F.explode("prefix").alias("token")).groupBy("token").count().filter(F.col("count") > MANY)
+    rows = staged(prefixes(docs, frequent, bit_field(many), threshold, k), "prefixes")
     held = staged(shared_tokens(rows), "held")
-    stars = staged(star_pairs(held, threshold), "stars")
-    links = staged(verified(stars, staged(class_texts(docs, rows, stars), "texts"), threshold, k), "links")
-    groups = components(links)
-    pairs = staged(matrix_pairs(held, groups, threshold), "pairs")
+    links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    groups = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
+    held = in_groups(held, groups).drop("group")
+    for seed in range(ROUNDS):
+        pairs = staged(star_pairs(in_groups(held, groups), seed, threshold), "stars")
+        if pairs.isEmpty():
+            break
+        more = verified(pairs, staged(class_texts(docs, rows, pairs), "texts"), threshold, k)
+        links = staged(links.union(more), "links")
+        groups = components(links)
+    pairs = staged(matrix_pairs(in_groups(held, groups), threshold), "pairs")
     more = verified(pairs, staged(class_texts(docs, rows, pairs), "texts"), threshold, k)
     groups = components(links.union(staged(more, "links")))
     rows = rows.select("doc_id", "row_key", "n", "sig").join(groups, F.col("sig") == F.col("node"), "left")
