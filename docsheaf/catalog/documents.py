@@ -147,6 +147,20 @@ def _(spark, d):
         F.col("id").cast("bigint").alias("event_id"), F.array_join(descendants(typed.schema, "k"), ",").alias("ks"))
 
 
+@query("export_paths", """
+SELECT doc_id AS id, parts[1] AS first, parts[-1] AS last, parts[1] || coalesce(',' || parts[2], '') AS two,
+       array_to_string(list_transform(parts, lambda x: CAST(length(x) AS VARCHAR)), ',') AS sizes, source AS tag
+FROM (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents)""")
+def _(spark, d):
+    """Elements by number, stretches, members at any depth and members of a map, in one spec."""
+    docs = documents(spark, d).withColumn("tags", F.create_map(F.lit("site"), F.col("domain")))
+    spec = ExportSpec("t", "form", (
+        ColumnSpec("id", ("id",)), ColumnSpec("first", ("form", "lines", "[0]", "text")),
+        ColumnSpec("last", ("form", "lines", "[-1]", "text")), ColumnSpec("two", ("form", "lines", "[0:2]", "text")),
+        ColumnSpec("sizes", ("form", "..size")), ColumnSpec("tag", ("tags", "site"))))
+    return export(DocTable(docs, "form"), spec)
+
+
 @query("child_rows", f"""
 WITH {LINES}
 SELECT doc_id AS parent_id, source AS domain, line AS text, CAST(length(line) AS INTEGER) AS size FROM lines""")
@@ -192,9 +206,9 @@ def _(spark, d):
 
 
 @query("named_scope", """
-SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_totalprice > 100000""")
+SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders""")
 def _(spark, d):
-    rows = named_scope(load(spark, d, "orders"), "o").where(F.col("o.o_totalprice") > 100000)
+    rows = named_scope(load(spark, d, "orders"), "o")
     return rows.select("o_orderkey", F.col("o.o_orderstatus").alias("status"), F.col("o.o_totalprice").alias("price"))
 
 
@@ -395,16 +409,17 @@ def _(spark, d):
 @query("export_urls", f"""
 WITH {LINES}
 SELECT 'https://h/a/' || source || '/reports/form_data/' || doc_id || '/' AS form,
-       'https://h/a/' || source || '/api/form/attachment/' || doc_id || '/' || substring(line, 1, 8) AS photo,
+       CASE WHEN length(line) > 60 THEN
+         'https://h/a/' || source || '/api/form/attachment/' || doc_id || '/' || substring(line, 1, 8) END AS photo,
        lang || ':' || source AS both
-FROM lines WHERE length(line) > 60""")
+FROM lines""")
 def _(spark, d):
     spec = ExportSpec("t", "form", (
         ColumnSpec("form", ("$", "id"), format_via=("form_url",)),
         ColumnSpec("photo", ("note",), map_via=("attachment_url",)),
         ColumnSpec("both", ("text",), map_via=("template", "{}:{}", ("$", "form", "name"), ("$", "domain"))),
     ), root=("form", "lines"), base_url="https://h")
-    return export(forms(spark, d), spec).where(F.col("photo").isNotNull())
+    return export(forms(spark, d), spec)
 
 
 @query("inlined_export", """

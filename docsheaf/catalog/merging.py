@@ -136,14 +136,14 @@ def event_texts(spark, d):
 
 @query("infer_types", """
 SELECT event_id, ts, value, event_type, value > 0 AS positive, '00' || event_id AS padded, '+49' || event_id AS phone,
-       CAST(ts AS VARCHAR) || '+02:00' AS zoned, '9007199254740993' || event_id AS long_number FROM events""")
+       CAST(ts AS VARCHAR) || '+02:00' AS zoned, '12345678901234567890' || event_id AS long_number FROM events""")
 def _(spark, d):
     """Texts that a number or a time would not give back stay texts."""
     key = F.col("event_id").cast("string")
     return infer_columns(event_texts(spark, d).withColumns({
         "padded": F.concat(F.lit("00"), key), "phone": F.concat(F.lit("+49"), key),
         "zoned": F.concat(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")),
-        "long_number": F.concat(F.lit("9007199254740993"), key)}), drop_empty=True)
+        "long_number": F.concat(F.lit("12345678901234567890"), key)}), drop_empty=True)
 
 
 @query("empty_columns", "SELECT event_id, event_type FROM events")

@@ -12,7 +12,7 @@ from .logic import (
     bool_to_int, default_value, first_present, is_empty, is_truthy, to_bool,
 )
 from .paths import (
-    auto_id, descendants, dynamic_field, each, each_present, field, field_or_null,
+    auto_id, descendants, descendants_of, dynamic_field, each, each_present, field, field_or_null,
     index_at, index_range, variant_field, variant_list, variant_missing,
 )
 from .registry import FUNCTIONS, LIST_FUNCTIONS, call, register, register_row_function, via

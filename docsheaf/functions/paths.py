@@ -70,8 +70,12 @@ def descendants(schema: T.StructType, name: str, *start: str) -> Column:
     dtype: T.DataType = schema
     for step in start:
         dtype = dtype[step].dataType
-    base = field(*start) if start else None
-    found = list(_find(dtype, base, name))
+    return descendants_of(dtype, field(*start) if start else None, name)
+
+
+def descendants_of(dtype: T.DataType, at: Column | None, name: str) -> Column:
+    """The same below a value of a known type; None stands for the row."""
+    found = list(_find(dtype, at, name))
     if not found:
         return F.array().cast("array<string>")
     return F.filter(F.concat(*found), lambda v: v.isNotNull())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, replace
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, cell_text, doc_url, first_present, variant_cell, variant_field,
+    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, cell_text, descendants_of, doc_url, first_present, index_at, variant_cell, variant_field,
     variant_json, variant_list, via, xml_text,
 )
 from ..functions import field as struct_field
@@ -106,13 +107,24 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
     """(value, type) at the steps, or None if the type has no such path.
 
     A step into a list goes to every element; elements without the field are
-    left out and lists of lists are flattened.
+    left out and lists of lists are flattened. ``[n]`` is one element, from the
+    end if negative, ``[a:b]`` a stretch of a list, ``..name`` the texts of all
+    members of that name at any depth below. A name leads into a map as well.
     """
     for n, step in enumerate(steps):
         if isinstance(dtype, T.VariantType) or dtype == VARIANTS:
             return _walk_variant(at, dtype, steps[n:])
         if step == "[*]":
             continue
+        if place := _PLACE.fullmatch(step):
+            at, dtype = _at_place(at, dtype, place)
+            continue
+        if step.startswith(".."):
+            at, dtype = descendants_of(dtype, at, step[2:]), T.ArrayType(T.StringType())
+            continue
+        if isinstance(dtype, T.MapType):
+            at, dtype = F.try_element_at(at, F.lit(step)), dtype.valueType
+            continue
         wrapped = isinstance(dtype, T.ArrayType)
         inner = dtype.elementType if wrapped else dtype
         if not isinstance(inner, T.StructType) or step not in inner.fieldNames():
@@ -129,11 +141,29 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
     return at, dtype
 
 
+_PLACE = re.compile(r"\[(-?\d+)(?:(:)(-?\d+))?\]")
+
+
+def _at_place(at: Column, dtype: T.DataType, place: re.Match):
+    """(value, type) of one element, or of a stretch; a lone value is a list of one."""
+    if not isinstance(dtype, T.ArrayType):
+        at, dtype = F.when(at.isNotNull(), F.array(at)), T.ArrayType(dtype)
+    if place[2]:
+        start, stop = int(place[1]), int(place[3])
+        begin, end = (F.lit(n) if n >= 0 else F.greatest(F.size(at) + n, F.lit(0)) for n in (start, stop))
+        return F.slice(at, begin + 1, F.greatest(end - begin, F.lit(0))), dtype
+    return index_at(at, int(place[1])), dtype.elementType
+
+
 def _walk_variant(at: Column, dtype: T.DataType, steps: tuple[str, ...]):
     """The same in documents without a schema; a lone value is a list of one."""
     for step in steps:
         many = dtype == VARIANTS
-        if step == "[*]":
+        if step.startswith(".."):
+            raise ValueError(f"{step} needs documents with a schema; see typed_documents")
+        if place := _PLACE.fullmatch(step):
+            at, dtype = _at_place(at if many else variant_list(at), VARIANTS, place)
+        elif step == "[*]":
             at = F.flatten(F.transform(at, variant_list)) if many else variant_list(at)
             dtype = VARIANTS
         elif many:
