@@ -138,12 +138,12 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     small_batches(docs.sparkSession)
     found = staged(repeated_ranges(docs, min_words), "ranges").select(F.col("row_key").alias("__found"), F.col("ranges").alias("__ranges"))
     names = [c for c in docs.columns if c != "n_removed"]
-    rows = docs.select(F.struct(*names).alias("__row"), "text", row_key().alias("__key"))
+    rows = docs.select(F.struct(*names).alias("__row"), row_key().alias("__key"))
     rows = rows.join(found, F.col("__key") == F.col("__found"), "left")
     cutter = F.pandas_udf(cut, "text string, n_removed bigint")
     rows = rows.withColumn("__new", cutter(
-        F.when(F.col("__ranges").isNotNull(), F.col("text")), F.coalesce("__ranges", F.array().cast("array<bigint>"))))
-    text = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(F.col("__new.text"))
+        F.when(F.col("__ranges").isNotNull(), F.col("__row.text")), F.coalesce("__ranges", F.array().cast("array<bigint>"))))
+    text = F.when(F.col("__ranges").isNull(), F.col("__row.text")).otherwise(F.col("__new.text"))
     return rows.select(*[(text if c == "text" else F.col("__row").getField(c)).alias(c) for c in names], F.col("__new.n_removed").alias("n_removed"))
 
 

@@ -264,8 +264,8 @@ def without_near_copies(docs: DataFrame, threshold: int = THRESHOLD, k: int = K)
     linked = found.filter(F.col("n_shingles") > 0)
     keep = linked.groupBy("component_id").agg(first.alias("x")).select(F.col("x.row_key").alias("__keep"))
     names = docs.columns
-    keyed = docs.select(F.struct("*").alias("__row"), row_key().alias("__key"), (F.col("text")).alias("text"))
-    keyed = keyed.withColumn("__empty", F.coalesce(~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(True)))
+    empty = F.coalesce(~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(True))
+    keyed = docs.select(F.struct("*").alias("__row"), row_key().alias("__key"), empty.alias("__empty"))
     kept = keyed.filter(~F.col("__empty")).join(keep, F.col("__key") == F.col("__keep"), "left_semi").dropDuplicates(["__key"])
     out = kept.select("__row").union(keyed.filter("__empty").select("__row"))
     return out.select(*[F.col("__row").getField(c).alias(c) for c in names])
