@@ -16,6 +16,17 @@ def key_of(df: DataFrame, key: str) -> Column:
     return F.coalesce(value, failure).alias(key)
 
 
+def only_once(df: DataFrame, key: str) -> DataFrame:
+    """The same rows; a key that occurs twice fails the job.
+
+    Grouped by the key, as the join of a merge is, so it adds no shuffle there.
+    """
+    others = [F.first(F.col(f"`{c}`")).alias(c) for c in df.columns if c != key]
+    counted = df.groupBy(F.col(f"`{key}`")).agg(*others, F.count("*").alias("__times"))
+    failure = F.raise_error(F.concat(F.lit(f"rows share the {key} "), F.col(f"`{key}`").cast("string"))).cast("boolean")
+    return counted.where(F.when(F.col("__times") > 1, failure).otherwise(F.lit(True))).select(*df.columns)
+
+
 def orderable(dtype: T.DataType) -> bool:
     """Whether values of a type can be compared."""
     if isinstance(dtype, T.ArrayType):

@@ -21,20 +21,19 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..operators.columntypes import align
-from ..operators.merge import key_of, upsert
+from ..operators.merge import key_of, only_once, upsert
 
 LOG_SCHEMA = "version bigint, part int, folder string, schema string, parts int"
 PART = "table_part"
 COMMIT = -1  # stands for a part in the row of the commit itself
-MAX_PARTS = 100_000
 
 
 class StoredTable:
     """``parts`` is the number of hash parts by key; 1 keeps the table whole."""
 
     def __init__(self, spark: SparkSession, path: str, key: str = "id", parts: int = 1):
-        if not 1 <= parts <= MAX_PARTS:
-            raise ValueError(f"parts must be between 1 and {MAX_PARTS}")
+        if parts < 1:
+            raise ValueError("a table has at least one part")
         self.spark, self.path, self.key, self.parts = spark, path.rstrip("/"), key, parts
 
     def _log(self) -> DataFrame | None:
@@ -89,7 +88,14 @@ class StoredTable:
         return folder
 
     def _commit(self, version: int, schema: T.StructType, folder: str, filled, emptied=()) -> None:
-        """Record where the parts now are; an emptied part has no folder."""
+        """Record where the parts now are; an emptied part has no folder.
+
+        A version that somebody else has committed meanwhile is not committed
+        again: the write fails and leaves the table as that writer made it.
+        """
+        held = self._newest()[0]
+        if held >= version:
+            raise RuntimeError(f"{self.path} was written by another writer: it has version {held}")
         where = [(p, f"{folder}/{PART}={p}") for p in filled] + [(p, "") for p in emptied]
         entries = [(version, COMMIT, folder, schema.json(), self.parts)]
         entries += [(version, p, at, None, None) for p, at in where]
@@ -108,12 +114,14 @@ class StoredTable:
     def merge(self, batch: DataFrame, strict: bool = False, time: str | None = None) -> None:
         """Merge a batch that holds one row per key; ``time`` is as for ``upsert``.
 
+        A batch with two rows of one key fails, before anything is committed.
+
         Only the parts with keys of the batch are read and rewritten, unless a
         column changes its type: that concerns every row of the table.
         """
         version, schema, folders = self._newest()
         # The batch is read twice: for the parts it touches and for the merge.
-        batch = batch.withColumn(self.key, key_of(batch, self.key)).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = only_once(batch.withColumn(self.key, key_of(batch, self.key)), self.key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = _numbers(batch.select(self._part_of().alias(PART)))
             rows = batch

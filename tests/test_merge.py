@@ -241,3 +241,22 @@ def test_stream_with_bounded_state(spark):
     stream = stream_pages(spark, f"{landing}/*", "struct<id:int,ts:timestamp_ntz,v:string>")
     merge_stream(stream, table, "ts", fresh_dir(spark, "cp"), delay="1 hour").awaitTermination()
     assert table.read().count() == 6
+
+
+def test_a_key_that_occurs_twice_fails(spark):
+    table = StoredTable(spark, fresh_dir(spark, "twice"))
+    table.merge(spark.createDataFrame([("a", 1)], "id string, n int"))
+    with pytest.raises(Exception, match="share the id b"):
+        table.merge(spark.createDataFrame([("b", 1), ("b", 2)], "id string, n int"))
+    assert [tuple(r) for r in table.read().collect()] == [("a", 1)]
+
+
+def test_two_writers_are_noticed(spark):
+    table = StoredTable(spark, fresh_dir(spark, "writers"))
+    rows = spark.createDataFrame([("a", 1)], "id string, n int")
+    table.merge(rows)
+    version, schema, _ = table._newest()
+    folder = table._write(rows, version + 1)
+    table.merge(rows)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._commit(version + 1, schema, folder, [0])
