@@ -14,15 +14,16 @@ below leave out only pairs that cannot link, or that are already connected.
    choice; pairs that share enough are verified. Links make groups whose
    members are connected. Some rounds with other choices join what is left
    apart. This step may miss links; it only makes the next one small.
-3. Matrix: the union of the prefix tokens of each group, one row per (token,
-   group) with the size range of the members, for tokens of several groups.
+3. Matrix: the union of the prefix tokens of each group, by bands of similar
+   size, one row per (token, group, band), for tokens of several groups.
 4. A class looks up its tokens in the matrix and counts those it shares with
-   each group other than its own. If two sets share s tokens of their prefixes,
-   they overlap in at most s plus the longer of their remainders: of the one
-   whose prefix ends first, every shared prefix token is in the other's prefix.
-   Only groups that this bound, with the sizes of their members, lets reach
-   what t asks for are opened. The members that share tokens are bounded the
-   same way one by one, and the rest is verified on whole texts.
+   each larger group. If two sets share s tokens of their prefixes, they overlap
+   in at most s plus the longer of their remainders behind the prefixes (of the
+   one whose prefix ends first, every shared prefix token is in the other's), and
+   in at most s plus what either has behind the last shared token. Only bands
+   that these bounds, with the sizes of their members, let reach what t asks for
+   are opened. The members that share tokens are bounded the same way one by
+   one, and the rest is verified on whole texts.
 
 Groups of copies and of near copies, however large, shrink to one row per token
 before anything is paired; links are counted once per class, not per pair.
@@ -52,8 +53,10 @@ THRESHOLD = 75
 SAMPLE, FREQUENT, MAX_FREQUENT = 16_000, 4, 1 << 17
 # Tokens held by more rows come later in the order; rounds of step 2.
 MANY, ROUNDS = 16, 3
+# Sizes of one band of a group differ by less than this factor.
+BAND = 1.1
 # Bits of the field that tells which tokens may be held twice; its size is fixed.
-FIELD_BITS = 24
+FIELD_BITS = 26
 
 
 def row_key() -> Column:
@@ -124,7 +127,10 @@ def in_field(field: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def shared_tokens(rows: DataFrame) -> DataFrame:
-    """(token, sig, n) of the prefix tokens that more than one row holds, once per class."""
+    """(token, sig, n, rest) of the prefix tokens that more than one row holds, once per class.
+
+    ``rest`` is how many tokens of the set come after it.
+    """
     counts = rows.select(F.explode("prefix").alias("token")).groupBy("token").count()
     field = rows.sparkSession.sparkContext.broadcast(bit_field(counts.filter(F.col("count") > 1)))
 
@@ -133,21 +139,23 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
             at = [np.flatnonzero(in_field(field.value, np.asarray(p, np.int64))) for p in batch["prefix"]]
             yield pd.DataFrame({
                 "sig": batch["sig"], "n": batch["n"],
+                "rest": objects([n - 1 - a for n, a in zip(batch["n"], at)]),
                 "tokens": objects([np.asarray(p, np.int64)[a] for p, a in zip(batch["prefix"], at)])})
 
-    kept = rows.filter(F.col("n") > 0).select("sig", "n", "prefix").mapInPandas(keep, "sig bigint, n bigint, tokens array<bigint>")
-    return kept.select(F.explode("tokens").alias("token"), "sig", "n").distinct()
+    kept = rows.filter(F.col("n") > 0).select("sig", "n", "prefix").mapInPandas(keep, "sig bigint, n bigint, rest array<bigint>, tokens array<bigint>")
+    each = kept.select("sig", "n", F.explode(F.arrays_zip("tokens", "rest")).alias("x"))
+    return each.select(F.col("x.tokens").alias("token"), "sig", "n", F.col("x.rest").alias("rest")).distinct()
 
 
 def prefix_size(n: Column, threshold: int = THRESHOLD) -> Column:
     return n - F.ceil(n * threshold / 100 - 1e-9) + 1
 
 
-def possible(n: Column, m: Column, shared: Column, threshold: int = THRESHOLD) -> Column:
-    """Whether sets of sizes n and m that share so many prefix tokens can link."""
+def possible(n: Column, m: Column, shared: Column, behind: Column, threshold: int = THRESHOLD) -> Column:
+    """Whether sets of sizes n and m that share so many prefix tokens, with so many behind the last, can link."""
     sizes = 100 * F.least(n, m) >= threshold * F.greatest(n, m)
     rest = F.greatest(n - prefix_size(n, threshold), m - prefix_size(m, threshold))
-    return sizes & (shared + rest >= needed(n, m, threshold))
+    return sizes & (shared + F.least(rest, behind) >= needed(n, m, threshold))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
@@ -187,10 +195,10 @@ def class_texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame
     return keyed.join(one, F.col("k") == F.col("row_key")).select("sig", "text").dropDuplicates(["sig"])
 
 
-def in_groups(held: DataFrame, groups: DataFrame) -> DataFrame:
-    """``held`` with the group of each class, on tokens that several groups hold."""
-    rows = held.join(groups, F.col("sig") == F.col("node"), "left").select(
-        "token", "sig", "n", F.coalesce("component", "sig").alias("group"))
+def in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, sig, n, rest, group) on the tokens that several groups hold."""
+    rows = rows.select("token", "sig", "n", "rest").join(groups, F.col("sig") == F.col("node"), "left").select(
+        "token", "sig", "n", "rest", F.coalesce("component", "sig").alias("group"))
     several = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter(F.col("low") < F.col("high"))
     several = staged(several.select(F.col("token").alias("t")), "several")
     return staged(rows.join(several, F.col("token") == F.col("t"), "left_semi"), "grouped")
@@ -200,27 +208,39 @@ def star_pairs(rows: DataFrame, seed: int, threshold: int = THRESHOLD) -> DataFr
     """Classes with a chosen one of another group on a token, where the tokens they so share let them link."""
     first = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "sig").alias("place"), "sig", "n", "group")).alias("c"))
     rows = rows.join(first.select(F.col("token").alias("t"), "c"), F.col("token") == F.col("t")).filter(F.col("group") != F.col("c.group"))
-    pairs = rows.groupBy(F.col("sig").alias("a"), F.col("c.sig").alias("b"), "n", F.col("c.n").alias("m")).agg(F.count("*").alias("shared"))
-    return pairs.filter(possible(F.col("n"), F.col("m"), F.col("shared"), threshold)).select("a", "b")
+    pairs = rows.groupBy(F.col("sig").alias("a"), F.col("c.sig").alias("b"), "n", F.col("c.n").alias("m")).agg(
+        F.count("*").alias("shared"), F.min("rest").alias("behind"))
+    return pairs.filter(possible(F.col("n"), F.col("m"), F.col("shared"), F.col("behind"), threshold)).select("a", "b")
 
 
-def matrix_pairs(rows: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Candidate pairs of classes in different groups, through the token-group matrix."""
-    matrix = staged(rows.groupBy("token", "group").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max")), "matrix")
-    query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("own"))
-    # Each pair of groups is looked up from one side.
-    looked = query.join(matrix, (F.col("t") == F.col("token")) & (F.col("own") > F.col("group")))
-    looked = looked.groupBy("a", "n_a", "group").agg(F.count("*").alias("shared"), F.min("n_min").alias("low"), F.max("n_max").alias("high"))
-    least = F.greatest(F.col("low"), F.ceil(F.col("n_a") * threshold / 100 - 1e-9))
-    most = F.least(F.col("high"), F.floor(F.col("n_a") * 100 / threshold + 1e-9))
-    rest = F.greatest(F.col("n_a") - prefix_size(F.col("n_a"), threshold), most - prefix_size(most, threshold))
-    bound = (least <= most) & (F.col("shared") + rest >= needed(F.col("n_a"), least, threshold))
-    opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og")), "opened")
-    query = query.select("t", "a", "n_a").join(opened, F.col("a") == F.col("oa")).select("t", "a", "n_a", "og")
-    members = rows.select("token", F.col("sig").alias("b"), F.col("n").alias("n_b"), "group")
-    pairs = query.join(members, (F.col("t") == F.col("token")) & (F.col("og") == F.col("group")))
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
-    return pairs.filter(possible(F.col("n_a"), F.col("n_b"), F.col("shared"), threshold)).select("a", "b")
+    members = groups.groupBy("component").agg(F.count("*").alias("members"))
+    rows = rows.join(members, F.col("group") == F.col("component"), "left")
+    # Each pair of groups is looked up from the smaller one.
+    rows = rows.select("token", "sig", "n", "rest", F.struct(F.coalesce("members", F.lit(1)).alias("members"), "group").alias("group"),
+                       F.floor(F.log("n") / float(np.log(BAND))).alias("band"))
+    rows = staged(rows, "banded")
+    matrix = staged(rows.groupBy("token", "group", "band").agg(
+        F.min("n").alias("low"), F.max("n").alias("high")).withColumnRenamed("token", "t"), "matrix")
+    fits = (100 * F.col("high") >= threshold * F.col("n")) & (threshold * F.col("low") <= 100 * F.col("n"))
+    query = rows.select("token", F.col("sig").alias("a"), "n", "rest", F.col("group").alias("own"))
+    looked = query.join(matrix, (F.col("token") == F.col("t")) & (F.col("own") < F.col("group")) & fits)
+    looked = looked.groupBy("a", "n", "group", "band").agg(
+        F.count("*").alias("shared"), F.min("rest").alias("behind"), F.min("low").alias("low"), F.max("high").alias("high"))
+    least = F.greatest(F.col("low"), F.ceil(F.col("n") * threshold / 100 - 1e-9))
+    most = F.least(F.col("high"), F.floor(F.col("n") * 100 / threshold + 1e-9))
+    rest = F.greatest(F.col("n") - prefix_size(F.col("n"), threshold), most - prefix_size(most, threshold))
+    bound = (least <= most) & (F.col("shared") + F.least(rest, F.col("behind")) >= needed(F.col("n"), least, threshold))
+    opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og"), F.col("band").alias("ob")), "opened")
+    query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
+    query = query.join(opened, F.col("a") == F.col("oa")).drop("oa")
+    inside = rows.select("token", F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), "group", "band")
+    sizes = 100 * F.least(F.col("n_a"), F.col("n_b")) >= threshold * F.greatest(F.col("n_a"), F.col("n_b"))
+    pairs = query.join(inside, (F.col("t") == F.col("token")) & (F.col("og") == F.col("group")) & (F.col("ob") == F.col("band")) & sizes)
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(
+        F.count("*").alias("shared"), F.least(F.min("rest_a"), F.min("rest_b")).alias("behind"))
+    return pairs.filter(possible(F.col("n_a"), F.col("n_b"), F.col("shared"), F.col("behind"), threshold)).select("a", "b")
 
 
 def near_groups(docs: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
@@ -233,15 +253,16 @@ def near_groups(docs: DataFrame, threshold: int = THRESHOLD, k: int = K) -> Data
     held = staged(shared_tokens(rows), "held")
     links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     groups = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
-    held = in_groups(held, groups).drop("group")
     for seed in range(ROUNDS):
-        pairs = staged(star_pairs(in_groups(held, groups), seed, threshold), "stars")
+        # Groups only grow, so a token that one group holds is done with.
+        held = in_groups(held, groups)
+        pairs = staged(star_pairs(held, seed, threshold), "stars")
         if pairs.isEmpty():
             break
         more = verified(pairs, staged(class_texts(docs, rows, pairs), "texts"), threshold, k)
         links = staged(links.union(more), "links")
         groups = components(links)
-    pairs = staged(matrix_pairs(in_groups(held, groups), threshold), "pairs")
+    pairs = staged(matrix_pairs(in_groups(held, groups), groups, threshold), "pairs")
     more = verified(pairs, staged(class_texts(docs, rows, pairs), "texts"), threshold, k)
     groups = components(links.union(staged(more, "links")))
     rows = rows.select("doc_id", "row_key", "n", "sig").join(groups, F.col("sig") == F.col("node"), "left")
