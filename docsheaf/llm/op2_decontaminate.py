@@ -160,6 +160,20 @@ def seeds(grams: DataFrame, found: DataFrame, window: int = WINDOW) -> DataFrame
     return chosen.filter(F.col("n") > 0).select("item_id", "at", "hash").distinct()
 
 
+def holding(docs: DataFrame, field: np.ndarray) -> DataFrame:
+    """(doc_id, row_key, text) of the rows whose key may be in a bit field: only those are shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = shared.value
+        for batch in batches:
+            slot = batch["row_key"].to_numpy() & (len(bits) * 64 - 1)
+            yield batch[(bits[slot >> 6] >> (slot & 63)) & 1 == 1]
+
+    rows = as_text(docs.select("doc_id", row_key().alias("row_key"), "text"), "doc_id")
+    return as_before(rows.mapInPandas(read, "doc_id string, row_key bigint, text string"), docs, "doc_id")
+
+
 def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """(doc_id, row_key, item_id, score) for every document and item with at least that score."""
     small_batches(docs.sparkSession)
@@ -171,7 +185,8 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
     pairs = each.join(chosen, F.col("h") == F.col("hash")).groupBy("row_key", "item_id").agg(
         F.collect_set(F.struct("place", "at")).alias("places"))
     pairs = staged(pairs, "pairs").select(F.col("row_key").alias("k"), F.col("item_id").alias("i"), "places")
-    rows = docs.select("doc_id", row_key().alias("row_key"), "text").join(pairs, F.col("row_key") == F.col("k"))
+    near = holding(docs, bit_field(pairs.select(F.col("k").alias("hash"))))
+    rows = near.join(pairs, F.col("row_key") == F.col("k"))
     rows = rows.join(items.select("item_id", F.col("text").alias("item_text")), F.col("i") == F.col("item_id"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
