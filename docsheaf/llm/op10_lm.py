@@ -132,7 +132,8 @@ def marked(docs: DataFrame, labels: DataFrame, seed: str = SEED) -> DataFrame:
     share = n_good / max(1, docs.count())
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
     rows = docs.select("text", "doc_id", (place < int(share * 1_000_000)).alias("background"))
-    rows = rows.join(good, F.col("doc_id") == F.col("good_id"), "left")
+    # Labels grow with the corpus: never broadcast, so the plan is the same at every size.
+    rows = rows.join(good.hint("merge"), F.col("doc_id") == F.col("good_id"), "left")
     return rows.select("doc_id", "text", F.col("good_id").isNotNull().alias("target"), F.coalesce("background", F.lit(False)).alias("background"))
 
 

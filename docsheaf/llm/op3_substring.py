@@ -139,7 +139,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = staged(repeated_ranges(docs, min_words), "ranges").select(F.col("row_key").alias("__found"), F.col("ranges").alias("__ranges"))
     names = [c for c in docs.columns if c != "n_removed"]
     rows = docs.select(F.struct(*names).alias("__row"), row_key().alias("__key"))
-    rows = rows.join(found, F.col("__key") == F.col("__found"), "left")
+    # What is found grows with the corpus: never broadcast, so the plan is the same at every size.
+    rows = rows.join(found.hint("merge"), F.col("__key") == F.col("__found"), "left")
     cutter = F.pandas_udf(cut, "text string, n_removed bigint")
     rows = rows.withColumn("__new", cutter(
         F.when(F.col("__ranges").isNotNull(), F.col("__row.text")), F.coalesce("__ranges", F.array().cast("array<bigint>"))))
