@@ -136,7 +136,7 @@ def event_texts(spark, d):
 
 @query("infer_types", """
 SELECT event_id, ts, value, event_type, value > 0 AS positive, '00' || event_id AS padded, '+49' || event_id AS phone,
-       CAST(ts AS VARCHAR) || '+02:00' AS zoned, '12345678901234567890' || event_id AS long_number FROM events""")
+       strftime(ts, '%Y-%m-%d %H:%M:%S') || '+02:00' AS zoned, '12345678901234567890' || event_id AS long_number FROM events""")
 def _(spark, d):
     """Texts that a number or a time would not give back stay texts."""
     key = F.col("event_id").cast("string")
