@@ -2,14 +2,12 @@
 
 import math
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ITEM, corpus, prose
 from docsheaf.llm import op2_decontaminate as op2
 from docsheaf.llm import op3_substring as op3
 from docsheaf.llm import op4_classifier as op4
@@ -21,6 +19,7 @@ from docsheaf.llm.graph import components
 from docsheaf.llm.markup import Page, main_text
 from docsheaf.llm.op5_jaccard import without_near_copies
 from docsheaf.llm.tokens import TokenHashes, tokens
+from small_corpus import ITEM, corpus, prose
 
 DOCS = "doc_id long, text string, lang string, source string"
 
