@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_before, as_text, small_batches, staged, table
+from .common import as_before, as_text, objects, small_batches, staged, table
 from .tokens import tokens
 
 VOCABULARY = 20_000
@@ -55,9 +55,9 @@ def token_counts(docs: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 found.update(tokens(text))
             if len(found) > _FLUSH:
-                yield pd.DataFrame({"token": list(found), "n": list(found.values())})
+                yield pd.DataFrame({"token": objects(list(found)), "n": np.array(list(found.values()), np.int64)})
                 found.clear()
-        yield pd.DataFrame({"token": list(found), "n": list(found.values())})
+        yield pd.DataFrame({"token": objects(list(found)), "n": np.array(list(found.values()), np.int64)})
 
     rows = docs.select("text").mapInPandas(count, "token string, n bigint")
     return rows.groupBy("token").agg(F.sum("n").alias("n"))
@@ -178,8 +178,8 @@ def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
             found = [shared.value.score(*x) for x in zip(batch["text"], batch["target"], batch["background"])]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "n_tokens": [f[0] for f in found],
-                "loss_target": pd.array([f[1] for f in found], "Float64"),
-                "loss_background": pd.array([f[2] for f in found], "Float64")})
+                "loss_target": objects([f[1] for f in found]),
+                "loss_background": objects([f[2] for f in found])})
 
     rows = as_text(docs.select("doc_id", "text", "target", "background"), "doc_id")
     rows = as_before(rows.mapInPandas(read, "doc_id string, n_tokens bigint, loss_target double, loss_background double"), docs, "doc_id")
