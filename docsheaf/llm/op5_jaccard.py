@@ -20,10 +20,12 @@ below leave out only pairs that cannot link, or that are already connected.
    each larger group. If two sets share s tokens of their prefixes, they overlap
    in at most s plus the longer of their remainders behind the prefixes (of the
    one whose prefix ends first, every shared prefix token is in the other's), and
-   in at most s plus what either has behind the last shared token. Only bands
-   that these bounds, with the sizes of their members, let reach what t asks for
-   are opened. The members that share tokens are bounded the same way one by
-   one, and the rest is verified on whole texts.
+   in at most s plus what either has behind the last shared token. A group has
+   only the first of these, and one plus what the class has behind the first
+   shared token: the last may be shared with another member than the one that
+   links. Only bands that these bounds, with the sizes of their members, let
+   reach what t asks for are opened. The members that share tokens are bounded
+   one by one, and the rest is verified on whole texts.
 
 Groups of copies and of near copies, however large, shrink to one row per token
 before anything is paired; links are counted once per class, not per pair.
@@ -227,11 +229,13 @@ def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD)
     query = rows.select("token", F.col("sig").alias("a"), "n", "rest", F.col("group").alias("own"))
     looked = query.join(matrix, (F.col("token") == F.col("t")) & (F.col("own") < F.col("group")) & fits)
     looked = looked.groupBy("a", "n", "group", "band").agg(
-        F.count("*").alias("shared"), F.min("rest").alias("behind"), F.min("low").alias("low"), F.max("high").alias("high"))
+        F.count("*").alias("shared"), F.max("rest").alias("behind"), F.min("low").alias("low"), F.max("high").alias("high"))
     least = F.greatest(F.col("low"), F.ceil(F.col("n") * threshold / 100 - 1e-9))
     most = F.least(F.col("high"), F.floor(F.col("n") * 100 / threshold + 1e-9))
     rest = F.greatest(F.col("n") - prefix_size(F.col("n"), threshold), most - prefix_size(most, threshold))
-    bound = (least <= most) & (F.col("shared") + F.least(rest, F.col("behind")) >= needed(F.col("n"), least, threshold))
+    # Of the tokens shared with any member, only the first bounds the overlap with each of them.
+    reach = F.least(F.col("shared") + rest, F.col("behind") + 1)
+    bound = (least <= most) & (reach >= needed(F.col("n"), least, threshold))
     opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og"), F.col("band").alias("ob")), "opened")
     query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
     query = query.join(opened, F.col("a") == F.col("oa")).drop("oa")
