@@ -2,13 +2,14 @@
 
 A text is cut into sentences (at line ends, and after . ! ? before white
 space). From every sentence a span runs on, and to every sentence a span runs
-back, each the shortest run of consecutive sentences with at least
-``MIN_WORDS`` words: usually several, one if it has that many by itself. A
-passage of whole sentences with that many words is thus covered by spans that
-lie inside it, wherever it stands. Spans are hashed over their normalised text
-(case and white space), and joined globally; sentences covered by any span that
-is not the first of its kind go. First is the smallest (doc_id, place), ids in
-order, null last.
+back, each the shortest run of at least two consecutive sentences with at least
+``MIN_WORDS`` words; a sentence of at least ``ALONE`` words is a span by itself
+as well. A passage of whole sentences with that many words is thus covered by
+spans that lie inside it, wherever it stands; of a passage that begins or ends
+in mid-sentence, the whole sentences inside it are. Spans are hashed over their
+normalised text (case and white space), and joined globally; sentences covered
+by any span that is not the first of its kind go. First is the smallest
+(doc_id, place), ids in order, null last.
 
 Only hashes of spans that occur more than once are joined; counting them sums
 in the tasks first, and the repeated ones are written down, so that a passage
@@ -35,8 +36,10 @@ from pyspark.sql import functions as F
 
 from .common import as_before, as_text, objects, small_batches, staged, table
 
-# Below the 50 words of a passage to catch, as its edges may not be those of sentences.
-MIN_WORDS = 40
+# Far below the 50 words of a passage to catch, as it may begin and end in mid-sentence.
+MIN_WORDS = 15
+# Words from which one sentence is a span; shorter ones recur by themselves.
+ALONE = 20
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|(?=\n)|\Z)", re.S)
 
 
@@ -64,10 +67,12 @@ def spans(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
     n = len(plain)
     if not n or ends[n] < min_words:
         return []
-    on = np.searchsorted(ends, ends[:n] + min_words)  # the span from i ends before on[i]
-    back = np.searchsorted(ends, ends[1:] - min_words, side="right") - 1
+    # The span from i ends before on[i].
+    on = np.maximum(np.searchsorted(ends, ends[:n] + min_words), np.arange(n) + 2)
+    back = np.minimum(np.searchsorted(ends, ends[1:] - min_words, side="right"), np.arange(n)) - 1
     runs = {(i, int(on[i]) - 1) for i in range(n) if on[i] <= n}
     runs |= {(int(back[j]), j) for j in range(n) if back[j] >= 0}
+    runs |= {(i, i) for i in np.flatnonzero(np.diff(ends) >= max(ALONE, min_words)).tolist()}
     digests = [xxhash.xxh64_digest(p.encode("utf-8", "replace")) for p in plain]
     out = []
     for first, last in sorted(runs):

@@ -1,9 +1,13 @@
 """Rows that an operator must not leave out."""
 
+import random
+
 import numpy as np
 
+from docsheaf.llm import op3_substring as op3
 from docsheaf.llm import op5_jaccard as op5
 from docsheaf.llm.shingles import Shingler, signature
+from small_corpus import prose
 
 
 def test_groups_open_for_members_of_other_prefixes(spark):
@@ -20,3 +24,23 @@ def test_groups_open_for_members_of_other_prefixes(spark):
     assert {sig["a"], sig["b"]} in [{r["a"], r["b"]} for r in pairs.collect()]
     found = op5.near_groups(docs, k=1).select("doc_id", "component_id").collect()
     assert {r["component_id"] for r in found} == {"a"}
+
+
+def test_passages_in_mid_sentence_are_removed(spark):
+    """Passages of 50 to 70 words whose first and last sentence are merged with their neighbours."""
+    rng = random.Random(12)
+    rows, passages = [], []
+    for k in range(20):
+        passage = prose(rng, rng.randint(50, 70)).rstrip(".")
+        passages.append(passage)
+        rows += [(2 * k + j, f"{prose(rng, 20).rstrip('.')} {passage[0].lower() + passage[1:]} {prose(rng, 20).lower()}") for j in range(2)]
+    got = {r["doc_id"]: r for r in op3.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, passage in enumerate(passages):
+        inner = [passage[b:e] for b, e in op3.sentences(passage)][1:-1]
+        assert got[2 * k]["n_removed"] == 0
+        assert not any(s in got[2 * k + 1]["text"] for s in inner), k
+
+
+def test_short_sentences_alone_stay():
+    text = " ".join(["word"] * 17) + "."
+    assert op3.spans(text) == [] and len(op3.spans(text + " " + text)) == 1 and len(op3.spans(" ".join(["word"] * 20) + ".")) == 1
