@@ -1,20 +1,23 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Texts and test items are words (letters and digits, case folded). Of every
-``WINDOW`` consecutive ``N``-grams of an item the rarest in the corpus is a
-seed, so that any stretch of N + WINDOW - 1 common words holds one, and no
-seed is a phrase that everybody uses if a rarer one is near. Seeds join
-documents to items. The part of the document around the seeds is aligned with
-the item word by word; the best local score, as a share of that of a perfect
-copy, tells copies and edited copies from chance.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Texts and test items are words (letters and digits, case folded). Every
+``LONG``-gram that a document shares with an item is a seed, and so are
+``PAIR``-grams if there are enough of them: an item of L words with e words
+replaced or left out scores (2 (L - e) - e) / 2L at best and keeps at least
+L - 2e - 1 of its pairs, so every copy so edited that reaches the least score is
+aligned. The part of the document around the seeds is aligned with the item word
+by word; the best local score, as a share of that of a perfect copy, tells copies
+and edited copies from chance. What has no seed are copies with words put in so
+densely that no three words of the item stand together and few pairs do.
 
 The documents are read once for n-grams that may be an item's: a bit field of
 fixed size, made from the items in Spark, rejects nearly all others. Hits are
-counted and joined in Spark; only documents that share a seed are aligned, each
-with its items, in tasks. A passage that a third of all documents share gives
-each of them a row per item, split like any other.
+counted and joined in Spark; only documents that share seeds are aligned, each
+with its items, in tasks, and only if enough of the item's words stand around
+the seeds for the least score. A passage that a third of all documents share
+gives each of them a row per item, split like any other.
 
-Cases: null and empty texts match nothing. Items with fewer than N words are
+Cases: null and empty texts match nothing. Items with fewer than ``N`` words are
 too short to tell and match nothing; null items likewise. Equal items are all
 reported. Rows repeated in full are reported as often as they occur in the
 input. An empty table on either side gives an empty result. Further columns
@@ -31,12 +34,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import as_before, as_text, objects, small_batches, staged, table
 
 N = 4
-WINDOW = 3
+PAIR, LONG = 2, 3
 FIELD_BITS = 22
 # Share of the perfect score from which on a document counts as contaminated.
 MIN_SCORE = 0.5
@@ -93,9 +95,12 @@ def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int]:
 
 
 def regions(hits: list[tuple[int, int]], size: int, length: int) -> list[tuple[int, int]]:
-    """The stretches of a text of ``length`` words in which an item of ``size`` words with these (place, item place) hits may lie."""
+    """The stretches of a text of ``length`` words in which an item of ``size`` words with these (place, item place) hits may lie.
+
+    An alignment that scores has at most ``size`` gaps before or behind a hit.
+    """
     out: list[list[int]] = []
-    for begin, end in sorted((max(0, p - 2 * q - N), min(length, p + 2 * (size - q) + N)) for p, q in hits):
+    for begin, end in sorted((max(0, p - q - size), min(length, p + 2 * size - q)) for p, q in hits):
         if out and begin <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -103,19 +108,33 @@ def regions(hits: list[tuple[int, int]], size: int, length: int) -> list[tuple[i
     return [(b, e) for b, e in out]
 
 
+def least_pairs(size: Column, min_score: float) -> Column:
+    """The pairs that a copy with words replaced or left out keeps if it has the score."""
+    return F.greatest(F.lit(1), F.ceil(size * ((4 * min_score - 1) / 3) - 1 - 1e-9))
+
+
+def most_score(text: np.ndarray, item: np.ndarray) -> float:
+    """A bound of the score: all words of the item that stand in the text, in any order."""
+    return float(np.isin(item, text).mean())
+
+
 def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def item_grams(items: DataFrame, n: int = N) -> DataFrame:
-    """(item_id, at, hash) of every n-gram of every item."""
+def item_grams(items: DataFrame) -> DataFrame:
+    """(item_id, size, n, at, hash) of every seed of every item of ``size`` words."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            yield pd.DataFrame({"item_id": batch["item_id"], "hashes": objects([ngrams(hashes(t), n) for t in batch["text"]])})
+            for item, text in zip(batch["item_id"], batch["text"]):
+                words = hashes(text)
+                for n in (PAIR, LONG) if len(words) >= N else ():
+                    grams = ngrams(words, n)
+                    yield pd.DataFrame({"item_id": objects([item] * len(grams)), "size": len(words), "n": n, "at": np.arange(len(grams)), "hash": grams})
 
-    rows = as_text(items.select("item_id", "text"), "item_id").mapInPandas(read, "item_id string, hashes array<bigint>")
-    return as_before(rows, items, "item_id").select("item_id", F.posexplode("hashes").alias("at", "hash"))
+    rows = as_text(items.select("item_id", "text"), "item_id").mapInPandas(read, "item_id string, size int, n int, at int, hash bigint")
+    return as_before(rows, items, "item_id")
 
 
 def bit_field(grams: DataFrame, bits: int = FIELD_BITS) -> np.ndarray:
@@ -127,7 +146,7 @@ def bit_field(grams: DataFrame, bits: int = FIELD_BITS) -> np.ndarray:
     return field
 
 
-def hits(docs: DataFrame, field: np.ndarray, n: int = N) -> DataFrame:
+def hits(docs: DataFrame, field: np.ndarray) -> DataFrame:
     """(row_key, hashes, places) of the n-grams of each document that may be an item's."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -137,27 +156,29 @@ def hits(docs: DataFrame, field: np.ndarray, n: int = N) -> DataFrame:
         for batch in batches:
             keys, found, places = [], [], []
             for key, text in zip(batch["row_key"], batch["text"]):
-                grams = ngrams(hashes(text), n)
+                words = hashes(text)
+                grams = np.concatenate([ngrams(words, n) for n in (PAIR, LONG)])
                 slot = grams & low
                 at = np.flatnonzero((bits[slot >> 6] >> (slot & 63)) & 1)
                 if len(at):
                     keys.append(key)
                     found.append(grams[at])
-                    places.append(at.astype(np.int32))
+                    pairs = max(0, len(words) - PAIR + 1)
+                    places.append(np.where(at < pairs, at, at - pairs).astype(np.int32))
             yield pd.DataFrame({"row_key": keys, "hashes": objects(found), "places": objects(places)})
 
     return docs.select(row_key().alias("row_key"), "text").mapInPandas(read, "row_key bigint, hashes array<bigint>, places array<int>")
 
 
-def seeds(grams: DataFrame, found: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, at, hash): the rarest n-gram of every window of each item, by the documents that hold it."""
-    held = found.select(F.explode(F.array_distinct("hashes")).alias("h")).groupBy("h").count()
-    rows = grams.join(held, F.col("hash") == F.col("h"), "left").select("item_id", "at", "hash", F.coalesce("count", F.lit(0)).alias("n"))
-    # The windows that hold a place begin up to window - 1 before it.
-    along = Window.partitionBy("item_id").orderBy("at", "hash")
-    rarest = F.min(F.struct("n", "at", "hash")).over(along.rowsBetween(0, window - 1))
-    chosen = rows.select("item_id", rarest.alias("x")).select("item_id", F.col("x.at").alias("at"), F.col("x.hash").alias("hash"), F.col("x.n").alias("n"))
-    return chosen.filter(F.col("n") > 0).select("item_id", "at", "hash").distinct()
+def seeded(found: DataFrame, grams: DataFrame, min_score: float) -> DataFrame:
+    """(k, i, places) for the documents and items that share a long n-gram, or enough pairs."""
+    each = found.select("row_key", F.explode(F.arrays_zip("hashes", "places")).alias("x")).select(
+        "row_key", F.col("x.hashes").alias("h"), F.col("x.places").alias("place"))
+    rows = each.join(grams, F.col("h") == F.col("hash")).groupBy("row_key", "item_id").agg(
+        F.first("size").alias("size"), F.max("n").alias("longest"), F.collect_set(F.struct("place", "at")).alias("places"))
+    pairs = F.size(F.array_distinct(F.col("places.at")))
+    rows = rows.filter((F.col("longest") == LONG) | (pairs >= least_pairs(F.col("size"), min_score)))
+    return rows.select(F.col("row_key").alias("k"), F.col("item_id").alias("i"), "places")
 
 
 def holding(docs: DataFrame, field: np.ndarray) -> DataFrame:
@@ -179,24 +200,23 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
     small_batches(docs.sparkSession)
     grams = staged(item_grams(items), "grams")
     found = staged(hits(docs, bit_field(grams)), "hits")
-    chosen = staged(seeds(grams, found), "seeds")
-    each = found.select("row_key", F.explode(F.arrays_zip("hashes", "places")).alias("x")).select(
-        "row_key", F.col("x.hashes").alias("h"), F.col("x.places").alias("place"))
-    pairs = each.join(chosen, F.col("h") == F.col("hash")).groupBy("row_key", "item_id").agg(
-        F.collect_set(F.struct("place", "at")).alias("places"))
-    pairs = staged(pairs, "pairs").select(F.col("row_key").alias("k"), F.col("item_id").alias("i"), "places")
+    pairs = staged(seeded(found, grams, min_score), "pairs")
     near = holding(docs, bit_field(pairs.select(F.col("k").alias("hash"))))
     rows = near.join(pairs, F.col("row_key") == F.col("k"))
     rows = rows.join(items.select("item_id", F.col("text").alias("item_text")), F.col("i") == F.col("item_id"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes, last, words = WordHashes(), None, None
         for batch in batches:
             scores = []
-            for text, item_text, places in zip(batch["text"], batch["item_text"], batch["places"]):
-                words, item = hashes(text), hashes(item_text)
+            for key, text, item_text, places in zip(batch["row_key"], batch["text"], batch["item_text"], batch["places"]):
+                # The items of a document follow each other.
+                if key != last:
+                    last, words = key, hashes(text)
+                item = hashes(item_text)
                 around = regions([(x["place"], x["at"]) for x in places], len(item), len(words))
-                scores.append(max(align(words[b:e], item)[0] for b, e in around) / (MATCH * len(item)))
+                near = [words[b:e] for b, e in around]
+                scores.append(max((align(w, item)[0] for w in near if most_score(w, item) >= min_score), default=-1) / (MATCH * len(item)))
             out = batch[["doc_id", "row_key", "item_id"]].assign(score=scores)
             yield out[out["score"] >= min_score]
 

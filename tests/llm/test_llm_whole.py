@@ -3,11 +3,13 @@
 import random
 
 import numpy as np
+import pytest
 
+from docsheaf.llm import op2_decontaminate as op2
 from docsheaf.llm import op3_substring as op3
 from docsheaf.llm import op5_jaccard as op5
 from docsheaf.llm.shingles import Shingler, signature
-from small_corpus import prose
+from small_corpus import WORDS, prose
 
 
 def test_groups_open_for_members_of_other_prefixes(spark):
@@ -26,6 +28,27 @@ def test_groups_open_for_members_of_other_prefixes(spark):
     assert {r["component_id"] for r in found} == {"a"}
 
 
+def test_edited_items_are_found_as_by_full_alignment(spark):
+    """Every second to sixth word replaced, put in or left out: the same pairs as aligning everything."""
+    rng = random.Random(11)
+    items = [(k, " ".join(rng.sample(WORDS, n))) for k, n in enumerate((15, 20, 24, 37, 48, 59))]
+    docs = []
+    for _, text in items:
+        words = text.split()
+        for every in (2, 3, 4, 5, 6):
+            edits = [[f"new{j}" if j % every == every - 1 else w for j, w in enumerate(words)],
+                     [w for j, w in enumerate(words) if j % every],
+                     [x for j, w in enumerate(words) for x in ([w] if j % every else [f"new{j}", w])]]
+            docs += [" ".join([prose(rng, 40), *e, prose(rng, 40)]) for e in edits]
+    rows = list(enumerate(docs))
+    hashes = op2.WordHashes()
+    want = {(i, k): op2.align(hashes(t), hashes(x))[0] / (op2.MATCH * len(x.split())) for i, t in rows for k, x in items}
+    want = {p: s for p, s in want.items() if s >= op2.MIN_SCORE}
+    frame = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in op2.leaks(*frame).collect()}
+    assert len(want) > 60 and got == pytest.approx(want)
+
+
 def test_passages_in_mid_sentence_are_removed(spark):
     """Passages of 50 to 70 words whose first and last sentence are merged with their neighbours."""
     rng = random.Random(12)
