@@ -59,3 +59,10 @@ def as_text(df: DataFrame, *names: str) -> DataFrame:
 def as_before(df: DataFrame, source: DataFrame, *names: str) -> DataFrame:
     """The types that the columns have in ``source``."""
     return df.withColumns({c: F.col(c).cast(source.schema[c].dataType) for c in names})
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text as DuckDB SQL, bit by bit."""
+    byte = "list_reduce([xor(c, b)] || [0::BIGINT for _ in range(8)], lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"[ascii(c)::BIGINT for c in string_split({text}, '')]"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {byte}), 4294967295)"
