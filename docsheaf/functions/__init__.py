@@ -13,7 +13,7 @@ from .logic import (
 )
 from .paths import (
     auto_id, descendants, descendants_of, dynamic_field, each, each_present, field, field_or_null,
-    index_at, index_range, variant_field, variant_list, variant_missing,
+    index_at, index_range, variant_descendants, variant_field, variant_list, variant_missing,
 )
 from .registry import FUNCTIONS, LIST_FUNCTIONS, call, register, register_row_function, via
 from .text import (

@@ -6,14 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .convert import to_number
 
 WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def add(left: Column, right: Column, dtype: T.DataType | None = None) -> Column:
-    """Sum of numbers; texts and lists are joined end to end."""
+    """Sum of numbers; texts and lists are joined end to end.
+
+    A number written in the program is added to the number that a text holds.
+    """
+    if isinstance(dtype, T.StringType) and isinstance(right, (int, float)):
+        return to_number(left) + right
     if isinstance(dtype, (T.StringType, T.ArrayType)):
-        return F.concat(left, right)
+        return F.concat(left, right if isinstance(right, Column) else F.lit(right))
     return left + right
 
 

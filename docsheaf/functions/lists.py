@@ -7,15 +7,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+VARIANTS = T.ArrayType(T.VariantType())
+
+
+def variant_key(value: Column) -> Column:
+    """JSON text that is the same for equal variants: members by name, 1.0 as 1."""
+    number = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    exact = F.regexp_replace(F.try_variant_get(value, "$", "decimal(38,18)").cast("string"), r"\.?0+$", "")
+    return F.when(number, F.coalesce(exact, F.to_json(value))).otherwise(F.to_json(value))
+
+
+def _variant_distinct(items: Column) -> Column:
+    """Distinct variants: nulls, then booleans, numbers and texts in ascending order, then the rest by their JSON.
+
+    Elements are compared by their keys, which are found equal by hashing.
+    """
+    first = lambda key: F.substring(key, 1, 1)
+    rank = lambda key: (F.when(key == "null", 0).when(key.isin("false", "true"), 1).when(first(key).rlike("[0-9-]"), 2)
+                        .when(first(key) == '"', 3).otherwise(4))
+    keyed = lambda key: F.struct(
+        rank(key).alias("rank"), F.when(rank(key) == 2, key.try_cast("double")).alias("number"),
+        F.when(rank(key) == 3, F.try_variant_get(F.try_parse_json(key), "$", "string")).alias("text"), key.alias("key"))
+    keys = F.array_sort(F.transform(F.array_distinct(F.transform(items, variant_key)), keyed))
+    return F.transform(keys, lambda k: F.try_parse_json(k.getField("key")))
+
+
 def distinct_items(value: Column, dtype: T.DataType | None = None) -> Column:
-    """Distinct elements in ascending order; a scalar passes through."""
+    """Distinct elements in ascending order; a scalar passes through.
+
+    Of a variant each row tells whether it is a list.
+    """
+    if dtype == VARIANTS:
+        return _variant_distinct(value)
+    if isinstance(dtype, T.VariantType):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        listed = F.schema_of_variant(value).startswith("ARRAY")
+        return F.when(listed, _variant_distinct(items).cast("variant")).otherwise(value)
     if dtype is not None and not isinstance(dtype, T.ArrayType):
         return value.cast(dtype)
     return F.sort_array(F.array_distinct(value))
 
 
 def length_of(value: Column, dtype: T.DataType) -> Column:
-    """Number of elements of a list or characters of a text."""
+    """Number of elements of a list, members of an object or characters of a text."""
+    if isinstance(dtype, T.VariantType):
+        kind = F.schema_of_variant(value)
+        return (F.when(kind.startswith("ARRAY"), F.size(F.try_variant_get(value, "$", "array<variant>")))
+                .when(kind.startswith("OBJECT"), F.size(F.try_variant_get(value, "$", "map<string,variant>")))
+                .when(~F.is_variant_null(value), F.length(F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)))))
     if isinstance(dtype, (T.ArrayType, T.MapType)):
         return F.size(value)
     return F.length(value)

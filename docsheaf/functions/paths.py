@@ -145,6 +145,43 @@ def variant_list(value: Column) -> Column:
     return F.when(is_list, as_list).otherwise(lone)
 
 
+def variant_descendants(value: Column, name: str) -> Column:
+    """All members called ``name`` at any depth of a variant, as an array of variants.
+
+    The row is gone down level by level, all objects and lists of a level at
+    once, as often as its own type text opens a bracket, which is never less
+    than its depth. Members of an object come before those below it; objects are
+    gone through in the order of their names, lists in their own.
+    """
+    route, nodes = "array<struct<text:string,number:int>>", "array<struct<name:string,path:array<struct<text:string,number:int>>,value:variant>>"
+    piece = lambda text, number: F.array(F.struct(text.alias("text"), number.cast("int").alias("number")))
+    node = lambda called, path, held: F.struct(called.cast("string").alias("name"), path.alias("path"), held.alias("value"))
+
+    def below(x: Column) -> Column:
+        path, at = x.getField("path"), x.getField("value")
+        members = F.map_entries(F.try_variant_get(at, "$", "map<string,variant>"))
+        named = F.transform(members, lambda m: node(m.getField("key"), F.concat(path, piece(m.getField("key"), F.lit(0))), m.getField("value")))
+        numbered = F.transform(F.try_variant_get(at, "$", "array<variant>"), lambda v, i: node(F.lit(None), F.concat(path, piece(F.lit(""), i)), v))
+        kind = F.schema_of_variant(at)
+        return F.when(kind.startswith("OBJECT"), named).when(kind.startswith("ARRAY"), numbered).otherwise(F.array().cast(nodes))
+
+    def level(state: Column, _: Column) -> Column:
+        front = F.flatten(F.transform(state.getField("front"), below)).cast(nodes)
+        # For the order a member's own path is that of its object and a mark before all names.
+        own = lambda p: F.concat(F.slice(p, 1, F.size(p) - 1), piece(F.lit(""), F.lit(-1)))
+        hits = F.transform(F.filter(front, lambda x: x.getField("name") == name), lambda x: node(
+            x.getField("name"), own(x.getField("path")), x.getField("value")))
+        return F.struct(front.alias("front"), F.concat(state.getField("found"), hits).cast(nodes).alias("found"))
+
+    top = F.array(node(F.lit(None), F.array().cast(route), value)).cast(nodes)
+    shape = F.schema_of_variant(value)
+    depth = F.length(shape) - F.length(F.translate(shape, "<", ""))
+    rounds = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
+    found = F.aggregate(rounds, F.struct(top.alias("front"), F.array().cast(nodes).alias("found")), level, lambda s: s.getField("found"))
+    less = lambda a, b: F.when(a.getField("path") < b.getField("path"), -1).when(a.getField("path") > b.getField("path"), 1).otherwise(0)
+    return F.transform(F.array_sort(found, less), lambda x: x.getField("value"))
+
+
 def auto_id(root_id: Column, path: str, position: Column, own_id: Column | None = None) -> Column:
     """Stable id of a child: root, path, then its own id or its place."""
     place = F.concat(F.lit("["), position.cast("string"), F.lit("]"))

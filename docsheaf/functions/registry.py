@@ -50,7 +50,7 @@ FUNCTIONS: dict[str, Callable[..., Column]] = {
 # Functions that look at lists as such; all others take single values.
 LIST_FUNCTIONS = frozenset(["len", "bool", "json2str", "default", "or", "filter_empty", "unique"])
 # Functions that need to know the type of their first argument.
-TYPED = frozenset(["len", "bool", "json2str", "default", "filter_empty", "unique"])
+TYPED = frozenset(["+", "len", "bool", "json2str", "default", "filter_empty", "unique"])
 
 
 def register(name: str, function: Callable[..., Column]) -> None:

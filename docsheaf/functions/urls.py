@@ -22,6 +22,7 @@ def doc_url(kind: str, base: str, domain: Column, doc_id: Column) -> Column:
 
 def attachment_url(base: str, domain: Column, doc_id: Column, name: Column) -> Column:
     """Address of one attachment; an empty name has none."""
+    name = name.cast("string")
     address = template(ATTACHMENT_LAYOUT, F.lit(base), domain, doc_id, name)
     return F.when(name != "", address)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, replace
 
@@ -14,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, cell_text, descendants_of, doc_url, first_present, index_at, variant_cell, variant_field,
-    variant_json, variant_list, via, xml_text,
+    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, cell_text, descendants_of, doc_url, first_present, variant_cell, variant_descendants,
+    variant_field, variant_json, variant_list, via, xml_text,
 )
 from ..functions import field as struct_field
 from ..operators.contract import check_names
@@ -24,10 +23,11 @@ from ..operators.lookup import map_values
 from ..operators.unnest import child_or_root_rows, child_rows_at
 from ..sources.ranges import match_filters
 from ..sources.tables import DocTable
+from .nested import at_place, lists_on, placed_items
 
 ROOT = "$"
 THIS = "`this`"
-CHILD, POS = "__child", "__pos"
+CHILD, POS, PLACE = "__child", "__pos", "__place"
 VARIANTS = T.ArrayType(T.VariantType())
 
 # Where a document names the user who made it.
@@ -108,16 +108,17 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
 
     A step into a list goes to every element; elements without the field are
     left out and lists of lists are flattened. ``[n]`` is one element, from the
-    end if negative, ``[a:b]`` a stretch of a list, ``..name`` the texts of all
-    members of that name at any depth below. A name leads into a map as well.
+    end if negative, ``[a:b:c]`` a stretch of a list, its ends open if left out,
+    ``..name`` all members of that name at any depth below, as texts where a type
+    is known. A name leads into a map as well.
     """
     for n, step in enumerate(steps):
         if isinstance(dtype, T.VariantType) or dtype == VARIANTS:
             return _walk_variant(at, dtype, steps[n:])
         if step == "[*]":
             continue
-        if place := _PLACE.fullmatch(step):
-            at, dtype = _at_place(at, dtype, place)
+        if place := at_place(at, dtype, step):
+            at, dtype = place
             continue
         if step.startswith(".."):
             at, dtype = descendants_of(dtype, at, step[2:]), T.ArrayType(T.StringType())
@@ -141,28 +142,15 @@ def walk(at: Column | None, dtype: T.DataType, steps: tuple[str, ...]):
     return at, dtype
 
 
-_PLACE = re.compile(r"\[(-?\d+)(?:(:)(-?\d+))?\]")
-
-
-def _at_place(at: Column, dtype: T.DataType, place: re.Match):
-    """(value, type) of one element, or of a stretch; a lone value is a list of one."""
-    if not isinstance(dtype, T.ArrayType):
-        at, dtype = F.when(at.isNotNull(), F.array(at)), T.ArrayType(dtype)
-    if place[2]:
-        start, stop = int(place[1]), int(place[3])
-        begin, end = (F.lit(n) if n >= 0 else F.greatest(F.size(at) + n, F.lit(0)) for n in (start, stop))
-        return F.slice(at, begin + 1, F.greatest(end - begin, F.lit(0))), dtype
-    return index_at(at, int(place[1])), dtype.elementType
-
-
 def _walk_variant(at: Column, dtype: T.DataType, steps: tuple[str, ...]):
     """The same in documents without a schema; a lone value is a list of one."""
     for step in steps:
         many = dtype == VARIANTS
         if step.startswith(".."):
-            raise ValueError(f"{step} needs documents with a schema; see typed_documents")
-        if place := _PLACE.fullmatch(step):
-            at, dtype = _at_place(at if many else variant_list(at), VARIANTS, place)
+            below = lambda x, name=step[2:]: variant_descendants(x, name)
+            at, dtype = F.flatten(F.transform(at, below)) if many else below(at), VARIANTS
+        elif place := at_place(at if many else variant_list(at), VARIANTS, step):
+            at, dtype = place
         elif step == "[*]":
             at = F.flatten(F.transform(at, variant_list)) if many else variant_list(at)
             dtype = VARIANTS
@@ -211,6 +199,21 @@ def _items(doc: DocTable) -> Column:
     return F.when(filled, F.array(value))
 
 
+def _child_rows(doc: DocTable, spec: ExportSpec) -> DataFrame:
+    """One row per item; items of lists in lists carry their place on every level."""
+    unnest = child_or_root_rows if spec.value_or_root else child_rows_at
+    at, dtype = _start(doc)
+    if lists_on(dtype, doc.root) < 2:
+        return unnest(doc.df, _items(doc), CHILD, POS)
+    named = any(("id",) in (c.path, *c.alternates, *_step_paths(c)) for c in spec.columns)
+    found = placed_items(at, dtype, doc.root, named)
+    if found is None:
+        raise ValueError(f"no such path: {'.'.join(doc.root)}")
+    rows = unnest(doc.df, found[0], CHILD, POS)
+    item = F.col(CHILD)
+    return rows.withColumns({PLACE: item.getField("place"), CHILD: item.getField("item")})
+
+
 def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
     start = _start(doc)
 
@@ -229,7 +232,10 @@ def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
             own = walk(F.col(CHILD), item, path)
             if own and isinstance(own[1], T.VariantType):
                 own = F.try_variant_get(own[0], "$", "string"), T.StringType()
-            named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0])
+            if PLACE in rows.columns:
+                named = F.concat_ws(".", _id_of(doc).cast("string"), F.col(PLACE))
+            else:
+                named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0])
             return F.when(F.col(POS).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
         return walk(F.col(CHILD), item, path)
 
@@ -255,6 +261,8 @@ def _value(spec: ColumnSpec, resolve: Callable, base_url: str, rows: DataFrame)
 def _for_step(name: str, value: Column, dtype: T.DataType):
     """(value, type) as the named function takes it."""
     if _untyped(dtype):
+        if name in ("len", "unique"):
+            return value, dtype
         if name == "json2str":
             return variant_json(value, dtype), T.StringType()
         return _untyped_text(value, dtype), T.StringType()
@@ -331,8 +339,7 @@ def export(
     doc = replace(doc.rooted(*(spec.root or doc.root)), df=match_filters(doc.df, spec.filters, doc.member))
     rows = doc.df
     if doc.root:
-        unnest = child_or_root_rows if spec.value_or_root else child_rows_at
-        rows = unnest(doc.df, _items(doc), CHILD, POS)
+        rows = _child_rows(doc, spec)
     resolve = _resolver(doc, rows)
     out = rows.select(
         *[_value(c, resolve, spec.base_url, rows).alias(c.name) for c in spec.columns],
