@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -13,8 +14,9 @@ from ..operators.merge import collapse
 from ..sinks.store import StoredTable
 from ..sources.ranges import EXCLUSIVE_UNTIL, in_range, progress_date, since_until_fallback
 from ..sources.tables import DocTable
-from .export import ExportSpec, export
+from .export import ExportSpec, columns_read, export
 from .ledger import CURSOR_MODE, Ledger, Run, ledger_used, scan_mode, start_point
+from .undated import UndatedLog, marks, with_fresh
 
 ORDER = "__order"
 
@@ -45,6 +47,10 @@ def run_export(
     simply repeated. Where no document has a date nothing is recorded, and the
     next run takes everything again.
 
+    Documents without a date are in no range. A run that goes by the ledger
+    takes those that are new or whose content has changed since the last such
+    run, see ``undated``; one with bounds of the caller's own takes none.
+
     ``date_fields`` are tried in order; in cursor mode the first one is the key
     of the cursor. ``mode_fields`` names other fields for some modes: a resumed
     run keeps its mode and so goes on along the fields it began with.
@@ -59,7 +65,14 @@ def run_export(
     dates = [doc.member(f) for f in fields]
     at = progress_date(dates)
     start = _typed(doc.df, dates[0], start)
-    bounded = replace(doc, df=_range(doc.df, fields, dates, start, until))
+    in_bounds = _range(doc.df, fields, dates, start, until)
+    fresh = log = None
+    if use:
+        log = UndatedLog(doc.df.sparkSession, folder, _log_name(run))
+        fresh = log.fresh(marks(doc, dates, columns_read(specs, doc)))
+        if start is not None:
+            in_bounds = with_fresh(doc, in_bounds, dates, fresh)
+    bounded = replace(doc, df=in_bounds)
     id_of = doc.member(doc.id_field).cast("string")
     reached = Observation()
     seen = bounded.df.observe(reached, F.max(F.struct(at.alias("at"), id_of.alias("id"))).alias("last"))
@@ -68,6 +81,8 @@ def run_export(
         rows = export(source, spec, mappings, carry={ORDER: at})
         merged = collapse(rows, "id", F.col(ORDER)).drop(ORDER)
         StoredTable(doc.df.sparkSession, f"{folder}/{spec.table}", "id", parts).merge(merged, strict)
+    if log is not None:
+        log.append(fresh)
     last = reached.get["last"] if specs else None
     newest = last["at"] if last is not None else None
     end = until if until is not None else newest
@@ -77,6 +92,11 @@ def run_export(
     return Progress(start, end, mode)
 
 
+def _log_name(run: Run) -> str:
+    """What the ledger tells runs apart by, but for the spec: another one reads other members, so its hashes differ."""
+    return hashlib.md5(repr((run.key, run.project, run.server, run.tables)).encode()).hexdigest()
+
+
 def _range(df: DataFrame, fields: list[str], dates: list[Column], since, until) -> DataFrame:
     if len(dates) > 1:
         return since_until_fallback(df, dates, since, until)

@@ -155,3 +155,43 @@ def test_json_columns_are_merged(spark):
     go(("b", day(3), '{"k":3}'), ("a", day(3), None))
     rows = StoredTable(spark, f"{folder}/docs").read().select("id", F.try_variant_get("body", "$.k", "int").alias("k"))
     assert sorted(tuple(r) for r in rows.collect()) == [("a", 2), ("b", 3)]
+
+
+def test_undated_documents_that_come_or_change_later(spark):
+    folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
+    table = StoredTable(spark, f"{folder}/visits")
+
+    def go(*rows):
+        run_export(source(spark, rows), [SPEC], folder, RUN, ["indexed_on"], ledger)
+        return {r["id"]: (r["name"], r["count"]) for r in table.read().collect()}
+
+    dated = ("b", day(2), "B", 2)
+    assert go(("a", None, "A", 1), ("c", None, "C", None), dated) == {"a": ("A", 1), "b": ("B", 2), "c": ("C", None)}
+    # One comes, one changes, one moves its value to another column, one stays.
+    changed = go(("a", None, "A2", 1), ("c", None, None, 7), ("d", None, "D", 4), dated)
+    assert changed == {"a": ("A2", 1), "b": ("B", 2), "c": ("C", 7), "d": ("D", 4)}
+    # Back to what it was before the last run, and twice in one run.
+    assert go(("a", None, "A", 1), ("a", None, "A", 1), ("d", None, "D", 4), dated)["a"] == ("A", 1)
+    log = spark.read.parquet(f"{folder}/undated/*")
+    assert sorted((r["id"], r["number"]) for r in log.collect()) == [("a", 1), ("a", 2), ("a", 3), ("c", 1), ("c", 2), ("d", 2)]
+
+
+def test_unchanged_undated_documents_are_not_merged_again(spark):
+    folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
+    table = StoredTable(spark, f"{folder}/visits")
+    rows = [("a", None, "A", 1), ("b", day(2), "B", 2)]
+    run_export(source(spark, rows), [SPEC], folder, RUN, ["indexed_on"], ledger)
+    table.merge(spark.createDataFrame([("a", "by hand", 1)], "id string, name string, count int"))
+    run_export(source(spark, rows), [SPEC], folder, RUN, ["indexed_on"], ledger)
+    assert {r["id"]: r["name"] for r in table.read().collect()} == {"a": "by hand", "b": "B"}
+
+
+def test_undated_documents_without_a_schema(spark):
+    folder, ledger = fresh_dir(spark, "run"), Ledger(spark, fresh_dir(spark, "ledger"))
+    spec = ExportSpec("visits", "form", (ColumnSpec("id", ("id",)), ColumnSpec("n", ("m", "n"))))
+    run = Run("q", spec.fingerprint(), ("visits",), "form")
+    for n in (1, 2):
+        docs = variants(spark, '{"id":"b","at":"2024-01-02","m":{"n":0}}', '{"id":"a","m":{"n":%d}}' % n, '{"id":"c","at":null,"m":{"n":%d}}' % n)
+        run_export(docs, [spec], folder, run, ["at"], ledger)
+    rows = StoredTable(spark, f"{folder}/visits").read().collect()
+    assert sorted((r["id"], r["n"]) for r in rows) == [("a", "2"), ("b", "0"), ("c", "2")]
