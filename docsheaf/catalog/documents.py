@@ -13,7 +13,7 @@ from ..functions import (
 from ..operators import (
     bind, child_or_root_rows, child_rows, child_rows_at, is_root_row, named_scope, present_rows,
 )
-from ..plans import ColumnSpec, ExportSpec, export, export_many, with_actor
+from ..plans import ColumnSpec, ExportSpec, export, export_routed, with_actor
 from ..session import fresh_dir
 from ..sources import inline_children, typed_documents
 from ..sources.tables import DocTable, load
@@ -344,12 +344,30 @@ def _(spark, d):
             ColumnSpec("id", ("id",)), ColumnSpec("value", ("size",), data_type="text")),
             root=("form", "lines")),
     ]
-    export_many(forms(spark, d), specs, lambda table, df: df.write.parquet(f"{folder}/{table}"))
-    parts = [spark.read.parquet(f"{folder}/{s.table}").select(
-        F.lit(s.table).alias("tbl"), "id", "value") for s in specs]
+    tables, _ = export_routed(forms(spark, d), specs, folder)
+    parts = [tables.table(s.table).select(F.lit(s.table).alias("tbl"), "id", "value") for s in specs]
     return parts[0].unionByName(parts[1])
 
 
+@query("emit_rejects", f"""
+WITH {LINES}, cells AS (
+  SELECT 'lines' AS tbl, doc_id AS id, 'size' AS "column", substring(line, 1, 8) AS value FROM lines
+  UNION ALL SELECT 'lines', doc_id, 'day', source FROM lines
+  UNION ALL SELECT 'docs', doc_id, 'lang', lang FROM documents)
+SELECT tbl, CAST(id AS VARCHAR) AS id, "column", value FROM cells
+WHERE value IS NOT NULL AND NOT ("column" = 'size' AND TRY_CAST(value AS BIGINT) IS NOT NULL)""")
+def _(spark, d):
+    """Cells of two tables that do not fit their declared types, from the pass that writes the tables."""
+    specs = [
+        ExportSpec("docs", "form", (ColumnSpec("id", ("id",)), ColumnSpec("lang", ("form", "name"), data_type="boolean"))),
+        ExportSpec("lines", "form", (
+            ColumnSpec("id", ("id",)), ColumnSpec("size", ("text",), map_via=("substr", 0, 8), data_type="integer"),
+            ColumnSpec("day", ("$", "domain"), data_type="date")), root=("form", "lines")),
+    ]
+    tables, _ = export_routed(forms(spark, d), specs, fresh_dir(spark, "emit"))
+    return tables.rejects().withColumnRenamed("table", "tbl")
+
+
 @query("actor_id", "SELECT o_orderkey AS id, 'c' || o_custkey AS actor_id FROM orders")
 def _(spark, d):
     cases = load(spark, d, "orders").select(

@@ -199,22 +199,33 @@ def _items(doc: DocTable) -> Column:
     return F.when(filled, F.array(value))
 
 
-def _child_rows(doc: DocTable, spec: ExportSpec) -> DataFrame:
-    """One row per item; items of lists in lists carry their place on every level."""
-    unnest = child_or_root_rows if spec.value_or_root else child_rows_at
+def row_items(doc: DocTable, spec: ExportSpec) -> tuple[Column, bool]:
+    """(the list a table's rows come from, whether its elements are (place, item)).
+
+    Items of lists in lists carry their place on every level.
+    """
     at, dtype = _start(doc)
     if lists_on(dtype, doc.root) < 2:
-        return unnest(doc.df, _items(doc), CHILD, POS)
+        return _items(doc), False
     named = any(("id",) in (c.path, *c.alternates, *_step_paths(c)) for c in spec.columns)
     found = placed_items(at, dtype, doc.root, named)
     if found is None:
         raise ValueError(f"no such path: {'.'.join(doc.root)}")
-    rows = unnest(doc.df, found[0], CHILD, POS)
+    return found[0], True
+
+
+def _child_rows(doc: DocTable, spec: ExportSpec) -> DataFrame:
+    unnest = child_or_root_rows if spec.value_or_root else child_rows_at
+    items, placed = row_items(doc, spec)
+    rows = unnest(doc.df, items, CHILD, POS)
+    if not placed:
+        return rows
     item = F.col(CHILD)
     return rows.withColumns({PLACE: item.getField("place"), CHILD: item.getField("item")})
 
 
-def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
+def resolver(doc: DocTable, rows: DataFrame, child: str = CHILD, pos: str = POS, place: str = PLACE) -> Callable:
+    """Looks up paths in ``rows``, whose items lie in the named columns."""
     start = _start(doc)
 
     def resolve(path: tuple[str, ...]):
@@ -225,24 +236,24 @@ def _resolver(doc: DocTable, rows: DataFrame) -> Callable:
                 whole = F.struct(*[F.col(f"`{c}`") for c in doc.df.columns])
                 return start if doc.variant else (whole, doc.df.schema)
             return walk(*start, path)
-        item = rows.schema[CHILD].dataType
+        item = rows.schema[child].dataType
         if path == (THIS,):
-            return F.col(CHILD), item
+            return F.col(child), item
         if path == ("id",):
-            own = walk(F.col(CHILD), item, path)
+            own = walk(F.col(child), item, path)
             if own and isinstance(own[1], T.VariantType):
                 own = F.try_variant_get(own[0], "$", "string"), T.StringType()
-            if PLACE in rows.columns:
-                named = F.concat_ws(".", _id_of(doc).cast("string"), F.col(PLACE))
+            if place in rows.columns:
+                named = F.concat_ws(".", _id_of(doc).cast("string"), F.col(place))
             else:
-                named = auto_id(_id_of(doc), ".".join(doc.root), F.col(POS), own and own[0])
-            return F.when(F.col(POS).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
-        return walk(F.col(CHILD), item, path)
+                named = auto_id(_id_of(doc), ".".join(doc.root), F.col(pos), own and own[0])
+            return F.when(F.col(pos).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
+        return walk(F.col(child), item, path)
 
     return resolve
 
 
-def _value(spec: ColumnSpec, resolve: Callable, base_url: str, rows: DataFrame) -> Column:
+def column_value(spec: ColumnSpec, resolve: Callable, base_url: str, rows: DataFrame) -> Column:
     """The value before cell coercion; null text where no path exists.
 
     Each step works on what the one before it gave, value and type. A step for
@@ -265,11 +276,11 @@ def _for_step(name: str, value: Column, dtype: T.DataType):
             return value, dtype
         if name == "json2str":
             return variant_json(value, dtype), T.StringType()
-        return _untyped_text(value, dtype), T.StringType()
+        return plain_text(value, dtype), T.StringType()
     if name in LIST_FUNCTIONS or name == "attachment_url":
         return value, dtype
     if isinstance(dtype, (T.ArrayType, T.StructType)):
-        return _untyped_text(value, dtype), T.StringType()
+        return plain_text(value, dtype), T.StringType()
     return value, dtype
 
 
@@ -281,7 +292,7 @@ def _meet(found: list):
         return found[0]
     if len({t.simpleString() for _, t in found}) == 1 and not _untyped(found[0][1]):
         return first_present(*[v for v, _ in found], dtype=found[0][1]), found[0][1]
-    return F.coalesce(*[_untyped_text(v, t) for v, t in found]), T.StringType()
+    return F.coalesce(*[plain_text(v, t) for v, t in found]), T.StringType()
 
 
 def _step(step: tuple, dtype: T.DataType, resolve: Callable, base_url: str) -> Callable[[Column], Column]:
@@ -289,7 +300,7 @@ def _step(step: tuple, dtype: T.DataType, resolve: Callable, base_url: str) -> C
     name, args = step[0], step[1:]
 
     def text(path: tuple[str, ...]) -> Column:
-        return _untyped_text(*_meet([f for f in [resolve(path)] if f is not None]))
+        return plain_text(*_meet([f for f in [resolve(path)] if f is not None]))
 
     if name in URL_STEPS:
         domain, key = text((ROOT, "domain")), text((ROOT, "id"))
@@ -312,7 +323,8 @@ def _untyped(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.VariantType) or dtype == VARIANTS
 
 
-def _untyped_text(value: Column, dtype: T.DataType) -> Column:
+def plain_text(value: Column, dtype: T.DataType) -> Column:
+    """The text of any value, as its cell would have it."""
     if dtype == VARIANTS:
         return cell_text(F.transform(value, lambda x: variant_cell(x)), T.ArrayType(T.StringType()))
     if isinstance(dtype, T.VariantType):
@@ -340,9 +352,9 @@ def export(
     rows = doc.df
     if doc.root:
         rows = _child_rows(doc, spec)
-    resolve = _resolver(doc, rows)
+    resolve = resolver(doc, rows)
     out = rows.select(
-        *[_value(c, resolve, spec.base_url, rows).alias(c.name) for c in spec.columns],
+        *[column_value(c, resolve, spec.base_url, rows).alias(c.name) for c in spec.columns],
         *[value.alias(name) for name, value in carry.items()])
     for column in spec.columns:
         if column.mapping:
@@ -351,10 +363,11 @@ def export(
             mapped = map_values(out, mappings, column.mapping, column.name, "__mapped")
             out = mapped.withColumn(column.name, F.col("__mapped")).drop("__mapped")
     types = out.schema
-    return out.select(*[_cell(c, types[c.name].dataType, spec.missing_value) for c in spec.columns], *carry)
+    return out.select(*[column_cell(c, types[c.name].dataType, spec.missing_value) for c in spec.columns], *carry)
 
 
-def _cell(column: ColumnSpec, dtype: T.DataType, missing: str | None) -> Column:
+def column_cell(column: ColumnSpec, dtype: T.DataType, missing: str | None) -> Column:
+    """The cell of the column that holds its value."""
     value = F.col(f"`{column.name}`")
     goal = spark_type(column.data_type) if column.data_type else None
     if goal == "variant":
@@ -363,7 +376,7 @@ def _cell(column: ColumnSpec, dtype: T.DataType, missing: str | None) -> Column:
     if _untyped(dtype):
         kept = missing if goal in (None, "string") else None
         if dtype == VARIANTS:
-            value = F.coalesce(_untyped_text(value, dtype), F.lit(kept))
+            value = F.coalesce(plain_text(value, dtype), F.lit(kept))
         else:
             value = variant_cell(value, kept)
         return (value.try_cast(goal) if goal else value).alias(column.name)

@@ -22,14 +22,22 @@ def match_filters(df: DataFrame, filters: Iterable[tuple[str, object]], member=N
     ``member`` turns a name into a Column, by default into that of the name.
     From documents without a schema it gives text, so values are compared as text.
     """
+    for test in filter_tests(df, filters, member):
+        df = df.where(test)
+    return df
+
+
+def filter_tests(df: DataFrame, filters: Iterable[tuple[str, object]], member=None) -> list[Column]:
+    """The same as predicates, one for each name."""
     wanted: dict[str, list] = {}
     for name, value in filters:
         wanted.setdefault(name, []).append(value)
+    tests = []
     for name, values in wanted.items():
         column = member(name) if member else F.col(name)
         same = [v if isinstance(v, str) else json.dumps(v) for v in values] if member and is_text(df, column) else values
-        df = df.where(column.isin(same))
-    return df
+        tests.append(column.isin(same))
+    return tests
 
 
 def is_text(df: DataFrame, column: Column) -> bool:
