@@ -136,14 +136,19 @@ def event_texts(spark, d):
 
 @query("infer_types", """
 SELECT event_id, ts, value, event_type, value > 0 AS positive, '00' || event_id AS padded, '+49' || event_id AS phone,
-       strftime(ts, '%Y-%m-%d %H:%M:%S') || '+02:00' AS zoned, '12345678901234567890' || event_id AS long_number FROM events""")
+       strftime(ts, '%Y-%m-%d %H:%M:%S') || '+02:00' AS zoned, '12345678901234567890' || event_id AS long_number,
+       event_id || '.10' AS version, (1 + event_id % 9) || 'e5' AS power, 9007199254740993 + event_id AS huge,
+       CASE WHEN event_id % 2 = 0 THEN '9007199254740993' ELSE '0.5' END AS unequal FROM events""")
 def _(spark, d):
     """Texts that a number or a time would not give back stay texts."""
     key = F.col("event_id").cast("string")
     return infer_columns(event_texts(spark, d).withColumns({
         "padded": F.concat(F.lit("00"), key), "phone": F.concat(F.lit("+49"), key),
         "zoned": F.concat(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")),
-        "long_number": F.concat(F.lit("12345678901234567890"), key)}), drop_empty=True)
+        "long_number": F.concat(F.lit("12345678901234567890"), key),
+        "version": F.concat(key, F.lit(".10")), "power": F.concat((1 + F.col("event_id").cast("bigint") % 9).cast("string"), F.lit("e5")),
+        "huge": (F.lit(9007199254740993) + F.col("event_id").cast("bigint")).cast("string"),
+        "unequal": F.when(F.col("event_id").cast("bigint") % 2 == 0, "9007199254740993").otherwise("0.5")}), drop_empty=True)
 
 
 @query("empty_columns", "SELECT event_id, event_type FROM events")

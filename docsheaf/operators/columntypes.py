@@ -147,59 +147,78 @@ def declared_columns(df: DataFrame, declared: dict[str, str | None], lenient: bo
     return df.select(*out)
 
 
-# Kinds of text, each with its form. A value counts as the first kind whose
-# form it has and that it can be cast to, so '1' is not true and a time of day
-# is not a date. Nothing that would lose by the cast has such a form: leading
-# zeros, signs of telephone numbers, more digits than the type holds, zones.
-FORMS = (
-    ("bigint", r"^(0|-?[1-9][0-9]*)$"),
-    ("double", r"^-?(?=([0-9]\.?){1,16}$)(0|[1-9][0-9]*)(\.[0-9]+)?$"),
-    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-    ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?$"),
-    ("boolean", r"^(?i:true|false)$"),
-)
-
-
-def text_kind(value: Column) -> Column:
-    """The narrowest type a text can be read as; null for a null."""
-    kind = F.when(value.isNull(), F.lit(None))
-    for dtype, form in FORMS:
-        kind = kind.when(value.rlike(form) & value.try_cast(dtype).isNotNull(), dtype)
-    return kind.otherwise("string")
+# The kinds a text may be read as, narrowest first; each has a bit.
+KINDS = ("bigint", "double", "date", "timestamp_ntz", "boolean")
+BITS = {kind: 1 << n for n, kind in enumerate(KINDS)}
+# Forms that a cast gives back; other digits, signs or zones would be lost.
+WHOLE_FORM = r"^(0|-?[1-9][0-9]*)$"
+FRACTION_FORM = r"^-?(0|[1-9][0-9]*)\.([0-9]*[1-9]|0)$"
+DATE_FORM = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+TIME_FORM = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?$"
+EXACT = 1 << 53  # a double holds whole numbers up to here
+# Characters that any number fits in a double with, in a bigint with, and fractions are compared exactly with.
+SURE, FITTING, COMPARED = 15, 18, 19
+
+
+def kind_mask(text: Column) -> Column:
+    """The kinds a text can be read as without loss, as bits; 0 is text only, null for a null.
+
+    Its first character and its length decide what is tried, so most cells meet
+    one test; a cast that may fail is the last resort, as failing is slow. A whole number must be written as the number is ('007', '+1' are
+    texts), a fraction as well ('1.10', '1e5'), and a double must hold it. Whole
+    numbers up to 2^53 are fractions too.
+    """
+    first, size, both = F.substring(text, 1, 1), F.length(text), BITS["bigint"] | BITS["double"]
+    whole = (
+        F.when(size <= SURE, both)
+        .when(size <= FITTING, F.when(text.try_cast("bigint").between(-EXACT, EXACT), both).otherwise(BITS["bigint"]))
+        .when((size <= FITTING + 2) & text.try_cast("bigint").isNotNull(), BITS["bigint"]).otherwise(0))
+    held = text.try_cast("double").try_cast("decimal(38,18)") == text.try_cast("decimal(38,18)")
+    fraction = F.when(size <= SURE, BITS["double"]).when((size <= COMPARED) & held, BITS["double"]).otherwise(0)
+    number = F.when(text.rlike(WHOLE_FORM), whole).when(text.rlike(FRACTION_FORM), fraction).otherwise(0)
+    day = F.when(text.rlike(DATE_FORM) & text.try_cast("date").isNotNull(), BITS["date"]).otherwise(0)
+    time = F.when(text.rlike(TIME_FORM) & text.try_cast("timestamp_ntz").isNotNull(), BITS["timestamp_ntz"]).otherwise(0)
+    return (
+        F.when(text.isNull(), F.lit(None))
+        .when((F.substring(text, 5, 1) == "-") & (size == 10), day)
+        .when((F.substring(text, 5, 1) == "-") & (size > 10), time)
+        .when(first.between("0", "9") | (first == "-"), number)
+        .otherwise(F.when(F.lower(text).isin("true", "false"), BITS["boolean"]).otherwise(0))
+    )
+
+
+def _masks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The masks of all columns. One function over an array of cells stays small; as many copies
+    of it as there are columns would make a method too large for the JVM to compile."""
+    texts = F.array(*[F.trim(F.col(f"`{c}`").cast("string")) for c in columns])
+    masks = df.select(F.transform(texts, kind_mask).alias("m"))
+    return masks.select(*[F.get("m", F.lit(k)).alias(c) for k, c in enumerate(columns)])
 
 
 def type_evidence(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row: per text column the number of values, and of those of each kind.
+    """One row: per text column the number of values, and of those whose narrowest kind is each.
 
     Every row is looked at, in one pass and one aggregate row per task.
     """
     columns = columns or df.columns
-    kinds = df.select(*[text_kind(F.trim(F.col(f"`{c}`").cast("string"))).alias(c) for c in columns])
     aggs = []
     for name in columns:
         at = F.col(f"`{name}`")
+        lowest = at.bitwiseAND(-at)
         aggs.append(F.count(at).alias(f"{name}|n"))
-        aggs += [F.count_if(at == t).alias(f"{name}|{t}") for t, _ in FORMS]
-    return kinds.agg(*aggs)
+        aggs += [F.count_if(lowest == bit).alias(f"{name}|{kind}") for kind, bit in BITS.items()]
+    return _masks(df, columns).agg(*aggs)
 
 
 def choose_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str | None]:
     """Narrowest type that holds every value; None for a column without values.
 
+    The kinds that all values share: one bit mask a cell, one ``and`` a column.
     Whole numbers also fit a column of fractions; other mixtures are text.
     """
     columns = columns or df.columns
-    seen = type_evidence(df, columns).first()
-    return {c: _narrowest(seen[f"{c}|n"], {t: seen[f"{c}|{t}"] for t, _ in FORMS}) for c in columns}
-
-
-def _narrowest(n: int, counts: dict[str, int]) -> str | None:
-    if n == 0:
-        return None
-    if counts["bigint"] < n:
-        counts["double"] += counts["bigint"]
-    full = [t for t, c in counts.items() if c == n]
-    return full[0] if full else "string"
+    shared = _masks(df, columns).agg(*[F.bit_and(F.col(f"`{c}`")).alias(f"m{k}") for k, c in enumerate(columns)]).first()
+    return {c: None if shared[k] is None else next((kind for kind, bit in BITS.items() if shared[k] & bit), "string") for k, c in enumerate(columns)}
 
 
 def infer_columns(df: DataFrame, drop_empty: bool = False, keep: list[str] = ()) -> DataFrame:

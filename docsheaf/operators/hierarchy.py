@@ -7,21 +7,11 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 
-# Levels climbed between two checkpoints.
-ROUNDS = 4
-
-
 def clean_name(code: Column) -> Column:
     """A level code as a column name."""
     return F.regexp_replace(code, "-", "_")
 
 
-def _step_up(frontier: DataFrame, parents: DataFrame, up: str, climbed: str) -> DataFrame:
-    return frontier.join(parents, F.col(up) == F.col("__at")).withColumn(
-        climbed, (F.col(climbed) + 1).cast("int")
-    )
-
-
 def level_depths(types: DataFrame, key: str = "resource_uri", parent: str = "parent") -> DataFrame:
     """Each type with its depth below the top; a top level has depth 0.
 
@@ -52,43 +42,40 @@ def ancestors(places: DataFrame, types: DataFrame) -> DataFrame:
     """(uri, code, ancestor_id, distance) for every place and each place above it.
 
     A place is its own ancestor at distance 0. The climb ends at a top place,
-    at a parent that is not in the table and at a place of unknown type. Each
-    round moves all places up by one, so there are as many joins as the tree
-    is deep, whatever the number of places; the join splits hot parents. Every
-    few rounds the rounds so far are written down, which bounds the plan. A
-    place that meets itself on its way up is in a cycle, and fails.
+    at a parent that is not in the table and at a place of unknown type.
+
+    The rows at distance 2^k are the jumps of round k: behind each ancestor at
+    distance 1 to 2^k they add the one 2^k farther on. So one join doubles the
+    reach, and a tree of a thousand levels takes eleven. A jump leads to one
+    place, so rows are never multiplied, and adaptive execution splits an
+    ancestor that many places share. Each round is written down, which bounds
+    the plan; the first four levels, more than most trees have, are one round.
+    A place that meets itself on its way up is in a cycle, and fails.
     """
     known = types.select(F.col("resource_uri").alias("__type"), F.col("code"))
     nodes = durable(places.join(known, F.col("location_type") == F.col("__type")).select(
-        F.col("resource_uri").alias("__at"), F.col("parent").alias("__up"), "code",
+        F.col("resource_uri").alias("uri"), F.col("parent").alias("__up"), "code",
         F.col("location_id").alias("ancestor_id"),
     ))
-    frontier = nodes.select(
-        F.col("__at").alias("uri"), "code", "ancestor_id", F.lit(0).alias("distance"),
-        F.col("__up").alias("__next"),
-    )
-    out = frontier
-    while True:
-        rounds = []
-        for _ in range(ROUNDS):
-            climbing = frontier.select("uri", "distance", "__next").where(F.col("__next").isNotNull())
-            frontier = _step_up(climbing, nodes, "__next", "distance").select(
-                "uri", "code", "ancestor_id", "distance", F.col("__up").alias("__next"), F.col("__at").alias("__here"))
-            met = F.col("uri") == F.col("__here")
-            frontier = frontier.withColumn("distance", F.when(
-                met, F.raise_error(F.concat(F.lit("places form a cycle at "), "uri")).cast("int")).otherwise(F.col("distance"))).drop("__here")
-            rounds.append(frontier)
-        part = rounds[0]
-        for other in rounds[1:]:
-            part = part.unionByName(other)
-        part = durable(part)
-        last = part.agg(F.max("distance")).first()[0]
-        if last is None:
-            return out.drop("__next")
-        out = out.unionByName(part)
-        frontier = part.where(F.col("distance") == last)
-        if frontier.where(F.col("__next").isNotNull()).isEmpty():
-            return out.drop("__next")
+    own = nodes.select("uri", F.col("uri").alias("__at"), "code", "ancestor_id", F.lit(0).alias("distance"))
+    parents = nodes.where(F.col("__up").isNotNull()).select("uri", F.col("__up").alias("__at"), F.lit(0).alias("distance"))
+    one = _jumped(parents, own, 1)
+    two = _jumped(one, one, 1)
+    part = durable(one.unionByName(two).unionByName(_jumped(one.unionByName(two), two, 2)))
+    closure, reach = own.unionByName(part), 4
+    while part.agg(F.max("distance")).first()[0] == reach:
+        part = durable(_jumped(closure.where("distance > 0"), part.where(F.col("distance") == reach), reach))
+        closure, reach = closure.unionByName(part), 2 * reach
+    return closure.drop("__at")
+
+
+def _jumped(rows: DataFrame, jumps: DataFrame, span: int) -> DataFrame:
+    """Each row's place ``__at`` replaced by the one that its jump leads to."""
+    leads = jumps.select(F.col("uri").alias("__from"), F.col("__at").alias("__to"), "code", "ancestor_id")
+    found = rows.select("uri", "__at", "distance").join(leads, F.col("__at") == F.col("__from"))
+    failure = F.raise_error(F.concat(F.lit("places form a cycle at "), "uri")).cast("int")
+    distance = F.when(F.col("uri") == F.col("__to"), failure).otherwise((F.col("distance") + span).cast("int"))
+    return found.select("uri", F.col("__to").alias("__at"), "code", "ancestor_id", distance.alias("distance"))
 
 
 def ancestor_columns(closure: DataFrame, codes: list[str]) -> DataFrame:

@@ -136,6 +136,18 @@ def test_inference(spark):
     assert choose_types(spark.createDataFrame([("0",), ("1",)], "x string")) == {"x": "bigint"}
 
 
+@pytest.mark.parametrize("texts,kind", [
+    (["1.10"], "string"), (["1e5"], "string"), (["007"], "string"), (["+1"], "string"), (["-0"], "string"), (["1."], "string"), ([".5"], "string"),
+    (["1.5", "2", "-3.0"], "double"), (["0.1", "123456.789012345678"], "string"), (["12345.678901234567"], "double"), (["0.0001"], "double"),
+    (["9007199254740992", "0.5"], "double"), (["9007199254740993", "0.5"], "string"), (["9007199254740993", "1"], "bigint"),
+    (["9223372036854775807", "-9223372036854775808"], "bigint"), (["9223372036854775808"], "string"), (["123456789012345678901"], "string"),
+    (["2024-02-30"], "string"), (["2024-02-29", None], "date"), (["2024-02-29", "2024-02-29 10:00"], "string"), (["1234-567890"], "string"),
+    (["true", "FALSE"], "boolean"), (["true", "1"], "string"), ([""], "string"), ([None, None], None)])
+def test_texts_keep_what_a_cast_would_lose(spark, texts, kind):
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert choose_types(df) == {"x": kind}
+
+
 def test_declared_cast(spark):
     df = spark.createDataFrame([("1", 2, 3, '{"k":1}')], "a string, b int, c int, j string")
     out = declared_columns(df, {"a": "integer", "b": "text", "j": "json"})

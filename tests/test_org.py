@@ -115,3 +115,25 @@ def test_roll_up(spark):
     places = spark.createDataFrame([("S", "north"), ("D", "north")], "location_id string, region string")
     out = roll_up(facts, "actor", users, "id", "place", places, "location_id", "region")
     assert {r["region"]: r["n"] for r in out.collect()} == {"north": 51, None: 3}
+
+
+def test_a_thousand_levels_take_eleven_rounds(spark, monkeypatch):
+    from docsheaf.operators import hierarchy
+    jumps = []
+    plain = hierarchy._jumped
+    monkeypatch.setattr(hierarchy, "_jumped", lambda rows, leads, span: jumps.append(span) or plain(rows, leads, span))
+    rows = spark.range(1001).select(
+        F.concat(F.lit("l/"), "id").alias("resource_uri"), F.concat(F.lit("p"), "id").alias("location_id"), F.lit("t/1").alias("location_type"),
+        F.when(F.col("id") > 0, F.concat(F.lit("l/"), F.col("id") - 1)).alias("parent"))
+    closure = ancestors(rows, types(spark))
+    assert jumps == [1, 1, 2, 4, 8, 16, 32, 64, 128, 256, 512]
+    got = closure.agg(F.count("*").alias("n"), F.max("distance").alias("top"), F.countDistinct("uri", "distance").alias("pairs")).first()
+    assert (got["n"], got["top"], got["pairs"]) == (1001 * 1002 // 2, 1000, 1001 * 1002 // 2)
+    assert closure.where("cast(substring(uri, 3) as int) - cast(substring(ancestor_id, 2) as int) <> distance").isEmpty()
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 5, 17])
+def test_cycles_of_any_length_fail(spark, length):
+    rows = [(f"l/{i}", f"P{i}", "t/1", f"l/{(i + 1) % length}") for i in range(length)] + [("l/below", "B", "t/1", "l/0"), ("l/top", "T", "t/1", None)]
+    with pytest.raises(Exception, match="cycle"):
+        ancestors(spark.createDataFrame(rows, PLACES), types(spark)).collect()
