@@ -110,30 +110,38 @@ def _(spark, d):
 
 
 @query("users_table", """
-SELECT 'u' || c_custkey AS id, CAST(NULL AS VARCHAR) AS default_phone_number, CAST(NULL AS VARCHAR) AS email,
-       CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS groups, CAST(NULL AS VARCHAR) AS last_name,
-       CAST(NULL AS VARCHAR) AS phone_numbers, 'user/' || c_custkey AS resource_uri,
-       'n' || c_nationkey AS location_id, 'n' || c_nationkey AS location_ids,
-       CAST(NULL AS VARCHAR) AS primary_case_sharing_id, c_mktsegment AS project, c_name AS username
+SELECT 'u' || c_custkey AS id, '0' || (100000 + c_custkey) AS default_phone_number,
+       CASE WHEN c_custkey % 3 > 0 THEN lower(c_mktsegment) || c_custkey || '@example.org' END AS email,
+       lower(c_mktsegment) AS first_name, 'g' || c_nationkey || ',' || 'g' || c_mktsegment AS groups,
+       string_split(c_name, '#')[2] AS last_name, '0' || (100000 + c_custkey) || ',' || '0' || (200000 + c_custkey) AS phone_numbers,
+       'user/' || c_custkey AS resource_uri, 'n' || c_nationkey AS location_id, 'n' || c_nationkey || ',' || 'm' || c_nationkey AS location_ids,
+       CASE WHEN c_acctbal > 0 THEN 's' || c_nationkey END AS primary_case_sharing_id, c_mktsegment AS project, c_name AS username
 FROM customer""")
 def _(spark, d):
-    place = F.concat(F.lit("n"), "c_nationkey")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    text = lambda prefix, value: F.concat(F.lit(prefix), value.cast("string"))
+    phone = lambda start: text("0", start + key)
     docs = load(spark, d, "customer").select(
-        F.concat(F.lit("u"), "c_custkey").alias("id"), F.concat(F.lit("user/"), "c_custkey").alias("resource_uri"),
-        F.struct(place.alias("location_id"), F.array(place).alias("location_ids"),
-                 F.col("c_mktsegment").alias("project")).alias("user_data"),
+        text("u", key).alias("id"), phone(100000).alias("default_phone_number"),
+        F.when(key % 3 > 0, F.concat(F.lower("c_mktsegment"), key.cast("string"), F.lit("@example.org"))).alias("email"),
+        F.lower("c_mktsegment").alias("first_name"), F.array(text("g", nation), text("g", F.col("c_mktsegment"))).alias("groups"),
+        F.get(F.split("c_name", "#"), F.lit(1)).alias("last_name"), F.array(phone(100000), phone(200000)).alias("phone_numbers"),
+        text("user/", key).alias("resource_uri"), F.struct(
+            text("n", nation).alias("location_id"), F.array(text("n", nation), text("m", nation)).alias("location_ids"),
+            F.when(F.col("c_acctbal") > 0, text("s", nation)).alias("primary_case_sharing_id"),
+            F.col("c_mktsegment").alias("project")).alias("user_data"),
         F.col("c_name").alias("username"),
     )
-    out = users_table(docs)
-    absent = [c for c in out.columns if str(out.schema[c].dataType) == "NullType()"]
-    return out.withColumns({
-        **{c: F.col(c).cast("string") for c in absent}, "location_ids": F.array_join("location_ids", ","),
-    })
+    return users_table(docs).withColumns({c: F.array_join(c, ",") for c in ("groups", "phone_numbers", "location_ids")})
 
 
 @query("locations_table", CLOSURE + """
-SELECT p.id, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS VARCHAR) AS domain, p.location_id, p.location_type,
-       p.name, p.parent, p.resource_uri, t.administrative AS location_type_administrative,
+SELECT p.id, TIMESTAMP '2020-01-01 00:00:00' + INTERVAL 1 HOUR * length(p.id) AS created_at,
+       CASE WHEN p.parent IS NOT NULL THEN 'd' || length(p.name) END AS domain, 'x-' || p.location_id AS external_id,
+       TIMESTAMP '2021-06-01 12:30:00' + INTERVAL 1 DAY * length(p.name) AS last_modified,
+       CAST(length(p.name) || '.25' AS VARCHAR) AS latitude, '{"p1":"' || p.name || '","n":' || length(p.id) || '}' AS location_data,
+       p.location_id, p.location_type, '-' || length(p.id) || '.5' AS longitude,
+       p.name, p.parent, p.resource_uri, lower(replace(p.name, ' ', '_')) AS site_code, t.administrative AS location_type_administrative,
        t.code AS location_type_code, t.name AS location_type_name, t.parent AS location_type_parent,
        a.health_site, a.country, a.world_region
 FROM places p JOIN types t ON t.resource_uri = p.location_type
@@ -142,9 +150,12 @@ JOIN (SELECT uri, max(ancestor_id) FILTER (code = 'health-site') AS health_site,
              max(ancestor_id) FILTER (code = 'world-region') AS world_region FROM climb GROUP BY uri) a
   ON a.uri = p.resource_uri""")
 def _(spark, d):
-    out = locations_table(places(spark, d), types(spark, d))
-    return out.select(
-        "id", "created_at", F.col("domain").cast("string").alias("domain"), "location_id", "location_type", "name",
-        "parent", "resource_uri", "location_type_administrative", "location_type_code", "location_type_name",
-        "location_type_parent", "health_site", "country", "world_region",
-    )
+    long, wide = F.length("name"), F.length("id")
+    moment = lambda start, unit, n: F.date_format(F.timestamp_add(unit, n, F.lit(start).cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    text = lambda value: value.cast("string")
+    full = places(spark, d).withColumns({
+        "created_at": moment("2020-01-01 00:00:00", "HOUR", wide), "last_modified": moment("2021-06-01 12:30:00", "DAY", long),
+        "domain": F.when(F.col("parent").isNotNull(), F.concat(F.lit("d"), text(long))), "external_id": F.concat(F.lit("x-"), "location_id"),
+        "latitude": F.concat(text(long), F.lit(".25")), "longitude": F.concat(F.lit("-"), text(wide), F.lit(".5")),
+        "location_data": F.struct(F.col("name").alias("p1"), wide.alias("n")), "site_code": F.lower(F.replace("name", F.lit(" "), F.lit("_")))})
+    return locations_table(full, types(spark, d))

@@ -96,7 +96,7 @@ def _flat_text(value: Column, dtype: T.ArrayType) -> Column:
     if isinstance(item, T.ArrayType):
         texts = F.transform(value, lambda x: _flat_text(x, item))
     elif isinstance(item, (T.StructType, T.MapType, T.VariantType)):
-        texts = F.transform(value, F.to_json)
+        texts = F.transform(value, lambda x: F.to_json(x))
     else:
         texts = F.transform(value, lambda x: x.cast("string"))
     return F.array_join(texts, ",")

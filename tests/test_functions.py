@@ -207,3 +207,8 @@ def test_xml_struct(spark, value):
     assert cell("`@a`:string,id:string", ("x", "i")) == ""
     assert cell("t:int", (123,)) == '{"t":123}'
     assert cell("`@a`:string", None) is None
+
+
+def test_lists_of_objects_are_joined_as_json(spark):
+    df = spark.createDataFrame([([(1, "a"), (2, None)],)], "v array<struct<n:int,t:string>>")
+    assert df.select(fn.cell_text(F.col("v"), df.schema["v"].dataType)).first()[0] == '{"n":1,"t":"a"},{"n":2}'

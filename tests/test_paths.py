@@ -51,22 +51,22 @@ def test_descendants(spark):
 
 
 def test_variant_paths(value):
-    doc = F.parse_json(F.lit('{"foo":{"baz":3,"bar":true,"boo":null},"xs":[1,2],"one":5,"@id":"i","a.b":1}'))
-    assert value(fn.variant_field(doc, "foo", "baz", as_type="int")) == 3
-    assert value(fn.variant_field(doc, "@id")) == "i"
-    assert value(fn.variant_field(doc, "a.b", as_type="int")) == 1
-    assert value(fn.variant_missing(doc, "foo", "foo")) is True
-    assert value(fn.variant_missing(doc, "foo", "boo")) is False
-    as_ints = lambda xs: F.transform(xs, lambda x: F.try_variant_get(x, "$", "int"))
-    assert value(as_ints(fn.variant_list(fn.variant_field(doc, "xs", as_type="variant")))) == [1, 2]
-    assert value(as_ints(fn.variant_list(fn.variant_field(doc, "one", as_type="variant")))) == [5]
+    text = '{"@key":"ship-9","crew.size":41,"voyage":{"legs":[120,75,310],"harbour":{"name":"Brest","berth":null}},"cargo":"salt"}'
+    doc = F.parse_json(F.lit(text))
+    found = lambda *steps, **how: value(fn.variant_field(doc, *steps, **how))
+    assert (found("@key"), found("crew.size", as_type="int"), found("voyage", "harbour", "name")) == ("ship-9", 41, "Brest")
+    assert found("voyage", "legs", as_type="array<int>") == [120, 75, 310]
+    gaps = [value(fn.variant_missing(doc, *steps)) for steps in (("voyage", "captain"), ("voyage", "harbour", "berth"), ("cargo",))]
+    assert gaps == [True, False, False]
+    texts = lambda *steps: value(F.transform(fn.variant_list(fn.variant_field(doc, *steps, as_type="variant")), lambda x: F.to_json(x)))
+    assert texts("voyage", "legs") == ["120", "75", "310"] and texts("cargo") == ['"salt"']
 
 
 def test_dynamic_name(value):
-    names = F.create_map(F.lit("a"), F.lit("b"), F.lit("b"), F.lit("c"), F.lit("c"), F.lit("2"))
-    first = fn.dynamic_field(names, F.lit("a"))
-    assert value(fn.dynamic_field(names, fn.dynamic_field(names, first))) == "2"
-    assert value(fn.dynamic_field(names, F.lit("zz"))) is None
+    prices = F.create_map(*[F.lit(x) for pair in (("small", 3), ("large", 8)) for x in pair])
+    sizes = F.create_map(*[F.lit(x) for pair in (("cup", "small"), ("jug", "large"), ("vat", "giant")) for x in pair])
+    got = {what: value(fn.dynamic_field(prices, fn.dynamic_field(sizes, F.lit(what)))) for what in ("cup", "jug", "vat", "pan")}
+    assert got == {"cup": 3, "jug": 8, "vat": None, "pan": None}
 
 
 def test_auto_id(spark):

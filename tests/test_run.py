@@ -115,16 +115,18 @@ def variants(spark, *texts):
 
 
 def test_documents_without_a_schema(spark):
-    doc = variants(spark, '{"id":1,"page":{"size":3,"final":true,"title":null},"xs":[{"y":1},{"y":2},{"z":9}],"one":{"y":5},"e":[],'
-                          '"x":{"#text":"t","@a":"b"}}')
-    def cell(*path, **more):
-        spec = ExportSpec("t", "form", (ColumnSpec("v", path, **more),), missing_value="---")
-        return export(doc, spec).first()["v"]
-    assert [cell("page", "size"), cell("page", "final"), cell("page", "author"), cell("page", "title")] == ["3", "true", "---", None]
-    assert cell("xs", "[*]", "y") == "1,2" and cell("one", "[*]", "y") == "5" and cell("e") == "---"
-    assert cell("x") == "t" and cell("page", "size", data_type="integer") == 3
-    assert cell("nope", alternates=(("page", "size"),)) == "3"
-    assert cell("page", "size", format_via=("template", "<{}>")) == "<3>"
+    doc = variants(spark, '{"id":"well-12","depth":{"metres":40.5,"lined":false,"rock":null},"readings":[{"ph":7},{"ph":8},{"salt":2}],'
+                          '"pump":{"ph":6},"repairs":[],"note":{"#text":"deep","@by":"ada"}}')
+    columns = {
+        "metres": (("depth", "metres"), {}), "lined": (("depth", "lined"), {}), "rock": (("depth", "rock"), {}), "owner": (("depth", "owner"), {}),
+        "ph": (("readings", "[*]", "ph"), {}), "pump": (("pump", "[*]", "ph"), {}), "repairs": (("repairs",), {}), "note": (("note",), {}),
+        "typed": (("readings", "[1]", "ph"), {"data_type": "integer"}), "either": (("lost",), {"alternates": (("pump", "ph"),)}),
+        "shown": (("pump", "ph"), {"format_via": ("template", "pH {}")}),
+    }
+    spec = ExportSpec("wells", "form", tuple(ColumnSpec(n, path, **more) for n, (path, more) in columns.items()), missing_value="n/a")
+    assert export(doc, spec).first().asDict() == {
+        "metres": "40.5", "lined": "false", "rock": None, "owner": "n/a", "ph": "7,8", "pump": "6", "repairs": "n/a", "note": "deep",
+        "typed": 8, "either": "6", "shown": "pH 6"}
 
 
 def test_rows_from_documents_without_a_schema(spark):
