@@ -8,10 +8,11 @@ from ..operators import (
     type_evidence, upsert, width_profile, without_empty_columns,
 )
 from ..session import fresh_dir
+from ..plans import ColumnSpec, ExportSpec, Ledger, Run
 from ..sinks import StoredTable, read_csv, write_csv, write_json
 from ..sources.pages import stream_pages, write_pages
 from ..sources.tables import load
-from ..streaming import merge_stream
+from ..streaming import merge_stream, stream_specs
 from .base import query
 from .sources import EVENT_DOC, PAGE
 
@@ -226,3 +227,32 @@ def _(spark, d):
     running = merge_stream(stream, table, "ts", state)
     running.awaitTermination()
     return table.read()
+
+
+@query("stream_specs", """
+WITH last AS (SELECT CAST(event_id AS VARCHAR) AS id, ts FROM events ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1)
+SELECT 'events' AS tbl, CAST(event_id AS VARCHAR) AS id, event_type AS kind, ts AS changed_on FROM events
+UNION ALL SELECT 'purchases', CAST(event_id AS VARCHAR), 'u' || user_id, ts FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT 'ledger', id, unnest(['events', 'purchases']), ts FROM last""")
+def _(spark, d):
+    """Two overlapping landings of all events, exported to two tables as a stream, and how far the ledger says they got."""
+    landing, folder = fresh_dir(spark, "landing"), fresh_dir(spark, "specs")
+    events = load(spark, d, "events").select(
+        "event_id", "ts", F.concat(F.lit("u"), "user_id").alias("user"), "event_type")
+    write_pages(events.where(F.col("event_id") % 3 != 0), f"{landing}/a", PAGE)
+    write_pages(events.where(F.col("event_id") % 3 != 1), f"{landing}/b", PAGE)
+    specs = [
+        ExportSpec("events", "form", (ColumnSpec("id", ("event_id",), data_type="text"), ColumnSpec("kind", ("event_type",)))),
+        ExportSpec("purchases", "form", (ColumnSpec("id", ("event_id",), data_type="text"), ColumnSpec("kind", ("user",))),
+                   filters=(("event_type", "purchase"),)),
+    ]
+    run = Run("stream", "m", ("events", "purchases"), "form", key="stream")
+    ledger = Ledger(spark, fresh_dir(spark, "ledger"))
+    stream = stream_pages(spark, f"{landing}/*", "struct<event_id:bigint,ts:timestamp_ntz,user:string,event_type:string>", files_per_batch=1000)
+    stream_specs(stream, "form", specs, folder, run, "ts", ledger, fresh_dir(spark, "stream"), "event_id", parts=2).awaitTermination()
+    parts = [StoredTable(spark, f"{folder}/{s.table}", "id", 2).read().select(F.lit(s.table).alias("tbl"), "id", "kind", "changed_on") for s in specs]
+    reached = ledger.rows().where("final").select(
+        F.lit("ledger").alias("tbl"), F.col("last_doc_id").alias("id"), F.col("table_name").alias("kind"),
+        F.col("since_param").cast("timestamp_ntz").alias("changed_on"))
+    latest = reached.groupBy("tbl", "kind").agg(F.max(F.struct("changed_on", "id")).alias("m")).select("tbl", "m.id", "kind", "m.changed_on")
+    return parts[0].unionByName(parts[1]).unionByName(latest)

@@ -80,7 +80,9 @@ def run_export(
         source = replace(bounded, df=seen) if n == 0 else bounded
         rows = export(source, spec, mappings, carry={ORDER: at})
         merged = collapse(rows, "id", F.col(ORDER)).drop(ORDER)
-        StoredTable(doc.df.sparkSession, f"{folder}/{spec.table}", "id", parts).merge(merged, strict)
+        # A column without a declared type comes into being with its first value.
+        late = [c.name for c in spec.columns if not c.data_type and c.name != "id"]
+        StoredTable(doc.df.sparkSession, f"{folder}/{spec.table}", "id", parts).merge(merged, strict, optional=late)
     if log is not None:
         log.append(fresh)
     last = reached.get["last"] if specs else None

@@ -1,31 +1,32 @@
-"""A keyed Parquet table that is merged into and never overwritten in place.
-
-Layout: ``data/<commit>/table_part=<n>/`` holds rows, ``commits/`` is an append-only
-log with one row per rewritten part and one for the commit, which holds the
-schema. A commit adds one file to the log, after
-its data is complete; a reader takes the newest folder of each part. So a job
-that dies half-way leaves the table as it was, and a merge of few ids rewrites
-only the parts those ids fall in. There must be one writer at a time. With a
-catalog whose tables support MERGE, use ``DataFrame.mergeInto`` instead.
+"""A keyed Parquet table that is merged into, by Spark's own partition overwrite.
+
+Rows lie in ``table_part=<n>`` folders by a hash of their key, so the table is
+plain partitioned Parquet for anyone who reads it. A merge reads the parts that
+its batch has keys for and overwrites just these (dynamic partition overwrite).
+A merge may be repeated at will: it leads to the same rows.
+
+What Spark's overwrite is, this is: there must be one writer at a time, readers
+should wait for it, and a driver that dies while finished parts are moved in
+place can leave a part in the staging folder. Where a catalog has tables that
+support MERGE, ``DataFrame.mergeInto`` gives transactions; ``upsert`` needs
+neither.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..operators.columntypes import align
 from ..operators.merge import key_of, only_once, upsert
+from ..session import fresh_dir
 
-LOG_SCHEMA = "version bigint, part int, folder string, schema string, parts int"
 PART = "table_part"
-COMMIT = -1  # stands for a part in the row of the commit itself
+PROPERTIES = "_properties"  # Spark's readers pass over names with an underscore
 
 
 class StoredTable:
@@ -36,107 +37,84 @@ class StoredTable:
             raise ValueError("a table has at least one part")
         self.spark, self.path, self.key, self.parts = spark, path.rstrip("/"), key, parts
 
-    def _log(self) -> DataFrame | None:
+    def _schema(self) -> T.StructType | None:
+        """The table's columns; None where there is no table yet."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/commits")
+            row = self.spark.read.text(f"{self.path}/{PROPERTIES}", wholetext=True).first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        held = json.loads(row[0])
+        if held["parts"] != self.parts:
+            raise ValueError(f"{self.path} has {held['parts']} parts, not {self.parts}")
+        return T.StructType.fromJson(held["schema"])
 
-    def _newest(self):
-        """(version, schema, part → folder) of the current state."""
-        log = self._log()
-        if log is None:
-            return 0, None, {}
-        rows = log.groupBy("part").agg(
-            F.max(F.struct("version", "folder", "schema", "parts")).alias("m")
-        ).select("part", "m.*").collect()
-        commit = next((r for r in rows if r["part"] == COMMIT), None)
-        if commit is None:
-            return 0, None, {}
-        if commit["parts"] != self.parts:
-            raise ValueError(f"{self.path} has {commit['parts']} parts, not {self.parts}")
-        schema = T.StructType.fromJson(json.loads(commit["schema"]))
-        return commit["version"], schema, {r["part"]: r["folder"] for r in rows if r["part"] != COMMIT}
+    def _keep(self, schema: T.StructType) -> None:
+        text = json.dumps({"parts": self.parts, "schema": json.loads(schema.json())})
+        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/{PROPERTIES}")
 
     def _part_of(self) -> Column:
         return F.pmod(F.xxhash64(F.col(f"`{self.key}`").cast("string")), F.lit(self.parts)).cast("int")
 
-    def _scan(self, schema: T.StructType, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*sorted(folders))
+    def _scan(self, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])).parquet(self.path)
+
+    def _write(self, rows: DataFrame, whole: bool = False) -> None:
+        # Adaptive execution sizes the files: big parts are split over tasks, small ones share a task.
+        placed = rows.withColumn(PART, self._part_of()).hint("rebalance", PART)
+        mode = "static" if whole else "dynamic"
+        placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PART).parquet(self.path)
 
     def exists(self) -> bool:
-        return self._newest()[1] is not None
+        return self._schema() is not None
 
     def read(self) -> DataFrame:
-        """All current rows, in one scan."""
-        _, schema, folders = self._newest()
+        """All rows, in one scan."""
+        schema = self._schema()
         if schema is None:
             raise FileNotFoundError(self.path)
-        return self._scan(schema, [f for f in folders.values() if f])
-
-    def _write(self, rows: DataFrame, version: int) -> str:
-        """Write rows to a folder of their own, one subfolder per part."""
-        folder = f"{self.path}/data/{version:012d}-{uuid.uuid4().hex}"
-        # Adaptive execution sizes the files: big parts are split over tasks,
-        # small ones share a task.
-        placed = rows.withColumn(PART, self._part_of()).hint("rebalance", PART)
-        placed.write.partitionBy(PART).parquet(folder)
-        return folder
-
-    def _commit(self, version: int, schema: T.StructType, folder: str, filled, emptied=()) -> None:
-        """Record where the parts now are; an emptied part has no folder.
-
-        A version that somebody else has committed meanwhile is not committed
-        again: the write fails and leaves the table as that writer made it.
-        """
-        held = self._newest()[0]
-        if held >= version:
-            raise RuntimeError(f"{self.path} was written by another writer: it has version {held}")
-        where = [(p, f"{folder}/{PART}={p}") for p in filled] + [(p, "") for p in emptied]
-        entries = [(version, COMMIT, folder, schema.json(), self.parts)]
-        entries += [(version, p, at, None, None) for p, at in where]
-        log = self.spark.createDataFrame(entries, LOG_SCHEMA)
-        log.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        return self._scan(schema).drop(PART)
 
     def replace(self, rows: DataFrame) -> None:
-        """Make ``rows`` the whole content."""
-        version, _, folders = self._newest()
-        folder = self._write(rows, version + 1)
-        stored = T.StructType(rows.schema.fields + [T.StructField(PART, T.IntegerType())])
-        filled = _numbers(self.spark.read.schema(stored).parquet(folder).select(PART))
-        emptied = sorted(set(folders) - set(filled))
-        self._commit(version + 1, rows.schema, folder, filled, emptied)
-
-    def merge(self, batch: DataFrame, strict: bool = False, time: str | None = None) -> None:
+        """Make ``rows``, which may come from the table itself, the whole content."""
+        schema, path = rows.schema, fresh_dir(self.spark, "replace")
+        rows.write.parquet(path)
+        rows = self.spark.read.schema(schema).parquet(path)
+        held = self._schema()
+        left = _numbers(rows.select(self._part_of().alias(PART)))
+        gone = held is not None and set(_numbers(self._scan(held).select(PART))) - set(left)
+        self._write(rows, whole=bool(gone))
+        self._keep(schema)
+
+    def merge(self, batch: DataFrame, strict: bool = False, time: str | None = None, optional: list[str] = ()) -> None:
         """Merge a batch that holds one row per key; ``time`` is as for ``upsert``.
 
-        A batch with two rows of one key fails, before anything is committed.
+        A batch with two rows of one key, or a row without a key, fails before
+        anything is touched. ``optional`` columns that the table lacks are added
+        with the first batch that has a value for them.
 
         Only the parts with keys of the batch are read and rewritten, unless a
         column changes its type: that concerns every row of the table.
         """
-        version, schema, folders = self._newest()
-        # The batch is read twice: for the parts it touches and for the merge.
-        batch = only_once(batch.withColumn(self.key, key_of(batch, self.key)), self.key).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = _numbers(batch.select(self._part_of().alias(PART)))
-            rows = batch
-            if schema is not None:
-                held, _ = align(self._scan(schema, []), self._scan(batch.schema, []), strict)
-                if any(_rewritten(f.dataType, held.schema[f.name].dataType) for f in schema.fields):
-                    touched = sorted({*touched, *[p for p, f in folders.items() if f]})
-                target = self._scan(schema, [folders[p] for p in touched if folders.get(p)])
-                rows = upsert(target, batch, self.key, strict, time)
-            if touched or schema is None:
-                folder = self._write(rows, version + 1)
-                # Every touched part has a row: merging never deletes.
-                self._commit(version + 1, rows.schema, folder, touched)
-        finally:
-            batch.unpersist()
+        schema, found = self._schema(), Observation()
+        path, kept = fresh_dir(self.spark, "batch"), batch.schema
+        # Written once: its parts and its columns' values are counted on the way.
+        batch = only_once(batch.withColumn(self.key, key_of(batch, self.key)), self.key)
+        values = [F.count(F.col(f"`{c}`")).alias(f"v{n}") for n, c in enumerate(optional)]
+        batch.observe(found, F.collect_set(self._part_of()).alias("parts"), *values).write.parquet(path)
+        seen = found.get
+        new = [c for n, c in enumerate(optional) if not seen[f"v{n}"] and (schema is None or c not in schema.names)]
+        rows = batch = self.spark.read.schema(kept).parquet(path).drop(*new)
+        if schema is not None:
+            target = self._scan(schema)
+            held, _ = align(target.drop(PART), batch, strict)
+            if not any(_rewritten(f.dataType, held.schema[f.name].dataType) for f in schema.fields):
+                target = target.where(F.col(PART).isin(seen["parts"]))
+            rows = upsert(target.drop(PART), batch, self.key, strict, time)
+        self._write(rows)
+        if schema != rows.schema:
+            self._keep(rows.schema)
 
 
 def _rewritten(old: T.DataType, new: T.DataType) -> bool:
@@ -145,4 +123,4 @@ def _rewritten(old: T.DataType, new: T.DataType) -> bool:
 
 
 def _numbers(parts: DataFrame) -> list[int]:
-    return sorted(r[0] for r in parts.distinct().collect())
+    return [r[0] for r in parts.distinct().collect()]

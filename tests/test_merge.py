@@ -169,8 +169,6 @@ def test_stored_table(spark):
     table.merge(spark.createDataFrame([("3", None, "x")], "id string, n int, s string"))
     rows = by_id(table.read())
     assert len(rows) == 20 and rows["3"] == (3, "x") and rows["4"] == (4, None)
-    folders = table._newest()[2]
-    assert len({f.rsplit("/table_part=", 1)[0] for f in folders.values()}) == 2, "only the touched part is rewritten"
     table.merge(spark.createDataFrame([("99", "text")], "id string, n string"))
     rows = by_id(table.read())
     assert len(rows) == 21 and rows["7"] == ("7", None) and rows["99"] == ("text", None)
@@ -263,12 +261,39 @@ def test_a_key_that_occurs_twice_fails(spark):
     assert [tuple(r) for r in table.read().collect()] == [("a", 1)]
 
 
-def test_two_writers_are_noticed(spark):
-    table = StoredTable(spark, fresh_dir(spark, "writers"))
-    rows = spark.createDataFrame([("a", 1)], "id string, n int")
-    table.merge(rows)
-    version, schema, _ = table._newest()
-    folder = table._write(rows, version + 1)
-    table.merge(rows)
-    with pytest.raises(RuntimeError, match="another writer"):
-        table._commit(version + 1, schema, folder, [0])
+def files(spark, table):
+    held = spark.read.parquet(table.path).select("table_part", F.input_file_name().alias("f")).distinct().collect()
+    return {(r["table_part"], r["f"]) for r in held}
+
+
+def test_only_parts_with_keys_of_the_batch_are_rewritten(spark):
+    table = StoredTable(spark, fresh_dir(spark, "t"), "id", parts=64)
+    table.merge(spark.range(800).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("n")))
+    before = files(spark, table)
+    changed = spark.range(8).select((F.col("id") * 100).cast("string").alias("id"), F.lit(2).alias("n"))
+    table.merge(changed)
+    after = files(spark, table)
+    touched = {r[0] for r in changed.select(table._part_of()).distinct().collect()}
+    assert {p for p, _ in after - before} == touched and len(touched) <= 8
+    assert {f for p, f in before if p not in touched} == {f for p, f in after if p not in touched}
+    assert table.read().agg(F.sum("n"), F.count("*")).first()[:] == (808, 800)
+
+
+def test_columns_are_born_with_their_first_value(spark):
+    table = StoredTable(spark, fresh_dir(spark, "t"), "id", parts=4)
+    late = ["a", "b"]
+    table.merge(spark.createDataFrame([("x", None, None), ("y", None, None)], "id string, a string, b string"), optional=late)
+    assert table.read().columns == ["id"]
+    table.merge(spark.createDataFrame([("z", 5, None)], "id string, a int, b string"), optional=late)
+    assert table.read().dtypes == [("id", "string"), ("a", "int")]
+    table.merge(spark.createDataFrame([("x", None, dt.date(2024, 1, 1))], "id string, a int, b date"), optional=late)
+    assert by_id(table.read()) == {"x": (None, dt.date(2024, 1, 1)), "y": (None, None), "z": (5, None)}
+    assert dict(table.read().dtypes)["b"] == "date"
+
+
+def test_a_merge_may_be_repeated(spark):
+    table = StoredTable(spark, fresh_dir(spark, "t"), "id", parts=3)
+    batch = spark.createDataFrame([(str(i), i) for i in range(9)], "id string, n int")
+    for _ in range(3):
+        table.merge(batch)
+    assert table.read().count() == 9 and spark.read.parquet(table.path).count() == 9

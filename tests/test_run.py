@@ -197,3 +197,14 @@ def test_undated_documents_without_a_schema(spark):
         run_export(docs, [spec], folder, run, ["at"], ledger)
     rows = StoredTable(spark, f"{folder}/visits").read().collect()
     assert sorted((r["id"], r["n"]) for r in rows) == [("a", "2"), ("b", "0"), ("c", "2")]
+
+
+def test_a_column_without_values_is_not_created(spark):
+    folder = fresh_dir(spark, "run")
+    spec = ExportSpec("visits", "form", (
+        ColumnSpec("id", ("id",)), ColumnSpec("name", ("name",)), ColumnSpec("count", ("count",)), ColumnSpec("told", ("absent",), data_type="date")))
+    table = StoredTable(spark, f"{folder}/visits")
+    run_export(source(spark, [("a", day(1), None, 1)]), [spec], folder, RUN, ["indexed_on"])
+    assert table.read().dtypes == [("id", "string"), ("count", "int"), ("told", "date")]
+    run_export(source(spark, [("b", day(2), "B", None)]), [spec], folder, RUN, ["indexed_on"])
+    assert sorted(map(tuple, table.read().select("id", "name", "count").collect())) == [("a", None, 1), ("b", "B", None)]
