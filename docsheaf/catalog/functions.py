@@ -7,7 +7,7 @@ from ..functions import (
     FUNCTIONS, add, attachment_url, attachment_urls, bool_to_int, call, count_selected, default_value,
     divide, doc_url, first_present, floor_divide, format_uuid, join_text, multiply, register,
     register_row_function, selected, selected_at, sha1_text, substr_range, subtract, template,
-    to_bool, to_datetime, to_integer, to_json_text, to_number, via,
+    to_bool, to_datetime, to_exact_number, to_integer, to_json_text, to_number, variant_cell, via,
 )
 from ..sources.tables import load
 from .base import query
@@ -57,8 +57,11 @@ def _(spark, d):
 
 
 @query("to_num", """
-SELECT o_orderkey, TRY_CAST(v AS DOUBLE) AS num, CASE WHEN regexp_matches(v, '^[0-9]+$') THEN TRY_CAST(v AS BIGINT) END AS whole
-FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN CAST(o_totalprice AS VARCHAR)
+SELECT o_orderkey, TRY_CAST(v AS DOUBLE) AS num, CASE WHEN regexp_matches(v, '^[0-9]+$') THEN TRY_CAST(v AS BIGINT) END AS whole,
+       CASE o_orderstatus WHEN 'F' THEN CAST(CAST(o_totalprice AS DOUBLE) AS VARCHAR)
+         WHEN 'O' THEN CAST(9007199254740993 + o_custkey AS VARCHAR) END AS exact,
+       '12345678901234567890' || (100000 + o_orderkey) AS long
+FROM (SELECT o_orderstatus, o_totalprice, o_custkey, o_orderkey, CASE o_orderstatus WHEN 'F' THEN CAST(o_totalprice AS VARCHAR)
              WHEN 'O' THEN CAST(o_custkey AS VARCHAR) ELSE o_orderpriority END AS v FROM orders)""")
 def _(spark, d):
     v = (
@@ -66,7 +69,11 @@ def _(spark, d):
         .when(F.col("o_orderstatus") == "O", F.col("o_custkey").cast("string"))
         .otherwise(F.col("o_orderpriority"))
     )
-    return load(spark, d, "orders").select("o_orderkey", to_number(v).alias("num"), to_integer(v).alias("whole"))
+    big = F.when(F.col("o_orderstatus") == "O", (F.lit(9007199254740993) + F.col("o_custkey")).cast("string")).otherwise(v)
+    long = F.concat(F.lit("12345678901234567890"), (100000 + F.col("o_orderkey")).cast("string"))
+    return load(spark, d, "orders").select(
+        "o_orderkey", to_number(v).alias("num"), to_integer(v).alias("whole"),
+        variant_cell(to_exact_number(big)).alias("exact"), variant_cell(to_exact_number(long)).alias("long"))
 
 
 @query("to_date", """

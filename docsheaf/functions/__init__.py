@@ -2,7 +2,7 @@
 
 from .arith import add, divide, floor_divide, multiply, subtract
 from .convert import (
-    format_uuid, sha1_text, to_datetime, to_integer, to_json_text, to_number,
+    format_uuid, sha1_text, to_datetime, to_exact_number, to_integer, to_json_text, to_number,
 )
 from .lists import (
     cell_text, distinct_items, items_where, join_items, length_of, unwrap_single, variant_cell, variant_json,

@@ -20,6 +20,21 @@ def to_number(value: Column) -> Column:
     return F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
 
 
+def to_exact_number(value: Column) -> Column:
+    """Number of either kind in one column: whole ones exact, up to 38 digits, others as double.
+
+    The column is a variant. Beyond 38 digits a whole number is a double too.
+    A text that is no number gives null.
+    """
+    text = F.regexp_replace(F.trim(value.cast("string")), "^[+]", "")
+    whole, digits = text.rlike("^-?[0-9]+$"), F.length(F.regexp_replace(text, "^-?0*", ""))
+    # A cast that fails is slow, so the form and the length say which one will do.
+    return (
+        F.when(whole & (digits <= 18), text.try_cast("bigint").cast("variant"))
+        .when(whole & (digits <= 38), F.coalesce(text.try_cast("bigint").cast("variant"), text.try_cast("decimal(38,0)").cast("variant")))
+        .otherwise(to_number(text).cast("variant")))
+
+
 def to_integer(value: Column) -> Column:
     """Whole number, or null where the text is not one."""
     return F.trim(value.cast("string")).try_cast("bigint")

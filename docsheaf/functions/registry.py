@@ -31,6 +31,7 @@ FUNCTIONS: dict[str, Callable[..., Column]] = {
     "str2bool": logic.to_bool,
     "bool2int": logic.bool_to_int,
     "str2num": convert.to_number,
+    "str2num-exact": convert.to_exact_number,
     "str2date": convert.to_datetime,
     "json2str": lambda v, dtype=None: convert.to_json_text(v, dtype),
     "format-uuid": convert.format_uuid,

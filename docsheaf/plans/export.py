@@ -258,14 +258,18 @@ def column_value(spec: ColumnSpec, resolve: Callable, base_url: str, rows: DataF
 
     Each step works on what the one before it gave, value and type. A step for
     single values gets a list as the text of its cell, so a list of one is its
-    element, alike in documents with and without a schema.
+    element, alike in documents with and without a schema. Numbers read from
+    text are doubles in a column without a declared type; a declared one, or a
+    step that follows, gets whole numbers as they are.
     """
     value, dtype = _meet([f for f in (resolve(p) for p in (spec.path, *spec.alternates)) if f is not None])
-    for step in (spec.map_via, spec.format_via):
-        if step:
-            value, dtype = _for_step(step[0], value, dtype)
-            value = _step(step, dtype, resolve, base_url)(value)
-            dtype = rows.select(value.alias("v")).schema["v"].dataType
+    steps = [s for s in (spec.map_via, spec.format_via) if s]
+    for n, step in enumerate(steps):
+        if step[0] == "str2num" and (spec.data_type or n + 1 < len(steps)):
+            step = ("str2num-exact", *step[1:])
+        value, dtype = _for_step(step[0], value, dtype)
+        value = _step(step, dtype, resolve, base_url)(value)
+        dtype = rows.select(value.alias("v")).schema["v"].dataType
     return value
 
 

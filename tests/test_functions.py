@@ -212,3 +212,23 @@ def test_xml_struct(spark, value):
 def test_lists_of_objects_are_joined_as_json(spark):
     df = spark.createDataFrame([([(1, "a"), (2, None)],)], "v array<struct<n:int,t:string>>")
     assert df.select(fn.cell_text(F.col("v"), df.schema["v"].dataType)).first()[0] == '{"n":1,"t":"a"},{"n":2}'
+
+
+def test_numbers_of_two_kinds(spark):
+    texts = ["9007199254740993", "-9223372036854775808", "9223372036854775808", "12345678901234567890123456789012345678", "007", " +5 ", "1.5", "1e3", "1d", "x", "", None, "1" * 39]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", fn.to_exact_number(F.col("t")).alias("v"))
+    got = [r[0] for r in df.orderBy("i").select(F.to_json("v")).collect()]
+    assert got[:8] == ["9007199254740993", "-9223372036854775808", "9223372036854775808", "12345678901234567890123456789012345678", "7", "5", "1.5", "1000.0"]
+    assert got[8:12] == [None] * 4 and float(got[12]) == float("1" * 39)
+
+
+def test_declared_whole_numbers_keep_their_digits(spark):
+    from docsheaf.plans import ColumnSpec, ExportSpec, export
+    from docsheaf.sources import DocTable
+    docs = DocTable(spark.createDataFrame([("9007199254740993",), ("2.5",), ("many",)], "id string"), "form")
+    spec = ExportSpec("t", "form", (
+        ColumnSpec("whole", ("id",), map_via=("str2num",), data_type="integer"), ColumnSpec("shown", ("id",), map_via=("str2num",), format_via=("template", "<{}>")),
+        ColumnSpec("either", ("id",), map_via=("str2num",))))
+    out = export(docs, spec)
+    assert dict(out.dtypes) == {"whole": "bigint", "shown": "string", "either": "double"}
+    assert [(r["whole"], r["shown"]) for r in out.collect()] == [(9007199254740993, "<9007199254740993>"), (None, "<2.5>"), (None, None)]
