@@ -4,16 +4,15 @@ Documents with equal shingle sets are one class. Two classes link when their
 sets have a Jaccard similarity of at least t. The result is exact: the steps
 below leave out only pairs that cannot link, or that are already connected.
 
-1. Tokens (shingles) have one global order: by hash, but those that many rows
-   hold come later (found by a count over all rows, kept in a bit field of
-   fixed size), and those frequent in a sample last. Any order is right; this
-   one keeps lists short. If two classes link, they share a token among the
-   first n - ceil(t n) + 1 of each: its prefix. Tokens held by one row only are
-   dropped with the help of another bit field and an exact count.
-2. Groups: on every prefix token all classes look at one of them, a seeded
-   choice; pairs that share enough are verified. Links make groups whose
-   members are connected. Some rounds with other choices join what is left
-   apart. This step may miss links; it only makes the next one small.
+1. Tokens (shingles) have one global order: by hash, but those frequent in a
+   sample come last. Any order is right; this one keeps lists short. If two
+   classes link, they share a token among the first n - ceil(t n) + 1 of each:
+   its prefix. Tokens held by one row only are dropped with the help of a bit
+   field of fixed size and an exact count.
+2. Groups of similar classes: classes that agree on a band of min-hashes look at
+   one of the largest group there, a seeded choice, and such pairs are verified.
+   Links make groups whose members are connected; a further round joins what
+   other choices find. This step may miss links; it only makes the next one small.
 3. Matrix: the union of the prefix tokens of each group, by bands of similar
    size, one row per (token, group, band), for tokens of several groups.
 4. A class looks up its tokens in the matrix and counts those it shares with
@@ -24,8 +23,9 @@ below leave out only pairs that cannot link, or that are already connected.
    only the first of these, and one plus what the class has behind the first
    shared token: the last may be shared with another member than the one that
    links. Only bands that these bounds, with the sizes of their members, let
-   reach what t asks for are opened. The members that share tokens are bounded
-   one by one, and the rest is verified on whole texts.
+   reach what t asks for are opened: the class and the members, one row each
+   with their tokens, meet by group and band, in blocks of bounded size. Members
+   are bounded one by one there, and what is left is verified on whole texts.
 
 Groups of copies and of near copies, however large, shrink to one row per token
 before anything is paired; links are counted once per class, not per pair.
@@ -53,8 +53,10 @@ from .shingles import K, Shingler, overlap, signature
 THRESHOLD = 75
 # For the order of tokens only: about so many sampled texts, and the count that makes a token frequent.
 SAMPLE, FREQUENT, MAX_FREQUENT = 16_000, 4, 1 << 17
-# Tokens held by more rows come later in the order; rounds of step 2.
-MANY, ROUNDS = 16, 3
+# Step 2: bands, min-hashes in each (two classes that just link agree on some band with 99.8 %), and rounds.
+BANDS, HASHES, ROUNDS = 12, 3, 2
+# Members and queries of an opened band that meet in one block.
+MEMBERS, QUERIES = 2048, 4096
 # Sizes of one band of a group differ by less than this factor.
 BAND = 1.1
 # Bits of the field that tells which tokens may be held twice; its size is fixed.
@@ -85,32 +87,48 @@ def frequent_tokens(docs: DataFrame, k: int = K) -> np.ndarray:
     return rows.sort_values(["count", "token"])["token"].to_numpy(np.int64)
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray, many: np.ndarray, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
-    """(doc_id, row_key, n, sig, prefix) per row; the prefix in the global order of tokens."""
+_MIXERS = (np.random.default_rng(5).integers(1, 2**62, BANDS * HASHES, dtype=np.int64) * 2 + 1).astype(np.uint64)
+
+
+def bands(found: np.ndarray) -> np.ndarray:
+    """One number for each band of min-hashes of a set; none for an empty set."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    tokens = found.view(np.uint64)
+    least = np.array([(tokens * m).min() for m in _MIXERS], np.uint64).reshape(BANDS, HASHES)
+    state = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for j in range(HASHES):
+        state = (state ^ least[:, j]) * np.uint64(0x9E3779B97F4A7C15)
+        state ^= state >> np.uint64(29)
+    return state.view(np.int64)
+
+
+def prefixes(docs: DataFrame, frequent: np.ndarray, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
+    """(doc_id, row_key, n, sig, prefix, bands) per row; the prefix in the global order of tokens."""
     order = np.argsort(frequent, kind="stable")
-    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order, many))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, rank_of, field = shared.value
+        known, rank_of = shared.value
         shingle = Shingler(k)
 
         def prefix(found: np.ndarray) -> np.ndarray:
             size = len(found) + (-threshold * len(found)) // 100 + 1 if len(found) else 0
-            rank = in_field(field, found).astype(np.int64)
+            rank = np.zeros(len(found), np.int64)
             if len(known):
                 at = np.searchsorted(known, found)
                 at[at == len(known)] = 0
-                rank = np.where(known[at] == found, rank_of[at] + 2, rank)
+                rank = np.where(known[at] == found, rank_of[at] + 1, rank)
             return found[np.lexsort((found, rank))][:size]
 
         for batch in batches:
             sets = [shingle(t) for t in batch["text"]]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "row_key": batch["row_key"], "n": [len(s) for s in sets],
-                "sig": [signature(s) for s in sets], "prefix": objects([prefix(s) for s in sets])})
+                "sig": [signature(s) for s in sets], "prefix": objects([prefix(s) for s in sets]), "bands": objects([bands(s) for s in sets])})
 
     rows = as_text(docs.select(row_key().alias("row_key"), "doc_id", "text"), "doc_id")
-    return as_before(rows.mapInPandas(read, "doc_id string, row_key bigint, n bigint, sig bigint, prefix array<bigint>"), docs, "doc_id")
+    return as_before(rows.mapInPandas(read, "doc_id string, row_key bigint, n bigint, sig bigint, prefix array<bigint>, bands array<bigint>"), docs, "doc_id")
 
 
 def bit_field(tokens: DataFrame, bits: int = FIELD_BITS) -> np.ndarray:
@@ -153,13 +171,6 @@ def prefix_size(n: Column, threshold: int = THRESHOLD) -> Column:
     return n - F.ceil(n * threshold / 100 - 1e-9) + 1
 
 
-def possible(n: Column, m: Column, shared: Column, behind: Column, threshold: int = THRESHOLD) -> Column:
-    """Whether sets of sizes n and m that share so many prefix tokens, with so many behind the last, can link."""
-    sizes = 100 * F.least(n, m) >= threshold * F.greatest(n, m)
-    rest = F.greatest(n - prefix_size(n, threshold), m - prefix_size(m, threshold))
-    return sizes & (shared + F.least(rest, behind) >= needed(n, m, threshold))
-
-
 def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
     """The pairs (a, b) of classes whose whole texts link; ``texts`` is (sig, text)."""
     rows = pairs.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a")
@@ -206,13 +217,24 @@ def in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return staged(rows.join(several, F.col("token") == F.col("t"), "left_semi"), "grouped")
 
 
-def star_pairs(rows: DataFrame, seed: int, threshold: int = THRESHOLD) -> DataFrame:
-    """Classes with a chosen one of another group on a token, where the tokens they so share let them link."""
-    first = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "sig").alias("place"), "sig", "n", "group")).alias("c"))
-    rows = rows.join(first.select(F.col("token").alias("t"), "c"), F.col("token") == F.col("t")).filter(F.col("group") != F.col("c.group"))
-    pairs = rows.groupBy(F.col("sig").alias("a"), F.col("c.sig").alias("b"), "n", F.col("c.n").alias("m")).agg(
-        F.count("*").alias("shared"), F.min("rest").alias("behind"))
-    return pairs.filter(possible(F.col("n"), F.col("m"), F.col("shared"), F.col("behind"), threshold)).select("a", "b")
+def band_rows(rows: DataFrame) -> DataFrame:
+    """(key, sig, n) of the min-hash bands on which several classes agree."""
+    each = rows.select("sig", "n", F.explode("bands").alias("key")).distinct()
+    several = each.groupBy("key").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter(F.col("low") < F.col("high"))
+    return each.join(several.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
+
+
+def star_pairs(rows: DataFrame, groups: DataFrame, seed: int, threshold: int = THRESHOLD) -> DataFrame:
+    """Classes with a chosen one of the largest group on a band, where their sizes let them link."""
+    sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
+    of = groups.join(sizes, "component").select("node", "component", "members")
+    rows = rows.join(of, F.col("sig") == F.col("node"), "left").select(
+        "key", "sig", "n", F.coalesce("component", "sig").alias("group"), F.coalesce("members", F.lit(1)).alias("members"))
+    first = rows.groupBy("key").agg(F.max(F.struct(
+        "members", F.xxhash64(F.lit(seed), "group", "key").alias("order"), F.xxhash64(F.lit(seed), "sig").alias("place"), "sig", "n", "group")).alias("c"))
+    rows = rows.join(first.select(F.col("key").alias("k"), "c"), F.col("key") == F.col("k")).filter(F.col("group") != F.col("c.group"))
+    fits = 100 * F.least(F.col("n"), F.col("c.n")) >= threshold * F.greatest(F.col("n"), F.col("c.n"))
+    return rows.filter(fits).select(F.col("sig").alias("a"), F.col("c.sig").alias("b")).distinct()
 
 
 def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -237,36 +259,89 @@ def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD)
     reach = F.least(F.col("shared") + rest, F.col("behind") + 1)
     bound = (least <= most) & (reach >= needed(F.col("n"), least, threshold))
     opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og"), F.col("band").alias("ob")), "opened")
-    query = rows.select(F.col("token").alias("t"), F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"))
-    query = query.join(opened, F.col("a") == F.col("oa")).drop("oa")
-    inside = rows.select("token", F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), "group", "band")
-    sizes = 100 * F.least(F.col("n_a"), F.col("n_b")) >= threshold * F.greatest(F.col("n_a"), F.col("n_b"))
-    pairs = query.join(inside, (F.col("t") == F.col("token")) & (F.col("og") == F.col("group")) & (F.col("ob") == F.col("band")) & sizes)
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(
-        F.count("*").alias("shared"), F.least(F.min("rest_a"), F.min("rest_b")).alias("behind"))
-    return pairs.filter(possible(F.col("n_a"), F.col("n_b"), F.col("shared"), F.col("behind"), threshold)).select("a", "b")
+    return opened_pairs(rows.withColumn("group", F.col("group.group")), opened.withColumn("og", F.col("og.group")), threshold)
+
+
+def opened_pairs(rows: DataFrame, opened: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) of a class and a member of a band opened for it that can link.
+
+    Each is one row with its tokens. The members of a band, and the classes it
+    is opened for, are dealt into blocks that fit a task, and every block of one
+    meets every block of the other.
+    """
+    tokens = F.collect_list(F.struct("token", "rest"))
+    inside = opened.groupBy(F.col("og").alias("g"), F.col("ob").alias("at")).agg(F.count("*").alias("queries"))
+    same = (F.col("group") == F.col("g")) & (F.col("band") == F.col("at"))
+    members = rows.join(inside, same, "left_semi").groupBy("sig", "n", "group", "band").agg(tokens.alias("t"))
+    members = staged(members.select("sig", "n", "group", "band", F.col("t.token").alias("tokens"), F.col("t.rest").alias("rests")), "members")
+    held = members.groupBy("group", "band").agg(F.count("*").alias("members"))
+    blocks = lambda n, each: F.ceil(F.col(n) / each).cast("int")
+    inside = inside.join(held, same).select("g", "at", blocks("members", MEMBERS).alias("mb"), blocks("queries", QUERIES).alias("qb"))
+    inside = staged(inside, "blocks")
+    asked = rows.join(opened.select(F.col("oa").alias("sig")).distinct(), "sig", "left_semi").groupBy("sig", "n").agg(tokens.alias("t"))
+    asked = asked.join(opened, F.col("sig") == F.col("oa")).join(inside, (F.col("og") == F.col("g")) & (F.col("ob") == F.col("at")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("sig"), F.col(n)).cast("int")
+    asked = asked.select("sig", "n", F.col("t.token").alias("tokens"), F.col("t.rest").alias("rests"),
+                         F.col("og").alias("g"), F.col("ob").alias("at"), mine("qb").alias("q"), every("mb").alias("m"))
+    members = members.join(inside, same).select("sig", "n", "tokens", "rests", "g", "at", mine("mb").alias("m"), every("qb").alias("q"))
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        pairs = [bounded(int(n), np.asarray(t, np.int64), np.asarray(r, np.int64), table, threshold)
+                 for table in [MemberTable(right)] for n, t, r in zip(left["n"], left["tokens"], left["rests"])]
+        found = np.concatenate([np.zeros(0, np.int64), *pairs]).astype(np.int64)
+        return pd.DataFrame({"a": np.repeat(left["sig"].to_numpy(np.int64), [len(p) for p in pairs]), "b": right["sig"].to_numpy(np.int64)[found]})
+
+    keys = ("g", "at", "m", "q")
+    return asked.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(meet, "a bigint, b bigint")
+
+
+class MemberTable:
+    """The tokens of a block of members, sorted, with whose they are and what comes after."""
+
+    def __init__(self, members: pd.DataFrame) -> None:
+        sizes = [len(t) for t in members["tokens"]]
+        tokens = np.concatenate([np.zeros(0, np.int64), *members["tokens"]]).astype(np.int64)
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.sizes = tokens[order], members["n"].to_numpy(np.int64)
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.rest = np.concatenate([np.zeros(0, np.int64), *members["rests"]]).astype(np.int64)[order]
+
+
+def bounded(n: int, tokens: np.ndarray, rests: np.ndarray, members: MemberTable, threshold: int) -> np.ndarray:
+    """Which members can link with a set of n tokens, by what their prefixes share.
+
+    They overlap in at most that and the longer remainder behind the prefixes, or that
+    and what either has behind the last shared token."""
+    low, high = np.searchsorted(members.tokens, tokens), np.searchsorted(members.tokens, tokens, "right")
+    hits = high - low
+    at = np.repeat(low - np.concatenate([[0], np.cumsum(hits)[:-1]]), hits) + np.arange(hits.sum()) if len(hits) else np.zeros(0, np.int64)
+    owner = members.owner[at]
+    shared = np.bincount(owner, minlength=len(members.sizes))
+    behind = np.full(len(members.sizes), np.iinfo(np.int64).max)
+    np.minimum.at(behind, owner, np.minimum(members.rest[at], np.repeat(rests, hits)))
+    m = members.sizes
+    least = -(-(n + m) * threshold // (100 + threshold))
+    after = np.maximum(-(-n * threshold // 100), -(-m * threshold // 100)) - 1
+    fits = (shared > 0) & (100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
+    return np.flatnonzero(fits & (shared + np.minimum(after, behind) >= least))
 
 
 def near_groups(docs: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
     """(doc_id, row_key, n_shingles, component_id) for every row of ``docs``."""
     small_batches(docs.sparkSession)
-    frequent = frequent_tokens(docs, k)
-    first = prefixes(docs, frequent, np.zeros(1, np.int64), threshold, k)
-    many = first.select(F.explode("prefix").alias("token")).groupBy("token").count().filter(F.col("count") > MANY)
-    rows = staged(prefixes(docs, frequent, bit_field(many), threshold, k), "prefixes")
-    held = staged(shared_tokens(rows), "held")
+    rows = staged(prefixes(docs, frequent_tokens(docs, k), threshold, k), "prefixes")
+    alike = staged(band_rows(rows), "alike")
     links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     groups = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
     for seed in range(ROUNDS):
-        # Groups only grow, so a token that one group holds is done with.
-        held = in_groups(held, groups)
-        pairs = staged(star_pairs(held, seed, threshold), "stars")
+        pairs = staged(star_pairs(alike, groups, seed, threshold), "stars")
         if pairs.isEmpty():
             break
         more = verified(pairs, staged(class_texts(docs, rows, pairs), "texts"), threshold, k)
         links = staged(links.union(more), "links")
         groups = components(links)
-    pairs = staged(matrix_pairs(in_groups(held, groups), groups, threshold), "pairs")
+    pairs = staged(matrix_pairs(in_groups(shared_tokens(rows), groups), groups, threshold), "pairs")
     more = verified(pairs, staged(class_texts(docs, rows, pairs), "texts"), threshold, k)
     groups = components(links.union(staged(more, "links")))
     rows = rows.select("doc_id", "row_key", "n", "sig").join(groups, F.col("sig") == F.col("node"), "left")

@@ -20,7 +20,7 @@ def test_groups_open_for_members_of_other_prefixes(spark):
     texts = {"a": t, "b": x + t, "c": x[12:] + t[:2] + t[4:] + y}
     docs = spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()], "doc_id string, text string")
     sig = {k: signature(shingle(" ".join(v))) for k, v in texts.items()}
-    rows = op5.prefixes(docs, np.zeros(0, np.int64), np.zeros(1, np.int64), k=1)
+    rows = op5.prefixes(docs, np.zeros(0, np.int64), k=1)
     groups = spark.createDataFrame([(sig["b"], sig["b"]), (sig["c"], sig["b"])], "node long, component long")
     pairs = op5.matrix_pairs(op5.in_groups(op5.shared_tokens(rows), groups), groups)
     assert {sig["a"], sig["b"]} in [{r["a"], r["b"]} for r in pairs.collect()]
