@@ -248,34 +248,51 @@ def test_license_places(spark):
 
 # Language models
 
-def test_losses_against_plain_counts(spark, small):
+@pytest.mark.parametrize("hot,bits,chunk", [(op10.HOT, op10.FIELD_BITS, op10.CHUNK), (2_000, 8, 5_000), (0, 20, 300)])
+def test_losses_against_plain_counts(spark, small, monkeypatch, hot, bits, chunk):
     docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
     rows = op10.marked(docs, labels)
-    models = op10.train(rows, docs, size=50, bits=22)
-    texts = [(r["text"], r["target"], r["background"]) for r in rows.collect()]
-    counts = Counter(t for x, _, _ in texts for t in tokens(x))
-    assert list(models.index) == [t for t, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:50]]
-    ids = lambda x: [models.index.get(t, 0) for t in tokens(x)]
-
-    def loss(text, which, counted):
-        single, pairs, of = Counter(), Counter(), Counter()
+    texts = [(r["doc_id"], r["text"], r["target"], r["background"]) for r in rows.collect()]
+    everything = {t for x in texts for t in tokens(x[1])}
+    monkeypatch.setattr(op10.counted, "__defaults__", (chunk,))
+    rows = op10.split(rows)
+    models = op10.train(rows, hot, bits)
+    rare = models.rare.count()
+    assert models.vocabulary == len(everything) and len(models.hot) <= hot
+    assert (len(models.hot) > 0, rare > 0) == (hot > 0, hot < op10.HOT)
+    single, pairs, of = ([None, None, Counter(), Counter()] for _ in range(3))
+    for which in (2, 3):
         for x in texts:
             if x[which]:
-                single.update(ids(x[0])); pairs.update(zip(ids(x[0]), ids(x[0])[1:])); of.update(ids(x[0])[:-1])
-        if counted:
-            single.subtract(ids(text)); pairs.subtract(zip(ids(text), ids(text)[1:])); of.subtract(ids(text)[:-1])
-        n, total, last = sum(single.values()), 0.0, None
-        for w in ids(text):
-            p = (single[w] + op10.ADDED) / (n + op10.ADDED * 51)
+                found = tokens(x[1])
+                single[which].update(found); pairs[which].update(zip(found, found[1:])); of[which].update(found[:-1])
+
+    def loss(found, which, counted):
+        less = [Counter(c) if counted else Counter() for c in (found, zip(found, found[1:]), found[:-1])]
+        n, total, last = sum(single[which].values()) - counted * len(found), 0.0, None
+        for w in found:
+            p = (single[which][w] - less[0][w] + op10.ADDED) / (n + op10.ADDED * len(everything))
             if last is not None:
-                p = (pairs[last, w] + op10.PRIOR * p) / (of[last] + op10.PRIOR)
+                p = (pairs[which][last, w] - less[1][last, w] + op10.PRIOR * p) / (of[which][last] - less[2][last] + op10.PRIOR)
             total, last = total - math.log2(p), w
-        return total / len(ids(text))
-
-    for text, target, background in [t for t in texts if t[0] and tokens(t[0])][:12]:
-        n, a, b = models.score(text, target, background)
-        assert (n, a, b) == (len(tokens(text)), pytest.approx(loss(text, 1, target)), pytest.approx(loss(text, 2, background)))
-    assert models.score(None, True, False) == (0, None, None)
+        return total / len(found)
+
+    plain = []
+    for doc_id, text, target, background in texts:
+        found = tokens(text)
+        plain.append((doc_id, len(found), *((loss(found, 2, target), loss(found, 3, background)) if found else (None, None))))
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted([tuple(r)[:4] for r in op10.cross_entropy_difference(rows, models).collect()], key=order)
+    for mine, theirs in zip(got, sorted(plain, key=order), strict=True):
+        assert mine[:2] == theirs[:2] and mine[2:] == (theirs[2:] if theirs[2] is None else pytest.approx(theirs[2:], abs=1e-8))
+
+
+def test_small_shares_are_sampled(spark):
+    docs = spark.range(400_000).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"))
+    labels = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
+    assert op10.marked(docs.filter("doc_id < 300000"), labels).filter("target").count() == 1
+    labels = spark.range(40).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert 15 <= op10.marked(docs, labels).filter("background").count() <= 80
 
 
 # Pipeline
