@@ -18,10 +18,11 @@ this is a sum of a part of b, one of a and one of the pair, so a text's loss is
 a base that holds for keys without counts, plus one term for each distinct key
 of the text that has a count. Keys with at least 1/HOT of all counts, of which
 there can be HOT at most, are broadcast and summed inside the task; the terms of
-all other keys come from a join by key, and no key left to it is frequent. A bit
-field of fixed size spares the shuffle most keys without counts; where it fills
-up, it only lets more through. Texts go through one shuffle, for their labels,
-and are split once.
+all other keys come from a join by key, and no key left to it is frequent. Bit
+fields of fixed size spare the shuffle most keys that add nothing: those without
+counts, and for a text that a model counted also pairs that no other counted text
+holds. Where they fill up, they only let more through. Texts go through one
+shuffle, for their labels, and are split once.
 
 Cases: a null text, or one without tokens, has 0 tokens and null losses. With
 no target (background) text that model is uniform over the vocabulary. A
@@ -45,8 +46,8 @@ from .common import objects, small_batches, staged, table
 from .op5_jaccard import bit_field, in_field
 from .tokens import tokens
 
-# The most keys whose counts are broadcast, and bits of the field that tells which others have counts.
-HOT, FIELD_BITS = 1 << 19, 26
+# The most keys whose counts are broadcast, 48 bytes each, and bits of the fields that tell which others have counts.
+HOT, FIELD_BITS = 1 << 22, 26
 # Weight of the single-token model in that of pairs, and the count added to every token.
 PRIOR, ADDED = 20.0, 0.5
 SEED = "background-1"
@@ -108,9 +109,10 @@ def split(rows: DataFrame) -> DataFrame:
 
 
 def counted(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(key, pair, second, x_target, x_background, y_target, y_background) of all tokens and of the models' pairs.
+    """(key, pair, second, x_target, x_background, y_target, y_background, texts) of all tokens and of the models' pairs.
 
     x is how often a model has seen the key, y how often a token stands before another.
+    ``texts`` is how many counted texts hold a pair.
     """
     def sums(texts: list[np.ndarray], flags: list[tuple[bool, bool]]) -> pd.DataFrame:
         sizes = np.array([len(t) for t in texts])
@@ -120,13 +122,15 @@ def counted(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
         before[np.cumsum(sizes) - 1] = False
         keys, at = np.unique(ids, return_inverse=True)
         add = lambda where, weights, n: np.bincount(where, weights, n).astype(np.int64)
-        single = pd.DataFrame({"key": keys, "pair": False, "second": np.int64(0)})
+        single = pd.DataFrame({"key": keys, "pair": False, "second": np.int64(0), "texts": np.int64(0)})
         for model, name in enumerate(("target", "background")):
             single[f"x_{name}"] = add(at, seen[:, model], len(keys))
             single[f"y_{name}"] = add(at[before], seen[before, model], len(keys))
         first = np.flatnonzero(before & seen.any(axis=1))
         keys, place, at = np.unique(pair_keys(ids[first], ids[first + 1]), return_index=True, return_inverse=True)
-        pairs = pd.DataFrame({"key": keys, "pair": True, "second": ids[first + 1][place]})
+        owner = np.repeat(np.arange(len(sizes)), sizes)[first]
+        holders = np.bincount(np.unique(at * len(sizes) + owner) // len(sizes), minlength=len(keys))
+        pairs = pd.DataFrame({"key": keys, "pair": True, "second": ids[first + 1][place], "texts": holders})
         for model, name in enumerate(("target", "background")):
             pairs[f"x_{name}"] = add(at, seen[first, model], len(keys))
             pairs[f"y_{name}"] = np.int64(0)
@@ -144,19 +148,22 @@ def counted(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
         if held:
             yield sums(texts, flags)
 
-    numbers = [f"{v}_{m}" for m in ("target", "background") for v in "xy"]
+    numbers = [*(f"{v}_{m}" for m in ("target", "background") for v in "xy"), "texts"]
     found = rows.select("ids", "target", "background").mapInPandas(read, "key bigint, pair boolean, second bigint, " + ", ".join(f"{c} bigint" for c in numbers))
     return found.groupBy("key", "pair", "second").agg(*[F.sum(c).alias(c) for c in numbers])
 
 
 @dataclass
 class Models:
-    """``rare`` is a table (rare_key, pair, x_…, y_…) beside the ``hot`` keys; y of a pair is x of its second token."""
+    """``rare`` is a table (rare_key, pair, x_…, y_…, texts) beside the ``hot`` keys; y of a pair is x of its second token.
+
+    ``fields`` tell which rare keys matter to texts that no model counted, and to those that one did.
+    """
     vocabulary: int
     totals: tuple[int, int]
     hot: pd.DataFrame
     rare: DataFrame
-    field: np.ndarray
+    fields: tuple[np.ndarray, np.ndarray]
 
 
 def train(rows: DataFrame, hot: int = HOT, bits: int = FIELD_BITS) -> Models:
@@ -169,15 +176,16 @@ def train(rows: DataFrame, hot: int = HOT, bits: int = FIELD_BITS) -> Models:
     pairs = found.filter("pair").drop("y_target", "y_background").join(
         single.select(F.col("key").alias("of"), F.col("x_target").alias("y_target"), F.col("x_background").alias("y_background")).hint("merge"),
         F.col("second") == F.col("of"))
-    names = ["key", "pair", "x_target", "y_target", "x_background", "y_background"]
+    names = ["key", "pair", "x_target", "y_target", "x_background", "y_background", "texts"]
     # Every y above 0 comes with an x above 0.
     model = staged(single.filter((F.col("x_target") > 0) | (F.col("x_background") > 0)).select(names).union(pairs.select(names)), "model")
     totals = (target or 0, background or 0)
     # The counts of tokens and of pairs add up to twice the totals at most, so at most ``hot`` keys hold this share.
     frequent = (F.col("x_target") + F.col("x_background")) * hot >= 2 * sum(totals)
-    top = model.filter(frequent).toArrow().to_pandas().sort_values("key", ignore_index=True)
+    top = model.filter(frequent).drop("texts").toArrow().to_pandas().sort_values("key", ignore_index=True)
     rare = model.filter(~frequent).withColumnRenamed("key", "rare_key")
-    return Models(v, totals, top, rare, bit_field(rare.select(F.col("rare_key").alias("token")), bits))
+    field = lambda found: bit_field(found.select(F.col("rare_key").alias("token")), bits)
+    return Models(v, totals, top, rare, (field(rare), field(rare.filter(~F.col("pair") | (F.col("texts") > 1)))))
 
 
 def places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -212,12 +220,12 @@ def cross_entropy_difference(rows: DataFrame, models: Models) -> DataFrame:
     """(doc_id, n_tokens, loss_target, loss_background, difference) for every row of ``split``."""
     small_batches(rows.sparkSession)
     hot = {c: models.hot[c].to_numpy() for c in models.hot.columns}
-    shared = rows.sparkSession.sparkContext.broadcast((hot, models.field))
+    shared = rows.sparkSession.sparkContext.broadcast((hot, models.fields))
     sides = ("target", "background")
     whole = [t + ADDED * models.vocabulary for t in models.totals]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hot, field = shared.value
+        hot, fields = shared.value
         for batch in batches:
             out = []
             for ids, *flags in zip(batch["ids"], batch["target"], batch["background"]):
@@ -232,7 +240,7 @@ def cross_entropy_difference(rows: DataFrame, models: Models) -> DataFrame:
                     scale = total - counted_in * len(ids)
                     x, y = (hot[f"{v}_{name}"][at[here]] - counted_in * own[here] for v, own in (("x", m), ("y", before)))
                     losses.append(len(ids) * np.log2(scale / ADDED) + terms(np, hot["pair"][at[here]], m[here], before[here], x, y, scale).sum())
-                rest = ~here & in_field(field, keys)
+                rest = ~here & in_field(fields[any(flags)], keys)
                 out.append((*losses, keys[rest], m[rest], before[rest]))
             yield pd.DataFrame({
                 "row": batch["row"], "n_tokens": [len(i) for i in batch["ids"]], "target": batch["target"], "background": batch["background"],
@@ -242,14 +250,15 @@ def cross_entropy_difference(rows: DataFrame, models: Models) -> DataFrame:
     scored = staged(rows.select("row", "ids", "target", "background").mapInPandas(
         read, "row bigint, n_tokens bigint, target boolean, background boolean, sum_target double, sum_background double, "
               "keys array<bigint>, m array<int>, before array<int>"), "scored")
-    each = scored.select("row", "n_tokens", "target", "background", F.explode(F.arrays_zip("keys", "m", "before")).alias("k"))
-    each = each.select("row", "n_tokens", F.col("target").cast("int").alias("in_target"), F.col("background").cast("int").alias("in_background"),
-                       F.col("k.keys").alias("key"), F.col("k.m").alias("m"), F.col("k.before").alias("before"))
-    met = each.join(models.rare.hint("merge"), F.col("key") == F.col("rare_key"))
+    # Number of tokens and marks of the text travel as one value.
+    about = (F.col("n_tokens") * 4 + F.col("target").cast("int") * 2 + F.col("background").cast("int")).alias("about")
+    each = scored.select("row", about, F.explode(F.arrays_zip("keys", "m", "before")).alias("k"))
+    each = each.select("row", "about", F.col("k.keys").alias("key"), F.col("k.m").alias("m"), F.col("k.before").alias("before"))
+    met = each.join(models.rare.drop("texts").hint("merge"), F.col("key") == F.col("rare_key"))
 
     def term(name: str, total: float) -> Column:
-        counted_in = F.col(f"in_{name}")
-        scale = total - counted_in * F.col("n_tokens")
+        counted_in = (F.col("about").bitwiseAND(F.lit(2 if name == "target" else 1)) > 0).cast("int")
+        scale = total - counted_in * F.shiftright("about", 2)
         x, y = F.col(f"x_{name}") - counted_in * F.col("m"), F.col(f"y_{name}") - counted_in * F.col("before")
         return F.sum(terms(F, F.col("pair"), F.col("m"), F.col("before"), x, y, scale)).alias(f"more_{name}")
 
