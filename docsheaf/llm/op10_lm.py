@@ -56,6 +56,17 @@ CHUNK = 2_000_000
 _KNOWN_LIMIT = 500_000
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``staged``, whose shuffle files go with the write instead of waiting for the driver's garbage collection."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return staged(df, label)
+    finally:
+        conf.set(name, before)
+
+
 class TokenKeys:
     """64-bit hashes of the tokens of a text; those met before are kept, up to a limit."""
 
@@ -105,7 +116,7 @@ def split(rows: DataFrame) -> DataFrame:
         for batch in texts:
             yield objects([keys(t) for t in batch])
 
-    return staged(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "background", ids("text").alias("ids")), "split")
+    return written(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "background", ids("text").alias("ids")), "split")
 
 
 def counted(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -169,7 +180,7 @@ class Models:
 def train(rows: DataFrame, hot: int = HOT, bits: int = FIELD_BITS) -> Models:
     """Both models over the rows of ``split``."""
     small_batches(rows.sparkSession)
-    found = staged(counted(rows), "counted")
+    found = written(counted(rows), "counted")
     single = found.filter(~F.col("pair"))
     v, target, background = single.agg(F.count("*"), F.sum("x_target"), F.sum("x_background")).first()
     # Second tokens of many pairs lie on the left, where adaptive execution splits them.
@@ -178,7 +189,7 @@ def train(rows: DataFrame, hot: int = HOT, bits: int = FIELD_BITS) -> Models:
         F.col("second") == F.col("of"))
     names = ["key", "pair", "x_target", "y_target", "x_background", "y_background", "texts"]
     # Every y above 0 comes with an x above 0.
-    model = staged(single.filter((F.col("x_target") > 0) | (F.col("x_background") > 0)).select(names).union(pairs.select(names)), "model")
+    model = written(single.filter((F.col("x_target") > 0) | (F.col("x_background") > 0)).select(names).union(pairs.select(names)), "model")
     totals = (target or 0, background or 0)
     # The counts of tokens and of pairs add up to twice the totals at most, so at most ``hot`` keys hold this share.
     frequent = (F.col("x_target") + F.col("x_background")) * hot >= 2 * sum(totals)
@@ -247,7 +258,7 @@ def cross_entropy_difference(rows: DataFrame, models: Models) -> DataFrame:
                 "sum_target": [float(o[0]) for o in out], "sum_background": [float(o[1]) for o in out],
                 "keys": objects([o[2] for o in out]), "m": objects([o[3] for o in out]), "before": objects([o[4] for o in out])})
 
-    scored = staged(rows.select("row", "ids", "target", "background").mapInPandas(
+    scored = written(rows.select("row", "ids", "target", "background").mapInPandas(
         read, "row bigint, n_tokens bigint, target boolean, background boolean, sum_target double, sum_background double, "
               "keys array<bigint>, m array<int>, before array<int>"), "scored")
     # Number of tokens and marks of the text travel as one value.
