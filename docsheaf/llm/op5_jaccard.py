@@ -14,8 +14,13 @@ below leave out only pairs that cannot link, or that are already connected.
    Links make groups whose members are connected; a further round joins what
    other choices find. This step may miss links; it only makes the next one small.
 3. Matrix: the union of the prefix tokens of each group, by bands of similar
-   size, one row per (token, group, band), for tokens of several groups.
-4. A class looks up its tokens in the matrix and counts those it shares with
+   size, for tokens of several groups. Tokens that exactly the same classes hold
+   are one bundle, and the matrix has one row per (bundle, group, band).
+   A class that cannot link with any set of some band of sizes, even if it shared
+   all its bundles, meets no row of that band, and is in no row for it.
+   Nor does a class look up its most widespread bundles, as long as they hold
+   fewer tokens than a link there needs: each partner shares another one, too.
+4. A class looks up its other bundles in the matrix and counts the tokens it shares with
    each larger group. If two sets share s tokens of their prefixes, they overlap
    in at most s plus the longer of their remainders behind the prefixes (of the
    one whose prefix ends first, every shared prefix token is in the other's), and
@@ -42,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import as_before, as_text, objects, small_batches, staged, table
@@ -209,12 +214,16 @@ def class_texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """(token, sig, n, rest, group) on the tokens that several groups hold."""
+    """(token, sig, n, rest, group, bundle) on the tokens that several groups hold.
+
+    Tokens of one bundle are held by the same classes.
+    """
     rows = rows.select("token", "sig", "n", "rest").join(groups, F.col("sig") == F.col("node"), "left").select(
         "token", "sig", "n", "rest", F.coalesce("component", "sig").alias("group"))
-    several = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter(F.col("low") < F.col("high"))
-    several = staged(several.select(F.col("token").alias("t")), "several")
-    return staged(rows.join(several, F.col("token") == F.col("t"), "left_semi"), "grouped")
+    holders = [F.bit_xor(F.xxhash64(F.lit(i), "sig")).alias(f"holders_{i}") for i in (1, 2)]
+    several = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("classes"), *holders).filter(F.col("low") < F.col("high"))
+    several = staged(several.select(F.col("token").alias("t"), F.struct("classes", "holders_1", "holders_2").alias("bundle")), "several")
+    return staged(rows.join(several, F.col("token") == F.col("t")).drop("t"), "grouped")
 
 
 def band_rows(rows: DataFrame) -> DataFrame:
@@ -237,21 +246,53 @@ def star_pairs(rows: DataFrame, groups: DataFrame, seed: int, threshold: int = T
     return rows.filter(fits).select(F.col("sig").alias("a"), F.col("c.sig").alias("b")).distinct()
 
 
+def band_of(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(BAND))).cast("int")
+
+
+def meeting(packed: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``packed`` once for each band of sizes, ``meets``, in which their class can link at all.
+
+    To link there, two classes share at least so many tokens in bundles as the
+    longer remainder leaves open. The bundles of most classes that hold fewer than
+    that together are ``spared``: who shares only these cannot link. ``spare`` is
+    their number of tokens, ``spare_rest`` the most that comes after one.
+    """
+    n, meets = F.col("n"), F.col("meets")
+    smallest, largest = F.ceil(n * threshold / 100 - 1e-9), F.floor(n * 100 / threshold + 1e-9)
+    each = packed.withColumn("meets", F.explode(F.sequence(band_of(smallest), band_of(largest))))
+    low = F.greatest(smallest, F.floor(F.pow(F.lit(BAND), meets) - 1e-6))
+    high = F.least(largest, F.ceil(F.pow(F.lit(BAND), meets + 1) + 1e-6))
+    rest = F.greatest(n - prefix_size(n, threshold), high - prefix_size(high, threshold))
+    each = each.withColumn("open", needed(n, low, threshold) - rest)
+    one = Window.partitionBy("sig", "meets")
+    so_far = F.sum("held").over(one.orderBy(F.desc("bundle")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = each.withColumn("spared", so_far < F.col("open")).withColumn("most_shared", F.sum("held").over(one))
+    each = each.withColumn("spare", F.sum(F.when(F.col("spared"), F.col("held")).otherwise(0)).over(one))
+    each = each.withColumn("spare_rest", F.max(F.when(F.col("spared"), F.col("rest")).otherwise(-1)).over(one))
+    return each.filter(F.col("most_shared") >= F.col("open")).drop("most_shared", "open")
+
+
 def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Candidate pairs of classes in different groups, through the token-group matrix."""
     members = groups.groupBy("component").agg(F.count("*").alias("members"))
     rows = rows.join(members, F.col("group") == F.col("component"), "left")
     # Each pair of groups is looked up from the smaller one.
-    rows = rows.select("token", "sig", "n", "rest", F.struct(F.coalesce("members", F.lit(1)).alias("members"), "group").alias("group"),
-                       F.floor(F.log("n") / float(np.log(BAND))).alias("band"))
+    rows = rows.select("token", "bundle", "sig", "n", "rest", F.struct(F.coalesce("members", F.lit(1)).alias("members"), "group").alias("group"),
+                       band_of(F.col("n")).alias("band"))
     rows = staged(rows, "banded")
-    matrix = staged(rows.groupBy("token", "group", "band").agg(
-        F.min("n").alias("low"), F.max("n").alias("high")).withColumnRenamed("token", "t"), "matrix")
+    # A run of tokens that the same classes hold is looked up once, with its number of tokens.
+    packed = rows.groupBy("bundle", "sig", "n", "group", "band").agg(F.count("*").alias("held"), F.max("rest").alias("rest"))
+    packed = staged(meeting(packed, threshold), "packed")
+    matrix = staged(packed.groupBy(F.col("bundle").alias("t"), "group", "band", F.col("meets").alias("from")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
     fits = (100 * F.col("high") >= threshold * F.col("n")) & (threshold * F.col("low") <= 100 * F.col("n"))
-    query = rows.select("token", F.col("sig").alias("a"), "n", "rest", F.col("group").alias("own"))
-    looked = query.join(matrix, (F.col("token") == F.col("t")) & (F.col("own") < F.col("group")) & fits)
+    query = packed.filter(~F.col("spared")).select("bundle", F.col("sig").alias("a"), "n", "held", "rest", "spare", "spare_rest",
+                                                   F.col("group").alias("own"), F.col("band").alias("own_band"), "meets")
+    same = (F.col("bundle") == F.col("t")) & (F.col("meets") == F.col("band")) & (F.col("own_band") == F.col("from"))
+    looked = query.join(matrix, same & (F.col("own") < F.col("group")) & fits)
     looked = looked.groupBy("a", "n", "group", "band").agg(
-        F.count("*").alias("shared"), F.max("rest").alias("behind"), F.min("low").alias("low"), F.max("high").alias("high"))
+        (F.sum("held") + F.max("spare")).alias("shared"), F.max(F.greatest("rest", "spare_rest")).alias("behind"), F.min("low").alias("low"), F.max("high").alias("high"))
     least = F.greatest(F.col("low"), F.ceil(F.col("n") * threshold / 100 - 1e-9))
     most = F.least(F.col("high"), F.floor(F.col("n") * 100 / threshold + 1e-9))
     rest = F.greatest(F.col("n") - prefix_size(F.col("n"), threshold), most - prefix_size(most, threshold))
@@ -259,7 +300,7 @@ def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD)
     reach = F.least(F.col("shared") + rest, F.col("behind") + 1)
     bound = (least <= most) & (reach >= needed(F.col("n"), least, threshold))
     opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og"), F.col("band").alias("ob")), "opened")
-    return opened_pairs(rows.withColumn("group", F.col("group.group")), opened.withColumn("og", F.col("og.group")), threshold)
+    return opened_pairs(rows.drop("bundle").withColumn("group", F.col("group.group")), opened.withColumn("og", F.col("og.group")), threshold)
 
 
 def opened_pairs(rows: DataFrame, opened: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
