@@ -12,8 +12,9 @@ from .logic import (
     bool_to_int, default_value, first_present, is_empty, is_truthy, to_bool,
 )
 from .paths import (
-    auto_id, descendants, descendants_of, dynamic_field, each, each_present, field, field_or_null,
-    index_at, index_range, variant_descendants, variant_field, variant_list, variant_missing,
+    auto_id, bound, descendants, descendants_of, dynamic_field, each, each_present, field, field_or_null,
+    index_at, index_range, variant_descendants, variant_field, variant_items, variant_list,
+    variant_missing,
 )
 from .registry import FUNCTIONS, LIST_FUNCTIONS, call, register, register_row_function, via
 from .text import (

@@ -157,7 +157,7 @@ def variant_cell(value: Column, missing: str | None = None) -> Column:
     items = F.try_variant_get(value, "$", "array<variant>")
     return (
         F.when(value.isNull(), F.lit(missing))
-        .when(~F.schema_of_variant(value).startswith("ARRAY"), _variant_text(value))
+        .when(items.isNull(), _variant_text(value))
         .when(F.size(items) == 0, F.lit(missing))
         .otherwise(F.array_join(F.transform(items, _variant_text), ","))
     )

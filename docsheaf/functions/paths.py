@@ -137,49 +137,61 @@ def variant_missing(document: Column, *steps: str) -> Column:
     return variant_field(document, *steps, as_type="variant").isNull()
 
 
+def bound(value: Column, build) -> Column:
+    """``build(value)``, with the value worked out once however often it is used there."""
+    return F.get(F.transform(F.array(value), lambda x: build(x)), F.lit(0))
+
+
+def variant_items(value: Column) -> Column:
+    """The elements of a variant that is a list; null for any other. Only the list itself is looked at."""
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
 def variant_list(value: Column) -> Column:
     """A variant as a list: a list stays, a lone value becomes a list of one."""
-    is_list = F.schema_of_variant(value).startswith("ARRAY")
-    as_list = F.try_variant_get(value, "$", "array<variant>")
-    lone = F.when(value.isNotNull(), F.array(value))
-    return F.when(is_list, as_list).otherwise(lone)
+    return F.coalesce(variant_items(value), F.when(value.isNotNull(), F.array(value)))
 
 
 def variant_descendants(value: Column, name: str) -> Column:
     """All members called ``name`` at any depth of a variant, as an array of variants.
 
     The row is gone down level by level, all objects and lists of a level at
-    once, as often as its own type text opens a bracket, which is never less
-    than its depth. Members of an object come before those below it; objects are
-    gone through in the order of their names, lists in their own.
+    once, each replaced in its place by what it holds; single values are left
+    behind. There are as many rounds as the JSON text has opening brackets, which
+    is never less than its depth; those behind the last level do nothing. Members
+    of an object come before those below it; objects are gone through in the
+    order of their names, lists in their own.
     """
-    route, nodes = "array<struct<text:string,number:int>>", "array<struct<name:string,path:array<struct<text:string,number:int>>,value:variant>>"
-    piece = lambda text, number: F.array(F.struct(text.alias("text"), number.cast("int").alias("number")))
-    node = lambda called, path, held: F.struct(called.cast("string").alias("name"), path.alias("path"), held.alias("value"))
+    members_type = "array<struct<key:string,value:variant>>"
+    nodes_type = f"array<struct<hit:variant,members:{members_type},items:array<variant>>>"
+    none = F.lit(None)
+
+    def node(hit: Column, members: Column, items: Column) -> Column:
+        return F.struct(hit.cast("variant").alias("hit"), members.cast(members_type).alias("members"), items.cast("array<variant>").alias("items"))
+
+    opened = lambda v: node(none, F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), variant_items(v))
+    holds = lambda x: x.getField("members").isNotNull() | x.getField("items").isNotNull()
+    less = lambda a, b: F.when(a.getField("key") < b.getField("key"), -1).when(a.getField("key") > b.getField("key"), 1).otherwise(0)
 
     def below(x: Column) -> Column:
-        path, at = x.getField("path"), x.getField("value")
-        members = F.map_entries(F.try_variant_get(at, "$", "map<string,variant>"))
-        named = F.transform(members, lambda m: node(m.getField("key"), F.concat(path, piece(m.getField("key"), F.lit(0))), m.getField("value")))
-        numbered = F.transform(F.try_variant_get(at, "$", "array<variant>"), lambda v, i: node(F.lit(None), F.concat(path, piece(F.lit(""), i)), v))
-        kind = F.schema_of_variant(at)
-        return F.when(kind.startswith("OBJECT"), named).when(kind.startswith("ARRAY"), numbered).otherwise(F.array().cast(nodes))
-
-    def level(state: Column, _: Column) -> Column:
-        front = F.flatten(F.transform(state.getField("front"), below)).cast(nodes)
-        # For the order a member's own path is that of its object and a mark before all names.
-        own = lambda p: F.concat(F.slice(p, 1, F.size(p) - 1), piece(F.lit(""), F.lit(-1)))
-        hits = F.transform(F.filter(front, lambda x: x.getField("name") == name), lambda x: node(
-            x.getField("name"), own(x.getField("path")), x.getField("value")))
-        return F.struct(front.alias("front"), F.concat(state.getField("found"), hits).cast(nodes).alias("found"))
-
-    top = F.array(node(F.lit(None), F.array().cast(route), value)).cast(nodes)
-    shape = F.schema_of_variant(value)
-    depth = F.length(shape) - F.length(F.translate(shape, "<", ""))
+        members = x.getField("members")
+        own = F.transform(F.filter(members, lambda m: m.getField("key") == name), lambda m: node(m.getField("value"), none, none))
+        keyed = F.transform(members, lambda m: F.struct(m.getField("key").alias("key"), opened(m.getField("value")).alias("node")))
+        inner = F.transform(F.array_sort(F.filter(keyed, lambda k: holds(k.getField("node"))), less), lambda k: k.getField("node"))
+        listed = F.filter(F.transform(x.getField("items"), opened), holds)
+        return F.when(x.getField("hit").isNotNull(), F.array(x)).when(members.isNotNull(), F.concat(own, inner)).otherwise(listed)
+
+    def state(nodes: Column) -> Column:
+        return F.struct(nodes.alias("nodes"), F.exists(nodes, holds).alias("more"))
+
+    def level(s: Column, _: Column) -> Column:
+        return F.when(s.getField("more"), bound(F.flatten(F.transform(s.getField("nodes"), below)).cast(nodes_type), state)).otherwise(s)
+
+    top = bound(F.filter(F.array(opened(value)), holds).cast(nodes_type), state)
+    text = F.to_json(value)
+    depth = F.length(text) - F.length(F.translate(text, "{[", ""))
     rounds = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
-    found = F.aggregate(rounds, F.struct(top.alias("front"), F.array().cast(nodes).alias("found")), level, lambda s: s.getField("found"))
-    less = lambda a, b: F.when(a.getField("path") < b.getField("path"), -1).when(a.getField("path") > b.getField("path"), 1).otherwise(0)
-    return F.transform(F.array_sort(found, less), lambda x: x.getField("value"))
+    return F.aggregate(rounds, top, level, lambda s: F.transform(s.getField("nodes"), lambda x: x.getField("hit")))
 
 
 def auto_id(root_id: Column, path: str, position: Column, own_id: Column | None = None) -> Column:

@@ -224,11 +224,30 @@ def _child_rows(doc: DocTable, spec: ExportSpec) -> DataFrame:
     return rows.withColumns({PLACE: item.getField("place"), CHILD: item.getField("item")})
 
 
-def resolver(doc: DocTable, rows: DataFrame, child: str = CHILD, pos: str = POS, place: str = PLACE) -> Callable:
-    """Looks up paths in ``rows``, whose items lie in the named columns."""
-    start = _start(doc)
+def _heads(doc: DocTable, spec: ExportSpec) -> tuple[DocTable, dict]:
+    """The document's own values that rows of its items need, looked up before there are rows.
+
+    A row then holds these instead of the whole document, which would make a long
+    list cost its square. Over structs Spark prunes the document itself.
+    """
+    if not doc.variant:
+        return doc, {}
+    paths = [p for c in spec.columns for p in (c.path, *c.alternates, *_step_paths(c)) if p[:1] == (ROOT,) and len(p) > 1]
+    heads = {None: (_id_of(doc), T.StringType())}
+    heads.update((p, walk(*_start(doc), p[1:])) for p in paths)
+    named = {p: (f"__head{n}", v, t) for n, (p, (v, t)) in enumerate(heads.items())}
+    df = doc.df.select("*", *[v.alias(name) for name, v, _ in named.values()])
+    return replace(doc, df=df), {p: (F.col(name), t) for p, (name, _, t) in named.items()}
+
+
+def resolver(doc: DocTable, rows: DataFrame, child: str = CHILD, pos: str = POS, place: str = PLACE, heads: dict | None = None) -> Callable:
+    """Looks up paths in ``rows``, whose items lie in the named columns; ``heads`` are values that need no more looking up."""
+    start, heads = _start(doc), heads or {}
+    doc_id = heads[None][0] if None in heads else _id_of(doc)
 
     def resolve(path: tuple[str, ...]):
+        if path in heads:
+            return heads[path]
         if path[:1] == (ROOT,):
             return walk(*start, path[1:])
         if not doc.root:
@@ -244,10 +263,10 @@ def resolver(doc: DocTable, rows: DataFrame, child: str = CHILD, pos: str = POS,
             if own and isinstance(own[1], T.VariantType):
                 own = F.try_variant_get(own[0], "$", "string"), T.StringType()
             if place in rows.columns:
-                named = F.concat_ws(".", _id_of(doc).cast("string"), F.col(place))
+                named = F.concat_ws(".", doc_id.cast("string"), F.col(place))
             else:
-                named = auto_id(_id_of(doc), ".".join(doc.root), F.col(pos), own and own[0])
-            return F.when(F.col(pos).isNull(), _id_of(doc).cast("string")).otherwise(named), T.StringType()
+                named = auto_id(doc_id, ".".join(doc.root), F.col(pos), own and own[0])
+            return F.when(F.col(pos).isNull(), doc_id.cast("string")).otherwise(named), T.StringType()
         return walk(F.col(child), item, path)
 
     return resolve
@@ -353,10 +372,11 @@ def export(
     if doc.resource != spec.resource:
         raise ValueError(f"spec {spec.table} reads {spec.resource}, not {doc.resource}")
     doc = replace(doc.rooted(*(spec.root or doc.root)), df=match_filters(doc.df, spec.filters, doc.member))
-    rows = doc.df
+    rows, heads = doc.df, {}
     if doc.root:
+        doc, heads = _heads(doc, spec)
         rows = _child_rows(doc, spec)
-    resolve = resolver(doc, rows)
+    resolve = resolver(doc, rows, heads=heads)
     out = rows.select(
         *[column_value(c, resolve, spec.base_url, rows).alias(c.name) for c in spec.columns],
         *[value.alias(name) for name, value in carry.items()])

@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import descendants_of, field, index_at, variant_descendants, variant_field, variant_list
+from ..functions import bound, descendants_of, field, index_at, variant_descendants, variant_field, variant_items, variant_list
 
 INDEX = re.compile(r"\[(-?\d+)\]")
 SLICE = re.compile(r"\[(-?\d+)?:(-?\d+)?(?::(-?\d+)?)?\]")
@@ -167,32 +167,43 @@ class _Spread:
         return self.down(item, dtype, steps, self._then(place, self._element(item, dtype, where)))
 
     def _down_variant(self, at: Column, steps: tuple[str, ...], place: Column | None):
-        """Where no type tells lists from lone values, each row does."""
+        """Where no type tells lists from lone values, each row does.
+
+        What a list is told by, its elements and the place above them are worked
+        out once for the list, not again for each of its elements.
+        """
         kind = T.VariantType()
-        items = variant_list(at)
-        listed = F.schema_of_variant(at).startswith("ARRAY")
         if steps and (number := INDEX.fullmatch(steps[0])):
-            return self._down_index(items, kind, int(number[1]), steps[1:], place)
+            return bound(variant_list(at), lambda items: self._down_index(items, kind, int(number[1]), steps[1:], place)[0]), kind
         if steps and (bounds := slice_bounds(steps[0])):
-            part, number = stretch(items, *bounds)
-            return self._each(part, kind, steps[1:], place, number)
+            def part_of(items: Column) -> Column:
+                part, number = stretch(items, *bounds)
+                return self._each(part, kind, steps[1:], place, number)[0]
+            return bound(variant_list(at), part_of), kind
         if steps[:1] == ("[*]",):
             steps = steps[1:]
+        return bound(at, lambda value: bound(variant_items(value), lambda items: self._through(value, items, steps, place))), kind
+
+    def _through(self, at: Column, elements: Column, steps: tuple[str, ...], place: Column | None) -> Column:
+        """All elements of a variant, which are null if it is no list and counts as its only one."""
+        kind, listed = T.VariantType(), elements.isNotNull()
+        items = F.coalesce(elements, F.when(at.isNotNull(), F.array(at)))
         if place is None:
             called = lambda x, i: F.lit(None).cast("string")
         else:
             called = lambda x, i: F.when(listed, self._then(place, self._element(x, kind, i))).otherwise(place)
         if not steps:
             nothing = ~listed & (F.is_variant_null(at) | (F.to_json(at) == "{}"))
-            return F.when(~nothing, F.transform(items, lambda x, i: self._one(x, called(x, i)))), kind
+            return F.when(~nothing, F.transform(items, lambda x, i: self._one(x, called(x, i))))
         step, rest = steps[0], steps[1:]
 
-        def below(x: Column, i: Column) -> Column:
-            above = None if place is None else called(x, i)
+        def lower(x: Column, here: Column) -> Column:
             if step.startswith(".."):
-                lower = self._each(variant_descendants(x, step[2:]), kind, rest, self._then(above, step))
-            else:
-                lower = self._down_variant(variant_field(x, step, as_type="variant"), rest, self._then(above, step))
-            return F.coalesce(lower[0], F.array())
+                return self._each(variant_descendants(x, step[2:]), kind, rest, here)[0]
+            return self._down_variant(variant_field(x, step, as_type="variant"), rest, here)[0]
+
+        def below(x: Column, i: Column) -> Column:
+            here = self._then(None if place is None else called(x, i), step)
+            return F.coalesce(bound(here, lambda h: lower(x, h)), F.array())
 
-        return F.flatten(F.transform(items, below)), kind
+        return F.flatten(F.transform(items, below))

@@ -1,6 +1,7 @@
 """Lists in lists, and lists and members of documents without a schema."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +72,20 @@ def test_nothing_moves(spark):
     assert "Exchange" not in plan and plan.count("Generate") == 1
 
 
+def test_long_lists_without_a_schema_cost_no_square(spark):
+    """A row carries no whole document, and no element asks again what the list around it is."""
+    spec = ExportSpec("t", "form", (*SPEC.columns, ColumnSpec("who", ("$", "meta", "user")), ColumnSpec("doc", ("$", "id"), data_type="text")), root=SPEC.root)
+    docs = [{"id": "d", "meta": {"user": "u"}, "visits": [{"items": [{"n": i} for i in range(3000)]}, {"id": "v", "items": [{"n": 3000}]}]}]
+    out = export(table(spark, docs, True), spec)
+    generate = re.search(r"Generate posexplode.*, \[([^\]]*)\], (?:true|false), \[__pos", out._jdf.queryExecution().optimizedPlan().toString())
+    # Of the columns below, the first one, which is the document, goes no further.
+    assert generate and generate[1] == "0"
+    assert "schema_of_variant" not in generate[0].lower().replace("schemaofvariant", "schema_of_variant")
+    rows = {r["n"]: r for r in out.collect()}
+    assert len(rows) == 3001 and rows[2999]["id"] == "d.visits.[0].items.[2999]" and rows[3000]["id"] == "d.visits.v.items.[0]"
+    assert {(r["who"], r["doc"]) for r in rows.values()} == {("u", "d")}
+
+
 def variants(spark, *values):
     return spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, t string").select("i", F.parse_json("t").alias("v"))
 
@@ -98,6 +113,13 @@ def test_descendants_of_documents_without_a_schema(spark):
     assert found == [[3, 1, [{"x": 9}], 9, "p", None, {"x": 7}, 7], [], [], [{}], [2, 1], [1]]
 
 
+def test_descendants_below_lists_of_mixed_kinds(spark):
+    """The type of such a list does not say how deep it goes."""
+    docs = variants(spark, [1, {"a": {"x": 1}}, [[{"x": "}"}]]], {"l": ["s", {"b": [{"c": {"x": {"x": None}}}, 2]}], "x": "{[<"}, None)
+    found = [json.loads(r[0]) for r in docs.orderBy("i").select(F.to_json(variant_descendants(F.col("v"), "x"))).collect()]
+    assert found == [[1, "}"], ["{[<", {"x": None}, None], []]
+
+
 def test_descendants_in_paths(spark):
     docs = [{"id": "d", "form": {"case": {"@id": "1"}, "sub": [{"case": {"@id": "2"}}, {"deep": {"case": {"@id": "3"}}}]}}]
     source = DocTable(variants(spark, *docs).select(F.col("v").alias("doc")), "form", variant="doc")
