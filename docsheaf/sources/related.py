@@ -16,13 +16,17 @@ def related_rows(
     a hot key on either side; a left join could not split the child side. The
     parents without children are added from an anti join against the distinct
     keys.
+
+    Both joins hash what there is once per parent, the parents and the keys, and
+    let the rest pass. No task sorts the children, so that what it holds grows
+    with the parents dealt to it and not with the children.
     """
     inlined = children.select(F.col(child_key).alias("__key"), F.struct("*").alias(name))
-    matched = parents.join(inlined, parents[parent_key] == F.col("__key")).drop("__key")
+    matched = parents.hint("shuffle_hash").join(inlined, parents[parent_key] == F.col("__key")).drop("__key")
     if not keep_childless:
         return matched
     keys = children.select(F.col(child_key).alias("__key")).distinct()
-    childless = parents.join(keys, parents[parent_key] == F.col("__key"), "left_anti")
+    childless = parents.join(keys.hint("shuffle_hash"), parents[parent_key] == F.col("__key"), "left_anti")
     return matched.unionByName(childless, allowMissingColumns=True)
 
 

@@ -42,6 +42,14 @@ def test_related_rows_splits_a_hot_parent(spark, hot):
     assert len(rows) == ROWS + 1 and sum(r["child"]["v"] for r in rows if r["child"]) == ROWS * (ROWS - 1) // 2
 
 
+def test_related_rows_sorts_no_children(spark, hot):
+    """What a task holds grows with the parents dealt to it, not with their children."""
+    parents = spark.range(1001).select(F.col("id"), F.lit("p").alias("name"))
+    rows, plan = final_plan(related_rows(parents, hot, "id", "k", "child"))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+    assert sum(r["child"] is None for r in rows) == 1 and sum(r["id"] == 7 for r in rows) == ROWS // 3 + ROWS // 1000 - ROWS // 3000
+
+
 def test_lookup_splits_a_hot_value(spark, hot):
     side = spark.range(900).select(F.col("id").alias("s"), F.lit("x").alias("name"))
     rows, plan = final_plan(look_up(hot, side, F.col("k"), "s", {"name": "name"}))
