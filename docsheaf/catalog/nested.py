@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import variant_descendants
 from ..plans import ColumnSpec, ExportSpec, export
 from ..sources.tables import DocTable, load
 from .base import LINES, documents, query
@@ -90,9 +89,9 @@ def _(spark, d):
     events = load(spark, d, "events").select(F.col("event_id").alias("id"), F.parse_json(text).alias("doc"))
     parts = []
     for table, rows, name in (("documents", docs, "size"), ("events", events, "k")):
-        spec = ExportSpec(table, "form", (ColumnSpec("found", (f"..{name}",)),))
-        held = variant_descendants(F.col("doc"), name)
-        own = export(DocTable(rows, "form", variant="doc"), spec, carry={"id": F.col("id"), "n": F.size(held).cast("bigint")})
+        found = (f"..{name}",)
+        spec = ExportSpec(table, "form", (ColumnSpec("found", found), ColumnSpec("n", found, map_via=("len",), data_type="integer")))
+        own = export(DocTable(rows, "form", variant="doc"), spec, carry={"id": F.col("id")})
         parts.append(own.select(F.lit(table).alias("tbl"), "id", "found", "n"))
     return parts[0].unionByName(parts[1])
 

@@ -157,10 +157,10 @@ def variant_descendants(value: Column, name: str) -> Column:
 
     The row is gone down level by level, all objects and lists of a level at
     once, each replaced in its place by what it holds; single values are left
-    behind. There are as many rounds as the JSON text has opening brackets, which
-    is never less than its depth; those behind the last level do nothing. Members
-    of an object come before those below it; objects are gone through in the
-    order of their names, lists in their own.
+    behind. A JSON text is never deeper than half its length, which bounds the
+    rounds; those behind the last level do nothing. Members of an object come
+    before those below it; objects are gone through in the order of their names,
+    lists in their own.
     """
     members_type = "array<struct<key:string,value:variant>>"
     nodes_type = f"array<struct<hit:variant,members:{members_type},items:array<variant>>>"
@@ -188,10 +188,16 @@ def variant_descendants(value: Column, name: str) -> Column:
         return F.when(s.getField("more"), bound(F.flatten(F.transform(s.getField("nodes"), below)).cast(nodes_type), state)).otherwise(s)
 
     top = bound(F.filter(F.array(opened(value)), holds).cast(nodes_type), state)
-    text = F.to_json(value)
-    depth = F.length(text) - F.length(F.translate(text, "{[", ""))
-    rounds = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(rounds, top, level, lambda s: F.transform(s.getField("nodes"), lambda x: x.getField("hit")))
+    # As many rounds of as many levels each as together are no fewer than half the bytes of the text.
+    half = F.octet_length(F.to_json(value)) / 2
+    width = F.coalesce(F.ceil(F.sqrt(half)).cast("int"), F.lit(1))
+
+    def down(n: Column) -> Column:
+        levels = F.sequence(F.lit(1), n)
+        some = lambda s, _: F.when(s.getField("more"), F.aggregate(levels, s, level)).otherwise(s)
+        return F.aggregate(levels, top, some, lambda s: F.transform(s.getField("nodes"), lambda x: x.getField("hit")))
+
+    return bound(width, down)
 
 
 def auto_id(root_id: Column, path: str, position: Column, own_id: Column | None = None) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, cell_text, descendants_of, doc_url, first_present, variant_cell, variant_descendants,
+    LIST_FUNCTIONS, attachment_url, attachment_urls, auto_id, bound, cell_text, descendants_of, doc_url, first_present, variant_cell, variant_descendants,
     variant_field, variant_json, variant_list, via, xml_text,
 )
 from ..functions import field as struct_field
@@ -240,6 +240,17 @@ def _heads(doc: DocTable, spec: ExportSpec) -> tuple[DocTable, dict]:
     return replace(doc, df=df), {p: (F.col(name), t) for p, (name, _, t) in named.items()}
 
 
+def _repeated(doc: DocTable, spec: ExportSpec, rows: DataFrame, resolve: Callable) -> tuple[DataFrame, dict]:
+    """What several columns ask a document without a schema for, looked up once for all of them."""
+    if not doc.variant:
+        return rows, {}
+    paths = [p for c in spec.columns for p in (c.path, *c.alternates, *_step_paths(c)) if p and p != (THIS,)]
+    found = {p: resolve(p) for p in sorted({p for p in paths if paths.count(p) > 1})}
+    named = {p: (f"__path{n}", *f) for n, (p, f) in enumerate((p, f) for p, f in found.items() if f)}
+    rows = rows.select("*", *[v.alias(name) for name, v, _ in named.values()])
+    return rows, {p: (F.col(name), t) for p, (name, _, t) in named.items()}
+
+
 def resolver(doc: DocTable, rows: DataFrame, child: str = CHILD, pos: str = POS, place: str = PLACE, heads: dict | None = None) -> Callable:
     """Looks up paths in ``rows``, whose items lie in the named columns; ``heads`` are values that need no more looking up."""
     start, heads = _start(doc), heads or {}
@@ -349,7 +360,7 @@ def _untyped(dtype: T.DataType) -> bool:
 def plain_text(value: Column, dtype: T.DataType) -> Column:
     """The text of any value, as its cell would have it."""
     if dtype == VARIANTS:
-        return cell_text(F.transform(value, lambda x: variant_cell(x)), T.ArrayType(T.StringType()))
+        return bound(F.transform(value, lambda x: variant_cell(x)), lambda texts: cell_text(texts, T.ArrayType(T.StringType())))
     if isinstance(dtype, T.VariantType):
         return variant_cell(value)
     return cell_text(xml_text(value, dtype), _after_xml(dtype)).cast("string")
@@ -376,7 +387,8 @@ def export(
     if doc.root:
         doc, heads = _heads(doc, spec)
         rows = _child_rows(doc, spec)
-    resolve = resolver(doc, rows, heads=heads)
+    rows, shared = _repeated(doc, spec, rows, resolver(doc, rows, heads=heads))
+    resolve = resolver(doc, rows, heads={**heads, **shared})
     out = rows.select(
         *[column_value(c, resolve, spec.base_url, rows).alias(c.name) for c in spec.columns],
         *[value.alias(name) for name, value in carry.items()])
