@@ -13,8 +13,8 @@ densely that no three words of the item stand together and few pairs do.
 The documents are read once for n-grams that may be an item's: a bit field of
 fixed size, made from the items in Spark, rejects nearly all others. Hits are
 counted and joined in Spark; only documents that share seeds are aligned, each
-with its items, in tasks, and only if enough of the item's words stand around
-the seeds for the least score. A passage that a third of all documents share
+with its items, in tasks, and only where the words that both hold stand close
+enough together around the seeds, in the item and in the text, for the least score. A passage that a third of all documents share
 gives each of them a row per item, split like any other.
 
 Cases: null and empty texts match nothing. Items with fewer than ``N`` words are
@@ -44,25 +44,28 @@ FIELD_BITS = 22
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"[^\W_]+")
-_KNOWN_LIMIT = 500_000
+_KNOWN_LIMIT, _KNOWN_ITEMS = 500_000, 10_000
+
+
+class KnownWords(dict):
+    """64-bit hashes of words, worked out when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
+        return value
 
 
 class WordHashes:
     """The words of a text as 64-bit hashes; those met before are kept, up to a limit."""
 
     def __init__(self) -> None:
-        self._known: dict[str, int] = {}
+        self._known = KnownWords()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        known, out = self._known, []
-        if len(known) > _KNOWN_LIMIT:
-            known.clear()
-        for word in _WORD.findall(text.lower()) if text else ():
-            value = known.get(word)
-            if value is None:
-                value = known[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
-            out.append(value)
-        return np.array(out, np.uint64)
+        if len(self._known) > _KNOWN_LIMIT:
+            self._known.clear()
+        found = _WORD.findall(text.lower()) if text else []
+        return np.fromiter(map(self._known.__getitem__, found), np.uint64, len(found))
 
 
 def ngrams(words: np.ndarray, n: int = N) -> np.ndarray:
@@ -113,9 +116,26 @@ def least_pairs(size: Column, min_score: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(size * ((4 * min_score - 1) / 3) - 1 - 1e-9))
 
 
-def most_score(text: np.ndarray, item: np.ndarray) -> float:
-    """A bound of the score: all words of the item that stand in the text, in any order."""
-    return float(np.isin(item, text).mean())
+def best_stretch(held: np.ndarray) -> int:
+    """The most that a stretch of words can score if each held one matches and each other one costs the least."""
+    sums = np.concatenate(([0], np.cumsum(np.where(held, MATCH, max(MISMATCH, GAP)))))
+    return int((sums - np.minimum.accumulate(sums)).max())
+
+
+class ItemWords:
+    """The words of an item in order, and its distinct ones sorted."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+        self.distinct, self.which = np.unique(words, return_inverse=True)
+
+    def most_score(self, text: np.ndarray) -> float:
+        """A bound of the score of a text: in the aligned stretch of either, a word that the other lacks is a mismatch or a gap."""
+        at = np.minimum(np.searchsorted(self.distinct, text), len(self.distinct) - 1)
+        held = self.distinct[at] == text
+        there = np.zeros(len(self.distinct), bool)
+        there[at[held]] = True
+        return min(best_stretch(held), best_stretch(there[self.which])) / (MATCH * len(self.words))
 
 
 def row_key() -> Column:
@@ -206,17 +226,20 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
     rows = rows.join(items.select("item_id", F.col("text").alias("item_text")), F.col("i") == F.col("item_id"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, last, words = WordHashes(), None, None
+        hashes, known, last, words = WordHashes(), {}, None, None
         for batch in batches:
             scores = []
             for key, text, item_text, places in zip(batch["row_key"], batch["text"], batch["item_text"], batch["places"]):
                 # The items of a document follow each other.
                 if key != last:
                     last, words = key, hashes(text)
-                item = hashes(item_text)
-                around = regions([(x["place"], x["at"]) for x in places], len(item), len(words))
-                near = [words[b:e] for b, e in around]
-                scores.append(max((align(w, item)[0] for w in near if most_score(w, item) >= min_score), default=-1) / (MATCH * len(item)))
+                if len(known) > _KNOWN_ITEMS:
+                    known.clear()
+                if (item := known.get(item_text)) is None:
+                    item = known[item_text] = ItemWords(hashes(item_text))
+                size = len(item.words)
+                near = [words[b:e] for b, e in regions([(x["place"], x["at"]) for x in places], size, len(words))]
+                scores.append(max((align(w, item.words)[0] for w in near if item.most_score(w) >= min_score), default=-1) / (MATCH * size))
             out = batch[["doc_id", "row_key", "item_id"]].assign(score=scores)
             yield out[out["score"] >= min_score]
 

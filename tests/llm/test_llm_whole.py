@@ -49,6 +49,20 @@ def test_edited_items_are_found_as_by_full_alignment(spark):
     assert len(want) > 60 and got == pytest.approx(want)
 
 
+def test_scattered_words_are_not_aligned():
+    """The bound is never below the score, and low where an item's words stand far apart."""
+    rng = random.Random(14)
+    numbers = lambda values: np.array(values, np.uint64)
+    for _ in range(200):
+        item, text = ([rng.randrange(25) for _ in range(n)] for n in (rng.randint(4, 30), rng.randint(1, 60)))
+        if rng.random() < 0.5:
+            text[3:3] = [w for w in item if rng.random() < 0.8]
+        score = op2.align(numbers(text), numbers(item))[0] / (op2.MATCH * len(item))
+        assert op2.ItemWords(numbers(item)).most_score(numbers(text)) >= score
+    apart = [x for w in range(20) for x in (w, 101, 102, 103)]
+    assert op2.ItemWords(numbers(range(20))).most_score(numbers(apart)) < op2.MIN_SCORE
+
+
 def test_passages_in_mid_sentence_are_removed(spark):
     """Passages of 50 to 70 words whose first and last sentence are merged with their neighbours."""
     rng = random.Random(12)
