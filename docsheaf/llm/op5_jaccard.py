@@ -16,7 +16,11 @@ below leave out only pairs that cannot link, or that are already connected.
 3. Matrix: the union of the prefix tokens of each group, by bands of similar
    size, one row per (token, group, band), for tokens of several groups.
 4. A class looks up its tokens in the matrix and counts those it shares with
-   each larger group. If two sets share s tokens of their prefixes, they overlap
+   each larger group. Only tokens with enough behind them in both count: if two
+   sets overlap in o, all but o - d of the tokens they share have at least o - d
+   behind them in both, for any d. With few more than the one that must be left,
+   a passage that many sets end with is looked up only by those that consist of
+   it, which link with each other, and not by all that hold it. If two sets share s tokens of their prefixes, they overlap
    in at most s plus the longer of their remainders behind the prefixes (of the
    one whose prefix ends first, every shared prefix token is in the other's), and
    in at most s plus what either has behind the last shared token. A group has
@@ -55,10 +59,12 @@ THRESHOLD = 75
 SAMPLE, FREQUENT, MAX_FREQUENT = 16_000, 4, 1 << 17
 # Step 2: bands, min-hashes in each (two classes that just link agree on some band with 99.8 %), and rounds.
 BANDS, HASHES, ROUNDS = 12, 3, 2
-# Members and queries of an opened band that meet in one block.
-MEMBERS, QUERIES = 2048, 4096
+# Members and queries of an opened band that meet in one block, and rows of small blocks that are handed over together.
+MEMBERS, QUERIES, TOGETHER = 2048, 4096, 512
 # Sizes of one band of a group differ by less than this factor.
 BAND = 1.1
+# One in so many of the tokens that a link needs is looked up beyond the first; any number gives the same links.
+SPARE = 32
 # Bits of the field that tells which tokens may be held twice; its size is fixed.
 FIELD_BITS = 26
 
@@ -95,7 +101,7 @@ def bands(found: np.ndarray) -> np.ndarray:
     if not len(found):
         return np.zeros(0, np.int64)
     tokens = found.view(np.uint64)
-    least = np.array([(tokens * m).min() for m in _MIXERS], np.uint64).reshape(BANDS, HASHES)
+    least = np.multiply.outer(_MIXERS, tokens).min(axis=1).reshape(BANDS, HASHES)
     state = np.arange(1, BANDS + 1, dtype=np.uint64)
     for j in range(HASHES):
         state = (state ^ least[:, j]) * np.uint64(0x9E3779B97F4A7C15)
@@ -119,7 +125,8 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, threshold: int = THRESHOLD,
                 at = np.searchsorted(known, found)
                 at[at == len(known)] = 0
                 rank = np.where(known[at] == found, rank_of[at] + 1, rank)
-            return found[np.lexsort((found, rank))][:size]
+            # The set is sorted already.
+            return found[np.argsort(rank, kind="stable")[:size]]
 
         for batch in batches:
             sets = [shingle(t) for t in batch["text"]]
@@ -167,6 +174,11 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
     return each.select(F.col("x.tokens").alias("token"), "sig", "n", F.col("x.rest").alias("rest")).distinct()
 
 
+def enough(least: Column) -> Column:
+    """What is behind a token in both sets, if it is looked up for an overlap of ``least``."""
+    return least - 1 - F.floor(least / SPARE)
+
+
 def prefix_size(n: Column, threshold: int = THRESHOLD) -> Column:
     return n - F.ceil(n * threshold / 100 - 1e-9) + 1
 
@@ -237,6 +249,27 @@ def star_pairs(rows: DataFrame, groups: DataFrame, seed: int, threshold: int = T
     return rows.filter(fits).select(F.col("sig").alias("a"), F.col("c.sig").alias("b")).distinct()
 
 
+def size_bounds(threshold: int) -> tuple[Column, Column, Column]:
+    """The least and greatest size between ``low`` and ``high`` that can link with n, and the overlap that the least asks for."""
+    least = F.greatest(F.col("low"), F.ceil(F.col("n") * threshold / 100 - 1e-9))
+    most = F.least(F.col("high"), F.floor(F.col("n") * 100 / threshold + 1e-9))
+    return least, most, needed(F.col("n"), least, threshold)
+
+
+def lookups(rows: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """A row for each token that a class shares with a band of a larger group, with enough behind it in both."""
+    # The smaller of two sets that link has as much behind a token as a link with its own size asks for.
+    rows = rows.withColumn("early", F.col("rest") >= enough(needed(F.col("n"), F.col("n"), threshold)))
+    met = F.when(F.col("early"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    matrix = rows.groupBy("token", "group", "band").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"), F.max("early").alias("early")).select(
+        F.col("token").alias("t"), "group", "band", "low", "high", "most", F.explode(met).alias("met"))
+    least, most, asked = size_bounds(threshold)
+    fits = (least <= most) & (F.col("rest") >= enough(asked)) & (F.col("most") >= enough(asked))
+    query = rows.select("token", F.col("sig").alias("a"), "n", "rest", F.col("group").alias("own"), "early")
+    return query.join(staged(matrix, "matrix"), (F.col("token") == F.col("t")) & (F.col("early") == F.col("met")) & (F.col("own") < F.col("group")) & fits)
+
+
 def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Candidate pairs of classes in different groups, through the token-group matrix."""
     members = groups.groupBy("component").agg(F.count("*").alias("members"))
@@ -245,20 +278,14 @@ def matrix_pairs(rows: DataFrame, groups: DataFrame, threshold: int = THRESHOLD)
     rows = rows.select("token", "sig", "n", "rest", F.struct(F.coalesce("members", F.lit(1)).alias("members"), "group").alias("group"),
                        F.floor(F.log("n") / float(np.log(BAND))).alias("band"))
     rows = staged(rows, "banded")
-    matrix = staged(rows.groupBy("token", "group", "band").agg(
-        F.min("n").alias("low"), F.max("n").alias("high")).withColumnRenamed("token", "t"), "matrix")
-    fits = (100 * F.col("high") >= threshold * F.col("n")) & (threshold * F.col("low") <= 100 * F.col("n"))
-    query = rows.select("token", F.col("sig").alias("a"), "n", "rest", F.col("group").alias("own"))
-    looked = query.join(matrix, (F.col("token") == F.col("t")) & (F.col("own") < F.col("group")) & fits)
-    looked = looked.groupBy("a", "n", "group", "band").agg(
+    looked = lookups(rows, threshold).groupBy("a", "n", "group", "band").agg(
         F.count("*").alias("shared"), F.max("rest").alias("behind"), F.min("low").alias("low"), F.max("high").alias("high"))
-    least = F.greatest(F.col("low"), F.ceil(F.col("n") * threshold / 100 - 1e-9))
-    most = F.least(F.col("high"), F.floor(F.col("n") * 100 / threshold + 1e-9))
-    rest = F.greatest(F.col("n") - prefix_size(F.col("n"), threshold), most - prefix_size(most, threshold))
+    least, most, asked = size_bounds(threshold)
+    rest = F.greatest(F.col("n") - prefix_size(F.col("n"), threshold), most - prefix_size(most, threshold), enough(asked))
     # Of the tokens shared with any member, only the first bounds the overlap with each of them.
     reach = F.least(F.col("shared") + rest, F.col("behind") + 1)
-    bound = (least <= most) & (reach >= needed(F.col("n"), least, threshold))
-    opened = staged(looked.filter(bound).select(F.col("a").alias("oa"), F.col("group").alias("og"), F.col("band").alias("ob")), "opened")
+    opened = staged(looked.filter((least <= most) & (reach >= asked)).select(
+        F.col("a").alias("oa"), F.col("group").alias("og"), F.col("band").alias("ob")), "opened")
     return opened_pairs(rows.withColumn("group", F.col("group.group")), opened.withColumn("og", F.col("og.group")), threshold)
 
 
@@ -267,13 +294,15 @@ def opened_pairs(rows: DataFrame, opened: DataFrame, threshold: int = THRESHOLD)
 
     Each is one row with its tokens. The members of a band, and the classes it
     is opened for, are dealt into blocks that fit a task, and every block of one
-    meets every block of the other.
+    meets every block of the other. Most blocks are small: about ``TOGETHER`` rows
+    of them go to Python at once.
     """
     tokens = F.collect_list(F.struct("token", "rest"))
     inside = opened.groupBy(F.col("og").alias("g"), F.col("ob").alias("at")).agg(F.count("*").alias("queries"))
     same = (F.col("group") == F.col("g")) & (F.col("band") == F.col("at"))
     members = rows.join(inside, same, "left_semi").groupBy("sig", "n", "group", "band").agg(tokens.alias("t"))
     members = staged(members.select("sig", "n", "group", "band", F.col("t.token").alias("tokens"), F.col("t.rest").alias("rests")), "members")
+    total = members.count() + opened.count()
     held = members.groupBy("group", "band").agg(F.count("*").alias("members"))
     blocks = lambda n, each: F.ceil(F.col(n) / each).cast("int")
     inside = inside.join(held, same).select("g", "at", blocks("members", MEMBERS).alias("mb"), blocks("queries", QUERIES).alias("qb"))
@@ -285,46 +314,69 @@ def opened_pairs(rows: DataFrame, opened: DataFrame, threshold: int = THRESHOLD)
     asked = asked.select("sig", "n", F.col("t.token").alias("tokens"), F.col("t.rest").alias("rests"),
                          F.col("og").alias("g"), F.col("ob").alias("at"), mine("qb").alias("q"), every("mb").alias("m"))
     members = members.join(inside, same).select("sig", "n", "tokens", "rests", "g", "at", mine("mb").alias("m"), every("qb").alias("q"))
+    block = F.xxhash64("g", "at", "m", "q")
+    dealt = lambda df: df.select("sig", "n", "tokens", "rests", block.alias("block"), F.pmod(block, F.lit(total // TOGETHER + 1)).alias("bundle")).groupBy("bundle")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        pairs = [bounded(int(n), np.asarray(t, np.int64), np.asarray(r, np.int64), table, threshold)
-                 for table in [MemberTable(right)] for n, t, r in zip(left["n"], left["tokens"], left["rests"])]
-        found = np.concatenate([np.zeros(0, np.int64), *pairs]).astype(np.int64)
-        return pd.DataFrame({"a": np.repeat(left["sig"].to_numpy(np.int64), [len(p) for p in pairs]), "b": right["sig"].to_numpy(np.int64)[found]})
+        found, blocks = [], right.groupby("block").indices
+        for key, asking in left.groupby("block").indices.items():
+            block = right.iloc[blocks.get(key, [])]
+            table, sigs = MemberTable(block), block["sig"].to_numpy(np.int64)
+            queries = left.iloc[asking]
+            for a, n, t, r in zip(queries["sig"], queries["n"], queries["tokens"], queries["rests"]):
+                b = sigs[bounded(int(n), np.asarray(t, np.int64), np.asarray(r, np.int64), table, threshold)]
+                found.append(np.stack((np.full(len(b), a, np.int64), b)))
+        a, b = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+        return pd.DataFrame({"a": a, "b": b})
 
-    keys = ("g", "at", "m", "q")
-    return asked.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(meet, "a bigint, b bigint")
+    return dealt(asked).cogroup(dealt(members)).applyInPandas(meet, "a bigint, b bigint")
 
 
 class MemberTable:
-    """The tokens of a block of members, sorted, with whose they are and what comes after."""
+    """The tokens of a block of members, sorted, with whose they are; and member by member, with what comes after."""
 
     def __init__(self, members: pd.DataFrame) -> None:
-        sizes = [len(t) for t in members["tokens"]]
-        tokens = np.concatenate([np.zeros(0, np.int64), *members["tokens"]]).astype(np.int64)
-        order = np.argsort(tokens, kind="stable")
-        self.tokens, self.sizes = tokens[order], members["n"].to_numpy(np.int64)
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.rest = np.concatenate([np.zeros(0, np.int64), *members["rests"]]).astype(np.int64)[order]
+        counts = np.array([len(t) for t in members["tokens"]], np.int64)
+        self.tokens = np.concatenate([np.zeros(0, np.int64), *members["tokens"]]).astype(np.int64)
+        self.rest = np.concatenate([np.zeros(0, np.int64), *members["rests"]]).astype(np.int64)
+        self.sizes, self.counts, self.begins = members["n"].to_numpy(np.int64), counts, np.cumsum(counts) - counts
+        order = np.argsort(self.tokens, kind="stable")
+        self.sorted, self.owner = self.tokens[order], np.repeat(np.arange(len(counts)), counts)[order]
+
+
+def stretches(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, as many as its count."""
+    return np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 def bounded(n: int, tokens: np.ndarray, rests: np.ndarray, members: MemberTable, threshold: int) -> np.ndarray:
     """Which members can link with a set of n tokens, by what their prefixes share.
 
     They overlap in at most that and the longer remainder behind the prefixes, or that
-    and what either has behind the last shared token."""
-    low, high = np.searchsorted(members.tokens, tokens), np.searchsorted(members.tokens, tokens, "right")
-    hits = high - low
-    at = np.repeat(low - np.concatenate([[0], np.cumsum(hits)[:-1]]), hits) + np.arange(hits.sum()) if len(hits) else np.zeros(0, np.int64)
-    owner = members.owner[at]
-    shared = np.bincount(owner, minlength=len(members.sizes))
-    behind = np.full(len(members.sizes), np.iinfo(np.int64).max)
-    np.minimum.at(behind, owner, np.minimum(members.rest[at], np.repeat(rests, hits)))
+    and what either has behind the last shared token. Members that share too few of the
+    tokens with enough behind them, as in the lookup, are not compared any further."""
     m = members.sizes
     least = -(-(n + m) * threshold // (100 + threshold))
     after = np.maximum(-(-n * threshold // 100), -(-m * threshold // 100)) - 1
-    fits = (shared > 0) & (100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
-    return np.flatnonzero(fits & (shared + np.minimum(after, behind) >= least))
+    fits = 100 * np.minimum(n, m) >= threshold * np.maximum(n, m)
+    if not fits.any():
+        return np.zeros(0, np.int64)
+    behind_enough = least - 1 - least // SPARE
+    first = tokens[rests >= behind_enough[fits].min()]
+    low = np.searchsorted(members.sorted, first)
+    owner = members.owner[stretches(low, np.searchsorted(members.sorted, first, "right") - low)]
+    shared = np.bincount(owner, minlength=len(m))
+    near = np.flatnonzero(fits & (shared > 0) & (shared + np.maximum(after, behind_enough) >= least))
+    at = stretches(members.begins[near], members.counts[near])
+    owner = np.repeat(np.arange(len(near)), members.counts[near])
+    order = np.argsort(tokens)
+    place = np.minimum(np.searchsorted(tokens[order], members.tokens[at]), len(tokens) - 1)
+    met = tokens[order][place] == members.tokens[at]
+    at, owner, place = at[met], owner[met], place[met]
+    shared = np.bincount(owner, minlength=len(near))
+    behind = np.full(len(near), np.iinfo(np.int64).max)
+    np.minimum.at(behind, owner, np.minimum(members.rest[at], rests[order][place]))
+    return near[shared + np.minimum(after[near], behind) >= least[near]]
 
 
 def near_groups(docs: DataFrame, threshold: int = THRESHOLD, k: int = K) -> DataFrame:

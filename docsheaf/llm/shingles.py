@@ -38,7 +38,8 @@ class Shingler:
         for i in range(size):
             state = (state ^ h[i: len(h) - size + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
             state ^= state >> np.uint64(32)
-        return np.unique(state.view(np.int64))
+        found = np.sort(state.view(np.int64))
+        return found[np.concatenate(([True], found[1:] != found[:-1]))]
 
 
 def signature(found: np.ndarray) -> int:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docsheaf.llm import op2_decontaminate as op2
 from docsheaf.llm import op3_substring as op3
@@ -28,6 +29,39 @@ def test_groups_open_for_members_of_other_prefixes(spark):
     assert {r["component_id"] for r in found} == {"a"}
 
 
+def test_a_common_end_is_not_looked_up(spark):
+    """Sets that share four fifths do not link; what they share ends all of them and meets no other set."""
+    shingle = Shingler(1)
+    passage = [f"p{i}" for i in range(80)]
+    texts = [(k, " ".join([f"own{k}x{i}" for i in range(20)] + passage)) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    groups = spark.createDataFrame([], "node long, component long")
+    rows = op5.in_groups(op5.shared_tokens(op5.prefixes(docs, shingle(" ".join(passage)), k=1)), groups)
+    assert rows.groupBy("token").count().filter("count = 40").count() == 6
+    assert op5.lookups(rows.withColumn("band", F.lit(0))).count() == 0
+
+
+def test_the_matrix_alone_finds_every_link(spark, monkeypatch):
+    """Sets of all sizes that end alike, without the first step: the components of comparing all pairs, in small blocks."""
+    monkeypatch.setattr(op5, "ROUNDS", 0)
+    monkeypatch.setattr(op5, "TOGETHER", 7)
+    rng = random.Random(13)
+    ends = [[f"e{j}x{i}" for i in range(90)] for j in range(3)]
+    sets = []
+    for k in range(150):
+        end = ends[k % 3]
+        sets.append({*rng.sample(end, rng.randint(55, 90)), *(f"o{rng.randrange(12)}x{i}" for i in range(rng.randint(0, 25)))})
+    up = list(range(len(sets)))
+    for b in range(len(sets)):
+        for a in range(b):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and up[a] != up[b]:
+                low, high = sorted((up[a], up[b]))
+                up = [low if x == high else x for x in up]
+    docs = spark.createDataFrame([(k, " ".join(sorted(v))) for k, v in enumerate(sets)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in op5.near_groups(docs, k=1).collect()}
+    assert 5 < len(set(up)) < 140 and got == dict(enumerate(up))
+
+
 def test_edited_items_are_found_as_by_full_alignment(spark):
     """Every second to sixth word replaced, put in or left out: the same pairs as aligning everything."""
     rng = random.Random(11)
