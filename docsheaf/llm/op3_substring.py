@@ -123,10 +123,13 @@ def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     hits = staged(each.join(again, F.col("hash") == F.col("h"), "left_semi"), "hits")
     # Null ids come last: false sorts before true.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "range", "row_key")
-    first = staged(hits.groupBy("hash").agg(F.min(place).alias("first")).select(F.col("hash").alias("h"), "first"), "first")
-    later = hits.join(first, F.col("hash") == F.col("h")).filter(~(
-        (F.col("row_key") == F.col("first.row_key")) & (F.col("range") == F.col("first.range"))))
-    return later.groupBy("row_key").agg(F.collect_set("range").alias("ranges"))
+    first = staged(hits.groupBy("hash").agg(F.min(place).alias("first")).select("first"), "first")
+    # Both sides by text: the last join has a row for each text with repeated spans, not for each span.
+    found = hits.groupBy("row_key").agg(F.collect_set("range").alias("all"))
+    own = first.groupBy(F.col("first.row_key").alias("k")).agg(F.collect_set("first.range").alias("own"))
+    later = found.join(own.hint("merge"), F.col("row_key") == F.col("k"), "left").select(
+        "row_key", F.array_except("all", F.coalesce("own", F.array().cast("array<bigint>"))).alias("ranges"))
+    return later.filter(F.size("ranges") > 0)
 
 
 def cut(text: pd.Series, ranges: pd.Series) -> pd.DataFrame:

@@ -97,6 +97,18 @@ def test_scattered_words_are_not_aligned():
     assert op2.ItemWords(numbers(range(20))).most_score(numbers(apart)) < op2.MIN_SCORE
 
 
+def test_repeated_spans_meet_by_text(spark):
+    """The join with the first of each kind has rows for texts, not for each of their spans."""
+    rng = random.Random(15)
+    passage = prose(rng, 400).rpartition(".")[0] + "."
+    docs = spark.createDataFrame([(k, f"{prose(rng, 20)}.\n{passage}") for k in range(12)], "doc_id long, text string")
+    found = op3.repeated_ranges(docs)
+    rows = found.collect()
+    joins = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("row_key" in line for line in joins)
+    assert len(rows) == 11 and len({len(r["ranges"]) for r in rows}) == 1
+
+
 def test_passages_in_mid_sentence_are_removed(spark):
     """Passages of 50 to 70 words whose first and last sentence are merged with their neighbours."""
     rng = random.Random(12)
